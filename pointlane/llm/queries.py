@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, toxicity
+from . import bpe, langid, minhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +35,25 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+ORACLES["op6_minhash"] = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM words),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS c FROM items a JOIN items b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common WHERE 100 * c >= 85 * (na + nb - c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a),
+parts AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, p.component_id, s.doc_id = p.component_id AS kept FROM sets s JOIN parts p ON p.a = s.doc_id
+"""
