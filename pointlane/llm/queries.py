@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, langid, minhash, toxicity
+from . import ann, bpe, embedding_dedup, langid, minhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +58,26 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b F
 parts AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, p.component_id, s.doc_id = p.component_id AS kept FROM sets s JOIN parts p ON p.a = s.doc_id
 """
+
+
+@query
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op10_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))) AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+parts AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(d.n, 0) AS n_links, p.component_id, e.vec_id = p.component_id AS kept
+FROM embeddings e JOIN parts p ON p.a = e.vec_id LEFT JOIN degree d ON d.a = e.vec_id
+"""
