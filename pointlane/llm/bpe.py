@@ -35,8 +35,10 @@ from ._text import slices
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: White space and what follows it: no word of PATTERN crosses such a chunk's edges (the classes leave out what only Python calls white space).
 CHUNK = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
+#: Chunks that surely are one word, or one and its punctuation.
+PLAIN = re.compile(r"( ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u02AF]+)([.,;:!?]+)?")
 #: Bytes of text whose words are put into one trie, and words whose ids are kept between tries.
-TRIE_BYTES, CACHED_WORDS = 4 << 20, 300_000
+TRIE_BYTES, CACHED_WORDS = 2 << 20, 250_000
 
 
 def byte_symbols() -> dict[str, int]:
@@ -56,12 +58,18 @@ class ByteBpe:
         self.ids = {raw(s): k for s, k in model["vocab"].items()}
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.rank = {(raw(a), raw(b)): r for r, (a, b) in enumerate(pairs)}
+        # By ids: rank of a merge, and how each token is merged from two.
+        self.pair_rank = {self.ids[a] << 20 | self.ids[b]: r for (a, b), r in self.rank.items()}
+        self.made = {self.ids[a + b]: (self.ids[a], self.ids[b], r) for (a, b), r in reversed(self.rank.items())}
+        self.rising = all(r > max(self.made[x][2] if x in self.made else -1 for x in (self.ids[a], self.ids[b])) for (a, b), r in self.rank.items())
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.bytes = {k: b for b, k in self.ids.items()} | {k: s.encode() for s, k in self.added.items()}
         self.tails = {t[-k:] for t in self.ids for k in range(1, len(t) + 1)}
         self.split = regex.compile(PATTERN)
         self.at_added = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
-        self.stable: dict[tuple[int, int], bool] = {}
+        self.stable: dict[int, bool] = {}
+        self.edges: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        self.packed = {k: k.to_bytes(4, "little") for k in self.bytes}
         self.fixed = {s: np.array([k], "<u4").tobytes() for s, k in self.added.items()}
         self.words: dict[bytes, bytes] = {}
         self.chunks: dict[str, bytes] = {}
@@ -77,47 +85,86 @@ class ByteBpe:
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
         return parts
 
+    def spine(self, token: int, side: int) -> list[tuple[int, int]]:
+        """The parts that stand at an edge of a token while it is merged, first to last, each with the rank that ends it."""
+        out, ends = [], 1 << 60
+        while True:
+            out.append((token, ends))
+            if token not in self.made:
+                return out[::-1]
+            *halves, ends = self.made[token]
+            token = halves[side]
+
+    def apart(self, before: int, token: int) -> bool:
+        """Whether no merge crosses the seam of two tokens that each encode to themselves.
+
+        Merges happen by rising rank, of equal ranks from the left, so the two
+        parts at the seam meet until the rank at which either is merged away.
+        """
+        key = self.edges.get
+        left = key((before, 1)) or self.edges.setdefault((before, 1), self.spine(before, 1))
+        right = key((token, 0)) or self.edges.setdefault((token, 0), self.spine(token, 0))
+        a = b = 0
+        while True:
+            (x, x_ends), (y, y_ends) = left[a], right[b]
+            rank = self.pair_rank.get(x << 20 | y, 1 << 60)
+            if rank < x_ends and rank <= y_ends and rank < 1 << 60:
+                return False
+            if x_ends <= y_ends:
+                a += 1
+            else:
+                b += 1
+            if a == len(left) or b == len(right):
+                return True
+
     def fits(self, before: int, token: int) -> bool:
         """Whether the two stay apart when encoded together; before -1: the token stands first."""
-        known = self.stable.get((before, token))
+        known = self.stable.get(before << 20 | token)
         if known is None:
-            last = self.bytes[token]
             if before < 0:
-                known = len(self.merged(last)) == 1
+                known = len(self.merged(self.bytes[token])) == 1
+            elif not self.rising:
+                known = self.merged(self.bytes[before] + self.bytes[token]) == [self.bytes[before], self.bytes[token]]
             else:
-                known = self.merged(self.bytes[before] + last) == [self.bytes[before], last]
-            self.stable[before, token] = known
+                known = self.fits(-1, token) and self.apart(before, token)
+            self.stable[before << 20 | token] = known
         return known
 
     def encode_words(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
         """Ids (little-endian unsigned 32-bit) of distinct words, by depth-first walk of their trie."""
-        ids, tails, fits, out = self.ids, self.tails, self.fits, {}
-        path: list[int] = []  # last token of each prefix of the current node, shortest first
+        ids, tails, fits, stable, packed, out = self.ids, self.tails, self.fits, self.stable, self.packed, {}
+        # Of each prefix on the path, shortest first: its last token, that token's bytes, and all its ids.
+        path: list[int] = []
         sizes: list[int] = []
+        codes: list[bytes] = [b""]
         previous = b""
         for word in sorted(words):
             shared, most = 0, min(len(previous), len(word))
             while shared < most and previous[shared] == word[shared]:
                 shared += 1
-            del path[shared:], sizes[shared:]
+            del path[shared:], sizes[shared:], codes[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                size = 1
-                while size < end and word[end - size - 1 : end] in tails:
-                    size += 1
-                while size:
-                    token = ids.get(word[end - size : end])
-                    if token is not None and fits(path[end - size - 1] if size < end else -1, token):
-                        break
-                    size -= 1
-                if not size:
-                    raise ValueError(f"the vocabulary cannot encode {word!r}")
+                # Exactly one token fits. Mostly it is the last one and a byte more.
+                size = sizes[-1] + 1 if path else 1
+                token = ids.get(word[end - size : end])
+                before = path[end - size - 1] if size < end else -1
+                if token is None or not (stable.get(before << 20 | token) or fits(before, token)):
+                    size = 1
+                    while size < end and word[end - size - 1 : end] in tails:
+                        size += 1
+                    while size:
+                        token = ids.get(word[end - size : end])
+                        if token is not None:
+                            before = path[end - size - 1] if size < end else -1
+                            if fits(before, token):
+                                break
+                        size -= 1
+                    if not size:
+                        raise ValueError(f"the vocabulary cannot encode {word!r}")
                 path.append(token)
                 sizes.append(size)
-            back, end = [], len(word)
-            while end:
-                back.append(path[end - 1])
-                end -= sizes[end - 1]
-            out[word] = np.array(back[::-1], "<u4").tobytes()
+                codes.append(codes[end - size] + packed[token])
+            out[word] = codes[-1]
             previous = word
         return out
 
@@ -127,11 +174,23 @@ class ByteBpe:
             self.chunks.clear()
         if len(self.words) > CACHED_WORDS:
             self.words.clear()
-        split = {c: [w.encode() for w in self.split.findall(c)] for c in chunks}
-        self.words |= self.encode_words({w for words in split.values() for w in words}.difference(self.words))
-        get = self.words.__getitem__
-        for chunk, words in split.items():
-            self.chunks[chunk] = b"".join(map(get, words))
+        plain: dict[bytes, str] = {}
+        mixed: dict[str, list[bytes]] = {}
+        for chunk in chunks:
+            if (m := PLAIN.fullmatch(chunk)) is None:
+                mixed[chunk] = [w.encode() for w in self.split.findall(chunk)]
+            elif m[2]:
+                mixed[chunk] = [m[1].encode(), m[2].encode()]
+            else:
+                plain[chunk.encode()] = chunk
+        words = {w for parts in mixed.values() for w in parts}
+        words.update(plain)
+        known = self.words
+        known |= self.encode_words(words.difference(known))
+        for word, chunk in plain.items():
+            self.chunks[chunk] = known[word]
+        for chunk, parts in mixed.items():
+            self.chunks[chunk] = b"".join([known[w] for w in parts])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, little-endian unsigned 32-bit."""
@@ -155,11 +214,11 @@ def _encode(batches: Iterator[pa.RecordBatch], spec) -> Iterator[pa.RecordBatch]
     bpe = None
     for batch in batches:
         bpe = bpe or ByteBpe(spec.value)
-        texts, found = batch.column(batch.num_columns - 1), []
+        texts = batch.column(batch.num_columns - 1)
         for at, to in slices(texts, TRIE_BYTES):
-            found += bpe.encode(texts.slice(at, to - at).to_pylist())
-        sizes = pa.array([len(x) // 4 for x in found], pa.int64())
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.binary()), sizes], names=[*batch.schema.names[:-1], "ids", "n_tokens"])
+            found = bpe.encode(texts.slice(at, to - at).to_pylist())
+            sizes = pa.array([len(x) // 4 for x in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.slice(at, to - at).columns[:-1], pa.array(found, pa.binary()), sizes], names=[*batch.schema.names[:-1], "ids", "n_tokens"])
 
 
 def _decode(batches: Iterator[pa.RecordBatch], spec) -> Iterator[pa.RecordBatch]:
