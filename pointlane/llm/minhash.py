@@ -175,7 +175,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
     heads = buckets.groupBy("bucket").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last").select(F.col("bucket").alias("of"), "head")
     meet = buckets.join(heads, F.col("bucket") == F.col("of")).where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
     groups = stored(connected_components(meet).select(F.col("node").alias("in_group"), F.col("component").alias("grp")), "groups")
-    found = texts.join(groups, F.col("doc_id") == F.col("in_group")).select(F.col("doc_id").alias("node"), "grp", "text").mapInArrow(lambda it: _members(it, width), "node long, grp long, shingles binary, sig binary")
+    # The groups' ids, built into a hash table by partition; the texts are shuffled once and never sorted.
+    found = texts.join(groups.hint("shuffle_hash"), F.col("doc_id") == F.col("in_group")).select(F.col("doc_id").alias("node"), "grp", "text").mapInArrow(lambda it: _members(it, width), "node long, grp long, shingles binary, sig binary")
     least = least_matches(percent, miss)
     links = dealt(stored(found, "members"), ["grp"], "node").mapInArrow(lambda it: _linked(it, percent, bands, rows, least), "a long, b long")
     parts = connected_components(links).select(F.col("node").alias("linked"), "component")
