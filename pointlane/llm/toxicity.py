@@ -81,18 +81,28 @@ def _spread(ids: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, starts
 
 
-def train(labelled: DataFrame, text: str = "text", label: str = "label", sample_docs: int = 4000, seed: int = 4, epochs: int = 6) -> CnnModel:
-    """Learn from rows with text and a label of 0 or 1."""
-    rows = labelled.where(F.col(text).isNotNull() & F.col(label).isin(0, 1)).select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"))
-    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+def draw(labels: DataFrame, label: str = "toxic", sample_docs: int = 4000, seed: int = 4) -> DataFrame:
+    """(doc_id, label) of about ``sample_docs`` ids of each class outside the held-out fold, chosen by hash."""
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (crc_fold() != 2))
+    known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         raise ValueError("toxicity needs labelled texts of both classes")
     share = F.when(F.col("label") == 1, sample_docs / sizes[1]).otherwise(sample_docs / sizes[0])
-    drawn = rows.where(hash_fraction("text", seed=seed) < share).mapInArrow(_bucket_rows, "ids array<int>, label int").toArrow()
+    return known.where(hash_fraction("doc_id", seed=seed) < share)
+
+
+def train(docs: DataFrame, drawn: DataFrame, text: str = "text", seed: int = 4, epochs: int = 6) -> CnnModel:
+    """Learn from the rows of ``docs`` whose id is in ``drawn``, which ``draw`` bounds."""
+    ids = F.broadcast(drawn.select(F.col("doc_id").alias("__drawn"), "label"))
+    rows = docs.join(ids, F.col("doc_id") == F.col("__drawn")).where(F.col(text).isNotNull()).select(F.col(text).alias("text"), "label")
+    drawn = rows.mapInArrow(_bucket_rows, "ids array<int>, label int").toArrow()
     lists = drawn.column("ids").combine_chunks()
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
     texts = [np.asarray(lists[k].values, np.int32).reshape(-1, 2) for k in range(len(lists))]
     labels = np.asarray(drawn.column("label").to_numpy())
+    if not 0 < labels.sum() < len(labels):
+        raise ValueError("toxicity needs labelled texts of both classes")
     order = sorted(range(len(texts)), key=lambda k: (texts[k].tobytes(), labels[k]))
     return fit([texts[k] for k in order], labels[order], seed, epochs)
 
@@ -231,14 +241,8 @@ def calibrate(scored: DataFrame, lang: str = "lang", label: str = "label", bins:
     return sums.groupBy("lang").agg(F.max_by(F.col("cut") / F.lit(float(bins)), rank).alias("threshold"), F.max(f1).alias("f1"))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFrame:
-    """Rows of ``docs`` outside the held-out fold with a label."""
-    known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("label"))
-    return docs.where(crc_fold() != 2).join(known, "doc_id")
-
-
-def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **bounds) -> DataFrame:
-    """Train on the labelled rows outside the held-out fold, then score every row."""
-    model = train(labelled(docs.select("doc_id", "text"), labels), **bounds)
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample_docs: int = 4000) -> DataFrame:
+    """Train on labelled rows outside the held-out fold, then score every row."""
+    model = train(docs, draw(labels, sample_docs=sample_docs))
     scored = score(docs.select("doc_id", (crc_fold() == 2).alias("held_out"), "text"), model, keep=["doc_id", "held_out"])
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
