@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, embedding_dedup, langid, minhash, sharding, toxicity, warc
+from . import ann, bpe, embedding_dedup, langid, minhash, mixing, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -104,3 +104,33 @@ FROM d
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf_dir, "documents"), shards=16)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op8_mixing"] = """
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents),
+s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+s1 AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid FROM s0),
+s2 AS (SELECT *, CASE sid % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w FROM s1),
+t AS (SELECT CAST(sum(source_size) AS BIGINT) AS total, CAST(sum(w) AS BIGINT) AS all_w, greatest(16, (CAST(sum(source_size) AS BIGINT) + 1048575) // 1048576) AS k FROM s2),
+s3 AS (SELECT s2.*, coalesce(sum(source_size) OVER r, 0) AS cap_before, coalesce(sum(w) OVER r, 0) AS w_before FROM s2
+  WINDOW r AS (ORDER BY source_size / w, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+s4 AS (SELECT s3.*, w * (total - 3 * cap_before) > 3 * source_size * (all_w - w_before) AS full_ FROM s3, t),
+lv AS (SELECT CAST(CAST(total - 3 * coalesce((SELECT sum(source_size) FROM s4 WHERE full_), 0) AS BIGINT) AS DOUBLE) / CAST(all_w - coalesce((SELECT sum(w) FROM s4 WHERE full_), 0) AS DOUBLE) AS level FROM t),
+s5 AS (SELECT sid, source, source_size, CASE WHEN full_ THEN CAST(3 * source_size AS DOUBLE) ELSE w * level END AS target FROM s4, lv),
+s6 AS (SELECT *, sum(target) OVER (ORDER BY sid) / (SELECT CAST(total AS DOUBLE) FROM t) AS high FROM s5),
+s7 AS (SELECT *, coalesce(lag(high) OVER (ORDER BY sid), 0) AS low, sid = max(sid) OVER () AS last_ FROM s6),
+sl AS (SELECT i AS slot, i * 0.6180339887498949::DOUBLE - floor(i * 0.6180339887498949::DOUBLE) AS u FROM t, range(0, (total + k - 1) // k) r(i)),
+dealt AS (SELECT slot, sid, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS rank FROM sl JOIN s7 ON u >= low AND (u < high OR last_) AND low < high),
+times AS (SELECT dealt.sid, rank % ((source_size + k - 1) // k) AS block, count(*) AS times FROM dealt JOIN s5 USING (sid), t WHERE rank < 3 * ((source_size + k - 1) // k) GROUP BY ALL),
+p AS (SELECT doc_id, size, s5.sid, source_size, target,
+    coalesce(sum(size) OVER (PARTITION BY s5.sid ORDER BY md5('8|' || coalesce(CAST(doc_id AS VARCHAR), '')), size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+  FROM d JOIN s5 ON d.source IS NOT DISTINCT FROM s5.source),
+x AS (SELECT p.sid, place, size, unnest(range(CAST(place // k AS BIGINT), CAST((place + size - 1) // k + 1 AS BIGINT))) AS block, k FROM p, t WHERE size > 0),
+taken AS (SELECT x.sid, x.place, sum((least(place + size, (block + 1) * k) - greatest(place, block * k)) * times) AS taken FROM x JOIN times USING (sid, block) GROUP BY ALL)
+SELECT doc_id, size, source_size, target, CAST(coalesce(CASE WHEN size > 0 THEN taken END, 0) AS BIGINT) AS taken FROM p LEFT JOIN taken ON p.sid = taken.sid AND p.place = taken.place
+"""
