@@ -18,19 +18,25 @@ from pyspark.sql import functions as F
 LEAST, MOST, CHUNKS = 128, 4096, 16
 
 
-def dealt(members: DataFrame, group: list[str], key: str, least: int = LEAST, most: int = MOST) -> DataFrame:
+def dealt(members: DataFrame, group: list[str], key: str, least: int = LEAST, most: int = MOST, home: str | None = None) -> DataFrame:
     """Rows of ``members`` copied to the tiles they belong to and sorted by tile.
 
-    Added columns: tile_i <= tile_j, and ``chunk``, the row's own chunk, which is one of the two.
+    Added columns: tile_i <= tile_j, and ``chunk``, the row's own chunk, which
+    is one of the two. With ``home``, a boolean column, only pairs with a row
+    at home are wanted: other rows (visitors) have chunks of their own, which
+    never meet each other.
     """
-    sizes = members.groupBy(*group).agg(F.count("*").alias("__n"))
-    target = F.least(F.greatest(F.ceil(F.col("__n") / CHUNKS), F.lit(least)), F.lit(most))
-    sizes = sizes.select(*[F.col(g).alias(f"__{g}") for g in group], F.ceil(F.col("__n") / target).cast("int").alias("__chunks"))
-    on = [F.col(g) == F.col(f"__{g}") for g in group]
-    rows = members.join(sizes, on).drop(*[f"__{g}" for g in group])
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64(F.lit(17), F.col(key)), F.col("__chunks")).cast("int"))
-    rows = rows.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1)))
-    rows = rows.withColumn("tile_i", F.least("chunk", "__other")).withColumn("tile_j", F.greatest("chunk", "__other")).drop("__chunks", "__other")
+    own = F.col(home) if home else F.lit(True)
+    sizes = members.groupBy(*group).agg(F.count_if(own).alias("__homes"), F.count_if(~own).alias("__guests"))
+    target = lambda n: F.least(F.greatest(F.ceil(F.col(n) / CHUNKS), F.lit(least)), F.lit(most))
+    chunks = lambda n: F.ceil(F.col(n) / target(n)).cast("int").alias(f"{n}_chunks")
+    sizes = sizes.where("__homes > 0").select(*[F.col(g).alias(f"__{g}") for g in group], chunks("__homes"), chunks("__guests"))
+    rows = members.join(sizes, [F.col(g) == F.col(f"__{g}") for g in group]).drop(*[f"__{g}" for g in group])
+    place = lambda n: F.pmod(F.xxhash64(F.lit(17), F.col(key)), F.greatest(F.col(n), F.lit(1))).cast("int")
+    homes, guests = F.col("__homes_chunks"), F.col("__guests_chunks")
+    rows = rows.withColumn("chunk", F.when(own, place("__homes_chunks")).otherwise(homes + place("__guests_chunks")))
+    rows = rows.withColumn("__other", F.explode(F.sequence(F.lit(0), F.when(own, homes + guests).otherwise(homes) - 1)))
+    rows = rows.withColumn("tile_i", F.least("chunk", "__other")).withColumn("tile_j", F.greatest("chunk", "__other")).drop("__homes_chunks", "__guests_chunks", "__other")
     tile = [*group, "tile_i", "tile_j"]
     return rows.repartition(*tile).sortWithinPartitions(*tile, key)
 

@@ -37,7 +37,7 @@ from ._shared import stored
 from ._tiles import Forest, dealt, runs
 from ._vectors import matrix, packed, sample
 
-SAMPLE, CELL_ROWS, MOST_CUTS, CHUNK = 20_000, 4096, 10, 1024
+SAMPLE, CELL_ROWS, MOST_CUTS, TILE_ROWS, CHUNK = 20_000, 8192, 10, 8192, 1024
 
 
 @dataclass
@@ -106,15 +106,16 @@ def link_tile(tile: pa.Table, blocks: Blocks, kind: str, cosine: float) -> tuple
     r = v / norm[:, None] @ blocks.rotation
     low, high = blocks.edges[b], blocks.edges[b + 1]
     part = r[:, low:high].astype(np.float32)
-    square = (part**2).sum(1)
+    square, one = (part**2).sum(1)[:, None], np.ones((len(part), 1), np.float32)
+    # The product of a row of one and a row of the other is their squared distance in the block.
+    asks, holds = np.hstack([-2 * part, one, square]), np.hstack([part, square, one])
     left = np.flatnonzero(chunk == i)
     right = left if i == j else np.flatnonzero(chunk == j)
     degree, forest, a_out, b_out = np.zeros(len(nodes), np.int64), Forest(len(nodes)), [], []
     for at in range(0, len(left), CHUNK):
         own = left[at : at + CHUNK]
-        near = square[own][:, None] + square[right][None, :] - 2 * part[own] @ part[right].T
-        x, y = np.nonzero(near <= blocks.budget[b] + 1e-5)
-        x, y = own[x], right[y]
+        flat = np.flatnonzero(asks[own] @ holds[right].T <= np.float32(blocks.budget[b] + 1e-5))
+        x, y = own[flat // len(right)], right[flat % len(right)]
         keep = home[x] | home[y]
         if i == j:
             keep &= x < y
@@ -146,7 +147,7 @@ def near_duplicates(table: DataFrame, vector: str = "embedding", cosine: float =
     nodes = stored(nodes, "nodes")
     shared = table.sparkSession.sparkContext.broadcast(fit(drawn, total, cosine, block_dim))
     placed = nodes.select("node", "weight", "vec").mapInArrow(lambda it: _spread(it, shared, kind), "block int, cell int, home boolean, node long, weight long, vec binary")
-    tiles = dealt(placed, ["block", "cell"], "node", least=2048, most=8192)
+    tiles = dealt(placed, ["block", "cell"], "node", least=TILE_ROWS, most=TILE_ROWS, home="home")
     found = stored(tiles.mapInArrow(lambda it: _linked(it, shared, kind, cosine), "a long, b long, n long"), "links")
     parts = connected_components(found.where("a != b").select("a", "b")).select(F.col("node").alias("linked"), "component")
     degrees = found.where("a = b").groupBy(F.col("a").alias("counted")).agg(F.sum("n").alias("n"))
