@@ -35,7 +35,7 @@ def packed(table: DataFrame, vector: str = "embedding") -> tuple[DataFrame, int,
     kind = "<f4" if isinstance(table.schema[vector].dataType.elementType, T.FloatType) else "<f8"
     sizes = table.where(F.col(vector).isNotNull()).groupBy(F.size(vector).alias("dim")).count()
     top = sizes.orderBy(F.desc("count"), "dim").first()
-    dim = int(top["dim"]) if top else 0
+    dim = max(1, int(top["dim"])) if top else 1
     rows = table.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(vector).alias("v"))
     return stored(rows.mapInArrow(lambda it: _packed(it, dim, kind), "vec_id long, vec binary"), "vectors"), dim, kind
 

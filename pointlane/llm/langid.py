@@ -17,7 +17,7 @@ Training reads a bounded sample: ``sample_docs`` texts of each language
 scoring reads every whole text.
 
 Defined cases: null text, or one without a letter: ``und`` with score 0; an
-empty training set raises ValueError; null or repeated ids and further columns
+empty training set makes every text ``und`` and rejects none; null or repeated ids and further columns
 are passed through untouched; ties go to the smaller language name.
 """
 
@@ -98,7 +98,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_do
         .toPandas()
     )
     if counts.empty:
-        raise ValueError("no labelled text to learn languages from")
+        return PpmModel([], np.zeros(256, np.int64), *[np.zeros((1, 0), np.float32)] * 2, np.full(16, -1, np.int64), np.zeros(16, np.int32), np.zeros((0, 0), np.float32), 60)
     return freeze(counts["lang"].to_numpy(), counts["gram"].to_numpy(np.int64), counts["n"].to_numpy(np.float64))
 
 
@@ -202,6 +202,11 @@ def _predict(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBat
         texts = batch.column(batch.num_columns - 1)
         for at, to in slices(texts, 8 * SLICE):
             part = _lowered(texts.slice(at, to - at))
+            if not model.langs:
+                names += [UND] * len(part)
+                scores += [0.0] * len(part)
+                rates += [None] * len(part)
+                continue
             bits, sizes = code_lengths(model, part)
             best = bits.argmin(1)
             gap = bits - bits.min(1, keepdims=True)
@@ -246,8 +251,11 @@ def accept(docs: DataFrame, max_bits: float = MAX_BITS, **bounds) -> DataFrame:
 
     Rejected: ``und``, and texts that cost more than ``max_bits`` bits a byte
     under every language, as no prose of a learned language does. With no
-    labelled text at all nothing can be judged but ``und``.
+    labelled text at all nothing can be judged, and all rows stay.
     """
     names = docs.columns
-    judged = predict(docs, train(docs.where(~held_out()), **bounds))
+    model = train(docs.where(~held_out()), **bounds)
+    if not model.langs:
+        return docs
+    judged = predict(docs, model)
     return judged.where((F.col("lang_pred") != UND) & (F.col("bits_per_byte") <= max_bits)).select(*names)

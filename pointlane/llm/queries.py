@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, embedding_dedup, langid, minhash, mixing, sharding, toxicity, warc
+from . import ann, bpe, embedding_dedup, langid, lines, minhash, mixing, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -134,3 +134,30 @@ x AS (SELECT p.sid, place, size, unnest(range(CAST(place // k AS BIGINT), CAST((
 taken AS (SELECT x.sid, x.place, sum((least(place + size, (block + 1) * k) - greatest(place, block * k)) * times) AS taken FROM x JOIN times USING (sid, block) GROUP BY ALL)
 SELECT doc_id, size, source_size, target, CAST(coalesce(CASE WHEN size > 0 THEN taken END, 0) AS BIGINT) AS taken FROM p LEFT JOIN taken ON p.sid = taken.sid AND p.place = taken.place
 """
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.deduplicate(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
+
+
+ORACLES["op7_line_dedup"] = """
+WITH li AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents),
+m AS (SELECT *, string_split(masked, ' ') AS tok FROM (SELECT doc_id, text, line, line_no,
+    regexp_replace(trim(regexp_replace(lower(line), '[\\x20\\x09-\\x0D]+', ' ', 'g')), '[^ 0-9]*[0-9][^ ]*', '<*>', 'g') AS masked FROM li)),
+o AS (SELECT *, tok[1:3] AS lead, len(tok) AS n FROM m WHERE len(tok) >= 3),
+shared AS (SELECT n, lead FROM o GROUP BY n, lead HAVING count(DISTINCT text) >= 4),
+f AS (SELECT n, lead, masked, any_value(tok) AS tok, count(DISTINCT text) AS support FROM o JOIN shared USING (n, lead) GROUP BY n, lead, masked),
+t AS (SELECT n, lead, masked, support, unnest(tok) AS token, generate_subscripts(tok, 1) AS pos FROM f),
+common AS (SELECT n, lead, pos, token FROM t GROUP BY n, lead, pos, token HAVING sum(support) >= 4),
+fx AS (SELECT t.n, t.lead, t.masked, count(c.token) AS fixed, list(CASE WHEN c.token IS NULL THEN '<*>' ELSE t.token END ORDER BY t.pos) AS pattern,
+    list(c.token IS NOT NULL ORDER BY t.pos) AS marks FROM t LEFT JOIN common c USING (n, lead, pos, token) GROUP BY ALL),
+tm AS (SELECT n, lead, masked, CASE WHEN fixed >= 0.6 * n THEN pattern::VARCHAR || marks::VARCHAR ELSE masked END AS template FROM fx),
+mk AS (SELECT o.doc_id, o.text, o.line_no, tm.template, o.n, o.lead FROM o JOIN tm USING (n, lead, masked)),
+rec AS (SELECT n, lead, template, min({'d': doc_id, 'l': line_no}) AS first FROM mk GROUP BY n, lead, template HAVING count(DISTINCT text) >= 4),
+dr AS (SELECT DISTINCT mk.doc_id, mk.text, mk.line_no FROM mk JOIN rec USING (n, lead, template) WHERE NOT (mk.doc_id = rec.first.d AND mk.line_no = rec.first.l)),
+kept AS (SELECT li.doc_id, li.text, string_agg(li.line, chr(10) ORDER BY li.line_no) FILTER (dr.line_no IS NULL) AS new_text, count(*) AS n_lines, count(dr.line_no) AS n_dropped
+  FROM li LEFT JOIN dr ON li.doc_id = dr.doc_id AND li.text = dr.text AND li.line_no = dr.line_no GROUP BY li.doc_id, li.text)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.new_text, '') END AS text, CAST(coalesce(k.n_lines, 0) AS INTEGER) AS n_lines, CAST(coalesce(k.n_dropped, 0) AS INTEGER) AS n_dropped
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id AND d.text = k.text
+"""
