@@ -67,7 +67,7 @@ def _records(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[pa
             name = hashlib.md5(f"{page}|{row}".encode()).hexdigest()
             record_id = f"<urn:uuid:{name[:8]}-{name[8:12]}-{name[12:16]}-{name[16:20]}-{name[20:]}>"
             digest = f"sha1:{b32(hashlib.sha1(payload).digest())}"
-            common = [f"WARC-Target-URI: {' '.join(url.split())}"] * bool(url) + [f"X-Page-ID: {page}"] * (page is not None)
+            common = ([f"WARC-Target-URI: {' '.join(url.split())}"] if url else []) + [f"X-Page-ID: {page}"] * (page is not None)
             common += ["WARC-Date: 1970-01-01T00:00:00Z", f"WARC-Payload-Digest: {digest}"]
             if refers is not None:
                 lines = ["WARC-Type: revisit", f"WARC-Record-ID: {record_id}", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"X-Refers-To-Page: {refers}", f"X-Payload-Length: {len(payload)}", *common, "Content-Length: 0"]
