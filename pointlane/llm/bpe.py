@@ -18,6 +18,7 @@ words only cost time in proportion; further columns pass through untouched.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from collections.abc import Iterable, Iterator
@@ -37,8 +38,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 CHUNK = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
 #: Chunks that surely are one word, or one and its punctuation.
 PLAIN = re.compile(r"( ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u02AF]+)([.,;:!?]+)?")
-#: Bytes of text whose words are put into one trie, and words whose ids are kept between tries.
-TRIE_BYTES, CACHED_WORDS = 2 << 20, 250_000
+#: Bytes of text whose words are put into one trie; words whose ids, and token pairs whose fit, are kept between tries.
+TRIE_BYTES, CACHED_WORDS, CACHED_PAIRS = 2 << 20, 200_000, 400_000
 
 
 def byte_symbols() -> dict[str, int]:
@@ -127,6 +128,9 @@ class ByteBpe:
                 known = self.merged(self.bytes[before] + self.bytes[token]) == [self.bytes[before], self.bytes[token]]
             else:
                 known = self.fits(-1, token) and self.apart(before, token)
+            if len(self.stable) > CACHED_PAIRS:
+                self.stable.clear()
+                self.edges.clear()
             self.stable[before << 20 | token] = known
         return known
 
@@ -229,6 +233,19 @@ def _decode(batches: Iterator[pa.RecordBatch], spec) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], texts], names=[*batch.schema.names[:-1], "decoded"])
 
 
+def _digested(batches: Iterator[pa.RecordBatch], spec) -> Iterator[pa.RecordBatch]:
+    """Encode, then decode, one text at a time, in the same worker."""
+    bpe = None
+    for batch in batches:
+        bpe = bpe or ByteBpe(spec.value)
+        texts = batch.column(1)
+        for at, to in slices(texts, TRIE_BYTES):
+            ids = bpe.encode(texts.slice(at, to - at).to_pylist())
+            decoded = [hashlib.sha256(bpe.decode(x).encode()).hexdigest() for x in ids]
+            columns = [batch.column(0).slice(at, to - at), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()), pa.array(decoded, pa.string()), pa.array(ids, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"])
+
+
 def load(path: str) -> str:
     """The tokenizer file, read on the driver (a few MB) and broadcast."""
     with open(path, encoding="utf-8") as file:
@@ -256,6 +273,8 @@ def _mapped(docs: DataFrame, path: str, column: str, what, new: dict[str, str])
 
 def round_trip(docs: DataFrame, path: str, text: str = "text", ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, and the digests of the ids and of the text decoded from them; the ids too, if asked for."""
-    coded = decode(encode(docs.select("doc_id", F.col(text).alias("text")), path).drop("text"), path)
-    sha = lambda c: F.sha2(c, 256)
-    return coded.select("doc_id", "n_tokens", sha(F.col("ids")).alias("ids_sha256"), sha(F.col("decoded").cast("binary")).alias("decoded_sha256"), *(["ids"] if ids else []))
+    spec = docs.sparkSession.sparkContext.broadcast(load(path))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    out = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary"
+    coded = docs.select("doc_id", F.col(text).alias("text")).mapInArrow(lambda it: _digested(it, spec), out)
+    return coded if ids else coded.drop("ids")
