@@ -1,6 +1,361 @@
-"""Every query of the engine over the driver's tables, and its oracle."""
+"""Every query of the engine over the driver's tables, and its oracle in DuckDB's SQL.
+
+Objects of the events cloud (``object_id``) stand for tracks where a query
+starts from known tracks. Compared numbers are whole: results of floating
+steps are given in thousandths.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions.geometry import milli, range_corrected, row_index
+from ..operators import association, clustering, crop, evaluate, fusion, postprocess, reports, selection, tracking
+from ..sources.events import LANE, POINTS_SQL, points
+from . import pipeline
+from .config import Spec
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+OBS_SQL = """, obs AS (SELECT seq_id, object_id AS track_id, frame_index AS frame_id, min(frame_timestamp_ns) AS ts_ns, count(*) AS n_points,
+  avg(x) AS cx, avg(y) AS cy, avg(z) AS cz, min(x) AS min_x, min(y) AS min_y, min(z) AS min_z, max(x) AS max_x, max(y) AS max_y, max(z) AS max_z FROM lane GROUP BY ALL),
+obs2 AS (SELECT * FROM obs WHERE (frame_id * 7 + track_id * 3) % 5 <> 0)"""
+
+
+def m(sql: str) -> str:
+    """Thousandths in the oracle."""
+    return f"CAST(floor(({sql}) * 1000 + 0.5) AS BIGINT)"
+
+
+def query(oracle: str | None = None, ctes: str = ""):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if oracle is not None:
+            recursive = "RECURSIVE " if "UNION" in ctes else ""
+            ORACLES[f.__name__] = f"WITH {recursive}{POINTS_SQL}{OBS_SQL}{', ' + ctes if ctes else ''} {oracle}"
+        return f
+
+    return add
+
+
+def lane(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crop.lane_crop(points(spark, sf_dir), LANE)
+
+
+def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations of the objects in the lane."""
+    bounds = [f(a).alias(f"{n}_{a}") for n, f in (("min", F.min), ("max", F.max)) for a in "xyz"]
+    rows = lane(spark, sf_dir).groupBy("seq_id", F.col("object_id").alias("track_id"), F.col("frame_index").alias("frame_id"))
+    return rows.agg(F.min("frame_timestamp_ns").alias("ts_ns"), F.count("*").alias("n_points"), *[F.avg(F.col(a).cast("double")).alias(f"c{a}") for a in "xyz"], *bounds)
+
+
+def obs2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations with gaps."""
+    return obs(spark, sf_dir).where((F.col("frame_id") * 7 + F.col("track_id") * 3) % 5 != 0)
+
+
+def ages(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("seq_id", "track_id").agg((F.max("frame_id") - F.min("frame_id") + 1).alias("age"), F.count("*").alias("hit_count"), (29 - F.max("frame_id")).alias("missed"), (F.max("frame_id") < 27).alias("ended_by_missed"))
+
+
+def as_long(*names: str) -> list:
+    return [F.col(n).cast("long").alias(n) for n in names]
+
+
+# --- points ---------------------------------------------------------------
+
+
+@query(f"SELECT frame_index, CAST(floor(x / 250) AS BIGINT) AS vx, CAST(floor(y / 250) AS BIGINT) AS vy, CAST(floor(z / 250) AS BIGINT) AS vz, count(*) AS n, {m('avg(x)')} AS x, {m('avg(y)')} AS y, {m('avg(z)')} AS z FROM lane GROUP BY 1, 2, 3, 4")
+def lane_voxel_mean(spark, sf_dir):
+    rows = fusion.voxel_mean(lane(spark, sf_dir), ["frame_index"], 250)
+    return rows.select("frame_index", *as_long("vx", "vy", "vz"), "n", *[milli(F.col(a)).alias(a) for a in "xyz"])
+
+
+@query("SELECT frame_index, sensor_name, count(*) AS n, CAST(sum(x) AS BIGINT) AS sx, CAST(sum(y) AS BIGINT) AS sy, CAST(sum(z) AS BIGINT) AS sz FROM lane GROUP BY 1, 2")
+def lane_crop(spark, sf_dir):
+    return lane(spark, sf_dir).groupBy("frame_index", "sensor_name").agg(F.count("*").alias("n"), *[F.sum(a).alias(f"s{a}") for a in "xyz"])
+
+
+@query("SELECT frame_index, count(*) AS n, CAST(sum(point_id) AS BIGINT) AS ids FROM lane WHERE range BETWEEN 5000 AND 30000 AND row_index >= 9 GROUP BY 1")
+def sensor_crop(spark, sf_dir):
+    return crop.sensor_crop(points(spark, sf_dir), LANE, 5000, 30_000, 9).groupBy("frame_index").agg(F.count("*").alias("n"), F.sum("point_id").alias("ids"))
+
+
+@query("SELECT frame_index, count(*) AS n, count(DISTINCT sensor_name) AS sensors FROM (SELECT *, count(*) OVER (PARTITION BY frame_index) AS c FROM lane) WHERE c >= 330 GROUP BY 1")
+def frame_gate(spark, sf_dir):
+    return crop.frames_with_enough(lane(spark, sf_dir), 330).groupBy("frame_index").agg(F.count("*").alias("n"), F.countDistinct("sensor_name").alias("sensors"))
+
+
+@query("SELECT object_id, frame_index, count(*) AS n, count(v) FILTER (ok) AS lit FROM (SELECT *, bool_and(v IS NOT NULL) OVER (PARTITION BY object_id, frame_index) AS ok FROM (SELECT *, CASE WHEN point_id % 97 <> 0 THEN intensity END AS v FROM lane)) GROUP BY 1, 2")
+def optional_column_all_or_none(spark, sf_dir):
+    rows = lane(spark, sf_dir).withColumn("intensity", F.when(F.col("point_id") % 97 != 0, F.col("intensity")))
+    return crop.all_or_none(rows, "intensity", ["object_id", "frame_index"]).groupBy("object_id", "frame_index").agg(F.count("*").alias("n"), F.count("intensity").alias("lit"))
+
+
+@query("SELECT frame_index, frame_timestamp_ns, previous_ns FROM (SELECT *, lag(frame_timestamp_ns) OVER (ORDER BY frame_index) AS previous_ns FROM (SELECT DISTINCT frame_index, frame_timestamp_ns - CASE WHEN frame_index % 7 = 3 THEN 200000000000000 ELSE 0 END AS frame_timestamp_ns FROM points)) WHERE frame_timestamp_ns < previous_ns")
+def backwards_frames(spark, sf_dir):
+    late = F.when(F.col("frame_index") % 7 == 3, 200_000_000_000_000).otherwise(0)
+    frames = points(spark, sf_dir).select("seq_id", "frame_index", (F.col("frame_timestamp_ns") - late).alias("frame_timestamp_ns")).distinct()
+    return crop.backwards_frames(frames).drop("seq_id")
+
+
+LABELS = "labels0 AS (SELECT 's0' AS seq_id, object_id, frame_timestamp_ns AS timestamp_ns, frame_index, point_id AS row_id, point_id % 3 AS point_count FROM points WHERE (frame_index + object_id) % 3 <> 0), latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY object_id ORDER BY timestamp_ns DESC, frame_index DESC, row_id) AS rn FROM labels0 WHERE point_count > 0) WHERE rn = 1)"
+
+
+def label_rows(spark, sf_dir):
+    return points(spark, sf_dir).where((F.col("frame_index") + F.col("object_id")) % 3 != 0).select("seq_id", "object_id", F.col("frame_timestamp_ns").alias("timestamp_ns"), "frame_index", F.col("point_id").alias("row_id"), (F.col("point_id") % 3).alias("point_count"))
+
+
+@query("SELECT object_id, timestamp_ns, frame_index, row_id FROM latest", LABELS)
+def latest_object_labels(spark, sf_dir):
+    return crop.latest_labels(label_rows(spark, sf_dir)).select("object_id", "timestamp_ns", "frame_index", "row_id")
+
+
+@query("SELECT frame_index, row_index, col_index, count(*) AS n FROM (SELECT frame_index, CAST(list_position(g, list_min(g)) - 1 AS INTEGER) AS row_index, CAST(floor((atan2(y, x) + 3.141592653589793) / (2 * 3.141592653589793) * 64) % 64 AS INTEGER) AS col_index FROM (SELECT *, [abs(asin(z / range) - b) for b in [0.0::DOUBLE, 0.02, 0.04, 0.08, 0.16]] AS g FROM lane)) GROUP BY 1, 2, 3")
+def sensor_rows_and_columns(spark, sf_dir):
+    from ..functions.geometry import column_index
+
+    rows = lane(spark, sf_dir).withColumn("row_index", row_index([0.0, 0.02, 0.04, 0.08, 0.16])).withColumn("col_index", column_index(F.lit(64)))
+    return rows.groupBy("frame_index", "row_index", "col_index").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT sensor_name, object_id, {m('max(intensity * range * range / 1e6)')} AS top, {m('min(intensity * range * range / 1e6)')} AS low FROM lane GROUP BY 1, 2")
+def range_corrected_intensity(spark, sf_dir):
+    v = range_corrected(F.col("intensity"), F.col("range")) / 1e6
+    return lane(spark, sf_dir).groupBy("sensor_name", "object_id").agg(milli(F.max(v)).alias("top"), milli(F.min(v)).alias("low"))
+
+
+@query()
+def visual_subsample(spark, sf_dir):
+    return reports.visual_subsample(lane(spark, sf_dir), 50).select("frame_index", "point_id")
+
+
+@query(f"SELECT sensor_name, point_id, {m('greatest(0.0, least(1.0, (lg - low) / greatest(high - low, 1e-9)))')} AS gray FROM (SELECT *, ln(1 + greatest(intensity, 0)) AS lg FROM lane) JOIN (SELECT sensor_name, quantile_cont(ln(1 + greatest(intensity, 0)), 0.05) AS low, quantile_cont(ln(1 + greatest(intensity, 0)), 0.95) AS high FROM lane GROUP BY 1) USING (sensor_name)")
+def intensity_grayscale(spark, sf_dir):
+    return reports.grayscale(lane(spark, sf_dir), ["sensor_name"]).select("sensor_name", "point_id", milli(F.col("gray")).alias("gray"))
+
+
+# --- clusters -------------------------------------------------------------
+
+VOXEL_CC = """vox AS (SELECT DISTINCT frame_index AS f, CAST(floor(x / 250) AS BIGINT) AS a, CAST(floor(y / 250) AS BIGINT) AS b, CAST(floor(z / 250) AS BIGINT) AS c FROM lane),
+adj AS (SELECT v.f, v.a, v.b, v.c, w.a AS a2, w.b AS b2, w.c AS c2 FROM vox v JOIN vox w ON v.f = w.f AND abs(v.a - w.a) <= 1 AND abs(v.b - w.b) <= 1 AND abs(v.c - w.c) <= 1),
+reach AS (SELECT f, a, b, c, a AS a2, b AS b2, c AS c2 FROM vox UNION SELECT r.f, r.a, r.b, r.c, j.a2, j.b2, j.c2 FROM reach r JOIN adj j ON r.f = j.f AND r.a2 = j.a AND r.b2 = j.b AND r.c2 = j.c),
+root AS (SELECT f, a, b, c, min((a2, b2, c2)) AS root FROM reach GROUP BY ALL)"""
+
+
+@query("SELECT frame_index, count(*) AS n, min(point_id) AS least_id, max(point_id) AS most_id FROM lane JOIN root ON f = frame_index AND a = floor(x / 250) AND b = floor(y / 250) AND c = floor(z / 250) GROUP BY frame_index, root.root", VOXEL_CC)
+def voxel_components(spark, sf_dir):
+    rows = clustering.cluster_voxels(lane(spark, sf_dir), 250)
+    return rows.groupBy("frame_index", "label").agg(F.count("*").alias("n"), F.min("point_id").alias("least_id"), F.max("point_id").alias("most_id")).drop("label")
+
+
+@query()
+def dbscan_clusters(spark, sf_dir):
+    return clustering.cluster_dbscan(lane(spark, sf_dir), 700, 3).groupBy("frame_index", "label").agg(F.count("*").alias("n"))
+
+
+@query()
+def euclidean_clusters(spark, sf_dir):
+    return clustering.cluster_euclidean(lane(spark, sf_dir), 700).groupBy("frame_index", "label").agg(F.count("*").alias("n"))
+
+
+@query()
+def ground_removed_clusters(spark, sf_dir):
+    return clustering.cluster_ground_removed(lane(spark, sf_dir), 700, 3, distance=60, samples=40).groupBy("frame_index", "label").agg(F.count("*").alias("n"))
+
+
+@query()
+def hdbscan_clusters(spark, sf_dir):
+    return clustering.cluster_hdbscan(lane(spark, sf_dir), 8, 4).groupBy("frame_index", "label").agg(F.count("*").alias("n"))
+
+
+def by_object(spark, sf_dir):
+    return lane(spark, sf_dir).withColumn("label", F.col("object_id"))
+
+
+DET = "det AS (SELECT *, row_number() OVER (PARTITION BY frame_index ORDER BY label) AS detection_id FROM (SELECT frame_index, object_id AS label, count(*) AS point_count, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz, min(x) AS min_x, max(x) AS max_x, min(y) AS min_y, max(y) AS max_y FROM lane GROUP BY 1, 2) WHERE point_count BETWEEN 25 AND 45)"
+
+
+@query(f"SELECT frame_index, CAST(detection_id AS INTEGER) AS detection_id, point_count, {m('cx')} AS cx, {m('cy')} AS cy, {m('cz')} AS cz, min_x, max_y FROM det", DET)
+def detections(spark, sf_dir):
+    rows = clustering.detections(by_object(spark, sf_dir), 25, 45)
+    return rows.select("frame_index", "detection_id", "point_count", *[milli(F.col(f"c{a}")).alias(f"c{a}") for a in "xyz"], "min_x", "max_y")
+
+
+@query("SELECT frame_index, count(*) AS raw_clusters, count(*) FILTER (n BETWEEN 30 AND 40) AS accepted, count(*) FILTER (n < 30) AS rejected_small, count(*) FILTER (n > 40) AS rejected_large FROM (SELECT frame_index, object_id, count(*) AS n FROM lane GROUP BY 1, 2) GROUP BY 1")
+def cluster_size_gate(spark, sf_dir):
+    return clustering.cluster_metrics(by_object(spark, sf_dir), 30, 40).drop("seq_id")
+
+
+CELLS = "cells AS (SELECT frame_index, sensor_name, row_index, col_index, count(*) AS point_count, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz, avg(range) AS mean_range FROM lane GROUP BY 1, 2, 3, 4)"
+
+
+@query(f"SELECT frame_index, sensor_name, row_index, col_index, point_count, {m('cx')} AS cx, {m('cy')} AS cy, {m('cz')} AS cz FROM cells", CELLS)
+def sensor_cells(spark, sf_dir):
+    return clustering.sensor_cells(lane(spark, sf_dir)).select("frame_index", "sensor_name", "row_index", "col_index", "point_count", *[milli(F.col(c)).alias(c) for c in ("cx", "cy", "cz")])
+
+
+def cell_link_sql(factor: float, center: bool) -> str:
+    near = " AND (a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy) + (a.cz - b.cz) * (a.cz - b.cz) <= 300.0 * 300.0" if center else ""
+    return f"""{CELLS}, links AS (SELECT a.frame_index, a.sensor_name, a.row_index AS r1, a.col_index AS c1, b.row_index AS r2, b.col_index AS c2 FROM cells a JOIN cells b ON a.frame_index = b.frame_index AND a.sensor_name = b.sensor_name
+      AND abs(a.row_index - b.row_index) <= 1 AND abs(a.col_index - b.col_index) <= 1 AND (a.row_index, a.col_index) < (b.row_index, b.col_index)
+      AND abs(a.mean_range - b.mean_range) <= greatest(90.0 * {factor}, least(a.mean_range, b.mean_range) * 0.004 * {factor}){near})"""
+
+
+def links_of(spark, sf_dir, rule):
+    cells = clustering.sensor_cells(lane(spark, sf_dir))
+    return cells, clustering.cell_links(cells, rule, 90.0, 0.004, 300.0)
+
+
+LINK_OUT = "SELECT frame_index, sensor_name, count(*) AS links, CAST(sum(r1 * 100 + c1) AS BIGINT) AS firsts, CAST(sum(r2 * 100 + c2) AS BIGINT) AS seconds FROM links GROUP BY 1, 2"
+
+
+def link_sums(links):
+    code = lambda c: F.sum(F.col(f"{c}.row_index") * 100 + F.col(f"{c}.col_index"))
+    return links.groupBy("frame_index", "sensor_name").agg(F.count("*").alias("links"), code("a").alias("firsts"), code("b").alias("seconds"))
+
+
+@query(LINK_OUT, cell_link_sql(1.5, False))
+def range_image_connected_links(spark, sf_dir):
+    return link_sums(links_of(spark, sf_dir, "range_image_connected_components")[1])
+
+
+@query(LINK_OUT, cell_link_sql(1.0, False))
+def range_image_depth_jump_links(spark, sf_dir):
+    return link_sums(links_of(spark, sf_dir, "range_image_depth_jump")[1])
+
+
+@query(LINK_OUT, cell_link_sql(1.5, True))
+def beam_neighbor_links(spark, sf_dir):
+    return link_sums(links_of(spark, sf_dir, "beam_neighbor_region_growing")[1])
+
+
+@query(
+    "SELECT frame_index, sensor_name, CAST(sum(point_count) AS BIGINT) AS n, count(*) AS cells, min(row_index * 100 + col_index) AS least_cell FROM cells JOIN croot USING (frame_index, sensor_name, row_index, col_index) GROUP BY frame_index, sensor_name, root HAVING sum(point_count) >= 3",
+    cell_link_sql(1.0, False) + """, both_ways AS (SELECT * FROM links UNION ALL SELECT frame_index, sensor_name, r2, c2, r1, c1 FROM links),
+    creach AS (SELECT frame_index, sensor_name, row_index, col_index, row_index AS r, col_index AS c FROM cells UNION SELECT q.frame_index, q.sensor_name, q.row_index, q.col_index, l.r2, l.c2 FROM creach q JOIN both_ways l ON q.frame_index = l.frame_index AND q.sensor_name = l.sensor_name AND q.r = l.r1 AND q.c = l.c1),
+    croot AS (SELECT frame_index, sensor_name, row_index, col_index, min(r * 100 + c) AS root FROM creach GROUP BY 1, 2, 3, 4)""",
+)
+def sensor_cell_components(spark, sf_dir):
+    cells, links = links_of(spark, sf_dir, "range_image_depth_jump")
+    found = clustering.cell_components(cells, links, 3)
+    return found.groupBy("frame_index", "sensor_name", "component").agg(F.sum("point_count").alias("n"), F.count("*").alias("cells"), F.min(F.col("row_index") * 100 + F.col("col_index")).alias("least_cell")).drop("component")
+
+
+# --- association and tracking ---------------------------------------------
+
+
+def steps(spark, sf_dir):
+    rows = obs(spark, sf_dir).select(F.col("frame_id").alias("frame"), F.col("track_id").alias("id"), "cx", "cy", "cz", *[(F.col(f"max_{a}") - F.col(f"min_{a}")).cast("double").alias(f"e{a}") for a in "xyz"])
+    return rows, rows.withColumn("frame", F.col("frame") - 1)
+
+
+COST = """e AS (SELECT frame_id AS frame, track_id AS id, cx, cy, cz, max_x - min_x AS ex, max_y - min_y AS ey, max_z - min_z AS ez FROM obs),
+cost AS (SELECT a.frame, a.id AS left_id, b.id AS right_id, sqrt((a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy) + (a.cz - b.cz) * (a.cz - b.cz))
+  + 150.0 * (abs(a.ex - b.ex) / greatest(a.ex, b.ex, 0.001) + abs(a.ey - b.ey) / greatest(a.ey, b.ey, 0.001) + abs(a.ez - b.ez) / greatest(a.ez, b.ez, 0.001)) / 3 AS cost FROM e a JOIN e b ON a.frame = b.frame - 1)"""
+
+
+@query("SELECT frame, left_id, right_id, CAST(floor(cost + 0.5) AS BIGINT) AS cost FROM cost", COST)
+def cost_matrix(spark, sf_dir):
+    return association.cost_pairs(*steps(spark, sf_dir), ["frame"], 150.0).withColumn("cost", F.floor(F.col("cost") + 0.5))
+
+
+@query("SELECT frame, count(*) AS pairs, count(*) FILTER (left_id = right_id) AS own FROM cost WHERE cost <= 3400 GROUP BY 1", COST)
+def gated_pairs(spark, sf_dir):
+    rows = association.gated(association.cost_pairs(*steps(spark, sf_dir), ["frame"], 150.0), 3400.0)
+    return rows.groupBy("frame").agg(F.count("*").alias("pairs"), F.count_if(F.col("left_id") == F.col("right_id")).alias("own"))
+
+
+@query("SELECT track_id, frame_id FROM obs o WHERE NOT EXISTS (SELECT 1 FROM obs2 p WHERE p.track_id = o.track_id AND p.frame_id = o.frame_id)")
+def unmatched_observations(spark, sf_dir):
+    return association.unmatched(obs(spark, sf_dir), obs2(spark, sf_dir), ["track_id", "frame_id"]).select("track_id", "frame_id")
+
+
+@query(f"SELECT a.track_id AS a, b.track_id AS b, count(*) AS overlap, {m('count(*) / least(any_value(na.n), any_value(nb.n))')} AS ratio FROM obs2 a JOIN obs2 b ON a.frame_id = b.frame_id AND a.track_id < b.track_id JOIN (SELECT track_id, count(*) AS n FROM obs2 GROUP BY 1) na ON na.track_id = a.track_id JOIN (SELECT track_id, count(*) AS n FROM obs2 GROUP BY 1) nb ON nb.track_id = b.track_id GROUP BY 1, 2")
+def frame_overlap(spark, sf_dir):
+    return association.frame_overlap(obs2(spark, sf_dir)).select("a", "b", "overlap", milli(F.col("ratio")).alias("ratio"))
+
+
+def tracklets(spark, sf_dir):
+    rows = obs(spark, sf_dir).where("frame_id % 6 < 4")
+    return rows.withColumn("track_id", (F.col("track_id") * 10 + F.floor(F.col("frame_id") / 6)).cast("int"))
+
+
+TRACKLETS = "tl AS (SELECT *, track_id * 10 + frame_id // 6 AS t FROM obs WHERE frame_id % 6 < 4), ends AS (SELECT t, min(frame_id) AS first, max(frame_id) AS last, arg_min([cx, cy, cz], frame_id) AS head, arg_max([cx, cy, cz], frame_id) AS tail FROM tl GROUP BY 1)"
+
+
+@query("SELECT CAST(a.t AS INTEGER) AS a, CAST(b.t AS INTEGER) AS b FROM ends a JOIN ends b ON b.first - a.last BETWEEN 1 AND 3 AND list_distance(a.tail, b.head) <= 4300", TRACKLETS)
+def gap_pairs(spark, sf_dir):
+    return association.gap_pairs(tracklets(spark, sf_dir), 3, 4300).select("a", "b")
+
+
+@query("SELECT CAST(t AS INTEGER) AS track_id, CAST(t // 10 * 10 AS INTEGER) AS new_id FROM ends", TRACKLETS)
+def tracklet_stitching(spark, sf_dir):
+    rows = tracklets(spark, sf_dir)
+    return postprocess.stitch(rows, association.gap_pairs(rows, 3, 4300)).select("track_id", "new_id")
+
+
+MM = {"max_dist": 3400.0, "sticky_extra_dist_per_missed": 550.0, "sticky_max_dist": 6200.0, "kf_init_var": 5e6, "kf_process_var": 8e4, "kf_meas_var": 6e5, "association_size_weight": 150.0}
+
+
+def tracked(spark, sf_dir, algorithm):
+    found = clustering.detections(by_object(spark, sf_dir), 1, 100_000)
+    return found, tracking.track(found, tracking.TrackerConfig(algorithm, **MM))
+
+
+def members(spark, sf_dir, algorithm):
+    """Tracks and the one object each follows."""
+    found, states = tracked(spark, sf_dir, algorithm)
+    seen = states.where("detection_id IS NOT NULL").join(found.select(F.col("frame_index").alias("frame_id"), "detection_id", "label"), ["frame_id", "detection_id"])
+    rows = seen.groupBy("track_id").agg(F.min("label").alias("object_id"), F.countDistinct("label").alias("objects"), F.count("*").alias("hits"), F.min("frame_id").alias("first_frame"), F.max("frame_id").alias("last_frame"))
+    return rows.drop("track_id")
+
+
+MEMBERS = "SELECT track_id AS object_id, 1::BIGINT AS objects, count(*) AS hits, min(frame_id) AS first_frame, max(frame_id) AS last_frame FROM obs GROUP BY 1"
+
+
+@query(MEMBERS)
+def tracker_kalman_nn(spark, sf_dir):
+    return members(spark, sf_dir, "kalman_nn")
+
+
+@query(MEMBERS)
+def tracker_hungarian_kalman(spark, sf_dir):
+    return members(spark, sf_dir, "hungarian_kalman")
+
+
+@query(MEMBERS)
+def tracker_euclidean_nn(spark, sf_dir):
+    return members(spark, sf_dir, "euclidean_nn")
+
+
+@query("SELECT frame_id, count(*) FILTER (frame_id > 0) AS matched, 0::BIGINT AS missed, count(*) FILTER (frame_id = 0) AS spawned, 0::BIGINT AS suppressed FROM obs GROUP BY 1")
+def frame_tracker_metrics(spark, sf_dir):
+    return tracking.frame_metrics(tracked(spark, sf_dir, "euclidean_nn")[1]).drop("seq_id")
+
+
+@query(f"SELECT frame_id, {m('cx')} AS cx, {m('cy')} AS cy, {m('cz')} AS cz FROM (SELECT *, max(frame_id) OVER (PARTITION BY track_id) AS last FROM obs) WHERE frame_id = last")
+def last_active_state(spark, sf_dir):
+    return tracking.last_active(tracked(spark, sf_dir, "euclidean_nn")[1]).select("frame_id", *[milli(F.col(c)).alias(c) for c in ("cx", "cy", "cz")])
+
+
+@query("SELECT count(*) AS hit_count, count(*) AS age, 0 AS missed, 1::BIGINT AS spawned_count, count(*) - 1 AS matched_count, 0::BIGINT AS missed_count FROM obs GROUP BY track_id")
+def track_summary(spark, sf_dir):
+    rows = tracking.tracks(tracked(spark, sf_dir, "euclidean_nn")[1])
+    return rows.select("hit_count", F.col("age").cast("long").alias("age"), "missed", "spawned_count", "matched_count", "missed_count")
+
+
+@query(
+    "SELECT track_id, CAST(floor(x + 0.5) AS BIGINT) AS x, CAST(floor(v + 0.5) AS BIGINT) AS v FROM kf WHERE (track_id, k) IN (SELECT track_id, max(k) FROM seqd GROUP BY 1)",
+    """seqd AS (SELECT track_id, frame_id, cy AS z, row_number() OVER (PARTITION BY track_id ORDER BY frame_id) AS k FROM obs),
+kf AS (SELECT track_id, k, z AS x, 0.0::DOUBLE AS v, 5e6::DOUBLE AS a, 0.0::DOUBLE AS b, 5e6::DOUBLE AS c FROM seqd WHERE k = 1
+ UNION ALL SELECT s.track_id, s.k, p.px + p.pa / (p.pa + 6e5) * (s.z - p.px), p.v + p.pb / (p.pa + 6e5) * (s.z - p.px), (1 - p.pa / (p.pa + 6e5)) * p.pa, (1 - p.pa / (p.pa + 6e5)) * p.pb, p.pc - p.pb * p.pb / (p.pa + 6e5)
+ FROM (SELECT track_id, k, x + v AS px, v, a + 2 * b + c + 8e4 AS pa, b + c AS pb, c + 8e4 AS pc FROM kf) p JOIN seqd s ON s.track_id = p.track_id AND s.k = p.k + 1)""",
+)
+def kalman_fold(spark, sf_dir):
+    rows = tracking.kalman_fold(obs(spark, sf_dir), 5e6, 8e4, 6e5)
+    return rows.select("track_id", F.floor(F.col("x") + 0.5).alias("x"), F.floor(F.col("v") + 0.5).alias("v"))
