@@ -1,8 +1,8 @@
 """Line deduplication by a fixed-depth tree of line templates; DataFrame operations only.
 
-A line is parsed like a log message. Tokens with a digit become ``<*>``, case
-is folded, and the line falls to the leaf given by its number of tokens and its
-leading ``depth`` tokens. In a leaf, a position of the distinct lines keeps its
+A line is parsed like a log message. Tokens with a digit become ``<*>``, and
+the line falls to the leaf given by its number of tokens and its leading
+``depth`` tokens. In a leaf, a position of the distinct lines keeps its
 token if the token's support there (the number of texts that hold a line with
 it) is at least ``min_texts``, and becomes ``<*>`` otherwise; so fields that
 vary are generalised. A line whose share of kept positions is below ``similar``
@@ -34,9 +34,16 @@ DEPTH, MIN_TEXTS, MIN_TOKENS, SIMILAR = 3, 4, 3, 0.6
 
 
 def _tokens(line):
-    """The line with tokens one space apart, lower-cased, those with a digit masked."""
-    flat = F.trim(F.regexp_replace(F.lower(line), r"[\x20\x09-\x0D]+", " "))
-    return F.regexp_replace(flat, r"[^ 0-9]*[0-9][^ ]*", "<*>")
+    """The line with tokens one space apart, those with a digit masked.
+
+    Most lines need neither step; substring searches find them without decoding the text.
+    """
+    loose = line.startswith(" ") | line.endswith(" ")
+    for odd in ("  ", "\t", "\r", "\v", "\f"):
+        loose |= F.contains(line, F.lit(odd))
+    flat = F.when(loose, F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(line)
+    # A token is matched from its start only, so a line is read once.
+    return F.when(flat.rlike("[0-9]"), F.regexp_replace(flat, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", "<*>")).otherwise(flat)
 
 
 def occurrences(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS) -> DataFrame:
@@ -46,7 +53,7 @@ def occurrences(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKEN
     """
     rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     rows = rows.withColumn("masked", _tokens(F.col("line")))
-    n = F.length("masked") - F.length(F.replace(F.col("masked"), F.lit(" "), F.lit(""))) + 1
+    n = F.octet_length("masked") - F.octet_length(F.replace(F.col("masked"), F.lit(" "), F.lit(""))) + 1
     rows = rows.where((n >= min_tokens) & (F.col("masked") != ""))
     return rows.select("doc_id", "text_key", "line_no", "masked", F.xxhash64("masked").alias("form"), F.xxhash64(n, F.substring_index("masked", " ", depth)).alias("leaf"))
 

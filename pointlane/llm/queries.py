@@ -144,7 +144,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op7_line_dedup"] = """
 WITH li AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents),
 m AS (SELECT *, string_split(masked, ' ') AS tok FROM (SELECT doc_id, text, line, line_no,
-    regexp_replace(trim(regexp_replace(lower(line), '[\\x20\\x09-\\x0D]+', ' ', 'g')), '[^ 0-9]*[0-9][^ ]*', '<*>', 'g') AS masked FROM li)),
+    regexp_replace(trim(regexp_replace(line, '[\\x20\\x09-\\x0D]+', ' ', 'g')), '[^ 0-9]*[0-9][^ ]*', '<*>', 'g') AS masked FROM li)),
 o AS (SELECT *, tok[1:3] AS lead, len(tok) AS n FROM m WHERE len(tok) >= 3),
 shared AS (SELECT n, lead FROM o GROUP BY n, lead HAVING count(DISTINCT text) >= 4),
 f AS (SELECT n, lead, masked, any_value(tok) AS tok, count(DISTINCT text) AS support FROM o JOIN shared USING (n, lead) GROUP BY n, lead, masked),
