@@ -97,5 +97,5 @@ def uniform_row_index(low: float, high: float, rows: int) -> Column:
 
 
 def milli(c: Column) -> Column:
-    """Thousandths as a long, halves up: how results of floating-point steps are compared."""
-    return F.floor(c * 1000 + 0.5).cast("long")
+    """Thousandths as a long, from just below a half up (sums differ in their last bits): how results of floating-point steps are compared."""
+    return F.floor(c * 1000 + 0.500001).cast("long")

@@ -15,17 +15,23 @@ from pyspark.sql import functions as F
 from ..functions.geometry import AXES
 
 TRACK = ["seq_id", "track_id"]
-_ORDER = Window.partitionBy(*TRACK).orderBy("frame_id")
-_ALL = Window.partitionBy(*TRACK)
+
+
+def _order():
+    return Window.partitionBy(*TRACK).orderBy("frame_id")
+
+
+def _all():
+    return Window.partitionBy(*TRACK)
 
 
 def touch_index(observations: DataFrame, line: float, margin: float, axis: str = "y") -> DataFrame:
     """Adds obs_index (from 0) and touch_index: the first chunk whose span meets the line, else the first center there, else null."""
     margin = abs(margin)
-    rows = observations.withColumn("obs_index", F.row_number().over(_ORDER) - 1)
+    rows = observations.withColumn("obs_index", F.row_number().over(_order()) - 1)
     span = (F.col(f"min_{axis}") - margin <= line) & (F.col(f"max_{axis}") + margin >= line)
     center = F.abs(F.col(f"c{axis}") - line) <= margin
-    first = lambda c: F.min(F.when(c, F.col("obs_index"))).over(_ALL)
+    first = lambda c: F.min(F.when(c, F.col("obs_index"))).over(_all())
     return rows.withColumn("touch_index", F.coalesce(first(span), first(center)))
 
 
@@ -48,8 +54,8 @@ def keyframe_motion(observations: DataFrame, keep: int) -> DataFrame:
     one frame beyond them comes in; of equal motion the later frame goes first.
     """
     keep = max(1, keep)
-    gap = lambda other: F.sqrt(sum(((F.col(f"c{a}") - other(f"c{a}").over(_ORDER)) * (F.col(f"c{a}") - other(f"c{a}").over(_ORDER)) for a in AXES), F.lit(0.0)))
-    rows = observations.withColumn("obs_index", F.row_number().over(_ORDER) - 1).withColumn("n", F.count("*").over(_ALL))
+    gap = lambda other: F.sqrt(sum(((F.col(f"c{a}") - other(f"c{a}").over(_order())) * (F.col(f"c{a}") - other(f"c{a}").over(_order())) for a in AXES), F.lit(0.0)))
+    rows = observations.withColumn("obs_index", F.row_number().over(_order()) - 1).withColumn("n", F.count("*").over(_all()))
     rows = rows.withColumn("motion", F.coalesce(gap(F.lag), F.lit(0.0)) + F.coalesce(gap(F.lead), F.lit(0.0)))
     end = (F.col("obs_index") == 0) | (F.col("obs_index") == F.col("n") - 1)
     rank = Window.partitionBy(*TRACK).orderBy(F.desc("motion"), F.desc("obs_index"))
@@ -62,7 +68,7 @@ def keyframe_motion(observations: DataFrame, keep: int) -> DataFrame:
 
 def tail_candidates(observations: DataFrame, axis: str = "y") -> DataFrame:
     """Per track the two chunks that reach furthest behind their center against the direction of motion."""
-    direction = F.when(F.max_by(f"c{axis}", "frame_id").over(_ALL) - F.min_by(f"c{axis}", "frame_id").over(_ALL) < -1e-6, -1).otherwise(1)
+    direction = F.when(F.max_by(f"c{axis}", "frame_id").over(_all()) - F.min_by(f"c{axis}", "frame_id").over(_all()) < -1e-6, -1).otherwise(1)
     rows = observations.withColumn("direction", direction)
     rear = F.when(F.col("direction") > 0, F.col(f"c{axis}") - F.col(f"min_{axis}")).otherwise(F.col(f"max_{axis}") - F.col(f"c{axis}"))
     ratio = rear / F.greatest(F.col(f"max_{axis}") - F.col(f"min_{axis}"), F.lit(1e-6))
@@ -72,7 +78,7 @@ def tail_candidates(observations: DataFrame, axis: str = "y") -> DataFrame:
 
 def coverage_bins(observations: DataFrame, bins: int = 3, axis: str = "y") -> DataFrame:
     """The densest chunk of each of ``bins`` even bins over the range of the track's centers."""
-    low, high = F.min(f"c{axis}").over(_ALL), F.max(f"c{axis}").over(_ALL)
+    low, high = F.min(f"c{axis}").over(_all()), F.max(f"c{axis}").over(_all())
     share = (F.col(f"c{axis}") - low) / F.greatest(high - low, F.lit(1e-6))
     rows = observations.withColumn("bin", F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int"))
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*TRACK, "bin").orderBy(F.desc("n_points"), "frame_id"))).where("rank = 1").drop("rank")
@@ -82,9 +88,9 @@ def shape_consistent(observations: DataFrame, ratio: float) -> DataFrame:
     """Chunks whose extent norm is within median / ratio and median * ratio; else the largest one alone."""
     norm = F.sqrt(sum(((F.col(f"max_{a}") - F.col(f"min_{a}")).cast("double") * (F.col(f"max_{a}") - F.col(f"min_{a}")) for a in AXES), F.lit(0.0)))
     rows = observations.withColumn("norm", norm)
-    rows = rows.withColumn("median", F.percentile("norm", F.lit(0.5)).over(_ALL))
+    rows = rows.withColumn("median", F.percentile("norm", F.lit(0.5)).over(_all()))
     ok = (F.col("median") <= 1e-6) | F.col("norm").between(F.col("median") / ratio, F.col("median") * ratio)
-    rows = rows.withColumn("ok", ok).withColumn("any_ok", F.bool_or("ok").over(_ALL)).withColumn("first_top", F.row_number().over(Window.partitionBy(*TRACK).orderBy(F.desc("norm"), "frame_id")))
+    rows = rows.withColumn("ok", ok).withColumn("any_ok", F.bool_or("ok").over(_all())).withColumn("first_top", F.row_number().over(Window.partitionBy(*TRACK).orderBy(F.desc("norm"), "frame_id")))
     return rows.where("ok OR (NOT any_ok AND first_top = 1)").drop("ok", "any_ok", "first_top", "median")
 
 
@@ -96,15 +102,15 @@ def quality_window(observations: DataFrame, points_ratio: float = 0.4, extent_ra
     score the longest, then by mean points, then the earlier.
     """
     norm = F.sqrt(sum(((F.col(f"max_{a}") - F.col(f"min_{a}")).cast("double") * (F.col(f"max_{a}") - F.col(f"min_{a}")) for a in AXES), F.lit(0.0)))
-    rows = observations.withColumns({"norm": norm, "obs_index": F.row_number().over(_ORDER) - 1, "n": F.count("*").over(_ALL)})
-    rows = rows.withColumns({"p": F.col("n_points") / F.greatest(F.max("n_points").over(_ALL), F.lit(1)), "e": F.col("norm") / F.greatest(F.max("norm").over(_ALL), F.lit(1e-6))})
+    rows = observations.withColumns({"norm": norm, "obs_index": F.row_number().over(_order()) - 1, "n": F.count("*").over(_all())})
+    rows = rows.withColumns({"p": F.col("n_points") / F.greatest(F.max("n_points").over(_all()), F.lit(1)), "e": F.col("norm") / F.greatest(F.max("norm").over(_all()), F.lit(1e-6))})
     rows = rows.withColumns({"good": (F.col("p") >= points_ratio) & (F.col("e") >= extent_ratio), "score": 0.6 * F.col("p") + 0.4 * F.col("e")})
-    rows = rows.withColumn("run", F.sum(F.when(F.col("good") == F.lag("good").over(_ORDER), 0).otherwise(1)).over(_ORDER))
+    rows = rows.withColumn("run", F.sum(F.when(F.col("good") == F.lag("good").over(_order()), 0).otherwise(1)).over(_order()))
     run = Window.partitionBy(*TRACK, "run")
     rows = rows.withColumns({"run_top": F.max("score").over(run), "run_n": F.count("*").over(run), "run_points": F.avg("n_points").over(run), "run_start": F.min("obs_index").over(run)})
     key = F.struct("run_top", "run_n", "run_points", (-F.col("run_start")).alias("early"), "run")
-    rows = rows.withColumn("best", F.max(F.when(F.col("good"), key)).over(_ALL))
-    rows = rows.withColumn("peak", F.max(F.struct("score", (-F.col("obs_index")).alias("early"))).over(_ALL))
+    rows = rows.withColumn("best", F.max(F.when(F.col("good"), key)).over(_all()))
+    rows = rows.withColumn("peak", F.max(F.struct("score", (-F.col("obs_index")).alias("early"))).over(_all()))
     size = F.least(F.col("n"), F.lit(least))
     start = F.greatest(F.lit(0), F.least(-F.col("peak.early") - F.floor(size / 2), F.col("n") - size))
     usable = F.col("best").isNotNull() & (F.col("best.run_n") >= least)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import milli, range_corrected, row_index
@@ -28,7 +28,7 @@ obs2 AS (SELECT * FROM obs WHERE (frame_id * 7 + track_id * 3) % 5 <> 0)"""
 
 def m(sql: str) -> str:
     """Thousandths in the oracle."""
-    return f"CAST(floor(({sql}) * 1000 + 0.5) AS BIGINT)"
+    return f"CAST(floor(({sql}) * 1000 + 0.500001) AS BIGINT)"
 
 
 def query(oracle: str | None = None, ctes: str = ""):
@@ -359,3 +359,506 @@ kf AS (SELECT track_id, k, z AS x, 0.0::DOUBLE AS v, 5e6::DOUBLE AS a, 0.0::DOUB
 def kalman_fold(spark, sf_dir):
     rows = tracking.kalman_fold(obs(spark, sf_dir), 5e6, 8e4, 6e5)
     return rows.select("track_id", F.floor(F.col("x") + 0.5).alias("x"), F.floor(F.col("v") + 0.5).alias("v"))
+
+
+# --- tracks ---------------------------------------------------------------
+
+CV = lambda c: f"stddev_pop({c}) / greatest(avg({c}), 1.0)"
+QUALITY = f"""age AS (SELECT track_id, max(frame_id) - min(frame_id) + 1 AS age FROM obs2 GROUP BY 1),
+q0 AS (SELECT track_id, count(*) AS n, {CV('n_points')} AS pcv, {CV('max_y - min_y')} AS lcv, {CV('max_x - min_x')} AS wcv, {CV('max_z - min_z')} AS hcv, quantile_cont((max_y - min_y)::DOUBLE, 0.75) AS p75 FROM obs2 GROUP BY 1),
+qual AS (SELECT track_id, n, p75, 0.4 * least(1.0, n / greatest(age, 1)) + 0.3 * least(1.0, n / 20.0) + 0.2 * (1 / (1 + pcv + 0.5 * (wcv + hcv))) + 0.1 * (1 / (1 + lcv)) AS score FROM q0 JOIN age USING (track_id))"""
+
+
+@query(f"SELECT track_id, n AS observation_count, {m('score')} AS quality_score, {m('p75')} AS extent_p75, p75 >= 360 AS is_long_vehicle FROM qual", QUALITY)
+def track_quality_scoring(spark, sf_dir):
+    rows = obs2(spark, sf_dir)
+    out = postprocess.quality(rows, ages(rows), long_threshold=360)
+    return out.select("track_id", "observation_count", milli(F.col("quality_score")).alias("quality_score"), milli(F.col("longitudinal_extent_p75")).alias("extent_p75"), "is_long_vehicle")
+
+
+@query(f"SELECT track_id, frame_id, {m('avg(cx) OVER w')} AS cx, {m('avg(cy) OVER w')} AS cy, {m('avg(cz) OVER w')} AS cz FROM obs2 WINDOW w AS (PARTITION BY track_id ORDER BY frame_id ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)")
+def trajectory_smoothing(spark, sf_dir):
+    return postprocess.smooth(obs2(spark, sf_dir), 5).select("track_id", "frame_id", *[milli(F.col(c)).alias(c) for c in ("cx", "cy", "cz")])
+
+
+SHARED = "sh AS (SELECT a.track_id AS a, b.track_id AS b, a.frame_id, a.cx AS acx, a.cy AS acy, a.cz AS acz, b.cx AS bcx, b.cy AS bcy, b.cz AS bcz, a.min_y AS aminy, a.max_y AS amaxy, b.min_y AS bminy, b.max_y AS bmaxy FROM obs2 a JOIN obs2 b ON a.frame_id = b.frame_id AND a.track_id < b.track_id), cm AS (SELECT a, b, count(*) AS overlap, avg(abs(bcx - acx)) AS lat, max(abs(bcy - acy)) AS lmax, stddev_pop(bcy - acy) AS lstd, avg(abs(bcz - acz)) AS vert, quantile_cont(bcy - acy, 0.5) AS lmed FROM sh GROUP BY 1, 2)"
+
+
+@query(f"SELECT a, b, overlap, {m('lat')} AS lateral_mean, {m('lmax')} AS longitudinal_max, {m('lstd')} AS longitudinal_std, {m('vert')} AS vertical_mean, {m('lmed')} AS longitudinal_median FROM cm", SHARED)
+def co_moving_metrics(spark, sf_dir):
+    names = ("lateral_mean", "longitudinal_max", "longitudinal_std", "vertical_mean", "longitudinal_median")
+    return postprocess.co_moving_metrics(obs2(spark, sf_dir)).select("a", "b", "overlap", *[milli(F.col(c)).alias(c) for c in names])
+
+
+COUNTS = ", na AS (SELECT track_id, count(*) AS n FROM obs2 GROUP BY 1)"
+
+
+@query("SELECT a, b, overlap FROM cm JOIN na x ON x.track_id = a JOIN na y ON y.track_id = b WHERE overlap >= 5 AND overlap / least(x.n, y.n) >= 0.6 AND lat <= 6100 AND lmax <= 400 AND lstd <= 100 AND vert <= 6100", SHARED + COUNTS)
+def co_moving_pairs(spark, sf_dir):
+    return postprocess.co_moving_pairs(obs2(spark, sf_dir), 6100, 400, 5, 0.6).select("a", "b", "overlap")
+
+
+MOTION = "mo AS (SELECT track_id, CASE WHEN sum(step) < 0 THEN -1 ELSE 1 END AS direction, arg_max(cy, frame_id) - arg_min(cy, frame_id) AS displacement, regr_slope(min_y, frame_id) FILTER (back <= 8) AS s1, regr_slope(max_y, frame_id) FILTER (back <= 8) AS s2 FROM (SELECT *, cy - lag(cy) OVER (PARTITION BY track_id ORDER BY frame_id) AS step, row_number() OVER (PARTITION BY track_id ORDER BY frame_id DESC) AS back FROM obs2) GROUP BY 1)"
+
+
+@query(f"SELECT track_id, direction, {m('displacement')} AS displacement, {m('CASE WHEN direction > 0 THEN s1 ELSE s2 END')} AS rear_slope FROM mo", MOTION)
+def motion_similarity(spark, sf_dir):
+    return postprocess.motion(obs2(spark, sf_dir), last=8).select("track_id", "direction", milli(F.col("displacement")).alias("displacement"), milli(F.col("rear_slope")).alias("rear_slope"))
+
+
+ART = MOTION + ", " + SHARED + """, ah AS (SELECT sh.*, direction, (acy - bcy) * direction AS ahead, row_number() OVER (PARTITION BY a, b ORDER BY frame_id DESC) AS back FROM sh JOIN mo ON mo.track_id = a),
+gp AS (SELECT *, CASE WHEN ahead >= 0 THEN (CASE WHEN direction > 0 THEN aminy ELSE amaxy END) * direction - (CASE WHEN direction > 0 THEN bmaxy ELSE bminy END) * direction
+  ELSE (CASE WHEN direction > 0 THEN bminy ELSE bmaxy END) * direction - (CASE WHEN direction > 0 THEN amaxy ELSE aminy END) * direction END AS gap FROM ah),
+art AS (SELECT a, b, count(*) AS overlap, avg(abs(acx - bcx)) AS lateral_mean, avg(abs(acz - bcz)) AS vertical_mean, quantile_cont(ahead, 0.5) AS ahead_median, avg((ahead > 0)::INT) AS ahead_share, avg(gap) FILTER (back <= 5) AS gap_mean, stddev_pop(gap) FILTER (back <= 5) AS gap_std, min(gap) FILTER (back <= 5) AS gap_min,
+  quantile_cont((amaxy - aminy)::DOUBLE, 0.75) AS a_length, quantile_cont((bmaxy - bminy)::DOUBLE, 0.75) AS b_length FROM gp GROUP BY 1, 2)""" + COUNTS
+
+
+@query(f"SELECT a, b, overlap, {m('ahead_median')} AS ahead_median, {m('ahead_share')} AS ahead_share, {m('gap_mean')} AS gap_mean, {m('gap_std')} AS gap_std, gap_min, {m('a_length')} AS a_length FROM art", ART)
+def articulated_metrics(spark, sf_dir):
+    names = ("ahead_median", "ahead_share", "gap_mean", "gap_std")
+    return postprocess.articulated_metrics(obs2(spark, sf_dir)).select("a", "b", "overlap", *[milli(F.col(c)).alias(c) for c in names], "gap_min", milli(F.col("a_length")).alias("a_length"))
+
+
+@query(
+    """SELECT a, b, CASE WHEN overlap < 4 THEN 'overlap_frames' WHEN overlap / least(x.n, y.n) < 0.7 THEN 'overlap_ratio' WHEN lateral_mean > 4000 THEN 'lateral' WHEN vertical_mean > 20 THEN 'vertical'
+WHEN abs(ahead_median) < 5 OR greatest(ahead_share, 1 - ahead_share) < 0.9 THEN 'ordering' WHEN gap_mean > 2500 THEN 'gap_mean' WHEN gap_std > 60 THEN 'gap_std' WHEN gap_min < -750 THEN 'gap_negative' WHEN a_length + b_length + greatest(gap_mean, 0.0) < 500 THEN 'combined_length' ELSE 'linked' END AS reason
+FROM art JOIN na x ON x.track_id = a JOIN na y ON y.track_id = b""",
+    ART,
+)
+def articulated_decision(spark, sf_dir):
+    rows = obs2(spark, sf_dir)
+    n = rows.groupBy("seq_id", "track_id").agg(F.count("*").alias("n"))
+    out = postprocess.articulated_decision(postprocess.articulated_metrics(rows), n, 4, 0.7, 4000, 20, 2500, 60, 500)
+    # thresholds of ordering and negative gaps are in metres; here they are millimetres
+    ordering = (F.abs("ahead_median") < 5) | (F.greatest("ahead_share", 1 - F.col("ahead_share")) < 0.9)
+    early = F.col("reason").isin("overlap_frames", "overlap_ratio", "lateral", "vertical")
+    rest = F.when(ordering, "ordering").when(F.col("gap_mean") > 2500, "gap_mean").when(F.col("gap_std") > 60, "gap_std").when(F.col("gap_min") < -750, "gap_negative").when(F.col("a_length") + F.col("b_length") + F.greatest("gap_mean", F.lit(0.0)) < 500, "combined_length").otherwise("linked")
+    return out.select("a", "b", F.when(early, F.col("reason")).otherwise(rest).alias("reason"))
+
+
+@query("SELECT a, b, CASE WHEN ahead_median > 0.25 THEN a WHEN ahead_median < -0.25 THEN b WHEN a_length > b_length THEN a WHEN a_length < b_length THEN b WHEN p.n > q.n THEN a WHEN p.n < q.n THEN b ELSE least(a, b) END AS lead FROM art JOIN (SELECT track_id, sum(n_points) AS n FROM obs2 GROUP BY 1) p ON p.track_id = a JOIN (SELECT track_id, sum(n_points) AS n FROM obs2 GROUP BY 1) q ON q.track_id = b", ART)
+def lead_choice(spark, sf_dir):
+    return postprocess.lead_choice(obs2(spark, sf_dir)).select("a", "b", "lead")
+
+
+@query("SELECT a, b FROM cm JOIN (SELECT track_id, quantile_cont((max_y - min_y)::DOUBLE, 0.75) AS l FROM obs2 GROUP BY 1) x ON x.track_id = a JOIN (SELECT track_id, quantile_cont((max_y - min_y)::DOUBLE, 0.75) AS l FROM obs2 GROUP BY 1) y ON y.track_id = b WHERE greatest(x.l, y.l) >= 0.85 * 830 OR x.l + y.l + lmax >= 830", SHARED)
+def long_vehicle_candidates(spark, sf_dir):
+    return postprocess.long_candidates(obs2(spark, sf_dir), 830).select("a", "b")
+
+
+@query(f"SELECT track_id // 2 AS track_id, frame_id, CAST(sum(n_points) AS BIGINT) AS n_points, {m('sum(cy * n_points) / sum(n_points)')} AS cy, min(min_x) AS min_x, max(max_x) AS max_x, list_sort(list(track_id))::VARCHAR AS sources FROM obs2 GROUP BY 1, 2")
+def merge_tracks_by_frame(spark, sf_dir):
+    rows = obs2(spark, sf_dir)
+    mapping = rows.select("seq_id", "track_id").distinct().withColumn("new_id", F.floor(F.col("track_id") / 2).cast("int"))
+    out = postprocess.merge_by_frame(rows, mapping)
+    return out.select("track_id", "frame_id", "n_points", milli(F.col("cy")).alias("cy"), "min_x", "max_x", F.concat(F.lit("["), F.array_join("source_track_ids", ", "), F.lit("]")).alias("sources"))
+
+
+# --- selection ------------------------------------------------------------
+
+IDX = "ix AS (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY frame_id) - 1 AS i, count(*) OVER (PARTITION BY track_id) AS n FROM obs2)"
+
+
+def touch_sql(line: int) -> str:
+    return f"{IDX}, tc AS (SELECT *, coalesce(min(i) FILTER (min_y - 120 <= {line} AND max_y + 120 >= {line}) OVER (PARTITION BY track_id), min(i) FILTER (abs(cy - {line}) <= 120) OVER (PARTITION BY track_id)) AS touch FROM ix)"
+
+
+@query("SELECT track_id, frame_id FROM (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY frame_id DESC) AS back FROM tc WHERE touch IS NULL OR i <= touch) WHERE back <= 5", touch_sql(20000))
+def line_touch_last_k(spark, sf_dir):
+    return selection.line_touch_last_k(obs2(spark, sf_dir), 20_000, 120, 5).select("track_id", "frame_id")
+
+
+@query("SELECT track_id, count(*) AS kept, max(frame_id) AS last_frame FROM tc WHERE touch IS NULL OR i <= touch GROUP BY 1", touch_sql(15000))
+def lane_end_truncation(spark, sf_dir):
+    return selection.truncate_at_lane_end(obs2(spark, sf_dir), 15_000, 120).groupBy("track_id").agg(F.count("*").alias("kept"), F.max("frame_id").alias("last_frame"))
+
+
+@query(
+    "SELECT track_id, frame_id FROM r2 WHERE n <= 8 OR i = 0 OR i = n - 1 OR before < 8 OR rank = 1",
+    IDX + """, d AS (SELECT *, sqrt((cx - lag(cx) OVER w) * (cx - lag(cx) OVER w) + (cy - lag(cy) OVER w) * (cy - lag(cy) OVER w) + (cz - lag(cz) OVER w) * (cz - lag(cz) OVER w)) AS d1, sqrt((cx - lead(cx) OVER w) * (cx - lead(cx) OVER w) + (cy - lead(cy) OVER w) * (cy - lead(cy) OVER w) + (cz - lead(cz) OVER w) * (cz - lead(cz) OVER w)) AS d2 FROM ix WINDOW w AS (PARTITION BY track_id ORDER BY frame_id)),
+r2 AS (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY coalesce(d1, 0) + coalesce(d2, 0) DESC, i DESC) AS rank, 2 + coalesce(sum(CASE WHEN i = 0 OR i = n - 1 THEN 0 ELSE 1 END) OVER (PARTITION BY track_id ORDER BY coalesce(d1, 0) + coalesce(d2, 0) DESC, i DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d)""",
+)
+def keyframe_motion(spark, sf_dir):
+    return selection.keyframe_motion(obs2(spark, sf_dir), 8).select("track_id", "frame_id")
+
+
+@query(f"SELECT track_id, frame_id, {m('rr')} AS rear_ratio FROM (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY rr DESC, frame_id) AS rank FROM (SELECT o.*, CASE WHEN d > 0 THEN cy - min_y ELSE max_y - cy END / greatest(max_y - min_y, 1e-6) AS rr FROM obs2 o JOIN (SELECT track_id, CASE WHEN arg_max(cy, frame_id) - arg_min(cy, frame_id) < -1e-6 THEN -1 ELSE 1 END AS d FROM obs2 GROUP BY 1) USING (track_id))) WHERE rank <= 2")
+def tail_candidates(spark, sf_dir):
+    return selection.tail_candidates(obs2(spark, sf_dir)).select("track_id", "frame_id", milli(F.col("rear_ratio")).alias("rear_ratio"))
+
+
+@query("SELECT track_id, bin, frame_id FROM (SELECT *, row_number() OVER (PARTITION BY track_id, bin ORDER BY n_points DESC, frame_id) AS rank FROM (SELECT *, CAST(least(floor((cy - lo) / greatest(hi - lo, 1e-6) * 3), 2) AS INTEGER) AS bin FROM (SELECT *, min(cy) OVER (PARTITION BY track_id) AS lo, max(cy) OVER (PARTITION BY track_id) AS hi FROM obs2))) WHERE rank = 1")
+def coverage_bins(spark, sf_dir):
+    return selection.coverage_bins(obs2(spark, sf_dir)).select("track_id", "bin", "frame_id")
+
+
+NORM = "nm AS (SELECT *, sqrt((max_x - min_x)::DOUBLE * (max_x - min_x) + (max_y - min_y)::DOUBLE * (max_y - min_y) + (max_z - min_z)::DOUBLE * (max_z - min_z)) AS norm FROM ix)"
+
+
+@query("SELECT track_id, frame_id FROM (SELECT *, quantile_cont(norm, 0.5) OVER (PARTITION BY track_id) AS med FROM nm) WHERE norm BETWEEN med / 1.03 AND med * 1.03", f"{IDX}, {NORM}")
+def shape_consistency(spark, sf_dir):
+    return selection.shape_consistent(obs2(spark, sf_dir), 1.03).select("track_id", "frame_id")
+
+
+@query(
+    """SELECT track_id, frame_id FROM w5 WHERE CASE WHEN best IS NOT NULL AND best.n >= 3 THEN good AND run = best.run ELSE i BETWEEN st AND st + least(n, 3) - 1 END""",
+    f"""{IDX}, {NORM}, w1 AS (SELECT *, n_points / greatest(max(n_points) OVER t, 1) AS p, norm / greatest(max(norm) OVER t, 1e-6) AS e FROM nm WINDOW t AS (PARTITION BY track_id)),
+w2 AS (SELECT *, p >= 0.7 AND e >= 0.9 AS good, 0.6 * p + 0.4 * e AS score FROM w1),
+w3 AS (SELECT *, sum(CASE WHEN good = pg THEN 0 ELSE 1 END) OVER (PARTITION BY track_id ORDER BY i) AS run FROM (SELECT *, lag(good) OVER (PARTITION BY track_id ORDER BY i) AS pg FROM w2)),
+w4 AS (SELECT *, max(score) OVER r AS rt, count(*) OVER r AS rn, avg(n_points) OVER r AS rp, min(i) OVER r AS rs FROM w3 WINDOW r AS (PARTITION BY track_id, run)),
+w5 AS (SELECT *, greatest(0, least(-peak.early - floor(least(n, 3) / 2), n - least(n, 3))) AS st FROM (SELECT *, max(CASE WHEN good THEN {{'t': rt, 'n': rn, 'p': rp, 's': -rs, 'run': run}} END) OVER (PARTITION BY track_id) AS best, max({{'score': score, 'early': -i}}) OVER (PARTITION BY track_id) AS peak FROM w4))""",
+)
+def chunk_quality_window(spark, sf_dir):
+    return selection.quality_window(obs2(spark, sf_dir), 0.7, 0.9, 3).select("track_id", "frame_id")
+
+
+@query()
+def length_coverage(spark, sf_dir):
+    return selection.select(obs2(spark, sf_dir), "length_coverage").select("track_id", "frame_id")
+
+
+@query()
+def quality_coverage(spark, sf_dir):
+    return selection.select(obs2(spark, sf_dir), "quality_coverage").select("track_id", "frame_id")
+
+
+@query()
+def tail_coverage(spark, sf_dir):
+    return selection.select(obs2(spark, sf_dir), "tail_coverage", keep=4).select("track_id", "frame_id")
+
+
+@query()
+def center_diversity(spark, sf_dir):
+    return selection.select(obs2(spark, sf_dir), "center_diversity").select("track_id", "frame_id")
+
+
+# --- fusion ---------------------------------------------------------------
+
+
+def chunks(spark, sf_dir):
+    """Points of each object and frame, moved back to where the object was in the first frame."""
+    y = F.col("y") + 1200 * F.col("frame_index")
+    return lane(spark, sf_dir).select("seq_id", F.col("object_id").alias("track_id"), F.col("frame_index").alias("frame_id"), "x", y.alias("y"), "z", (F.col("point_id") % 256).cast("double").alias("intensity"))
+
+
+CHUNKS = "ch AS (SELECT seq_id, object_id AS track_id, frame_index AS frame_id, x, y + 1200 * frame_index AS y, z, CAST(point_id % 256 AS DOUBLE) AS intensity FROM lane), v1 AS (SELECT track_id, frame_id, floor(x / 100) AS vx, floor(y / 100) AS vy, floor(z / 100) AS vz, avg(x) AS x, avg(y) AS y, avg(z) AS z, avg(intensity) AS i FROM ch GROUP BY 1, 2, 3, 4, 5)"
+FUSED = CHUNKS + ", fu AS (SELECT track_id, vx, vy, vz, count(*) AS hits, avg(x) AS x, avg(y) AS y, avg(z) AS z, avg(i) AS intensity, count(*)::DOUBLE AS confidence FROM v1 GROUP BY 1, 2, 3, 4)"
+CLOUD_OUT = f"SELECT track_id, CAST(vx AS BIGINT) AS vx, CAST(vy AS BIGINT) AS vy, CAST(vz AS BIGINT) AS vz, hits, {m('x')} AS x, {m('y')} AS y, {m('z')} AS z, {m('intensity')} AS intensity, {m('confidence')} AS confidence FROM fu"
+
+
+def cloud_out(cloud: DataFrame) -> DataFrame:
+    return cloud.select("track_id", *as_long("vx", "vy", "vz"), "hits", *[milli(F.col(c)).alias(c) for c in ("x", "y", "z", "intensity", "confidence")])
+
+
+@query(CLOUD_OUT, FUSED)
+def voxel_fusion(spark, sf_dir):
+    return cloud_out(fusion.fuse(chunks(spark, sf_dir), 100))
+
+
+@query(CLOUD_OUT, CHUNKS + ", w AS (SELECT track_id, frame_id, n_points::DOUBLE AS w FROM obs), fu AS (SELECT track_id, vx, vy, vz, count(*) AS hits, sum(w * x) / sum(w) AS x, sum(w * y) / sum(w) AS y, sum(w * z) / sum(w) AS z, sum(w * i) / sum(w) AS intensity, sum(w) AS confidence FROM v1 JOIN w USING (track_id, frame_id) GROUP BY 1, 2, 3, 4)")
+def weighted_voxel_fusion(spark, sf_dir):
+    return cloud_out(fusion.fuse(chunks(spark, sf_dir), 100, fusion.chunk_weights(obs(spark, sf_dir), "point_count"), confidence="weight"))
+
+
+@query(CLOUD_OUT + " JOIN (SELECT track_id, count(DISTINCT frame_id) AS chunks FROM v1 GROUP BY 1) USING (track_id) WHERE hits >= greatest(1, ceil(0.35 * chunks))", FUSED)
+def occupancy_consensus_fusion(spark, sf_dir):
+    return cloud_out(fusion.fuse(chunks(spark, sf_dir), 100, consensus=0.35))
+
+
+@query(CLOUD_OUT + " WHERE hits >= 3", FUSED)
+def fusion_min_observations(spark, sf_dir):
+    return cloud_out(fusion.fuse(chunks(spark, sf_dir), 100, least_chunks=3))
+
+
+@query()
+def registration_voxel_fusion(spark, sf_dir):
+    from ..operators.registration import RegistrationConfig, register
+
+    moved = register(fusion.voxel_mean(chunks(spark, sf_dir), ["seq_id", "track_id", "frame_id"], 150), RegistrationConfig(max_corr_dist=950.0, max_iter=15, max_translation=3200.0, voxel=120.0))
+    return moved.groupBy("track_id", "registration").agg(F.count("*").alias("n"), F.countDistinct("frame_id").alias("frames"))
+
+
+REVOX = FUSED + ", rv AS (SELECT track_id, floor(x / 200) AS wx, floor(y / 200) AS wy, floor(z / 200) AS wz, avg(x) AS x, avg(y) AS y, avg(z) AS z, avg(intensity) AS intensity, sum(confidence) AS confidence FROM fu GROUP BY 1, 2, 3, 4)"
+
+
+def revox(spark, sf_dir):
+    return fusion.revoxelise(fusion.fuse(chunks(spark, sf_dir), 100), 200)
+
+
+@query(f"SELECT track_id, CAST(wx AS BIGINT) AS vx, CAST(wy AS BIGINT) AS vy, CAST(wz AS BIGINT) AS vz, {m('x')} AS x, {m('intensity')} AS intensity, {m('confidence')} AS confidence FROM rv", REVOX)
+def revoxelised_cloud(spark, sf_dir):
+    return revox(spark, sf_dir).select("track_id", *as_long("vx", "vy", "vz"), *[milli(F.col(c)).alias(c) for c in ("x", "intensity", "confidence")])
+
+
+@query(
+    f"SELECT track_id, {m('x')} AS x, {m('y')} AS y, {m('z')} AS z FROM (SELECT *, avg(d) OVER (PARTITION BY track_id) + 1.5 * stddev_pop(d) OVER (PARTITION BY track_id) AS lim, count(*) OVER (PARTITION BY track_id) AS n FROM kn) WHERE d <= lim OR n < 8",
+    REVOX + ", pr AS (SELECT a.track_id, a.x, a.y, a.z, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z)) AS d FROM rv a JOIN rv b ON a.track_id = b.track_id AND (a.wx, a.wy, a.wz) <> (b.wx, b.wy, b.wz)), kn AS (SELECT track_id, x, y, z, avg(d) AS d FROM (SELECT *, row_number() OVER (PARTITION BY track_id, x, y, z ORDER BY d) AS k FROM pr) WHERE k <= 6 GROUP BY 1, 2, 3, 4)",
+)
+def statistical_outlier_removal(spark, sf_dir):
+    return fusion.remove_outliers(revox(spark, sf_dir), 6, 1.5).select("track_id", *[milli(F.col(a)).alias(a) for a in "xyz"])
+
+
+@query(
+    f"SELECT track_id, {m('x')} AS x, {m('y')} AS y, {m('z')} AS z, {m('confidence')} AS confidence FROM c2 WHERE n <= 20 OR place <= 20",
+    REVOX + """, c1 AS (SELECT *, row_number() OVER (PARTITION BY track_id, bin ORDER BY confidence DESC, x, y, z) AS k, count(*) OVER (PARTITION BY track_id) AS n FROM (SELECT *, least(floor((y - lo) / greatest(hi - lo, 1e-9) * 8), 7) AS bin FROM (SELECT *, min(y) OVER (PARTITION BY track_id) AS lo, max(y) OVER (PARTITION BY track_id) AS hi FROM rv))),
+c2 AS (SELECT c1.*, row_number() OVER (PARTITION BY c1.track_id ORDER BY CASE WHEN k <= greatest(1, floor(20 / used)) THEN 0 ELSE 1 END, confidence DESC, x, y, z) AS place FROM c1 JOIN (SELECT track_id, count(DISTINCT bin) AS used FROM c1 GROUP BY 1) u ON u.track_id = c1.track_id)""",
+)
+def confidence_point_cap(spark, sf_dir):
+    return fusion.confidence_cap(revox(spark, sf_dir), 20, 8).select("track_id", *[milli(F.col(c)).alias(c) for c in ("x", "y", "z", "confidence")])
+
+
+PLANE = REVOX + """, pl0 AS (SELECT track_id, quantile_cont(x, 0.05) AS a, quantile_cont(x, 0.5) AS b, quantile_cont(x, 0.95) AS c FROM rv GROUP BY 1), pl1 AS (SELECT track_id, CASE WHEN abs((a + c) / 2 - b) >= 100 THEN (a + c) / 2 ELSE b END AS plane FROM pl0),
+pl AS (SELECT track_id, plane, count(*) FILTER (x - plane >= 0) AS plus, count(*) FILTER (x - plane < 0) AS minus, coalesce(avg(x - plane) FILTER (x - plane >= 0), 0) AS pf, coalesce(avg(plane - x) FILTER (x - plane < 0), 0) AS mf FROM rv JOIN pl1 USING (track_id) GROUP BY 1, 2)"""
+
+
+@query(f"SELECT track_id, {m('plane')} AS plane, plus, minus, CASE WHEN plus > minus OR (plus = minus AND pf >= mf) THEN 1 ELSE -1 END AS side FROM pl", PLANE)
+def symmetry_plane(spark, sf_dir):
+    return fusion.symmetry_plane(revox(spark, sf_dir), size=200).select("track_id", milli(F.col("plane")).alias("plane"), "plus", "minus", "side")
+
+
+@query(f"SELECT track_id, count(*) AS n, CAST(round(sum(confidence)) AS BIGINT) AS confidence FROM (SELECT track_id, x, y, z, confidence FROM kept UNION ALL SELECT track_id, 2 * plane - x, y, z, confidence FROM kept) GROUP BY 1", PLANE + ", kept AS (SELECT rv.*, plane FROM rv JOIN pl USING (track_id) WHERE (x - plane) * CASE WHEN plus > minus OR (plus = minus AND pf >= mf) THEN 1 ELSE -1 END >= 0)")
+def symmetry_completion(spark, sf_dir):
+    cloud = revox(spark, sf_dir)
+    plane = fusion.symmetry_plane(cloud, size=200)
+    kept = cloud.join(plane, ["seq_id", "track_id"]).where((F.col("x") - F.col("plane")) * F.col("side") >= 0)
+    total = fusion.complete_symmetry(cloud, 200).groupBy("track_id").agg(F.round(F.sum("confidence")).cast("long").alias("confidence"))
+    return kept.groupBy("track_id").agg((F.count("*") * 2).alias("n")).join(total, "track_id")
+
+
+@query("SELECT track_id, half, count(DISTINCT (floor(y / 200), floor(z / 200))) AS slices FROM (SELECT rv.*, CASE WHEN x >= plane THEN 1 ELSE -1 END AS half FROM rv JOIN pl USING (track_id)) GROUP BY 1, 2", PLANE)
+def symmetry_slices(spark, sf_dir):
+    return fusion.symmetry_slices(revox(spark, sf_dir), 200).select("track_id", "half", "slices")
+
+
+@query(f"SELECT track_id, count(*) AS n_points, {m('max(y) - min(y)')} AS length, {m('max(x) - min(x)')} AS width, {m('max(z) - min(z)')} AS height FROM rv GROUP BY 1", REVOX)
+def vehicle_dimensions(spark, sf_dir):
+    return fusion.dimensions(revox(spark, sf_dir)).select("track_id", "n_points", *[milli(F.col(c)).alias(c) for c in ("length", "width", "height")])
+
+
+PARTS = CHUNKS + ", pt AS (SELECT track_id, CAST(frame_id // 10 AS INTEGER) AS component, y + 400 * (frame_id // 10) AS y, x, z, intensity FROM ch), bp AS (SELECT track_id, component, min(y) AS low, max(y) AS high, avg(x) AS side, avg(z) AS up FROM pt GROUP BY 1, 2), nx AS (SELECT *, lead(low) OVER w AS nl, lead(side) OVER w AS ns, lead(up) OVER w AS nu FROM bp WINDOW w AS (PARTITION BY track_id ORDER BY low, component))"
+
+
+@query(f"SELECT track_id, {m('high + k / n * (nl - high)')} AS y, {m('side + k / n * (ns - side)')} AS x FROM (SELECT *, ceil((nl - high) / 10) AS n FROM nx WHERE nl - high > 0 AND nl - high <= 500 AND abs(ns - side) <= 200 AND abs(nu - up) <= 200), range(1, 60) r(k) WHERE k < n", PARTS)
+def tail_bridge(spark, sf_dir):
+    parts = chunks(spark, sf_dir).withColumn("component", F.floor(F.col("frame_id") / 10).cast("int")).withColumn("y", F.col("y") + 400 * F.col("component")).withColumn("confidence", F.lit(1.0))
+    return fusion.tail_bridge(parts, 500, 200, 200, 10).select("track_id", milli(F.col("y")).alias("y"), milli(F.col("x")).alias("x"))
+
+
+@query(
+    f"SELECT track_id, frame_id, {m('min(moved)')} AS low, {m('max(moved)')} AS high FROM (SELECT p.*, y - v * (ns - quantile_cont(ns, 0.5) OVER (PARTITION BY track_id, frame_id)) / 1e9 AS moved FROM (SELECT object_id AS track_id, frame_index AS frame_id, y, frame_timestamp_ns + point_id % 1000 * 1000000000 AS ns FROM lane) p JOIN sp USING (track_id, frame_id)) GROUP BY 1, 2",
+    "sp AS (SELECT track_id, frame_id, (coalesce(lead(cy) OVER w, cy) - coalesce(lag(cy) OVER w, cy)) / ((coalesce(lead(ts_ns) OVER w, ts_ns) - coalesce(lag(ts_ns) OVER w, ts_ns)) / 1e9) AS v FROM obs WINDOW w AS (PARTITION BY track_id ORDER BY frame_id))",
+)
+def motion_deskew(spark, sf_dir):
+    rows = lane(spark, sf_dir).select("seq_id", F.col("object_id").alias("track_id"), F.col("frame_index").alias("frame_id"), "x", "y", "z", (F.col("frame_timestamp_ns") + F.col("point_id") % 1000 * 1_000_000_000).alias("point_ns"))
+    out = fusion.deskew(rows, obs(spark, sf_dir), least_speed=0.0)
+    return out.groupBy("track_id", "frame_id").agg(milli(F.min("y")).alias("low"), milli(F.max("y")).alias("high"))
+
+
+LIFE = "life AS (SELECT track_id, max(frame_id) - min(frame_id) + 1 AS age, count(*) AS hit_count, 29 - max(frame_id) AS missed, max(frame_id) < 27 AS ended, arg_max(cy, frame_id) AS last_at FROM obs2 GROUP BY 1), ex AS (SELECT *, last_at <= 4000 + 2500 AND (ended OR missed > 0) AS exited FROM life)"
+
+
+@query("SELECT track_id, exited FROM ex", LIFE)
+def track_exit(spark, sf_dir):
+    rows = obs2(spark, sf_dir)
+    return fusion.exited(rows, ages(rows), 4000, 2500).select("track_id", "exited")
+
+
+@query(
+    "SELECT *, printf('track %04d: %s (%s), %d hits, %d points', track_id, status, stage, hit_count, n_points) AS summary FROM (SELECT track_id, hit_count, n_points, CASE WHEN hit_count < 24 THEN 'skipped_min_hits' WHEN NOT exited THEN 'skipped_track_exit' WHEN n_points < 60 THEN 'skipped_min_saved_points' WHEN score < 0.5 THEN 'skipped_quality_threshold' ELSE 'saved' END AS status, CASE WHEN hit_count < 24 OR NOT exited THEN 'gate' ELSE 'save' END AS stage FROM ex JOIN qual USING (track_id) JOIN (SELECT track_id, count(*) AS n_points FROM rv GROUP BY 1) USING (track_id))",
+    f"{LIFE}, {QUALITY}, {REVOX}",
+)
+def save_decision(spark, sf_dir):
+    return decided(spark, sf_dir).select("track_id", "hit_count", "n_points", "status", "stage", "summary")
+
+
+def decided(spark, sf_dir):
+    rows = obs2(spark, sf_dir)
+    tracks = fusion.exited(rows, ages(rows), 4000, 2500).join(postprocess.quality(rows, ages(rows)).select("seq_id", "track_id", "quality_score"), ["seq_id", "track_id"])
+    return fusion.decide(tracks, fusion.dimensions(revox(spark, sf_dir)), 24, 60, 0.5, True)
+
+
+@query(f"SELECT track_id, {m('max(y * direction) * any_value(direction)')} AS anchor_y, {m('quantile_cont(x, 0.5)')} AS anchor_x, {m('quantile_cont(z, 0.5)')} AS anchor_z FROM rv JOIN mo USING (track_id) GROUP BY 1", f"{REVOX}, {MOTION}")
+def front_anchor(spark, sf_dir):
+    out = fusion.front_anchor(revox(spark, sf_dir), postprocess.motion(obs2(spark, sf_dir)))
+    return out.select("track_id", *[milli(F.col(f"anchor_{a}")).alias(f"anchor_{a}") for a in "xyz"])
+
+
+@query(
+    f"SELECT track_id // 2 * 2 AS track_id, count(*) AS n, {m('min(y + shift)')} AS low, {m('max(y + shift)')} AS high FROM (SELECT rv.track_id, y, CASE WHEN rv.track_id % 2 = 0 THEN 0 ELSE greatest(0.0, l.hi + 100 - own.lo) END AS shift FROM rv JOIN sp l ON l.track_id = rv.track_id // 2 * 2 JOIN sp own ON own.track_id = rv.track_id) GROUP BY 1",
+    REVOX + ", sp AS (SELECT track_id, min(y) AS lo, max(y) AS hi FROM rv GROUP BY 1)",
+)
+def long_vehicle_merge(spark, sf_dir):
+    links = spark.createDataFrame([("s0", k, k + 1, -1) for k in range(0, 10, 2)], "seq_id string, lead int, rear int, direction int")
+    out = fusion.merge_long_vehicles(revox(spark, sf_dir), links, 100)
+    return out.groupBy("track_id").agg(F.count("*").alias("n"), milli(F.min("y")).alias("low"), milli(F.max("y")).alias("high"))
+
+
+# --- evaluation -----------------------------------------------------------
+
+
+def saved_tracks(spark, sf_dir):
+    return evaluate.last_timestamp(obs2(spark, sf_dir))
+
+
+GT = LABELS + ", st AS (SELECT seq_id, track_id, max(frame_id) AS last_frame, arg_max(ts_ns, frame_id) AS last_ns FROM obs2 GROUP BY 1, 2)"
+
+
+@query("SELECT track_id, object_id, abs(last_ns - timestamp_ns) AS delta_ns, abs(last_frame - frame_index) AS delta_frame FROM st, latest", GT)
+def ground_truth_costs(spark, sf_dir):
+    return evaluate.candidate_costs(saved_tracks(spark, sf_dir), crop.latest_labels(label_rows(spark, sf_dir))).drop("seq_id")
+
+
+def gt_labels(spark, sf_dir):
+    """One label per object but the last two, at its track's last time."""
+    return saved_tracks(spark, sf_dir).where("track_id < 8").select("seq_id", F.col("track_id").alias("object_id"), F.col("last_ns").alias("timestamp_ns"), F.col("last_frame").alias("frame_index"))
+
+
+@query("SELECT count(*) FILTER (track_id < 8) AS matched, count(*) FILTER (track_id >= 8) AS unmatched_tracks, 0::BIGINT AS unmatched_gt, 0::BIGINT AS max_delta_ns FROM st", GT)
+def ground_truth_summary(spark, sf_dir):
+    return evaluate.match_summary(evaluate.match_ground_truth(saved_tracks(spark, sf_dir), gt_labels(spark, sf_dir))).drop("seq_id", "mean_delta_ns")
+
+
+@query()
+def ground_truth_matching(spark, sf_dir):
+    return evaluate.match_ground_truth(saved_tracks(spark, sf_dir), gt_labels(spark, sf_dir))
+
+
+@query("SELECT CASE lower(trim(t)) WHEN 'click' THEN 'car' WHEN 'view' THEN 'truck' ELSE trim(t) END AS class, count(*) AS n FROM (SELECT CASE WHEN event_id % 2 = 0 THEN ' ' || upper(event_type) || ' ' ELSE event_type END AS t FROM events) GROUP BY 1")
+def class_normalisation(spark, sf_dir):
+    raw = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit(" "), F.upper("event_type"), F.lit(" "))).otherwise(F.col("event_type"))
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(evaluate.normalise_class(raw, {"Click": "car", "view": "truck"}).alias("class"))
+    return rows.groupBy("class").agg(F.count("*").alias("n"))
+
+
+@query(
+    "SELECT coalesce(a.class, b.class) AS class, coalesce(predicted_count, 0) AS predicted_count, coalesce(matched_count, 0) AS matched_count, coalesce(agree, 0) AS agree, coalesce(gt_count, 0) AS gt_count, coalesce(matched_count, 0) - coalesce(agree, 0) AS mismatch FROM (SELECT coalesce(predicted, 'TOTAL') AS class, count(*) AS predicted_count, count(*) FILTER (matched) AS matched_count, count(*) FILTER (matched AND predicted = actual) AS agree FROM cr WHERE predicted IS NOT NULL GROUP BY ROLLUP (predicted)) a FULL JOIN (SELECT coalesce(actual, 'TOTAL') AS class, count(*) AS gt_count FROM cr WHERE actual IS NOT NULL GROUP BY ROLLUP (actual)) b ON a.class = b.class",
+    "cr AS (SELECT CASE WHEN event_id % 11 <> 0 THEN event_type END AS predicted, CASE WHEN event_id % 7 <> 0 THEN CASE WHEN event_id % 5 = 0 THEN 'other' ELSE event_type END END AS actual, event_id % 11 <> 0 AND event_id % 7 <> 0 AS matched FROM events)",
+)
+def class_statistics(spark, sf_dir):
+    e, id_ = spark.read.parquet(f"{sf_dir}/events.parquet"), F.col("event_id")
+    actual = F.when(id_ % 7 != 0, F.when(id_ % 5 == 0, "other").otherwise(F.col("event_type")))
+    return evaluate.class_statistics(e.select(F.when(id_ % 11 != 0, F.col("event_type")).alias("predicted"), actual.alias("actual"), ((id_ % 11 != 0) & (id_ % 7 != 0)).alias("matched")))
+
+
+@query()
+def classification(spark, sf_dir):
+    return evaluate.classify(revox(spark, sf_dir), lambda p: evaluate.by_size(p, 1000.0), 64).select("track_id", "class")
+
+
+@query("SELECT track_id, coalesce(CASE WHEN track_id < 7 THEN 'saved' END, 'missing_result') AS status, hit_count, last_frame FROM life JOIN (SELECT track_id, max(frame_id) AS last_frame FROM obs2 GROUP BY 1) USING (track_id)", LIFE)
+def track_outcomes(spark, sf_dir):
+    rows = obs2(spark, sf_dir)
+    results = ages(rows).where("track_id < 7").select("seq_id", "track_id", F.lit("saved").alias("status"))
+    last = rows.groupBy("seq_id", "track_id").agg(F.max("frame_id").alias("last_frame"))
+    return evaluate.track_outcomes(ages(rows), results, last).select("track_id", "status", "hit_count", "last_frame")
+
+
+# --- exports, replay and reports ------------------------------------------
+
+
+def object_states(spark, sf_dir):
+    """Active states of the objects in the frames they are seen in."""
+    return obs2(spark, sf_dir).select("seq_id", "frame_id", "track_id", F.lit("matched").alias("status"), "cx", "cy", "cz", F.lit(1).alias("age"), F.lit(0).alias("missed"))
+
+
+@query("""SELECT frame_id, '{"frame_id":' || frame_id || ',"tracks":[' || string_agg('{"track_id":' || track_id || ',"status":"matched","age":1,"missed":0}', ',' ORDER BY track_id) || ']}' AS json FROM obs2 GROUP BY 1""")
+def tracker_debug_json(spark, sf_dir):
+    return reports.debug_rows(object_states(spark, sf_dir)).drop("seq_id")
+
+
+@query("""SELECT track_id, 'track_' || lpad(track_id::VARCHAR, 4, '0') AS stem, '{"age":' || age || ',"hit_count":' || hit_count || CASE WHEN track_id % 2 = 0 THEN ',"note":"even"' ELSE '' END || '}' AS json FROM life""", LIFE)
+def track_json_rows(spark, sf_dir):
+    rows = ages(obs2(spark, sf_dir)).select("track_id", "age", "hit_count", F.when(F.col("track_id") % 2 == 0, "even").alias("note"))
+    made = rows.withColumn("json", F.to_json(F.struct("age", "hit_count", "note")))
+    return made.select("track_id", reports.stem("track", "track_id").alias("stem"), "json")
+
+
+WINDOWS = "la AS (SELECT track_id, max(frame_id) AS last_index FROM obs2 GROUP BY 1)"
+
+
+@query("SELECT track_id, last_index, CAST(last_index + k AS INTEGER) AS playback FROM la, range(0, 20) r(k)", WINDOWS)
+def outcome_event_windows(spark, sf_dir):
+    return reports.outcome_windows(obs2(spark, sf_dir).groupBy("track_id").agg(F.max("frame_id").alias("last_index")))
+
+
+@query("SELECT track_id, last_index, CAST(last_index + k AS INTEGER) AS playback FROM la, range(0, 20) r(k) WHERE last_index + k <= 29", WINDOWS)
+def save_event_windows(spark, sf_dir):
+    return reports.save_windows(obs2(spark, sf_dir).groupBy("track_id").agg(F.max("frame_id").alias("last_index")), 29)
+
+
+@query("SELECT frame_id, count(*) AS n FROM obs2 WHERE track_id IN (SELECT track_id FROM life WHERE hit_count >= 24) GROUP BY 1", LIFE)
+def visible_aggregates(spark, sf_dir):
+    return reports.visible(object_states(spark, sf_dir), ages(obs2(spark, sf_dir)).where("hit_count >= 24")).groupBy("frame_id").agg(F.count("*").alias("n"))
+
+
+@query("SELECT track_id, frame_id FROM (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY frame_id DESC) AS back FROM (SELECT *, max(isl) OVER (PARTITION BY track_id) AS cur, max(frame_id) OVER (PARTITION BY track_id) AS fin FROM (SELECT *, frame_id - row_number() OVER (PARTITION BY track_id ORDER BY frame_id) AS isl FROM obs2 WHERE frame_id <= 22)) WHERE isl = cur AND fin = 22) WHERE back <= 3")
+def trajectory_tail(spark, sf_dir):
+    return reports.trajectory_tail(object_states(spark, sf_dir), 22, 3).select("track_id", "frame_id")
+
+
+@query("SELECT frame_id, printf('frame %d: matched %d, missed %d, spawned %d', frame_id, count(*), 0, 0) AS line FROM obs2 GROUP BY 1")
+def hud_lines(spark, sf_dir):
+    return reports.hud(tracking.frame_metrics(object_states(spark, sf_dir))).select("frame_id", "line")
+
+
+RUNS = "runs AS (SELECT o_orderpriority AS tracker, o_orderstatus AS clusterer, o_custkey % 3 AS preset, o_orderkey AS run_index, CAST(o_totalprice * 100 + 0.5 AS BIGINT) AS wall FROM orders)"
+
+
+def bench_runs(spark, sf_dir):
+    """Orders as runs of a benchmark: priority and status stand for components, price for seconds."""
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderpriority").alias("tracker"), F.col("o_orderstatus").alias("clusterer"), (F.col("o_custkey") % 3).alias("preset"), F.col("o_orderkey").alias("run_index"), cents.alias("wall"))
+
+
+RUNS = RUNS.replace("CAST(o_totalprice * 100 + 0.5 AS BIGINT)", "CAST(round(o_totalprice * 100) AS BIGINT)")
+AGG = RUNS + ", mid AS (SELECT tracker, clusterer, quantile_cont(wall::DOUBLE, 0.5) AS median, min(wall) AS least, max(wall) AS most, quantile_cont(wall::DOUBLE, 0.9) AS p90, count(*) AS n FROM runs GROUP BY 1, 2)"
+
+
+@query(f"SELECT tracker, clusterer, {m('median')} AS median, least, most, {m('p90')} AS p90, n AS runs, (SELECT run_index FROM runs r WHERE r.tracker = mid.tracker AND r.clusterer = mid.clusterer ORDER BY abs(wall - median), run_index LIMIT 1) AS representative FROM mid", AGG)
+def benchmark_aggregates(spark, sf_dir):
+    out = reports.run_aggregates(bench_runs(spark, sf_dir), ["tracker", "clusterer"], "wall")
+    return out.select("tracker", "clusterer", milli(F.col("median")).alias("median"), "least", "most", milli(F.col("p90")).alias("p90"), "runs", "representative")
+
+
+@query("SELECT tracker, clusterer, CAST(row_number() OVER (ORDER BY median, tracker, clusterer) AS INTEGER) AS place FROM mid", AGG)
+def benchmark_leaderboard(spark, sf_dir):
+    rows = reports.run_aggregates(bench_runs(spark, sf_dir), ["tracker", "clusterer"], "wall")
+    return reports.leaderboard(rows, [F.col("median"), F.col("tracker"), F.col("clusterer")]).select("tracker", "clusterer", "place")
+
+
+@query(f"SELECT 'tracker' AS component, tracker AS value, {m('quantile_cont(wall::DOUBLE, 0.5)')} AS median, count(*) AS n FROM runs GROUP BY 2", RUNS)
+def benchmark_components(spark, sf_dir):
+    return reports.component_medians(bench_runs(spark, sf_dir), "tracker", "wall").withColumn("median", milli(F.col("median")))
+
+
+@query(f"SELECT clusterer, preset, tracker, {m('quantile_cont(wall::DOUBLE, 0.5)')} AS median FROM runs WHERE (clusterer, preset) IN (SELECT clusterer, preset FROM runs GROUP BY 1, 2 HAVING count(DISTINCT tracker) >= 2) GROUP BY 1, 2, 3", RUNS)
+def benchmark_matched_comparison(spark, sf_dir):
+    out = reports.matched_comparisons(bench_runs(spark, sf_dir), "tracker", ["tracker", "clusterer", "preset"], "wall")
+    return out.withColumn("median", milli(F.col("median")))
+
+
+# --- whole runs -----------------------------------------------------------
+
+
+def preset(**how) -> Spec:
+    base = {"eps": 700.0, "voxel": 250.0, "min_points": 3, "vehicle_min_points": 1, "chunk_voxel": 70.0, "fusion_voxel": 50.0, "aggregate_voxel": 60.0, "min_saved_points": 20, "exit_margin": 2500.0, "jump_abs": 450.0, "min_component": 1, "require_exit": False}
+    return Spec(box=LANE, **(base | {"tracker": tracking.TrackerConfig(**MM)} | how))
+
+
+def results(spark, sf_dir, **how):
+    return pipeline.run(points(spark, sf_dir), preset(**how))["results"].select("track_id", "hit_count", "n_points", "status")
+
+
+@query()
+def preset_kalman_voxel(spark, sf_dir):
+    return results(spark, sf_dir)
+
+
+@query()
+def preset_hungarian_weighted(spark, sf_dir):
+    return results(spark, sf_dir, clusterer="euclidean_clustering", accumulator="weighted_voxel_fusion", selection="keyframe_motion", tracker=tracking.TrackerConfig("hungarian_kalman", **MM))
+
+
+@query()
+def preset_voxel_consensus(spark, sf_dir):
+    return results(spark, sf_dir, clusterer="voxel_grid_connected_components", accumulator="occupancy_consensus_fusion", selection="length_coverage", smoothing_window=3)
