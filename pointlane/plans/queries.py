@@ -495,7 +495,10 @@ def coverage_bins(spark, sf_dir):
 NORM = "nm AS (SELECT *, sqrt((max_x - min_x)::DOUBLE * (max_x - min_x) + (max_y - min_y)::DOUBLE * (max_y - min_y) + (max_z - min_z)::DOUBLE * (max_z - min_z)) AS norm FROM ix)"
 
 
-@query("SELECT track_id, frame_id FROM (SELECT *, quantile_cont(norm, 0.5) OVER (PARTITION BY track_id) AS med FROM nm) WHERE norm BETWEEN med / 1.03 AND med * 1.03", f"{IDX}, {NORM}")
+@query(
+    "SELECT track_id, frame_id FROM s3 WHERE ok OR (NOT some_ok AND top = 1)",
+    f"{IDX}, {NORM}, s1 AS (SELECT *, quantile_cont(norm, 0.5) OVER (PARTITION BY track_id) AS med FROM nm), s2 AS (SELECT *, med <= 1e-6 OR norm BETWEEN med / 1.03 AND med * 1.03 AS ok, row_number() OVER (PARTITION BY track_id ORDER BY norm DESC, frame_id) AS top FROM s1), s3 AS (SELECT *, bool_or(ok) OVER (PARTITION BY track_id) AS some_ok FROM s2)",
+)
 def shape_consistency(spark, sf_dir):
     return selection.shape_consistent(obs2(spark, sf_dir), 1.03).select("track_id", "frame_id")
 
