@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import crc_fold, hash_fraction
+from ._shared import crc_fold, hash_fraction, stored
 from ._text import ALNUM_WORDS, slices, text_bytes, word_hashes
 
 BUCKET_BITS, PREFIX, DIM, WIDTHS, FILTERS = 16, 5, 12, (1, 2, 3), 8
@@ -240,7 +240,16 @@ def calibrate(scored: DataFrame, lang: str = "lang", label: str = "label", bins:
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample_docs: int = 4000) -> DataFrame:
-    """Train on labelled rows outside the held-out fold, then score every row."""
+    """doc_id, held_out, score, predicted (score >= threshold), and lang_threshold and toxic_in_lang of every row of ``docs`` (doc_id, text, lang).
+
+    Trained on labelled rows outside the held-out fold; the thresholds by
+    language come from the same rows. A language without labels has ``threshold``.
+    """
     model = train(docs, draw(labels, sample_docs=sample_docs))
-    scored = score(docs.select("doc_id", (crc_fold() == 2).alias("held_out"), "text"), model, keep=["doc_id", "held_out"])
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    kept = docs.select("doc_id", (crc_fold() == 2).alias("held_out"), F.col("lang").cast("string").alias("lang"), "text")
+    scored = stored(score(kept, model, keep=["doc_id", "held_out", "lang"]), "scored")
+    known = labels.where(F.col("toxic").isin(0, 1)).groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").cast("int").alias("label"))
+    learned = scored.where(~F.col("held_out")).join(known, F.col("doc_id") == F.col("__id"))
+    cuts = calibrate(learned).select(F.col("lang").alias("__lang"), "threshold")
+    out = scored.join(cuts, F.col("lang").eqNullSafe(F.col("__lang")), "left").withColumn("lang_threshold", F.coalesce("threshold", F.lit(threshold)))
+    return out.select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "lang_threshold", (F.col("score") >= F.col("lang_threshold")).cast("int").alias("toxic_in_lang"))

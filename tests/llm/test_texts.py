@@ -111,6 +111,7 @@ def test_toxicity(spark, documents, odd, none):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     out = toxicity.classify(docs, labels).join(labels, "doc_id").where("held_out").toPandas()
     assert out.predicted[out.toxic == 1].mean() > 0.9 and out.predicted[out.toxic == 0].mean() < 0.05
+    assert out.toxic_in_lang[out.toxic == 1].mean() > 0.85 and out.toxic_in_lang[out.toxic == 0].mean() < 0.05
     odd_out = toxicity.classify(odd, labels).toPandas()
     assert len(odd_out) == 10 and odd_out.score.between(0, 1).all()
     assert toxicity.classify(none, labels).count() == 0
