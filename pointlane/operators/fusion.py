@@ -219,6 +219,13 @@ def front_anchor(cloud: DataFrame, direction: DataFrame, axis: str = "y") -> Dat
     return rows.groupBy(*TRACK).agg(edge.alias(f"anchor_{axis}"), *[F.percentile(a, F.lit(0.5)).alias(f"anchor_{a}") for a in other_axes(axis)])
 
 
+def candidate_world(cloud: DataFrame, observations: DataFrame) -> DataFrame:
+    """A local cloud moved to the median of its track's selected centers."""
+    anchor = observations.groupBy(*TRACK).agg(*[F.percentile(f"c{a}", F.lit(0.5)).alias(f"anchor_{a}") for a in AXES])
+    rows = cloud.join(anchor, TRACK)
+    return rows.withColumns({a: F.col(a) + F.col(f"anchor_{a}") for a in AXES}).drop(*[f"anchor_{a}" for a in AXES])
+
+
 def merge_long_vehicles(clouds: DataFrame, links: DataFrame, clearance: float, axis: str = "y") -> DataFrame:
     """Clouds of linked pairs under the lead's id; a rear that overlaps the lead is shifted behind it by ``clearance``.
 

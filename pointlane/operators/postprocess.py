@@ -150,6 +150,35 @@ def long_candidates(observations: DataFrame, threshold: float, axis: str = "y")
     return rows.where((F.greatest("la", "lb") >= 0.85 * threshold) | (F.col("la") + F.col("lb") + F.col("longitudinal_max") >= threshold)).select("seq_id", "a", "b")
 
 
+def fragment_links(observations: DataFrame, pairs: DataFrame, axis: str = "y") -> DataFrame:
+    """(seq_id, a, b): fragments of one long vehicle, each track in one link.
+
+    ``pairs`` may move together and be long. In order of first frame and id, a
+    free track takes its best free later partner: by joint extent, joint
+    points, the smaller number of hits, then the nearer id.
+    """
+    own = observations.groupBy(*TRACK).agg(F.min("frame_id").alias("first"), F.percentile(F.col(f"max_{axis}") - F.col(f"min_{axis}"), F.lit(0.75)).alias("length"), F.sum("n_points").alias("points"), F.count("*").alias("hits"))
+    side = lambda t: own.select("seq_id", F.col("track_id").alias(t), *[F.col(c).alias(f"{t}_{c}") for c in ("first", "length", "points", "hits")])
+    rows = pairs.select("seq_id", "a", "b").join(side("a"), ["seq_id", "a"]).join(side("b"), ["seq_id", "b"])
+    rows = rows.select("seq_id", "a", "b", "a_first", "b_first", (F.col("a_length") + F.col("b_length")).alias("length"), (F.col("a_points") + F.col("b_points")).alias("points"), F.least("a_hits", "b_hits").alias("hits"))
+
+    def run(key, pair: pd.DataFrame) -> pd.DataFrame:
+        later: dict[tuple, list[tuple]] = {}
+        for p in pair.itertuples():
+            one, two = sorted([(p.a_first, p.a), (p.b_first, p.b)])
+            later.setdefault(one, []).append((p.length, p.points, p.hits, -abs(p.a - p.b), two))
+        used, out = set(), []
+        for one in sorted(later):
+            free = [x for x in later[one] if x[-1] not in used]
+            if one not in used and free:
+                two = max(free)[-1]
+                used |= {one, two}
+                out.append((key[0], one[1], two[1]))
+        return pd.DataFrame(out, columns=["seq_id", "a", "b"])
+
+    return rows.groupBy("seq_id").applyInPandas(run, "seq_id string, a int, b int")
+
+
 def resolve_merges(pairs: DataFrame, spans: DataFrame) -> DataFrame:
     """(seq_id, track_id, new_id): tracks joined over any number of pairs take the id of the first by (first_frame, id).
 

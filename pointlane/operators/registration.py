@@ -8,6 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 TRACK = ["seq_id", "track_id"]
 
@@ -207,3 +208,31 @@ def register(chunk_points: DataFrame, config: RegistrationConfig) -> DataFrame:
         return pd.concat(rows) if rows else pd.DataFrame(columns=[c.split(" ")[0] for c in out.split(", ")])
 
     return chunk_points.groupBy(*TRACK).applyInPandas(run, out)
+
+
+#: Weight of a rejected chunk that is used all the same.
+REJECTED_WEIGHT = 0.35
+
+
+def fill_up(kept: DataFrame, chunk_points: DataFrame, least: int) -> DataFrame:
+    """Tracks of which registration kept fewer than ``least`` chunks, and not all, use all their chunks unmoved, weight 1.
+
+    ``kept``: as ``register`` gives it; ``chunk_points``: its input.
+    """
+    n = chunk_points.groupBy(*TRACK).agg(F.countDistinct("frame_id").alias("n"))
+    k = kept.groupBy(*TRACK).agg(F.countDistinct("frame_id").alias("k"), F.bool_or(F.col("registration") == "registration_skipped").alias("skipped"))
+    low = n.join(k, TRACK, "left").where(~F.coalesce("skipped", F.lit(False)) & (F.coalesce("k", F.lit(0)) < F.lit(max(1, least))) & (F.coalesce("k", F.lit(0)) < F.col("n"))).select(*TRACK)
+    all_ = chunk_points.select(*TRACK, "frame_id", *[F.col(a).cast("double").alias(a) for a in ("x", "y", "z", "intensity")], F.lit(1.0).alias("weight"), F.lit("fallback").alias("registration"))
+    return kept.join(low, TRACK, "left_anti").unionByName(all_.join(low, TRACK, "left_semi"))
+
+
+def restore_rejected(kept: DataFrame, chunk_points: DataFrame, rears: DataFrame, tails: DataFrame) -> DataFrame:
+    """Rejected chunks come back unmoved with a low weight for rear and fragment tracks and where one of them is a tail candidate.
+
+    ``rears``: (seq_id, track_id); ``tails``: (seq_id, track_id, frame_id).
+    """
+    frame = [*TRACK, "frame_id"]
+    lost = chunk_points.join(kept.select(*frame).distinct(), frame, "left_anti")
+    wanted = rears.select(*TRACK).union(lost.join(tails, frame, "left_semi").select(*TRACK)).distinct()
+    back = lost.join(wanted, TRACK, "left_semi").select(*frame, *[F.col(a).cast("double").alias(a) for a in ("x", "y", "z", "intensity")], F.lit(REJECTED_WEIGHT).alias("weight"), F.lit("restored").alias("registration"))
+    return kept.unionByName(back)

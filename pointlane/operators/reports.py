@@ -32,6 +32,16 @@ def save_windows(saved: DataFrame, last_playback: int, frames: int = 20) -> Data
     return saved.withColumn("playback", F.explode(F.sequence(F.col("last_index"), F.least(F.col("last_index") + frames - 1, F.lit(last_playback)))))
 
 
+def link_windows(links: DataFrame, frames: int = 20) -> DataFrame:
+    """A link of two tracks is shown from its first to its last shared frame, its outcome for ``frames`` more; by (lead, rear).
+
+    ``links``: seq_id, lead, rear, start, end (frames).
+    """
+    both = F.sequence(F.col("start"), F.col("end") + frames - 1)
+    rows = links.withColumn("playback", F.explode(both))
+    return rows.withColumn("kind", F.when(F.col("playback") < F.col("end"), "active").otherwise("outcome"))
+
+
 def visible(states: DataFrame, saved: DataFrame) -> DataFrame:
     """Active states of saved tracks."""
     return states.where(F.col("status").isin("spawned", "matched", "missed")).join(saved, ["seq_id", "track_id"], "left_semi")

@@ -441,9 +441,9 @@ def lead_choice(spark, sf_dir):
     return postprocess.lead_choice(obs2(spark, sf_dir)).select("a", "b", "lead")
 
 
-@query("SELECT a, b FROM cm JOIN (SELECT track_id, quantile_cont((max_y - min_y)::DOUBLE, 0.75) AS l FROM obs2 GROUP BY 1) x ON x.track_id = a JOIN (SELECT track_id, quantile_cont((max_y - min_y)::DOUBLE, 0.75) AS l FROM obs2 GROUP BY 1) y ON y.track_id = b WHERE greatest(x.l, y.l) >= 0.85 * 830 OR x.l + y.l + lmax >= 830", SHARED)
+@query("SELECT a, b FROM cm JOIN (SELECT track_id, quantile_cont((max_y - min_y)::DOUBLE, 0.75) AS l FROM obs2 GROUP BY 1) x ON x.track_id = a JOIN (SELECT track_id, quantile_cont((max_y - min_y)::DOUBLE, 0.75) AS l FROM obs2 GROUP BY 1) y ON y.track_id = b WHERE greatest(x.l, y.l) >= 0.85 * 700 OR x.l + y.l + lmax >= 700", SHARED)
 def long_vehicle_candidates(spark, sf_dir):
-    return postprocess.long_candidates(obs2(spark, sf_dir), 830).select("a", "b")
+    return postprocess.long_candidates(obs2(spark, sf_dir), 700).select("a", "b")
 
 
 @query(f"SELECT track_id // 2 AS track_id, frame_id, CAST(sum(n_points) AS BIGINT) AS n_points, {m('sum(cy * n_points) / sum(n_points)')} AS cy, min(min_x) AS min_x, max(max_x) AS max_x, list_sort(list(track_id))::VARCHAR AS sources FROM obs2 GROUP BY 1, 2")
@@ -696,6 +696,43 @@ def long_vehicle_merge(spark, sf_dir):
     return out.groupBy("track_id").agg(F.count("*").alias("n"), milli(F.min("y")).alias("low"), milli(F.max("y")).alias("high"))
 
 
+@query(f"SELECT track_id, {m('x + ax')} AS x, {m('y + ay')} AS y, {m('z + az')} AS z FROM rv JOIN (SELECT track_id, quantile_cont(cx, 0.5) AS ax, quantile_cont(cy, 0.5) AS ay, quantile_cont(cz, 0.5) AS az FROM obs2 GROUP BY 1) USING (track_id)", REVOX)
+def candidate_world_cloud(spark, sf_dir):
+    return fusion.candidate_world(revox(spark, sf_dir), obs2(spark, sf_dir)).select("track_id", *[milli(F.col(a)).alias(a) for a in "xyz"])
+
+
+def kept_chunks(spark, sf_dir):
+    """Chunks as a registration might leave them: every fourth frame of even tracks, every second of odd ones."""
+    rows = chunks(spark, sf_dir).where((F.col("frame_id") % F.when(F.col("track_id") % 2 == 0, 4).otherwise(2)) == 0)
+    return rows.select("seq_id", "track_id", "frame_id", *[F.col(a).cast("double").alias(a) for a in ("x", "y", "z")], "intensity", F.lit(1.0).alias("weight"), F.lit("accepted").alias("registration"))
+
+
+@query("SELECT track_id, count(*) AS n, count(DISTINCT frame_id) AS frames, CASE WHEN track_id % 2 = 0 THEN 'fallback' ELSE 'accepted' END AS registration FROM ch WHERE track_id % 2 = 0 OR frame_id % 2 = 0 GROUP BY 1", CHUNKS)
+def registration_fallback(spark, sf_dir):
+    from ..operators.registration import fill_up
+
+    return fill_up(kept_chunks(spark, sf_dir), chunks(spark, sf_dir), 12).groupBy("track_id", "registration").agg(F.count("*").alias("n"), F.countDistinct("frame_id").alias("frames"))
+
+
+@query(
+    "SELECT track_id, registration, count(*) AS n FROM (SELECT track_id, frame_id, CASE WHEN frame_id % CASE WHEN track_id % 2 = 0 THEN 4 ELSE 2 END = 0 THEN 'accepted' ELSE 'restored' END AS registration FROM ch) c WHERE registration = 'accepted' OR track_id IN (3, 4) OR track_id IN (SELECT track_id FROM obs2 WHERE track_id >= 8 AND frame_id = 13) GROUP BY 1, 2",
+    CHUNKS,
+)
+def rear_chunk_restore(spark, sf_dir):
+    from ..operators.registration import restore_rejected
+
+    rears = obs(spark, sf_dir).where("track_id IN (3, 4)").select("seq_id", "track_id").distinct()
+    tails = obs2(spark, sf_dir).where("track_id >= 8 AND frame_id = 13").select("seq_id", "track_id", "frame_id")
+    return restore_rejected(kept_chunks(spark, sf_dir), chunks(spark, sf_dir), rears, tails).groupBy("track_id", "registration").agg(F.count("*").alias("n"))
+
+
+@query()
+def fragment_linking(spark, sf_dir):
+    rows = obs2(spark, sf_dir)
+    together = postprocess.co_moving_pairs(rows, 6100, 400, 5, 0.5).select("seq_id", "a", "b")
+    return postprocess.fragment_links(rows, together.join(postprocess.long_candidates(rows, 700), ["seq_id", "a", "b"]))
+
+
 # --- evaluation -----------------------------------------------------------
 
 
@@ -789,6 +826,12 @@ def save_event_windows(spark, sf_dir):
     return reports.save_windows(obs2(spark, sf_dir).groupBy("track_id").agg(F.max("frame_id").alias("last_index")), 29)
 
 
+@query("SELECT a AS lead, b AS rear, CAST(s + k AS INTEGER) AS playback, CASE WHEN s + k < e THEN 'active' ELSE 'outcome' END AS kind FROM (SELECT a, b, min(frame_id) AS s, max(frame_id) AS e FROM sh WHERE b = a + 1 GROUP BY 1, 2), range(0, 60) r(k) WHERE s + k <= e + 19", SHARED)
+def link_event_windows(spark, sf_dir):
+    shared = postprocess.shared_frames(obs2(spark, sf_dir)).where("b = a + 1").groupBy("seq_id", F.col("a").alias("lead"), F.col("b").alias("rear")).agg(F.min("frame_id").alias("start"), F.max("frame_id").alias("end"))
+    return reports.link_windows(shared).select("lead", "rear", "playback", "kind")
+
+
 @query("SELECT frame_id, count(*) AS n FROM obs2 WHERE track_id IN (SELECT track_id FROM life WHERE hit_count >= 24) GROUP BY 1", LIFE)
 def visible_aggregates(spark, sf_dir):
     return reports.visible(object_states(spark, sf_dir), ages(obs2(spark, sf_dir)).where("hit_count >= 24")).groupBy("frame_id").agg(F.count("*").alias("n"))

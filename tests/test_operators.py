@@ -281,3 +281,23 @@ def test_whole_run_with_registration(spark):
     assert len(result) == 1 and result[0]["status"] == "saved" and result[0]["hit_count"] == 12
     size = fusion.dimensions(out["clouds"]).first()
     assert 3.5 < size["length"] < 4.5
+
+
+def test_runner_writes_artifacts_and_reports(spark, tmp_path):
+    from pointlane.plans import runner
+
+    rng = np.random.default_rng(5)
+    rows = [("s", f, f * 10**8, "a", f * 100 + k, *map(float, (rng.uniform(0, 1.8), 30 - f + rng.uniform(0, 4), rng.uniform(0, 1.5))), 1.0, 0, 0, 1.0) for f in range(6) for k in range(60)]
+    points = spark.createDataFrame(rows, "seq_id string, frame_index int, frame_timestamp_ns long, sensor_name string, point_id long, x double, y double, z double, intensity double, row_index int, col_index int, range double")
+    spec = config.Spec(box=Box((-5, 5), (0, 45), (0, 5)), min_points=3, vehicle_min_points=5, eps=1.5, require_exit=False, min_saved_points=10, outlier_ratio=9.0)
+    out = runner.benchmark(spark, {"one": points}, {"a": spec}, str(tmp_path / "b"), warmup=0, measure=2).collect()
+    assert len(out) == 1 and out[0]["runs"] == 2
+    row = json.loads(spark.read.text(str(tmp_path / "b/one/a/0/summary")).first()["value"])
+    assert row["frames"] == 6 and row["saved"] == 1 and row["frames_per_second"] > 0
+    assert spark.read.json(str(tmp_path / "b/one/a/0/tracks")).first()["status"] == "saved"
+    runner.replay(points, spec, str(tmp_path / "r"))
+    assert spark.read.parquet(str(tmp_path / "r/hud.parquet")).count() == 6
+    with pytest.raises(config.ConfigError):
+        runner.read(spark, "nope", [])
+    (tmp_path / "x.yaml").write_text("")
+    assert runner.support_path("x.yaml", str(tmp_path / "sub" / "c.yaml")) == str(tmp_path / "x.yaml")
