@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes worked on at once; bounds the temporary arrays whatever a text's length.
-SLICE = 1 << 19
+SLICE = 1 << 18
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INV = np.uint64(pow(int(_P), -1, 1 << 64))
 

@@ -196,29 +196,27 @@ def code_lengths(model: PpmModel, column: pa.Array) -> tuple[np.ndarray, np.ndar
 
 
 def _predict(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    model = shared.value
     for batch in batches:
-        model = shared.value
-        names, scores, rates = [], [], []
         texts = batch.column(batch.num_columns - 1)
         for at, to in slices(texts, 8 * SLICE):
             part = _lowered(texts.slice(at, to - at))
-            if not model.langs:
-                names += [UND] * len(part)
-                scores += [0.0] * len(part)
-                rates += [None] * len(part)
-                continue
-            bits, sizes = code_lengths(model, part)
-            best = bits.argmin(1)
-            gap = bits - bits.min(1, keepdims=True)
-            gap *= (48 / np.maximum(sizes, 48))[:, None]  # beyond 48 bytes, the mean gap of so many
-            sure = 1 / np.exp2(-np.minimum(gap, 1000)).sum(1)
-            rate = bits.min(1) / np.maximum(sizes, 1)
-            for text, k, p, r in zip(part.to_pylist(), best.tolist(), sure.tolist(), rate.tolist(), strict=True):
-                has = bool(text) and _LETTER.search(text) is not None
-                names.append(model.langs[k] if has else UND)
-                scores.append(p if has else 0.0)
-                rates.append(r if has else None)
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rates, pa.float64())], names=[*batch.schema.names[:-1], "lang_pred", "score", "bits_per_byte"])
+            columns = [c.slice(at, to - at) for c in batch.columns[:-1]] + _judged(model, part)
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "lang_pred", "score", "bits_per_byte"])
+
+
+def _judged(model: PpmModel, texts: pa.Array) -> list[pa.Array]:
+    if not model.langs:
+        return [pa.array([UND] * len(texts)), pa.array([0.0] * len(texts)), pa.nulls(len(texts), pa.float64())]
+    bits, sizes = code_lengths(model, texts)
+    best = bits.argmin(1)
+    gap = bits - bits.min(1, keepdims=True)
+    gap *= (48 / np.maximum(sizes, 48))[:, None]  # beyond 48 bytes, the mean gap of so many
+    sure = 1 / np.exp2(-np.minimum(gap, 1000)).sum(1)
+    rate = bits.min(1) / np.maximum(sizes, 1)
+    has = np.array([bool(t) and _LETTER.search(t) is not None for t in texts.to_pylist()], bool)
+    names = [model.langs[k] if h else UND for k, h in zip(best.tolist(), has.tolist(), strict=True)]
+    return [pa.array(names, pa.string()), pa.array(np.where(has, sure, 0.0)), pa.array(rate, mask=~has)]
 
 
 def predict(docs: DataFrame, model: PpmModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
