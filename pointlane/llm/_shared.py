@@ -14,10 +14,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a local one only where that is unset (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="pointlane-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="pointlane-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 

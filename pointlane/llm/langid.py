@@ -86,6 +86,7 @@ def _gram_counts(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Re
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_docs: int = 3000, sample_bytes: int = 1 << 16, seed: int = 3) -> PpmModel:
     """Learn from rows with text and language; see the module for the bounds of the sample."""
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
+    # A row for each language; freeze() bounds their number, as each needs tables of its own.
     sizes = rows.groupBy("lang").agg(F.count("*").alias("docs"))
     drawn = (
         rows.join(F.broadcast(sizes.select(F.col("lang").alias("of"), "docs")), F.col("lang") == F.col("of"))
