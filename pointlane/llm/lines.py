@@ -33,16 +33,16 @@ from ._shared import stored
 DEPTH, MIN_TEXTS, MIN_TOKENS, SIMILAR = 3, 4, 3, 0.6
 
 
-def _tokens(line):
-    """The line with tokens one space apart, those with a digit masked.
-
-    Most lines need neither step; substring searches find them without decoding the text.
-    """
+def _flat(line):
+    """The line with its tokens one space apart. Most lines are so already; substring searches tell without decoding the text."""
     loose = line.startswith(" ") | line.endswith(" ")
     for odd in ("  ", "\t", "\r", "\v", "\f"):
         loose |= F.contains(line, F.lit(odd))
-    flat = F.when(loose, F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(line)
-    # A token is matched from its start only, so a line is read once.
+    return F.when(loose, F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(line)
+
+
+def _masked(flat):
+    """Tokens with a digit masked. A token is matched from its start only, so a line is read once."""
     return F.when(flat.rlike("[0-9]"), F.regexp_replace(flat, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", "<*>")).otherwise(flat)
 
 
@@ -51,8 +51,9 @@ def occurrences(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKEN
 
     form is a hash of the masked line, leaf one of its number of tokens and leading tokens.
     """
-    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    rows = rows.withColumn("masked", _tokens(F.col("line")))
+    # Masked before the rows are made: a filter on lines would otherwise repeat the masking for each of its terms.
+    parts = F.transform(F.transform(F.split("text", "\n"), _flat), _masked)
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(parts).alias("line_no", "masked"))
     n = F.octet_length("masked") - F.octet_length(F.replace(F.col("masked"), F.lit(" "), F.lit(""))) + 1
     rows = rows.where((n >= min_tokens) & (F.col("masked") != ""))
     return rows.select("doc_id", "text_key", "line_no", "masked", F.xxhash64("masked").alias("form"), F.xxhash64(n, F.substring_index("masked", " ", depth)).alias("leaf"))
