@@ -90,7 +90,8 @@ def recurring(docs: DataFrame, depth: int = DEPTH, min_texts: int = MIN_TEXTS, m
     enough = marked.select("template", "text_key").distinct().groupBy("template").agg(F.count("*").alias("texts")).where(F.col("texts") >= min_texts)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line_no")
     first = marked.groupBy("template").agg(F.min(place).alias("first"))
-    drop = enough.join(first, "template").select(F.col("template").alias("of"), "first")
+    # Written before the join, so that a template with very many lines is a skewed join of two plain inputs, which Spark splits.
+    drop = stored(enough.join(first, "template").select(F.col("template").alias("of"), "first"), "recurring")
     rows = marked.join(drop, F.col("template") == F.col("of"))
     return rows.where(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_key", "line_no")
 
