@@ -196,14 +196,15 @@ def code_lengths(model: PpmModel, column: pa.Array) -> tuple[np.ndarray, np.ndar
     return bits, sizes
 
 
-def _predict(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+def _predict(batches: Iterator[pa.RecordBatch], shared, place: int, width: int) -> Iterator[pa.RecordBatch]:
+    """The first ``width`` columns and the verdict on the text in column ``place``."""
     model = shared.value
     for batch in batches:
-        texts = batch.column(batch.num_columns - 1)
+        texts = batch.column(place)
         for at, to in slices(texts, 8 * SLICE):
             part = _lowered(texts.slice(at, to - at))
-            columns = [c.slice(at, to - at) for c in batch.columns[:-1]] + _judged(model, part)
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "lang_pred", "score", "bits_per_byte"])
+            columns = [c.slice(at, to - at) for c in batch.columns[:width]] + _judged(model, part)
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:width], "lang_pred", "score", "bits_per_byte"])
 
 
 def _judged(model: PpmModel, texts: pa.Array) -> list[pa.Array]:
@@ -228,7 +229,11 @@ def predict(docs: DataFrame, model: PpmModel, text: str = "text", keep: list[str
     names = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score", "bits_per_byte")]
     out = T.StructType([docs.schema[c] for c in names]).add("lang_pred", "string").add("score", "double").add("bits_per_byte", "double")
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.select(*names, F.col(text).alias("__text")).mapInArrow(lambda it: _predict(it, shared), out)
+    width = len(names)
+    # A text that is kept anyway goes to Python once.
+    place = names.index(text) if text in names else width
+    rows = docs.select(*names, *([] if text in names else [F.col(text).alias("__text")]))
+    return rows.mapInArrow(lambda it: _predict(it, shared, place, width), out)
 
 
 def held_out() -> F.Column:
