@@ -187,9 +187,32 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
     return has.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def survivors(docs: DataFrame, **how) -> DataFrame:
+    """(doc_id, text_key) of the texts that are kept: of each group the one of the least doc_id, then text_key; all without an id.
+
+    Each distinct (doc_id, text) is a document of its own here, so an id that repeats with other texts loses only those that are linked.
+    """
+    texts = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    own = F.xxhash64("doc_id", "text_key")
+    names = stored(texts.select("doc_id", "text_key").distinct(), "names")
+    found = near_duplicates(texts.select(own.alias("doc_id"), "text"), **how).select(F.col("doc_id").alias("of"), "component_id").distinct()
+    least = names.join(found, own == F.col("of")).groupBy("component_id").agg(F.min(F.struct("doc_id", "text_key")).alias("x"))
+    lone = docs.where(F.col("doc_id").isNull()).select("doc_id", F.xxhash64("text").alias("text_key")).distinct()
+    return least.select("x.doc_id", "x.text_key").unionByName(lone)
+
+
+def one_row_each(rows: DataFrame) -> DataFrame:
+    """Of rows that repeat id and text the least by the other columns; rows without an id all stay."""
+    names = rows.columns
+    rest = [c for c in names if c not in ("doc_id", "text")]
+    keyed = rows.where(F.col("doc_id").isNotNull())
+    least = keyed.groupBy("doc_id", F.xxhash64("text").alias("__key")).agg(F.min(F.struct(*rest, "text")).alias("__row"))
+    least = least.select("doc_id", *[F.col(f"__row.{c}").alias(c) for c in (*rest, "text")])
+    return least.select(*names).union(rows.where(F.col("doc_id").isNull()))
+
+
 def one_of_each(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` that are kept: one document of each group, and of an id that repeats one row."""
-    names = docs.columns
-    kept = near_duplicates(docs, **how).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept")).distinct()
-    by_id = docs.join(kept, F.col("doc_id") == F.col("__kept"), "left_semi").dropDuplicates(["doc_id"])
-    return by_id.union(docs.where(F.col("doc_id").isNull())).select(*names)
+    """The rows of ``docs`` that are kept: one text of each group, and of rows that repeat id and text one."""
+    kept = survivors(docs, **how).select(F.col("doc_id").alias("__kept"), F.col("text_key").alias("__kept_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("__kept")) & (F.xxhash64("text") == F.col("__kept_key"))
+    return one_row_each(docs.join(kept, same, "left_semi"))

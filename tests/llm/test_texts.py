@@ -205,6 +205,15 @@ def test_minhash_cases(odd, none):
     assert minhash.one_of_each(odd).count() == 8 and minhash.one_of_each(odd).columns == odd.columns
 
 
+def test_one_of_each_keeps_clean_texts_of_a_repeated_id(spark):
+    copied, clean = (" ".join(f"{c}{k}" for k in range(40)) for c in "xy")
+    rows = [(3, copied, "a"), (5, copied, "a"), (5, clean, "b"), (5, clean, "a"), (7, clean + " end", "a"), (None, copied, "a")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for n in (1, 4):
+        got = sorted((tuple(r) for r in minhash.one_of_each(frame.repartition(n)).collect()), key=str)
+        assert got == sorted([rows[0], rows[3], rows[5]], key=str)
+
+
 def test_bayes_bounds_keep_pairs_at_the_threshold():
     least = minhash.least_matches(85, 1e-5)
     rng = np.random.default_rng(1)
