@@ -21,18 +21,25 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.accept(docs)
 
 
-def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops recurring line templates from the texts, and the documents that lose all their text by it."""
-    names = docs.columns
-    rows = lines.deduplicate(docs).where("n_dropped = 0 OR text != ''")
+def _counted(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Columns ``names`` of rows that lines were dropped from."""
     if "n_chars" in names:
         rows = rows.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return rows.select(*names)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops recurring line templates from the texts, and the documents that lose all their text by it."""
+    return _counted(lines.deduplicate(docs).where("n_dropped = 0 OR text != ''"), docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates (five words, similarity 0.8)."""
-    return minhash.one_of_each(docs, width=5, percent=80)
+    """Keeps one document of each group of near duplicates (five words, similarity 0.8), then drops literal lines that two of these hold.
+
+    Only here is a line in two texts no mark of near copies. A document may end up without text; the mixing stage leaves it out.
+    """
+    one = stored(minhash.one_of_each(docs, width=5, percent=80), "one")
+    return _counted(lines.deduplicate(one, drops=lines.repeats), docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -96,12 +96,30 @@ def recurring(docs: DataFrame, depth: int = DEPTH, min_texts: int = MIN_TEXTS, m
     return rows.where(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_key", "line_no")
 
 
-def deduplicate(docs: DataFrame, text: str = "text", **how) -> DataFrame:
-    """All columns of ``docs`` with recurring lines dropped from ``text``; added: n_lines, n_dropped."""
+def repeats(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
+    """(doc_id, text_key, line_no) of literal lines that two different texts hold, but for the first occurrence of each.
+
+    Meant for texts without near duplicates: the second of two near copies would lose what it shares with the first.
+    """
+    parts = F.transform(F.split("text", "\n"), _flat)
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(parts).alias("line_no", "flat"))
+    n = F.octet_length("flat") - F.octet_length(F.replace(F.col("flat"), F.lit(" "), F.lit(""))) + 1
+    rows = rows.where((n >= min_tokens) & (F.col("flat") != ""))
+    # Two hashes, as one of 64 bits would join unlike lines of very large inputs.
+    rows = stored(rows.select("doc_id", "text_key", "line_no", F.xxhash64("flat").alias("form"), F.xxhash64(F.lit(7), "flat").alias("form2")), "literal")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "line_no")
+    held = rows.groupBy("form", "form2").agg(F.min("text_key").alias("low"), F.max("text_key").alias("high"), F.min(place).alias("first"))
+    held = stored(held.where("low < high").select(F.col("form").alias("of"), F.col("form2").alias("of2"), "first"), "repeated")
+    found = rows.join(held, (F.col("form") == F.col("of")) & (F.col("form2") == F.col("of2")))
+    return found.where(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_key", "line_no")
+
+
+def deduplicate(docs: DataFrame, text: str = "text", drops=recurring, **how) -> DataFrame:
+    """All columns of ``docs`` with the lines that ``drops`` finds (recurring ones) dropped from ``text``; added: n_lines, n_dropped."""
     rows = docs.withColumnRenamed(text, "text") if text != "text" else docs
-    drops = recurring(rows.select("doc_id", "text"), **how).distinct().groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(F.collect_set("line_no").alias("__drops"))
+    found = drops(rows.select("doc_id", "text"), **how).distinct().groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(F.collect_set("line_no").alias("__drops"))
     rows = rows.drop("n_lines", "n_dropped").withColumn("__text", F.xxhash64("text"))
-    rows = rows.join(drops, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__key")), "left")
+    rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__key")), "left")
     parts = F.split("text", "\n")
     kept = F.array_join(F.filter(parts, lambda line, k: ~F.array_contains(F.col("__drops"), k)), "\n")
     rows = rows.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(parts))).withColumn("n_dropped", F.coalesce(F.size("__drops"), F.lit(0)))

@@ -239,6 +239,23 @@ def test_lines(spark, odd, none):
     assert lines.deduplicate(none).count() == 0
 
 
+def test_literal_lines_of_two_texts(spark):
+    passage = " ".join(f"word{'abcdefgh'[k % 8] * (k // 8 + 1)}" for k in range(60))
+    rows = [(1, f"own one\n{passage}\n}}"), (2, f"own two\n  {passage} \n}}"), (3, f"own three\n}}\n{passage}"), (4, "same text of four\nin two rows here"), (5, "same text of four\nin two rows here"), (None, f"{passage}\nno id")]
+    out = {r["doc_id"]: r["text"] for r in lines.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"), drops=lines.repeats).collect()}
+    assert out == {1: rows[0][1], 2: "own two\n}", 3: "own three\n}", 4: rows[3][1], 5: rows[4][1], None: "no id"}
+
+
+def test_pipeline_drops_lines_of_two_texts(spark):
+    import corpus_pipeline as pipeline
+
+    own = lambda k: " ".join(f"{k}{c}" for c in "abcdefghijklmnopqrstuvwxyz" * 2)
+    shared = " ".join(f"s{k}" for k in range(30))
+    rows = [(k, f"{own(k)}\n{shared}", "en", "a", 9) for k in (1, 2)] + [(3, f"{own(3)}\n{shared[:-1]}!", "en", "a", 9)]
+    out = {r["doc_id"]: r for r in pipeline.near_dedup(spark, spark.createDataFrame(rows, DOCS), "").collect()}
+    assert out[1]["text"] == rows[0][1] and out[2]["text"] == own(2) and out[2]["n_chars"] == len(own(2)) and out[3]["text"] == rows[2][1]
+
+
 def test_mixing(spark, documents, odd, none):
     rows = documents.select("doc_id", "text", "source")
     out = mixing.mix(rows).join(rows.select("doc_id", "source"), "doc_id").toPandas()
