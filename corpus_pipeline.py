@@ -30,7 +30,7 @@ def _counted(rows: DataFrame, names: list[str]) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops recurring line templates from the texts, and the documents that lose all their text by it."""
-    return _counted(lines.deduplicate(docs).where("n_dropped = 0 OR text != ''"), docs.columns)
+    return _counted(lines.deduplicate(docs, shares=lines.SHARES).where("n_dropped = 0 OR text != ''"), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

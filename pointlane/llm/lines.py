@@ -5,7 +5,11 @@ the line falls to the leaf given by its number of tokens and its leading
 ``depth`` tokens. In a leaf, a position of the distinct lines keeps its
 token if the token's support there (the number of texts that hold a line with
 it) is at least ``min_texts``, and becomes ``<*>`` otherwise; so fields that
-vary are generalised. A line whose share of kept positions is below ``similar``
+vary are generalised. As absolute support grows with the input, ``shares`` adds
+templates that keep a token only by its part of the leaf's support (a branching
+limit at any size); a line is dropped if one of its templates recurs and an
+earlier line holds it. The first line of all has none before it, so it stays.
+A line whose share of kept positions is below ``similar``
 is a template of its own.
 
 A template recurs if at least ``min_texts`` different texts hold it. Every
@@ -31,6 +35,8 @@ from pyspark.sql import functions as F
 from ._shared import stored
 
 DEPTH, MIN_TEXTS, MIN_TOKENS, SIMILAR = 3, 4, 3, 0.6
+#: Levels of generalisation: at a share s a position keeps 1 / s tokens at most, however many texts a leaf has.
+SHARES = (0.0, 0.01, 0.1, 0.5)
 
 
 def _flat(line):
@@ -59,20 +65,30 @@ def occurrences(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKEN
     return rows.select("doc_id", "text_key", "line_no", "masked", F.xxhash64("masked").alias("form"), F.xxhash64(n, F.substring_index("masked", " ", depth)).alias("leaf"))
 
 
-def templates(lines: DataFrame, min_texts: int = MIN_TEXTS, similar: float = SIMILAR) -> DataFrame:
+def templates(lines: DataFrame, min_texts: int = MIN_TEXTS, similar: float = SIMILAR, shares: tuple[float, ...] = (0.0,)) -> DataFrame:
     """(form, template) of the distinct lines in leaves that enough texts share.
 
     ``lines`` has leaf, form, masked and support, the number of texts, of each distinct line.
+    A line has a template for each of ``shares``, the least part of the leaf's support that a kept token has at its
+    position; equal ones are one.
     """
     tokens = lines.select("leaf", "form", "support", F.posexplode(F.split("masked", " ")).alias("at", "token"))
     common = tokens.groupBy("leaf", "at", "token").agg(F.sum("support").alias("held")).where(F.col("held") >= min_texts)
-    common = common.select(F.col("leaf").alias("l"), F.col("at").alias("a"), F.col("token").alias("t"))
+    common = common.select(F.col("leaf").alias("l"), F.col("at").alias("a"), F.col("token").alias("t"), "held")
     kept = tokens.join(common, (F.col("leaf") == F.col("l")) & (F.col("at") == F.col("a")) & (F.col("token") == F.col("t")), "left")
-    by_line = kept.groupBy("leaf", "form").agg(F.count("t").alias("fixed"), F.count("*").alias("n"), F.sum(F.when(F.col("t").isNotNull(), F.xxhash64("at", "t")).otherwise(0).cast("decimal(20,0)")).alias("mark"))
-    return by_line.select("form", F.when(F.col("fixed") >= similar * F.col("n"), F.xxhash64("leaf", "n", "fixed", "mark")).otherwise(F.col("form")).alias("template"))
-
-
-def recurring(docs: DataFrame, depth: int = DEPTH, min_texts: int = MIN_TEXTS, min_tokens: int = MIN_TOKENS, similar: float = SIMILAR) -> DataFrame:
+    if any(shares):
+        # All lines of a leaf have as many tokens, so one sum serves all positions.
+        whole = lines.groupBy(F.col("leaf").alias("w")).agg(F.sum("support").alias("whole"))
+        kept = kept.join(whole, F.col("leaf") == F.col("w"))
+    keeps = [F.col("t").isNotNull() & (F.col("held") >= share * F.col("whole")) if share else F.col("t").isNotNull() for share in shares]
+    fixed = [F.count_if(keep).alias(f"fixed{k}") for k, keep in enumerate(keeps)]
+    marks = [F.sum(F.when(keep, F.xxhash64("at", "t")).otherwise(0).cast("decimal(20,0)")).alias(f"mark{k}") for k, keep in enumerate(keeps)]
+    by_line = kept.groupBy("leaf", "form").agg(F.count("*").alias("n"), *fixed, *marks)
+    each = [F.when(F.col(f"fixed{k}") >= similar * F.col("n"), F.xxhash64("leaf", "n", f"fixed{k}", f"mark{k}")).otherwise(F.col("form")) for k in range(len(shares))]
+    return by_line.select("form", F.explode(F.array_distinct(F.array(*each))).alias("template"))
+
+
+def recurring(docs: DataFrame, depth: int = DEPTH, min_texts: int = MIN_TEXTS, min_tokens: int = MIN_TOKENS, similar: float = SIMILAR, shares: tuple[float, ...] = (0.0,)) -> DataFrame:
     """(doc_id, text_key, line_no) of the occurrences to drop."""
     found = occurrences(docs, depth, min_tokens)
     slim = stored(found.select("doc_id", "text_key", "line_no", "form", "leaf"), "lines")
@@ -84,7 +100,7 @@ def recurring(docs: DataFrame, depth: int = DEPTH, min_texts: int = MIN_TEXTS, m
     words = found.select("form", "leaf", "masked").join(shared, F.col("leaf") == F.col("shared_leaf")).groupBy("leaf", "form").agg(F.first("masked").alias("masked"))
     words = words.select(F.col("leaf").alias("w_leaf"), F.col("form").alias("w_form"), "masked")
     lines = held.join(words, (F.col("leaf") == F.col("w_leaf")) & (F.col("form") == F.col("w_form"))).select("leaf", "form", "masked", "support")
-    of_form = stored(templates(lines, min_texts, similar).select(F.col("form").alias("of_form"), "template"), "templates")
+    of_form = stored(templates(lines, min_texts, similar, shares).select(F.col("form").alias("of_form"), "template"), "templates")
     marked = slim.join(of_form, F.col("form") == F.col("of_form")).select("doc_id", "text_key", "line_no", "template")
     marked = stored(marked, "marked")
     enough = marked.select("template", "text_key").distinct().groupBy("template").agg(F.count("*").alias("texts")).where(F.col("texts") >= min_texts)

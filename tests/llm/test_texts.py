@@ -256,6 +256,18 @@ def test_pipeline_drops_lines_of_two_texts(spark):
     assert out[1]["text"] == rows[0][1] and out[2]["text"] == own(2) and out[2]["n_chars"] == len(own(2)) and out[3]["text"] == rows[2][1]
 
 
+@pytest.mark.parametrize(("n", "values"), [(100, 3000), (8000, 100), (40000, 3000)])
+def test_template_drops_alike_at_every_size(spark, n, values):
+    import corpus_pipeline as pipeline
+    from pyspark.sql import functions as F
+
+    letters = lambda c: F.translate(F.pmod(F.xxhash64(F.lit(c), "doc_id"), F.lit(values)).cast("string"), "0123456789", "abcdefghij")
+    rows = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("lang")).withColumn("own", F.translate(F.col("doc_id").cast("string"), "0123456789", "klmnopqrst"))
+    rows = rows.withColumn("text", F.concat(F.col("own"), F.lit("\nthe user named "), letters(1), F.lit(" logged in from host "), letters(2), F.lit(" by the gate"))).drop("own")
+    out = pipeline.line_dedup(spark, rows, "")
+    assert out.where("text like '%logged%'").count() == 1 and out.count() == n
+
+
 def test_mixing(spark, documents, odd, none):
     rows = documents.select("doc_id", "text", "source")
     out = mixing.mix(rows).join(rows.select("doc_id", "source"), "doc_id").toPandas()
