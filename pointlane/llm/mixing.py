@@ -97,14 +97,25 @@ def placed(rows: DataFrame, n_rows: int, seed: int) -> DataFrame:
     return joined.withColumn("place", F.col("own") + F.col("before")).drop("h", "part", "own", "before", "of_sid", "of_part")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: int = 8) -> DataFrame:
-    """doc_id, size, source_size, target, taken of every row of ``docs`` (doc_id, text, source)."""
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: int = 8, exact: bool = False) -> DataFrame:
+    """doc_id, size, source_size, target, taken of every row of ``docs`` (doc_id, text, source).
+
+    With ``exact`` every source gives its target in words, rounded, at any size of the input: ranks take blocks in
+    turn, so slots give whole rounds of a source and then a first part of its shuffled order; here that part ends at the word.
+    """
     rows = stored(docs.select("doc_id", "source", word_count().alias("size")), "sizes")
     total, n_rows = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     sources = stored(targets(rows, weights, most), "sources")
     words = max(LEAST_WORDS, -(-total // SLOTS))
     rows = rows.withColumnRenamed("source", "of").join(sources, F.col("of").eqNullSafe(F.col("source"))).select("doc_id", "size", "sid", "source_size", "target")
-    rows = stored(placed(rows, n_rows, seed), "placed")
+    rows = placed(rows, n_rows, seed)
+    if exact:
+        due = F.round("target").cast("long")
+        rounds = F.floor(due / F.greatest("source_size", F.lit(1)))
+        rest = due - rounds * F.col("source_size")
+        taken = F.col("size") * rounds + F.greatest(F.least(rest - F.col("place"), "size"), F.lit(0))
+        return rows.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    rows = stored(rows, "placed")
     blocks = F.ceil(F.col("source_size") / words)
     turns = slots(sources, -(-total // words), total).join(sources.select(F.col("sid").alias("s"), blocks.alias("blocks")), F.col("sid") == F.col("s"))
     turns = turns.where(F.col("slot_rank") < most * F.col("blocks"))
@@ -119,9 +130,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, se
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` with each row repeated round(taken / size) times (halves up): the mix in whole documents."""
+    """``docs`` with each row repeated round(taken / size) times (halves up): the exact mix in whole documents.
+
+    Where ids are unique, a source is off its target by half of one document at most.
+    """
     names = docs.columns
-    plan = mix(docs, **how).where("size > 0").select(F.col("doc_id").alias("__id"), F.col("size").alias("__size"), "taken").distinct()
+    plan = mix(docs, exact=True, **how).where("size > 0").select(F.col("doc_id").alias("__id"), F.col("size").alias("__size"), "taken").distinct()
     plan = plan.groupBy("__id", "__size").agg(F.max("taken").alias("__taken"))
     whole = docs.withColumn("__words", word_count())
     times = F.floor((2 * F.col("__taken") + F.col("__size")) / (2 * F.col("__size"))).cast("int")

@@ -292,3 +292,21 @@ def test_mixing(spark, documents, odd, none):
     assert len(cases) == 10 and (cases.taken <= 3 * cases["size"]).all() and mixing.mix(none).count() == 0
     mixed = mixing.mixed(documents)
     assert mixed.columns == documents.columns
+
+
+def test_exact_mix_meets_small_targets_beside_a_huge_source(spark):
+    from pyspark.sql import functions as F
+
+    huge = spark.range(60).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), 80_000).alias("text"), F.lit("a").alias("source"))
+    sizes = {"b": 300, "c": 2000, "d": 5000, "e": 20_000}
+    for k, (source, n) in enumerate(sizes.items()):
+        huge = huge.union(spark.range(20).select(F.col("id") + 1000 * (k + 1), F.repeat(F.lit("w "), n // 20), F.lit(source)))
+    old, mixing.SLOTS = mixing.SLOTS, 1 << 10  # as at 2^10 times the input
+    try:
+        by = mixing.mix(huge, exact=True).groupBy("source_size").agg(F.max("target").alias("target"), F.sum("taken").alias("taken")).collect()
+        assert len(by) == 5 and all(abs(r["taken"] - r["target"]) <= 0.5 for r in by)
+        words_of = mixing.mixed(huge).groupBy("source").agg(F.sum(mixing.word_count())).collect()
+    finally:
+        mixing.SLOTS = old
+    got = dict(map(tuple, words_of))
+    assert all(got[s] == 3 * n for s, n in sizes.items())
