@@ -10,8 +10,11 @@ Search: queries and coded vectors are dealt into blocks, and every pair of
 blocks is one task. There, a query's products with all words make its look-up
 table; the sum of a code's entries, scaled by the stored norms, estimates the
 inner product; the best ``rerank`` of the block by estimate are ranked again
-by the exact product of the original vectors in double precision. Each task
-returns k per query, and the best k of these are the result.
+by the exact product of the original vectors in double precision. So is every
+other row whose estimate plus its stored error (times the query's norm) reaches
+the k-th of these, so no row of the k best is lost. Equal vectors are one row
+with their k + 1 least ids. Each task returns k per query, and the best k of
+these are the result.
 
 Codes are fitted on a sample of about ``SAMPLE`` vectors; all are indexed.
 Defined cases: unusable vectors (see ``_vectors``) and rows without an id take
@@ -98,26 +101,32 @@ def encode(x: np.ndarray, books: np.ndarray, beam: int = BEAM) -> np.ndarray:
 def _encoded(batches: Iterator[pa.RecordBatch], shared, kind: str) -> Iterator[pa.RecordBatch]:
     books = shared.value
     for batch in batches:
-        v = matrix(batch.column(1), kind, books.shape[2])
+        v = matrix(batch.column(0), kind, books.shape[2])
         codes = encode(v, books)
         again = sum(books[m][codes[:, m]] for m in range(len(books)))
         norms = np.stack([np.linalg.norm(v, axis=1), np.linalg.norm(again, axis=1)], 1)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([c.tobytes() for c in codes.astype(np.uint8)], pa.binary()), pa.array([x.tobytes() for x in norms], pa.binary())], ["vec_id", "vec", "code", "norms"])
+        scaled = again * (norms[:, 0] / np.maximum(norms[:, 1], 1e-12))[:, None]
+        norms = np.concatenate([norms, np.linalg.norm(v - scaled, axis=1)[:, None]], 1)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([c.tobytes() for c in codes.astype(np.uint8)], pa.binary()), pa.array([x.tobytes() for x in norms], pa.binary())], ["vec", "ids", "code", "norms"])
 
 
 def _searched(batches: Iterator[pa.RecordBatch], shared, kind: str, k: int, rerank: int) -> Iterator[pa.RecordBatch]:
     books = shared.value
     m, words, dim = books.shape
+    reach = np.linalg.norm(books, axis=2).max(1).sum()
     for tile in runs(batches, ["query_block", "split"]):
         asks = np.asarray(tile.column("asks").to_numpy(), bool)
         q_rows, c_rows = tile.filter(pa.array(asks)), tile.filter(pa.array(~asks))
         if not len(q_rows) or not len(c_rows):
             continue
         q, q_ids = matrix(q_rows.column("vec").combine_chunks(), kind, dim), q_rows.column("vec_id").to_numpy()
-        v, ids = matrix(c_rows.column("vec").combine_chunks(), kind, dim), c_rows.column("vec_id").to_numpy()
+        v, copies = matrix(c_rows.column("vec").combine_chunks(), kind, dim), c_rows.column("ids").to_pylist()
+        alone = {ids[0]: at for at, ids in enumerate(copies) if len(set(ids)) == 1}
         codes = np.frombuffer(b"".join(c_rows.column("code").to_pylist()), np.uint8).reshape(-1, m)
-        norms = np.frombuffer(b"".join(c_rows.column("norms").to_pylist()), np.float64).reshape(-1, 2)
+        norms = np.frombuffer(b"".join(c_rows.column("norms").to_pylist()), np.float64).reshape(-1, 3)
         scale = (norms[:, 0] / np.maximum(norms[:, 1], 1e-12)).astype(np.float32)
+        # The stored error, and what rounding of the tables' entries and sums in single precision adds.
+        slack = (norms[:, 2] + 1e-5 * (norms[:, 0] + reach * scale)).astype(np.float32) * np.float32(1.0001)
         out_ids, out_scores = [], []
         for low in range(0, len(q), 256):
             own, own_ids = q[low : low + 256], q_ids[low : low + 256]
@@ -126,15 +135,27 @@ def _searched(batches: Iterator[pa.RecordBatch], shared, kind: str, k: int, rera
             for b in range(1, m):
                 guess += tables[b][codes[:, b]]
             guess *= scale[:, None]
-            guess[ids[:, None] == own_ids[None, :]] = -np.inf
-            width = min(rerank, len(ids))
             for c, vector in enumerate(own):
+                mine, at = own_ids[c], alone.get(own_ids[c])
+                if at is not None:
+                    guess[at, c] = -np.inf
+                width = min(max(rerank, k + 1), len(v))
                 best = np.argpartition(-guess[:, c], width - 1)[:width]
-                best = best[ids[best] != own_ids[c]]
-                exact = v[best] @ vector
-                order = np.lexsort((ids[best], -exact))[:k]
-                out_ids.append(ids[best][order].tolist())
-                out_scores.append(exact[order].tolist())
+                best = best[best != at] if at is not None else best
+                exact = np.einsum("ij,j->i", v[best], vector)
+                if len(best) >= k:
+                    # No row below this bound can come before the k-th of those.
+                    least = np.partition(exact, len(exact) - k)[len(exact) - k]
+                    bound = guess[:, c] + slack * np.float32(np.linalg.norm(vector))
+                    best = np.flatnonzero(bound >= np.float32(least - 1e-6 * abs(least)))
+                    exact = np.einsum("ij,j->i", v[best], vector)
+                    if len(exact) > k:
+                        top = exact >= np.partition(exact, len(exact) - k)[len(exact) - k]
+                        best, exact = best[top], exact[top]
+                found = [(-score, i) for row, score in zip(best.tolist(), exact.tolist(), strict=True) for i in copies[row] if i != mine]
+                found = sorted(found)[:k]
+                out_ids.append([i for _, i in found])
+                out_scores.append([-score for score, _ in found])
         yield pa.RecordBatch.from_arrays([pa.array(q_ids), pa.array(out_ids, pa.list_(pa.int64())), pa.array(out_scores, pa.list_(pa.float64()))], ["query_id", "ids", "scores"])
 
 
@@ -145,17 +166,21 @@ def search(table: DataFrame, queries: F.Column, vector: str = "embedding", k: in
     drawn, total = sample(rows, dim, kind, SAMPLE, seed=2)
     context = table.sparkSession.sparkContext
     shared = context.broadcast(fit(drawn) if len(drawn) else np.zeros((BOOKS, WORDS, max(dim, 1))))
-    index = stored(rows.mapInArrow(lambda it: _encoded(it, shared, kind), "vec_id long, vec binary, code binary, norms binary"), "index")
-    asked = index.where(queries).groupBy("vec_id").agg(F.min("vec").alias("vec"))
+    # Of equal vectors the k + 1 least ids are all that k neighbours other than the query can need.
+    order = F.dense_rank().over(Window.partitionBy("vec").orderBy("vec_id"))
+    copies = rows.withColumn("nth", order).where(F.col("nth") <= k + 1).groupBy("vec", "vec_id").agg(F.count("*").alias("n"))
+    copies = copies.groupBy("vec").agg(F.flatten(F.sort_array(F.collect_list(F.array_repeat("vec_id", F.least("n", F.lit(k)).cast("int"))))).alias("ids"))
+    index = stored(copies.mapInArrow(lambda it: _encoded(it, shared, kind), "vec binary, ids array<long>, code binary, norms binary"), "index")
+    asked = rows.where(queries).groupBy("vec_id").agg(F.min("vec").alias("vec"))
     n_asked = asked.count()
     # Blocks of bounded size; with few rows, small enough to keep all executors busy.
     splits = max(1, -(-total // min(65536, max(512, -(-total // 24)))))
     blocks = max(1, -(-n_asked // min(4096, max(128, -(-n_asked // 4)))))
     dealt = lambda n, seed: F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    ask = asked.select(F.lit(True).alias("asks"), dealt(blocks, 5).alias("query_block"), every(splits).alias("split"), "vec_id", "vec", F.lit(None).cast("binary").alias("code"), F.lit(None).cast("binary").alias("norms"))
-    held = index.select(F.lit(False).alias("asks"), every(blocks).alias("query_block"), dealt(splits, 6).alias("split"), "vec_id", "vec", "code", "norms")
-    tiles = ask.unionByName(held).repartition("query_block", "split").sortWithinPartitions("query_block", "split")
+    ask = asked.select(F.lit(True).alias("asks"), dealt(blocks, 5).alias("query_block"), every(splits).alias("split"), "vec_id", "vec", F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("binary").alias("code"), F.lit(None).cast("binary").alias("norms"))
+    held = index.withColumn("vec_id", F.col("ids")[0]).select(F.lit(False).alias("asks"), every(blocks).alias("query_block"), dealt(splits, 6).alias("split"), "vec_id", "vec", "ids", "code", "norms")
+    tiles = ask.unionByName(held).repartition("query_block", "split").sortWithinPartitions("query_block", "split", "vec_id", "vec")
     found = tiles.mapInArrow(lambda it: _searched(it, shared, kind, k, rerank), "query_id long, ids array<long>, scores array<double>")
     best = found.select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("x")).select("query_id", F.col("x.ids").alias("vec_id"), F.col("x.scores").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))

@@ -109,6 +109,24 @@ def test_ann_recall(spark, vectors):
     assert ann.search(frame.limit(3), F.col("vec_id") % 20 == 0).count() == 2
 
 
+def test_ann_finds_all_in_a_hot_group(spark):
+    """Two groups of a third of the rows each, near copies and exact copies: more than a block reranks."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((3000, 24)).astype(np.float32)
+    x[:1000] = x[0] + 0.05 * rng.standard_normal((1000, 24))
+    x[1000:2000] = x[1000]
+    ids = rng.permutation(3000)
+    frame = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<float>")
+    out = ann.search(frame, F.col("vec_id") % 20 == 0).toPandas()
+    table = x.astype(float)[np.argsort(ids)]
+    for q in range(0, 3000, 20):
+        s = np.einsum("ij,j->i", table, table[q])
+        s[q] = -np.inf
+        assert out[out.query_id == q].sort_values("rank").vec_id.tolist() == np.lexsort((np.arange(3000), -s))[:20].tolist()
+
+
 def test_beam_search_beats_greedy_coding():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((500, 16))
