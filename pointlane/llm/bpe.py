@@ -12,8 +12,10 @@ Words are what the tokenizer file's byte-level pattern splits off; strings of
 added tokens in a text become their ids first, as the tokenizers library does
 by default. Decoding joins the tokens' bytes and replaces invalid UTF-8.
 
-Defined cases: a null text counts as empty (0 tokens); very long texts and
-words only cost time in proportion; further columns pass through untouched.
+Defined cases: a null text counts as empty (0 tokens); a long text is encoded
+by stretches and a long word keeps two numbers a byte until its ids are read
+back, so both cost time and memory in proportion; further columns pass through
+untouched. A tokenizer file that asks for other steps is refused.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,8 @@ CHUNK = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
 PLAIN = re.compile(r"( ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u02AF]+)([.,;:!?]+)?")
 #: Bytes of text whose words are put into one trie; words whose ids, and token pairs whose fit, are kept between tries.
 TRIE_BYTES, CACHED_WORDS, CACHED_PAIRS = 2 << 20, 200_000, 400_000
+#: Chunks of one text that are encoded at once, and bytes of the longest word that is kept between tries.
+STRETCH, LONGEST_CACHED = 1 << 17, 64
 
 
 def byte_symbols() -> dict[str, int]:
@@ -49,11 +54,27 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+def supported(spec: dict) -> None:
+    """Raise where the file asks for steps that ``ByteBpe`` doesn't take."""
+    model, before = spec["model"], spec.get("pre_tokenizer") or {}
+    asked = {
+        "normalizer": spec.get("normalizer"),
+        "pre-tokenizer": before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True),
+        "decoder": (spec.get("decoder") or {}).get("type") != "ByteLevel",
+        "flags of added tokens": any(t.get(f) for t in spec.get("added_tokens", []) for f in ("single_word", "lstrip", "rstrip", "normalized")),
+        "kind of model": model.get("type", "BPE") != "BPE",
+        **{f: model.get(f) for f in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")},
+    }
+    if odd := [name for name, is_asked in asked.items() if is_asked]:
+        raise ValueError(f"the tokenizer file asks for what byte-level BPE here doesn't do: {', '.join(odd)}")
+
+
 class ByteBpe:
     """Vocabulary and merges of a byte-level ``tokenizers`` file."""
 
     def __init__(self, spec: str) -> None:
         spec = json.loads(spec)
+        supported(spec)
         model, symbol = spec["model"], byte_symbols()
         raw = lambda s: bytes(symbol[c] for c in s)
         self.ids = {raw(s): k for s, k in model["vocab"].items()}
@@ -136,17 +157,16 @@ class ByteBpe:
 
     def encode_words(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
         """Ids (little-endian unsigned 32-bit) of distinct words, by depth-first walk of their trie."""
-        ids, tails, fits, stable, packed, out = self.ids, self.tails, self.fits, self.stable, self.packed, {}
-        # Of each prefix on the path, shortest first: its last token, that token's bytes, and all its ids.
+        ids, tails, fits, stable, out = self.ids, self.tails, self.fits, self.stable, {}
+        # Of each prefix on the path, shortest first: its last token and that token's bytes.
         path: list[int] = []
         sizes: list[int] = []
-        codes: list[bytes] = [b""]
         previous = b""
         for word in sorted(words):
             shared, most = 0, min(len(previous), len(word))
             while shared < most and previous[shared] == word[shared]:
                 shared += 1
-            del path[shared:], sizes[shared:], codes[shared + 1 :]
+            del path[shared:], sizes[shared:]
             for end in range(shared + 1, len(word) + 1):
                 # Exactly one token fits. Mostly it is the last one and a byte more.
                 size = sizes[-1] + 1 if path else 1
@@ -164,16 +184,24 @@ class ByteBpe:
                                 break
                         size -= 1
                     if not size:
-                        raise ValueError(f"the vocabulary cannot encode {word!r}")
+                        raise ValueError(f"the vocabulary cannot encode {word[:64]!r}")
                 path.append(token)
                 sizes.append(size)
-                codes.append(codes[end - size] + packed[token])
-            out[word] = codes[-1]
+            out[word] = self.read_back(path, sizes)
             previous = word
         return out
 
-    def learn(self, chunks: set[str]) -> None:
-        """Put the ids of new chunks into the cache; their distinct new words share one trie."""
+    def read_back(self, path: list[int], sizes: list[int]) -> bytes:
+        """The ids of a whole path: its last token, the last token of what precedes that one, and so on."""
+        end, found, packed = len(path), [], self.packed
+        while end:
+            found.append(packed[path[end - 1]])
+            end -= sizes[end - 1]
+        found.reverse()
+        return b"".join(found)
+
+    def learn(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of new chunks, whose distinct new words share one trie. Short ones are kept; the long ones are returned."""
         if len(self.chunks) > CACHED_WORDS:
             self.chunks.clear()
         if len(self.words) > CACHED_WORDS:
@@ -190,26 +218,42 @@ class ByteBpe:
         words = {w for parts in mixed.values() for w in parts}
         words.update(plain)
         known = self.words
-        known |= self.encode_words(words.difference(known))
+        found = self.encode_words(words.difference(known))
+        known.update((w, ids) for w, ids in found.items() if len(w) <= LONGEST_CACHED)
+        long = {}
         for word, chunk in plain.items():
-            self.chunks[chunk] = known[word]
+            (self.chunks if len(word) <= LONGEST_CACHED else long)[chunk] = found.get(word) or known[word]
         for chunk, parts in mixed.items():
-            self.chunks[chunk] = b"".join([known[w] for w in parts])
+            (self.chunks if len(chunk) <= LONGEST_CACHED else long)[chunk] = b"".join([found.get(w) or known[w] for w in parts])
+        return long
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, little-endian unsigned 32-bit."""
         parts = [[] if not t else [t] if self.at_added is None or self.at_added.search(t) is None else self.at_added.split(t) for t in texts]
+        if sum(len(t) for t in texts if t) > 2 * TRIE_BYTES:
+            return [b"".join(self.fixed[p] if k % 2 else self.stretched(p) for k, p in enumerate(ps)) for ps in parts]
         cut = [[[p] if k % 2 else CHUNK.findall(p) for k, p in enumerate(ps)] for ps in parts]
+        return self.joined(cut)
+
+    def joined(self, cut: list[list[list[str]]]) -> list[bytes]:
+        """Ids of texts that are cut into chunks, every second piece an added token's string."""
         fresh: set[str] = set()
         for pieces in cut:
             for chunks in pieces[::2]:
                 fresh.update(chunks)
         if len(self.chunks) <= CACHED_WORDS:
             fresh.difference_update(self.chunks)
-        self.learn(fresh)
-        get = self.chunks.__getitem__
+        long = self.learn(fresh)
+        get = self.chunks.__getitem__ if not long else lambda c: long[c] if c in long else self.chunks[c]
         return [b"".join(self.fixed[c[0]] if k % 2 else b"".join(map(get, c)) for k, c in enumerate(pieces)) for pieces in cut]
 
+    def stretched(self, text: str) -> bytes:
+        """Ids of a long text without added tokens, so many chunks at a time."""
+        out, chunks = bytearray(), (m[0] for m in CHUNK.finditer(text))
+        while some := list(islice(chunks, STRETCH)):
+            out += self.joined([[some]])[0]
+        return bytes(out)
+
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
