@@ -40,14 +40,26 @@ def packed(table: DataFrame, vector: str = "embedding") -> tuple[DataFrame, int,
     return stored(rows.mapInArrow(lambda it: _packed(it, dim, kind), "vec_id long, vec binary"), "vectors"), dim, kind
 
 
+def raw_matrix(column, kind: str, dim: int) -> np.ndarray:
+    """Packed vectors, none of them null, in their own precision and without a copy."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if isinstance(column, pa.ChunkedArray):
+        return np.concatenate([raw_matrix(c, kind, dim) for c in column.chunks]) if column.num_chunks else np.zeros((0, dim), kind)
+    if not len(column):
+        return np.zeros((0, dim), kind)
+    wide = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    start = int(np.frombuffer(column.buffers()[1], wide, count=column.offset + 1)[column.offset])
+    return np.frombuffer(column.buffers()[2], kind, count=len(column) * dim, offset=start).reshape(-1, dim)
+
+
 def matrix(column, kind: str, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, dim).astype(np.float64)
+    return raw_matrix(column, kind, dim).astype(np.float64)
 
 
-def sample(vectors: DataFrame, dim: int, kind: str, most: int, seed: int) -> tuple[np.ndarray, int]:
-    """(about ``most`` vectors chosen by hash, in order of id; number of all)."""
-    usable = vectors.where("vec IS NOT NULL")
-    total = usable.count()
-    drawn = usable if total <= most else usable.where(hash_fraction("vec_id", seed=seed) < most / total)
-    rows = drawn.toArrow().sort_by("vec_id")
+def sample(nodes: DataFrame, dim: int, kind: str, most: int, seed: int) -> tuple[np.ndarray, int]:
+    """(about ``most`` of the distinct vectors ``nodes``, chosen by hash, in order of their bytes; number of all)."""
+    total = nodes.count()
+    drawn = nodes.select("vec") if total <= most else nodes.select("vec").where(hash_fraction("vec", seed=seed) < most / total)
+    rows = drawn.toArrow().sort_by("vec")
     return matrix(rows.column("vec"), kind, dim), total

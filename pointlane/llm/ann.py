@@ -1,25 +1,33 @@
 """Approximate nearest neighbours by additive quantisation.
 
 A vector is coded as the sum of one word from each of ``BOOKS`` codebooks, all
-of full dimension. Books start as k-means of successive residuals of a bounded
-sample and are then refined: beam-search encoding in turn with least squares
-for all words at once. Every vector is encoded by beam search; the norms of the
-vector and of its reconstruction are stored with the code.
-
-Search: queries and coded vectors are dealt into blocks, and every pair of
-blocks is one task. There, a query's products with all words make its look-up
-table; the sum of a code's entries, scaled by the stored norms, estimates the
-inner product; the best ``rerank`` of the block by estimate are ranked again
-by the exact product of the original vectors in double precision. So is every
-other row whose estimate plus its stored error (times the query's norm) reaches
-the k-th of these, so no row of the k best is lost. Equal vectors are one row
-with their k + 1 least ids. Each task returns k per query, and the best k of
-these are the result.
-
-Codes are fitted on a sample of about ``SAMPLE`` vectors; all are indexed.
+of full dimension. The books are k-means of successive residuals of a bounded
+sample (about ``SAMPLE`` distinct vectors). Every vector is encoded by beam
+search over the residuals; the norms of the vector and of its reconstruction,
+as one scale, are stored with the code.
+
+Search: the vectors of queries, and the codes alone of the indexed vectors,
+are dealt into blocks, and every pair of blocks is one task. There, a query's
+products with all words make its look-up table; the sum of a code's entries
+times the stored scale estimates the inner product. The ``rerank`` best
+estimates of each query over all blocks are then ranked again by the exact
+product of the original vectors in double precision. This budget is one of the
+query, so neither block sizes nor the size of the table change it. As rows are
+dealt to blocks by hash, a block need only give the share of the budget that
+it may hold, by six standard deviations.
+
+Codes can't tell apart vectors that lie closer together than the quantiser
+resolves. A code that more than ``CROWD`` distinct vectors share is crowded;
+these vectors travel whole and are compared exactly with every query, and the
+best ``2 k`` of them are ranked beside the others.
+
+Equal vectors are one row with their k + 1 least ids. A query is a distinct
+(vec_id, vector); it passes over its own row once, so other rows of its id and
+repeats of it are candidates.
+
 Defined cases: unusable vectors (see ``_vectors``) and rows without an id take
-no part; of repeated query ids one vector (the least by bytes) is searched; ties go to the
-smaller vec_id; further columns are not read.
+no part; ties go to the smaller vec_id; an empty table gives no row; further
+columns are not read.
 """
 
 from __future__ import annotations
@@ -33,155 +41,189 @@ from pyspark.sql import functions as F
 
 from ._shared import stored
 from ._tiles import runs
-from ._vectors import matrix, packed, sample
+from ._vectors import packed, raw_matrix, sample
 
-BOOKS, WORDS, BEAM, SAMPLE = 8, 256, 8, 8192
+BOOKS, WORDS, BEAM, SAMPLE = 24, 256, 4, 16_384
+RERANK, CROWD = 256, 64
+#: Rows of a block of codes, of a block of queries, and queries that are ranked again together, at most.
+CODE_ROWS, QUERY_ROWS, RANK_ROWS = 1 << 16, 4096, 512
 
 
-def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> np.ndarray:
+def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 6) -> np.ndarray:
     centres = x[rng.choice(len(x), k, replace=len(x) < k)]
     for _ in range(rounds):
         near = ((centres**2).sum(1)[None] - 2 * x @ centres.T).argmin(1)
+        order = np.argsort(near, kind="stable")
         n = np.bincount(near, minlength=k)
-        sums = np.zeros_like(centres)
-        np.add.at(sums, near, x)
+        firsts = np.minimum(np.cumsum(n) - n, len(x) - 1)
+        sums = np.add.reduceat(x[order], firsts, axis=0)
         centres = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centres)
     return centres
 
 
-def fit(x: np.ndarray, books: int = BOOKS, words: int = WORDS, seed: int = 2, rounds: int = 2) -> np.ndarray:
+def fit(x: np.ndarray, books: int = BOOKS, words: int = WORDS, seed: int = 2) -> np.ndarray:
     """Codebooks (books, words, dim)."""
-    rng, rest, found = np.random.default_rng(seed), x.copy(), []
+    rng, rest, found = np.random.default_rng(seed), x.astype(np.float32), []
     for _ in range(books):
-        centres = _kmeans(rest, words, rng)
+        centres = _kmeans(rest, words, rng).astype(np.float32)
         found.append(centres)
         rest = rest - centres[((centres**2).sum(1)[None] - 2 * rest @ centres.T).argmin(1)]
-    out = np.stack(found)
-    for _ in range(rounds):
-        codes = encode(x, out)
-        at = codes + words * np.arange(books)
-        gram, right = np.zeros((books * words, books * words)), np.zeros((books * words, x.shape[1]))
-        for m in range(books):
-            np.add.at(right, at[:, m], x)
-            for k in range(books):
-                np.add.at(gram, (at[:, m], at[:, k]), 1.0)
-        gram[np.diag_indices_from(gram)] += 1e-3 * len(x) / words + 1e-9
-        right += (1e-3 * len(x) / words + 1e-9) * out.reshape(books * words, -1)
-        out = np.linalg.solve(gram, right).reshape(out.shape)
-    return out
+    return np.stack(found)
 
 
 def encode(x: np.ndarray, books: np.ndarray, beam: int = BEAM) -> np.ndarray:
-    """Codes (n, books) of small squared error: beam search over the books in turn."""
-    m, k, _ = books.shape
-    flat = books.reshape(m * k, -1)
-    cross = flat @ flat.T
-    out = np.empty((len(x), m), np.int64)
-    for low in range(0, len(x), 1024):
-        part = x[low : low + 1024]
+    """Codes (n, books) of small squared error: beam search over the books in turn, by what is left of the vector."""
+    m, k, dim = books.shape
+    squares = (books**2).sum(2)
+    out = np.empty((len(x), m), np.uint8)
+    for low in range(0, len(x), 512):
+        part = x[low : low + 512].astype(np.float32)
         n = len(part)
-        product = part @ flat.T
-        codes, error = np.zeros((n, 1, 0), np.int64), np.zeros((n, 1))
+        rest, codes = part[:, None, :], np.zeros((n, 1, 0), np.uint8)
+        error = (rest**2).sum(2)
         for b in range(m):
-            own = slice(b * k, (b + 1) * k)
-            # growth of |x - s|^2 by one more word c: |c|^2 - 2 x.c + 2 s.c
-            gain = error[:, :, None] + np.diag(cross)[own] - 2 * product[:, None, own]
-            for e in range(b):
-                gain += 2 * cross[e * k + codes[:, :, e], own]
+            width = rest.shape[1]
+            gain = error[:, :, None] + squares[b] - 2 * (rest.reshape(n * width, dim) @ books[b].T).reshape(n, width, k)
             gain = gain.reshape(n, -1)
-            width = min(beam, gain.shape[1])
-            best = np.argpartition(gain, width - 1, axis=1)[:, :width]
+            most = min(beam, gain.shape[1])
+            best = np.argpartition(gain, most - 1, axis=1)[:, :most]
             error = np.take_along_axis(gain, best, 1)
             before, word = best // k, best % k
-            codes = np.concatenate([np.take_along_axis(codes, before[:, :, None], 1), word[:, :, None]], 2)
-        out[low : low + 1024] = codes[np.arange(n), error.argmin(1)]
+            rest = np.take_along_axis(rest, before[:, :, None], 1) - books[b][word]
+            codes = np.concatenate([np.take_along_axis(codes, before[:, :, None], 1), word[:, :, None].astype(np.uint8)], 2)
+        out[low : low + 512] = codes[np.arange(n), error.argmin(1)]
+    return out
+
+
+def decoded(codes: np.ndarray, books: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(codes), books.shape[2]), np.float32)
+    for m in range(len(books)):
+        out += books[m][codes[:, m]]
     return out
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], shared, kind: str) -> Iterator[pa.RecordBatch]:
     books = shared.value
     for batch in batches:
-        v = matrix(batch.column(0), kind, books.shape[2])
+        v = raw_matrix(batch.column(2), kind, books.shape[2])
         codes = encode(v, books)
-        again = sum(books[m][codes[:, m]] for m in range(len(books)))
-        norms = np.stack([np.linalg.norm(v, axis=1), np.linalg.norm(again, axis=1)], 1)
-        scaled = again * (norms[:, 0] / np.maximum(norms[:, 1], 1e-12))[:, None]
-        norms = np.concatenate([norms, np.linalg.norm(v - scaled, axis=1)[:, None]], 1)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([c.tobytes() for c in codes.astype(np.uint8)], pa.binary()), pa.array([x.tobytes() for x in norms], pa.binary())], ["vec", "ids", "code", "norms"])
+        norms = np.linalg.norm(v.astype(np.float64), axis=1), np.linalg.norm(decoded(codes, books), axis=1)
+        scale = (norms[0] / np.maximum(norms[1], 1e-12)).astype(np.float32)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(scale)], ["first", "node", "vec", "ids", "code", "scale"])
+
+
+def share(rerank: int, splits: int) -> int:
+    """Of a query's ``rerank`` best, how many one of so many blocks dealt by hash holds at most (but for a chance below 1e-8)."""
+    mean = rerank / splits
+    return min(rerank, int(np.ceil(mean + 6 * mean**0.5 + 12)))
+
+
+def _best(guess: np.ndarray, width: int) -> np.ndarray:
+    """Rows of the ``width`` largest of each column."""
+    width = min(width, len(guess))
+    return np.argpartition(-guess, width - 1, axis=0)[:width]
 
 
-def _searched(batches: Iterator[pa.RecordBatch], shared, kind: str, k: int, rerank: int) -> Iterator[pa.RecordBatch]:
+def _searched(batches: Iterator[pa.RecordBatch], shared, kind: str, width: int, crowd_width: int) -> Iterator[pa.RecordBatch]:
+    """Of each query of a block, the best rows of a block of codes by estimate, and of its crowded vectors by product."""
     books = shared.value
     m, words, dim = books.shape
-    reach = np.linalg.norm(books, axis=2).max(1).sum()
     for tile in runs(batches, ["query_block", "split"]):
-        asks = np.asarray(tile.column("asks").to_numpy(), bool)
-        q_rows, c_rows = tile.filter(pa.array(asks)), tile.filter(pa.array(~asks))
-        if not len(q_rows) or not len(c_rows):
-            continue
-        q, q_ids = matrix(q_rows.column("vec").combine_chunks(), kind, dim), q_rows.column("vec_id").to_numpy()
-        v, copies = matrix(c_rows.column("vec").combine_chunks(), kind, dim), c_rows.column("ids").to_pylist()
-        alone = {ids[0]: at for at, ids in enumerate(copies) if len(set(ids)) == 1}
-        codes = np.frombuffer(b"".join(c_rows.column("code").to_pylist()), np.uint8).reshape(-1, m)
-        norms = np.frombuffer(b"".join(c_rows.column("norms").to_pylist()), np.float64).reshape(-1, 3)
-        scale = (norms[:, 0] / np.maximum(norms[:, 1], 1e-12)).astype(np.float32)
-        # The stored error, and what rounding of the tables' entries and sums in single precision adds.
-        slack = (norms[:, 2] + 1e-5 * (norms[:, 0] + reach * scale)).astype(np.float32) * np.float32(1.0001)
-        out_ids, out_scores = [], []
-        for low in range(0, len(q), 256):
-            own, own_ids = q[low : low + 256], q_ids[low : low + 256]
-            tables = (books.reshape(m * words, dim) @ own.T).astype(np.float32).reshape(m, words, len(own))
-            guess = tables[0][codes[:, 0]]
-            for b in range(1, m):
-                guess += tables[b][codes[:, b]]
-            guess *= scale[:, None]
-            for c, vector in enumerate(own):
-                mine, at = own_ids[c], alone.get(own_ids[c])
-                if at is not None:
-                    guess[at, c] = -np.inf
-                width = min(max(rerank, k + 1), len(v))
-                best = np.argpartition(-guess[:, c], width - 1)[:width]
-                best = best[best != at] if at is not None else best
-                exact = np.einsum("ij,j->i", v[best], vector)
-                if len(best) >= k:
-                    # No row below this bound can come before the k-th of those.
-                    least = np.partition(exact, len(exact) - k)[len(exact) - k]
-                    bound = guess[:, c] + slack * np.float32(np.linalg.norm(vector))
-                    best = np.flatnonzero(bound >= np.float32(least - 1e-6 * abs(least)))
-                    exact = np.einsum("ij,j->i", v[best], vector)
-                    if len(exact) > k:
-                        top = exact >= np.partition(exact, len(exact) - k)[len(exact) - k]
-                        best, exact = best[top], exact[top]
-                found = [(-score, i) for row, score in zip(best.tolist(), exact.tolist(), strict=True) for i in copies[row] if i != mine]
-                found = sorted(found)[:k]
-                out_ids.append([i for _, i in found])
-                out_scores.append([-score for score, _ in found])
-        yield pa.RecordBatch.from_arrays([pa.array(q_ids), pa.array(out_ids, pa.list_(pa.int64())), pa.array(out_scores, pa.list_(pa.float64()))], ["query_id", "ids", "scores"])
-
-
-def search(table: DataFrame, queries: F.Column, vector: str = "embedding", k: int = 20, rerank: int = 96) -> DataFrame:
+        kinds = tile.column("kind").to_numpy()
+        asks, coded, whole = (tile.filter(pa.array(kinds == k)) for k in (0, 1, 2))
+        q = raw_matrix(asks.column("vec"), kind, dim)
+        codes = raw_matrix(coded.column("code"), "u1", m)
+        scale = coded.column("scale").to_numpy()
+        crowd = raw_matrix(whole.column("vec"), kind, dim)
+        for low in range(0, len(q), 128):
+            own = q[low : low + 128]
+            found = []
+            if len(codes):
+                tables = (books.reshape(m * words, dim) @ own.T.astype(np.float32)).reshape(m, words, len(own))
+                guess = tables[0][codes[:, 0]]
+                for b in range(1, m):
+                    guess += tables[b][codes[:, b]]
+                guess *= scale[:, None]
+                found.append((coded, _best(guess, width), guess, False))
+            best = score = None
+            for at in range(0, len(crowd), 4096):
+                product = crowd[at : at + 4096].astype(np.float64) @ own.T.astype(np.float64)
+                top = _best(product, crowd_width)
+                new = np.take_along_axis(product, top, 0)
+                best, score = (top + at, new) if best is None else (np.concatenate([best, top + at]), np.concatenate([score, new]))
+                top = _best(score, crowd_width)
+                best, score = np.take_along_axis(best, top, 0), np.take_along_axis(score, top, 0)
+            if best is not None:
+                found.append((whole, best, None, True))
+            for rows, top, values, sure in found:
+                estimate = score if values is None else np.take_along_axis(values, top, 0)
+                which = np.repeat(np.arange(low, low + len(own)), len(top))
+                flat = top.T.ravel()
+                columns = [*[asks.column(c).take(pa.array(which)).combine_chunks() for c in ("first", "node")], *[rows.column(c).take(pa.array(flat)).combine_chunks() for c in ("first", "node")]]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(estimate.T.ravel().astype(np.float64)), pa.array(np.full(len(flat), sure))], ["query_id", "query_node", "first", "node", "estimate", "sure"])
+
+
+def _ranked(batches: Iterator[pa.RecordBatch], kind: str, dim: int, k: int) -> Iterator[pa.RecordBatch]:
+    """Exact products of the candidates of a group of queries, and each query's k nearest rows."""
+    for tile in runs(batches, ["grp"]):
+        asks_here = tile.column("ask").to_numpy()
+        asks, held = tile.filter(pa.array(asks_here)), tile.filter(pa.array(~asks_here))
+        v, copies = raw_matrix(held.column("vec"), kind, dim), held.column("ids")
+        place = {key: at for at, key in enumerate(zip(held.column("first").to_pylist(), held.column("node").to_pylist(), strict=True))}
+        q = raw_matrix(asks.column("vec"), kind, dim).astype(np.float64)
+        out = []
+        for c, (query_id, query_node, wanted) in enumerate(zip(asks.column("first").to_pylist(), asks.column("node").to_pylist(), asks.column("wanted").to_pylist(), strict=True)):
+            rows = np.array([place[w["first"], w["node"]] for w in wanted], np.int64)
+            exact = np.einsum("ij,j->i", v[rows].astype(np.float64), q[c])
+            if len(rows) > k + 1:
+                keep = exact >= np.partition(exact, len(exact) - k - 1)[len(exact) - k - 1]
+                rows, exact = rows[keep], exact[keep]
+            found, own = [], q[c]
+            for row, score in zip(rows.tolist(), exact.tolist(), strict=True):
+                ids = copies[row].as_py()
+                if query_id in ids and (v[row] == own).all():
+                    ids.remove(query_id)
+                found += [(-score, i) for i in ids]
+            out += [(query_id, query_node, rank, i, -score) for rank, (score, i) in enumerate(sorted(found)[:k], 1)]
+        columns = list(zip(*out, strict=True)) or [[]] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.float64()), strict=True)], ["query_id", "query_node", "rank", "vec_id", "score"])
+
+
+def search(table: DataFrame, queries: F.Column, vector: str = "embedding", k: int = 20, rerank: int = RERANK) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found, by inner product, of every row that ``queries`` (a condition on vec_id) selects."""
     rows, dim, kind = packed(table, vector)
     rows = rows.where("vec IS NOT NULL AND vec_id IS NOT NULL")
-    drawn, total = sample(rows, dim, kind, SAMPLE, seed=2)
-    context = table.sparkSession.sparkContext
-    shared = context.broadcast(fit(drawn) if len(drawn) else np.zeros((BOOKS, WORDS, max(dim, 1))))
-    # Of equal vectors the k + 1 least ids are all that k neighbours other than the query can need.
-    order = F.dense_rank().over(Window.partitionBy("vec").orderBy("vec_id"))
-    copies = rows.withColumn("nth", order).where(F.col("nth") <= k + 1).groupBy("vec", "vec_id").agg(F.count("*").alias("n"))
-    copies = copies.groupBy("vec").agg(F.flatten(F.sort_array(F.collect_list(F.array_repeat("vec_id", F.least("n", F.lit(k)).cast("int"))))).alias("ids"))
-    index = stored(copies.mapInArrow(lambda it: _encoded(it, shared, kind), "vec binary, ids array<long>, code binary, norms binary"), "index")
-    asked = rows.where(queries).groupBy("vec_id").agg(F.min("vec").alias("vec"))
+    # Of equal vectors the k + 1 least rows are all that k neighbours other than the query can need.
+    least = rows.withColumn("nth", F.row_number().over(Window.partitionBy("vec").orderBy("vec_id"))).where(F.col("nth") <= k + 1)
+    nodes = least.groupBy("vec").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    nodes = stored(nodes.select(F.col("ids")[0].alias("first"), F.xxhash64("vec").alias("node"), "vec", "ids"), "nodes")
+    drawn, total = sample(nodes, dim, kind, SAMPLE, seed=2)
+    shared = table.sparkSession.sparkContext.broadcast(fit(drawn) if len(drawn) else np.zeros((BOOKS, WORDS, max(dim, 1)), np.float32))
+    index = stored(nodes.mapInArrow(lambda it: _encoded(it, shared, kind), "first long, node long, vec binary, ids array<long>, code binary, scale float"), "index")
+    asked = stored(rows.where(queries).select(F.col("vec_id").alias("first"), F.xxhash64("vec").alias("node"), "vec").distinct(), "asked")
     n_asked = asked.count()
-    # Blocks of bounded size; with few rows, small enough to keep all executors busy.
-    splits = max(1, -(-total // min(65536, max(512, -(-total // 24)))))
-    blocks = max(1, -(-n_asked // min(4096, max(128, -(-n_asked // 4)))))
-    dealt = lambda n, seed: F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(n)).cast("int")
+    splits, blocks = max(1, -(-total // CODE_ROWS)), max(1, -(-n_asked // min(QUERY_ROWS, max(128, -(-n_asked // 12)))))
+    dealt = lambda n, seed: F.pmod(F.xxhash64(F.lit(seed), "first", "node"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    ask = asked.select(F.lit(True).alias("asks"), dealt(blocks, 5).alias("query_block"), every(splits).alias("split"), "vec_id", "vec", F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("binary").alias("code"), F.lit(None).cast("binary").alias("norms"))
-    held = index.withColumn("vec_id", F.col("ids")[0]).select(F.lit(False).alias("asks"), every(blocks).alias("query_block"), dealt(splits, 6).alias("split"), "vec_id", "vec", "ids", "code", "norms")
-    tiles = ask.unionByName(held).repartition("query_block", "split").sortWithinPartitions("query_block", "split", "vec_id", "vec")
-    found = tiles.mapInArrow(lambda it: _searched(it, shared, kind, k, rerank), "query_id long, ids array<long>, scores array<double>")
-    best = found.select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("x")).select("query_id", F.col("x.ids").alias("vec_id"), F.col("x.scores").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ask = asked.select(F.lit(0).alias("kind"), dealt(blocks, 5).alias("query_block"), every(splits).alias("split"), "first", "node", "vec", F.lit(None).cast("binary").alias("code"), F.lit(None).cast("float").alias("scale"))
+    # Codes alone travel, but for the vectors of crowded codes.
+    crowded = index.groupBy(F.col("code").alias("crowded")).agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("crowded")
+    held = index.join(crowded, F.col("code") == F.col("crowded"), "left").withColumn("sure", F.col("crowded").isNotNull())
+    held = held.select(F.when(F.col("sure"), 2).otherwise(1).alias("kind"), dealt(splits, 6).alias("split"), "first", "node", F.when(F.col("sure"), F.col("vec")).alias("vec"), F.when(~F.col("sure"), F.col("code")).alias("code"), "scale")
+    held = held.select("kind", every(blocks).alias("query_block"), "split", "first", "node", "vec", "code", "scale")
+    tile = ["query_block", "split"]
+    tiles = ask.unionByName(held).repartition(*tile).sortWithinPartitions(*tile, "kind", "first", "node")
+    found = tiles.mapInArrow(lambda it: _searched(it, shared, kind, share(rerank, splits), 2 * k), "query_id long, query_node long, first long, node long, estimate double, sure boolean")
+    place = F.row_number().over(Window.partitionBy("query_id", "query_node", "sure").orderBy(F.desc("estimate"), "first", "node"))
+    budget = F.when(F.col("sure"), 2 * k).otherwise(rerank)
+    groups = max(1, -(-n_asked // min(RANK_ROWS, max(64, -(-n_asked // 12)))))
+    grp = F.pmod(F.xxhash64(F.lit(7), "query_id", "query_node"), F.lit(groups)).cast("int")
+    pairs = stored(found.withColumn("place", place).where(F.col("place") <= budget).select(grp.alias("grp"), "query_id", "query_node", "first", "node"), "pairs")
+    needed = pairs.select("grp", F.col("first").alias("f"), F.col("node").alias("n")).distinct()
+    needed = needed.join(index.select("first", "node", "vec", "ids"), (F.col("f") == F.col("first")) & (F.col("n") == F.col("node")))
+    needed = needed.select("grp", F.lit(False).alias("ask"), "first", "node", "vec", "ids", F.lit(None).cast("array<struct<first:long,node:long>>").alias("wanted"))
+    wanted = pairs.groupBy("grp", "query_id", "query_node").agg(F.collect_list(F.struct("first", "node")).alias("wanted"))
+    wanted = wanted.join(asked, (F.col("query_id") == F.col("first")) & (F.col("query_node") == F.col("node")))
+    wanted = wanted.select("grp", F.lit(True).alias("ask"), "first", "node", "vec", F.lit(None).cast("array<long>").alias("ids"), "wanted")
+    again = needed.unionByName(wanted).repartition("grp").sortWithinPartitions("grp", "ask", "first", "node")
+    return again.mapInArrow(lambda it: _ranked(it, kind, dim, k), "query_id long, query_node long, rank int, vec_id long, score double").drop("query_node")
