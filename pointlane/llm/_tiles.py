@@ -64,6 +64,36 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(held)
 
 
+def stretches(batches: Iterator[pa.RecordBatch], keys: list[str], least: int = 16_384) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """(rows of whole runs of equal keys, first row of each run), of several runs at once where these are small."""
+
+    def changes(table: pa.Table) -> np.ndarray:
+        new = np.ones(table.num_rows, bool)
+        new[1:] = False
+        for k in keys:
+            c = table.column(k).to_numpy()
+            new[1:] |= c[1:] != c[:-1]
+        return np.flatnonzero(new)
+
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+        if size >= least:
+            table = pa.Table.from_batches(held).combine_chunks()
+            starts = changes(table)
+            held, size = table.to_batches(), table.num_rows
+            if len(starts) > 1:  # the last run may go on
+                yield table.slice(0, int(starts[-1])), starts[:-1]
+                rest = table.slice(int(starts[-1])).combine_chunks()
+                held, size = rest.to_batches(), rest.num_rows
+            least = max(least, 2 * size)
+    if size:
+        table = pa.Table.from_batches(held).combine_chunks()
+        yield table, changes(table)
+
+
 class Forest:
     """Union-find over positions 0 to n - 1."""
 

@@ -7,22 +7,27 @@ documents link if 100 * |intersection| >= percent * |union|.
 
 1. One pass gives each document its set's size, a 128-bit fingerprint and a
    signature of ``HASHES`` minima. Equal sets are one node from here on.
-2. Bands of the signature; a bucket's members all meet its smallest. Documents
-   that meet, over any number of steps, form a search group.
-3. Pairs within a search group run as bounded tiles (``_tiles``). Of those
-   that share a band, agreement is counted in batches of ``BATCH`` minima:
-   under a uniform prior the similarity then has a Beta posterior, and a pair
-   is pruned once the chance of its reaching the threshold is below ``miss``.
-   Survivors not connected yet are verified on their full sets, best first.
-   A tile gives back a spanning forest of its links, never all pairs.
-4. Connected components of the links.
+2. Bands of the signature; of buckets with the same members one is kept.
+3. Pairs within a bucket run as bounded tiles (``_tiles``) over signatures
+   alone, cut to 16 bits a minimum, which can only add agreement: it is counted
+   in batches of ``BATCH`` minima. Under a uniform prior the similarity then has
+   a Beta posterior, and a pair is pruned once the chance of its reaching the
+   threshold is below ``miss``. A tile gives back a spanning forest of its
+   survivors; documents that survivors connect form a search group, so a chain
+   of loose bucket mates forms none.
+4. Only members of search groups fetch their full sets. Pairs of a group that
+   share a band and pass the same test on whole minima are verified exactly,
+   best first, unless links found already connect them. A tile gives back a
+   spanning forest of its links, never all pairs.
+5. Connected components of the links.
 
 Bands are chosen so that a pair at the threshold shares none with probability
 ``band_miss`` at most. No bucket, group or text is cut or capped.
 
 Defined cases: rows without an id link with nothing (component null, kept);
 rows of one id are one node; repeated rows get equal results; null and empty
-texts have n_shingles 0; further columns are not read.
+texts have n_shingles 0; an empty table gives no row; further columns are not
+read.
 """
 
 from __future__ import annotations
@@ -38,7 +43,8 @@ from pyspark.sql import functions as F
 from ._components import connected_components
 from ._shared import stored
 from ._text import mix64, slices, text_bytes, word_hashes
-from ._tiles import Forest, dealt, runs
+from ._tiles import dealt, runs, stretches
+from ._vectors import raw_matrix
 
 HASHES, BATCH = 128, 16
 _RNG = np.random.default_rng(6)
@@ -101,13 +107,72 @@ def least_matches(percent: int, miss: float) -> list[int]:
 
 def _sketch(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sizes, key1, key2, signatures = [], [], [], []
+        sizes, key1, key2, signatures, shorts = [], [], [], [], []
         for s in shingle_sets(batch.column(1), width):
             sizes.append(len(s))
             key1.append(int(mix64(s).sum(dtype=np.uint64).astype(np.int64)) if len(s) else 0)
             key2.append(int(mix64(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).astype(np.int64)) if len(s) else 0)
-            signatures.append(signature(s).tobytes() if len(s) else None)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(key1, pa.int64()), pa.array(key2, pa.int64()), pa.array(signatures, pa.binary())], ["doc_id", "n_shingles", "key1", "key2", "sig"])
+            sig = signature(s) if len(s) else None
+            signatures.append(None if sig is None else sig.tobytes())
+            shorts.append(None if sig is None else sig.astype("<u2").tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(key1, pa.int64()), pa.array(key2, pa.int64()), pa.array(signatures, pa.binary()), pa.array(shorts, pa.binary())], ["doc_id", "n_shingles", "key1", "key2", "sig", "short"])
+
+
+def alive(sig: np.ndarray, sizes: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int, least: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(positions of the pairs (x, y) that no batch of minima prunes, their matches); also pruned: sets too unlike in size."""
+    # |A| / |B| bounds the similarity of sets of these sizes.
+    at = np.flatnonzero(100 * np.minimum(sizes[x], sizes[y]) >= percent * np.maximum(sizes[x], sizes[y]))
+    same = np.zeros(len(at), np.int64)
+    for low in range(0, HASHES, BATCH):
+        same += (sig[x[at], low : low + BATCH] == sig[y[at], low : low + BATCH]).sum(1)
+        keep = same >= least[low + BATCH]
+        at, same = at[keep], same[keep]
+    return at, same
+
+
+def _pruned(batches: Iterator[pa.RecordBatch], percent: int, least: list[int]) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of the surviving pairs of each tile."""
+    for table, starts in stretches(batches, ["bucket", "tile_i", "tile_j"]):
+        a, b = survivors_of(table, starts, percent, least)
+        nodes = table.column("node").to_numpy()
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[a]), pa.array(nodes[b])], ["a", "b"])
+
+
+def survivors_of(table: pa.Table, starts: np.ndarray, percent: int, least: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    sig, sizes = raw_matrix(table.column("short"), "<u2", HASHES), table.column("n_shingles").to_numpy()
+    chunk = table.column("chunk").to_numpy()
+    lone = table.column("tile_i").to_numpy() == table.column("tile_j").to_numpy()
+    ends = np.append(starts[1:], table.num_rows)
+    small = ends - starts <= 32
+    a_out, b_out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    # Small tiles all at once: every row with the one so many rows further on.
+    end_of = np.repeat(np.where(small, ends, 0), ends - starts)
+    row = np.arange(table.num_rows)
+    for step in range(1, 32):
+        x = row[row + step < end_of]
+        if not len(x):
+            break
+        x = x[lone[x] | (chunk[x] != chunk[x + step])]
+        for at in range(0, len(x), 1 << 16):
+            part = x[at : at + (1 << 16)]
+            keep, _ = alive(sig, sizes, part, part + step, percent, least)
+            a_out.append(part[keep])
+            b_out.append(part[keep] + step)
+    for low, high in zip(starts[~small].tolist(), ends[~small].tolist(), strict=True):
+        rows = np.arange(low, high)
+        left = rows if lone[low] else rows[chunk[rows] == table.column("tile_i")[low].as_py()]
+        right = rows if lone[low] else rows[chunk[rows] == table.column("tile_j")[low].as_py()]
+        part = np.arange(high - low)  # the component of each row so far
+        for x in left.tolist():
+            y = right[right > x] if lone[low] else right
+            y = y[part[y - low] != part[x - low]]
+            keep, _ = alive(sig, sizes, np.full(len(y), x), y, percent, least)
+            if len(keep):
+                met, firsts = np.unique(part[y[keep] - low], return_index=True)
+                a_out.append(np.full(len(met), x))
+                b_out.append(y[keep][firsts])
+                part[np.isin(part, met)] = part[x - low]
+    return np.concatenate(a_out), np.concatenate(b_out)
 
 
 def _members(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -134,50 +199,43 @@ def link_tile(tile: pa.Table, percent: int, bands: int, rows: int, least: list[i
     right = left if i == j else np.flatnonzero(chunk == j)
     band = sig[:, : bands * rows].reshape(len(sig), bands, rows)
     band = (band.astype(np.uint64) * (np.arange(1, rows + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1))).sum(2, dtype=np.uint64)
-    found: list[np.ndarray] = []
-    for row in left:
-        others = right[right > row] if i == j else right
-        meet = others[(band[others] == band[row]).any(1)]
-        # |A| / |B| bounds the similarity of sets of these sizes.
-        meet = meet[100 * np.minimum(sizes[meet], sizes[row]) >= percent * np.maximum(sizes[meet], sizes[row])]
-        same = np.zeros(len(meet), np.int64)
-        for at in range(0, HASHES, BATCH):
-            same += (sig[meet, at : at + BATCH] == sig[row, at : at + BATCH]).sum(1)
-            alive = same >= least[at + BATCH]
-            meet, same = meet[alive], same[alive]
-        if len(meet):
-            found.append(np.stack([np.full(len(meet), row), meet, same]))
-    if not found:
-        return [], []
-    pairs = np.concatenate(found, 1)
-    pairs = pairs[:, np.argsort(-pairs[2], kind="stable")]
-    forest, a, b = Forest(len(nodes)), [], []
-    for x, y, _ in pairs.T.tolist():
-        if nodes[x] == nodes[y] or forest.find(x) == forest.find(y):
-            continue
-        common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-        if 100 * common >= percent * (len(sets[x]) + len(sets[y]) - common):
-            forest.join(x, y)
-            a.append(int(nodes[x]))
-            b.append(int(nodes[y]))
+    part = np.unique(nodes, return_inverse=True)[1]  # the component of each row so far
+    a, b = [], []
+    for x in left.tolist():
+        y = right[right > x] if i == j else right
+        y = y[part[y] != part[x]]
+        y = y[(band[y] == band[x]).any(1)]
+        keep, same = alive(sig, sizes, np.full(len(y), x), y, percent, least)
+        for other in y[keep][np.argsort(-same, kind="stable")].tolist():
+            if part[other] == part[x]:
+                continue
+            common = len(np.intersect1d(sets[x], sets[other], assume_unique=True))
+            if 100 * common >= percent * (len(sets[x]) + len(sets[other]) - common):
+                part[part == part[other]] = part[x]
+                a.append(int(nodes[x]))
+                b.append(int(nodes[other]))
     return a, b
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: float = 1e-5, band_miss: float = 1e-6) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = stored(texts.mapInArrow(lambda it: _sketch(it, width), "doc_id long, n_shingles long, key1 long, key2 long, sig binary"), "sketch")
+    sketch = stored(texts.mapInArrow(lambda it: _sketch(it, width), "doc_id long, n_shingles long, key1 long, key2 long, sig binary, short binary"), "sketch")
     bands, rows = choose_bands(percent, band_miss)
+    least = least_matches(percent, miss)
     own = ["n_shingles", "key1", "key2"]
-    nodes = stored(sketch.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*own).agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig")), "nodes")
+    nodes = stored(sketch.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*own).agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.first("short").alias("short")), "nodes")
     keys = F.array(*[F.xxhash64(F.lit(k), F.substring("sig", 4 * rows * k + 1, 4 * rows)) for k in range(bands)])
     buckets = nodes.select("node", F.explode(keys).alias("bucket"))
-    heads = buckets.groupBy("bucket").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last").select(F.col("bucket").alias("of"), "head")
-    meet = buckets.join(heads, F.col("bucket") == F.col("of")).where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
-    groups = stored(connected_components(meet).select(F.col("node").alias("in_group"), F.col("component").alias("grp")), "groups")
+    # Buckets of the same members, of which a cluster has one in almost every band, are searched once.
+    met = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(2), "node")).alias("x2")).where("n > 1")
+    chosen = stored(met.groupBy("n", "x1", "x2").agg(F.min("bucket").alias("of")).select("of"), "buckets")
+    mates = buckets.join(chosen, F.col("bucket") == F.col("of")).select("bucket", F.col("node").alias("mate"))
+    mates = mates.join(nodes.select("node", "n_shingles", "short"), F.col("mate") == F.col("node")).select("bucket", "node", "n_shingles", "short")
+    pairs = dealt(mates, ["bucket"], "node").mapInArrow(lambda it: _pruned(it, percent, least), "a long, b long")
+    groups = stored(connected_components(pairs).select(F.col("node").alias("in_group"), F.col("component").alias("grp")), "groups")
     # The groups' ids, built into a hash table by partition; the texts are shuffled once and never sorted.
     found = texts.join(groups.hint("shuffle_hash"), F.col("doc_id") == F.col("in_group")).select(F.col("doc_id").alias("node"), "grp", "text").mapInArrow(lambda it: _members(it, width), "node long, grp long, shingles binary, sig binary")
-    least = least_matches(percent, miss)
     links = dealt(stored(found, "members"), ["grp"], "node").mapInArrow(lambda it: _linked(it, percent, bands, rows, least), "a long, b long")
     parts = connected_components(links).select(F.col("node").alias("linked"), "component")
     classes = nodes.select(*[F.col(c).alias(f"of_{c}") for c in own], "node").join(parts, F.col("node") == F.col("linked"), "left")
