@@ -6,19 +6,23 @@ that of its first ``PREFIX`` bytes, so that forms of one stem share. Filters ove
 neighbouring words, a ReLU and the maximum over the whole text give the
 features of a logistic layer; so one toxic phrase counts in a text of any
 length. Training (Adam, cross-entropy with equal class weight) runs on a
-bounded sample: at most about ``sample_docs`` labelled texts of each class,
-chosen by hash and sent to the driver as word buckets.
+bounded sample of labelled texts, chosen by hash of id and text and sent to the
+driver as word buckets: of each class about ``sample_docs`` distinct texts, and
+about ``sample_bytes`` bytes of text, whichever is fewer.
 
 For scoring, embedding times filter is worked out once for each bucket and
 filter position; a text then takes table look-ups and sums over Arrow batches.
 
-``calibrate`` adds thresholds by language from labelled scores. A language
-never changes a score; it only picks the threshold of ``toxic_in_lang``.
+``calibrate`` adds thresholds by language from labelled scores of texts that
+the model has not learned from: a share ``APART`` of the ids is kept out of
+every sample. A language never changes a score; it only picks the threshold of
+``toxic_in_lang``.
 
 Defined cases: a null or wordless text has the score of an empty text; rows
 without a label aren't learned from, of several labels of one id the largest
 holds; ids and further columns pass through; without labelled rows of both
-classes every score is near 0 (near 1, if all labels are 1).
+classes every score is near 0 (near 1, if all labels are 1); an empty table
+gives no row.
 """
 
 from __future__ import annotations
@@ -40,6 +44,8 @@ BUCKETS = 1 << BUCKET_BITS
 #: A word is learned only from so many texts of the sample at least.
 MIN_TEXTS = 6
 LEAST_STEPS = 1000
+#: Share of the labelled ids that only thresholds are learned from.
+APART = 0.15
 #: The row of the embedding, of zeros, that stands between texts.
 BLANK = 2 * BUCKETS
 
@@ -81,19 +87,30 @@ def _spread(ids: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, starts
 
 
-def draw(labels: DataFrame, label: str = "toxic", sample_docs: int = 4000, seed: int = 4) -> DataFrame:
-    """(doc_id, label) of about ``sample_docs`` ids of each class outside the held-out fold, chosen by hash."""
+def known_labels(labels: DataFrame, label: str = "toxic") -> DataFrame:
+    """(doc_id, label, apart) of every labelled id outside the held-out fold."""
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (crc_fold() != 2))
-    known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
-    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    share = F.when(F.col("label") == 1, sample_docs / sizes.get(1, 1)).otherwise(sample_docs / sizes.get(0, 1))
-    return known.where(hash_fraction("doc_id", seed=seed) < share)
+    return known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label")).withColumn("apart", hash_fraction("doc_id", seed=41) < APART)
+
+
+def draw(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", sample_docs: int = 4000, sample_bytes: int = 8 << 20, seed: int = 4) -> DataFrame:
+    """(doc_id, key, label) of the sample of distinct labelled texts, key being a text's hash."""
+    known = known_labels(labels, label).where(~F.col("apart")).select(F.col("doc_id").alias("of"), "label")
+    texts = docs.where(F.col(text).isNotNull()).select("doc_id", F.xxhash64(text).alias("key"), F.octet_length(text).alias("bytes"))
+    texts = stored(texts.join(known, F.col("doc_id") == F.col("of")).groupBy("doc_id", "key").agg(F.max("label").alias("label"), F.max("bytes").alias("bytes")), "labelled")
+    share = {}
+    for r in texts.groupBy("label").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).collect():  # two rows
+        share[r["label"]] = min(1.0, sample_docs / r["n"], sample_bytes / max(r["bytes"], 1))
+    fraction = hash_fraction("doc_id", "key", seed=seed)
+    return texts.where(fraction < F.when(F.col("label") == 1, share.get(1, 1.0)).otherwise(share.get(0, 1.0))).select("doc_id", "key", "label")
 
 
 def train(docs: DataFrame, drawn: DataFrame, text: str = "text", seed: int = 4, epochs: int = 6) -> CnnModel:
-    """Learn from the rows of ``docs`` whose id is in ``drawn``, which ``draw`` bounds."""
-    ids = F.broadcast(drawn.select(F.col("doc_id").alias("__drawn"), "label"))
-    rows = docs.join(ids, F.col("doc_id") == F.col("__drawn")).where(F.col(text).isNotNull()).select(F.col(text).alias("text"), "label")
+    """Learn from the texts of ``docs`` that are in ``drawn``, which ``draw`` bounds."""
+    ids = F.broadcast(drawn.select(F.col("doc_id").alias("__drawn"), F.col("key").alias("__key"), F.col("label").alias("__label")))
+    rows = docs.select(F.col("doc_id").alias("__id"), F.col(text).alias("__text"))
+    rows = rows.join(ids, (F.col("__id") == F.col("__drawn")) & (F.xxhash64("__text") == F.col("__key")))
+    rows = rows.groupBy("__drawn", "__key").agg(F.first("__text").alias("text"), F.first("__label").alias("label")).select("text", "label")
     drawn = rows.mapInArrow(_bucket_rows, "ids array<int>, label int").toArrow()
     texts = [np.asarray(x.values, np.int32).reshape(-1, 2) for chunk in drawn.column("ids").chunks for x in chunk]
     labels = np.asarray(drawn.column("label").to_numpy())
@@ -113,6 +130,36 @@ def known_words(texts: list[np.ndarray], least: int = MIN_TEXTS) -> list[np.ndar
     return [np.where(held[ids] >= least, ids, BLANK) for ids in texts]
 
 
+def forward(model: CnnModel, ids: np.ndarray, starts: np.ndarray) -> tuple:
+    """(probability of each text, hidden layer, it before the ReLU, word vectors, and where each filter has its maximum)."""
+    n = len(ids) - max(WIDTHS) + 1
+    x = model.embed[ids].sum(1)
+    tops, spots = [], []
+    for w, f in zip(WIDTHS, model.filters, strict=True):
+        conv = sum(x[j : n + j] @ f[j] for j in range(w))
+        spot = np.array([s + conv[s:e].argmax(0) for s, e in zip(starts, [*starts[1:], n], strict=True)])
+        spots.append(spot)
+        tops.append(conv[spot, np.arange(FILTERS)])
+    raw = np.concatenate(tops, 1) + model.bias
+    hidden = np.maximum(raw, 0)
+    return 1 / (1 + np.exp(-(hidden @ model.out + model.base))), hidden, raw, x, spots
+
+
+def backward(model: CnnModel, ids: np.ndarray, g: np.ndarray, hidden: np.ndarray, raw: np.ndarray, x: np.ndarray, spots: list[np.ndarray]) -> tuple:
+    """From the loss by each text's logit: gradients of filters, bias and out layer, and (rows, values) of the embedding's."""
+    gh = g[:, None] * model.out * (raw > 0)
+    grads, rows, values = [], [], []
+    for k, (w, f, spot) in enumerate(zip(WIDTHS, model.filters, spots, strict=True)):
+        own = gh[:, k * FILTERS : (k + 1) * FILTERS]
+        gf = np.zeros_like(f)
+        for j in range(w):
+            gf[j] = np.einsum("bf,bfd->df", own, x[spot + j])
+            rows += [ids[spot + j, 0].ravel(), ids[spot + j, 1].ravel()]
+            values += [(own[:, :, None] * f[j].T[None]).reshape(-1, DIM)] * 2
+        grads.append(gf)
+    return [*grads, gh.sum(0), hidden.T @ g], np.concatenate(rows), np.concatenate(values)
+
+
 def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 4, epochs: int = 6, batch: int = 32, rate: float = 0.01) -> CnnModel:
     rng = np.random.default_rng(seed)
     embed = (rng.standard_normal((BLANK + 1, DIM)) * 0.1).astype(np.float32)
@@ -138,31 +185,9 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 4, epochs: int
             which = order[at : at + batch]
             firsts = np.concatenate([[0], np.cumsum([len(texts[k]) for k in which])])
             ids, starts = _spread(np.concatenate([texts[k] for k in which]), firsts)
-            n = len(ids) - max(WIDTHS) + 1
-            x = embed[ids].sum(1)
-            tops, spots = [], []
-            for w, f in zip(WIDTHS, filters, strict=True):
-                conv = sum(x[j : n + j] @ f[j] for j in range(w))
-                ends = [*starts[1:], n]
-                spot = np.array([s + conv[s:e].argmax(0) for s, e in zip(starts, ends, strict=True)])
-                spots.append(spot)
-                tops.append(conv[spot, np.arange(FILTERS)])
-            raw = np.concatenate(tops, 1) + model.bias
-            hidden = np.maximum(raw, 0)
-            p = 1 / (1 + np.exp(-(hidden @ model.out + model.base)))
+            p, hidden, raw, x, spots = forward(model, ids, starts)
             g = ((p - labels[which]) * weight[which] / len(which)).astype(np.float32)
-            gh = g[:, None] * model.out * (raw > 0)
-            grads = []
-            rows, values = [], []
-            for k, (w, f, spot) in enumerate(zip(WIDTHS, filters, spots, strict=True)):
-                own = gh[:, k * FILTERS : (k + 1) * FILTERS]
-                gf = np.zeros_like(f)
-                for j in range(w):
-                    gf[j] = np.einsum("bf,bfd->df", own, x[spot + j])
-                    rows += [ids[spot + j, 0].ravel(), ids[spot + j, 1].ravel()]
-                    values += [(own[:, :, None] * f[j].T[None]).reshape(-1, DIM)] * 2
-                grads.append(gf)
-            grads += [gh.sum(0), hidden.T @ g]
+            grads, rows, values = backward(model, ids, g, hidden, raw, x, spots)
             scale = rate * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
             for p_, (m, v), d in zip(small, moments, grads, strict=True):
                 m += 0.1 * (d - m)
@@ -172,9 +197,9 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 4, epochs: int
             m_base += 0.1 * (db - m_base)
             v_base += 0.001 * (db * db - v_base)
             model.base -= scale * m_base / (v_base**0.5 + 1e-7)
-            at_rows, back = np.unique(np.concatenate(rows), return_inverse=True)
+            at_rows, back = np.unique(rows, return_inverse=True)
             d = np.zeros((len(at_rows), DIM), np.float32)
-            np.add.at(d, back, np.concatenate(values))
+            np.add.at(d, back, values)
             d[at_rows == BLANK] = 0
             m_embed[at_rows] += 0.1 * (d - m_embed[at_rows])
             v_embed[at_rows] += 0.001 * (d * d - v_embed[at_rows])
@@ -239,17 +264,19 @@ def calibrate(scored: DataFrame, lang: str = "lang", label: str = "label", bins:
     return sums.groupBy("lang").agg(F.max_by(F.col("cut") / F.lit(float(bins)), rank).alias("threshold"), F.max(f1).alias("f1"))
 
 
-def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample_docs: int = 4000) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **bounds) -> DataFrame:
     """doc_id, held_out, score, predicted (score >= threshold), and lang_threshold and toxic_in_lang of every row of ``docs`` (doc_id, text, lang).
 
     Trained on labelled rows outside the held-out fold; the thresholds by
-    language come from the same rows. A language without labels has ``threshold``.
+    language come from labelled rows that are in neither. A language without
+    such rows has ``threshold``.
     """
-    model = train(docs, draw(labels, sample_docs=sample_docs))
-    kept = docs.select("doc_id", (crc_fold() == 2).alias("held_out"), F.col("lang").cast("string").alias("lang"), "text")
+    docs = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
+    model = train(docs, draw(docs, labels, **bounds))
+    kept = docs.select("doc_id", (crc_fold() == 2).alias("held_out"), "lang", "text")
     scored = stored(score(kept, model, keep=["doc_id", "held_out", "lang"]), "scored")
-    known = labels.where(F.col("toxic").isin(0, 1)).groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").cast("int").alias("label"))
-    learned = scored.where(~F.col("held_out")).join(known, F.col("doc_id") == F.col("__id"))
-    cuts = calibrate(learned).select(F.col("lang").alias("__lang"), "threshold")
+    known = known_labels(labels).where("apart").select(F.col("doc_id").alias("__id"), "label")
+    unseen = scored.join(known, F.col("doc_id") == F.col("__id"))
+    cuts = calibrate(unseen).where("f1 > 0").select(F.col("lang").alias("__lang"), "threshold")
     out = scored.join(cuts, F.col("lang").eqNullSafe(F.col("__lang")), "left").withColumn("lang_threshold", F.coalesce("threshold", F.lit(threshold)))
     return out.select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "lang_threshold", (F.col("score") >= F.col("lang_threshold")).cast("int").alias("toxic_in_lang"))
