@@ -13,10 +13,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local one only where that is unset (tests)."""
+    """The folder named by ``spark.checkpoint.dir``; a local one only in local mode (tests), as executors elsewhere don't share it."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="pointlane-"))
         folder = context.getCheckpointDir()
     return folder.rstrip("/")

@@ -16,6 +16,8 @@ A template recurs if at least ``min_texts`` different texts hold it. Every
 occurrence of a recurring template is dropped but the first (the least doc_id,
 then line number). Exact copies of a text count once, as they are no evidence
 of boilerplate: whole-document duplicates are for the near-duplicate operators.
+A line of at least ``long_tokens`` tokens is evidence enough as it stands: it
+recurs literally (but for its numbers) from two different texts on.
 
 Only lines whose leaf is shared by enough texts are split into tokens, and only
 once for each distinct line, so the work on tokens is small beside the input.
@@ -24,7 +26,7 @@ Defined cases: lines of fewer than ``min_tokens`` tokens (blank ones too) are
 never dropped; a null text stays null; a text that loses all its lines becomes
 empty; a null doc_id sorts last, so it is first only if no other id holds the
 template; rows that repeat id and text are treated alike; further columns pass
-through.
+through, and an empty table stays one.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ._shared import stored
 
-DEPTH, MIN_TEXTS, MIN_TOKENS, SIMILAR = 3, 4, 3, 0.6
+DEPTH, MIN_TEXTS, MIN_TOKENS, SIMILAR, LONG_TOKENS = 3, 4, 3, 0.6, 50
 #: Levels of generalisation: at a share s a position keeps 1 / s tokens at most, however many texts a leaf has.
 SHARES = (0.0, 0.01, 0.1, 0.5)
 
@@ -53,7 +55,7 @@ def _masked(flat):
 
 
 def occurrences(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS) -> DataFrame:
-    """(doc_id, text_key, line_no, form, leaf) of every line long enough to be a template.
+    """(doc_id, text_key, line_no, masked, form, leaf, tokens) of every line long enough to be a template.
 
     form is a hash of the masked line, leaf one of its number of tokens and leading tokens.
     """
@@ -62,11 +64,11 @@ def occurrences(docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKEN
     rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(parts).alias("line_no", "masked"))
     n = F.octet_length("masked") - F.octet_length(F.replace(F.col("masked"), F.lit(" "), F.lit(""))) + 1
     rows = rows.where((n >= min_tokens) & (F.col("masked") != ""))
-    return rows.select("doc_id", "text_key", "line_no", "masked", F.xxhash64("masked").alias("form"), F.xxhash64(n, F.substring_index("masked", " ", depth)).alias("leaf"))
+    return rows.select("doc_id", "text_key", "line_no", "masked", F.xxhash64("masked").alias("form"), F.xxhash64(n, F.substring_index("masked", " ", depth)).alias("leaf"), n.alias("tokens"))
 
 
 def templates(lines: DataFrame, min_texts: int = MIN_TEXTS, similar: float = SIMILAR, shares: tuple[float, ...] = (0.0,)) -> DataFrame:
-    """(form, template) of the distinct lines in leaves that enough texts share.
+    """(leaf, form, template) of the distinct lines in leaves that enough texts share.
 
     ``lines`` has leaf, form, masked and support, the number of texts, of each distinct line.
     A line has a template for each of ``shares``, the least part of the leaf's support that a kept token has at its
@@ -85,13 +87,13 @@ def templates(lines: DataFrame, min_texts: int = MIN_TEXTS, similar: float = SIM
     marks = [F.sum(F.when(keep, F.xxhash64("at", "t")).otherwise(0).cast("decimal(20,0)")).alias(f"mark{k}") for k, keep in enumerate(keeps)]
     by_line = kept.groupBy("leaf", "form").agg(F.count("*").alias("n"), *fixed, *marks)
     each = [F.when(F.col(f"fixed{k}") >= similar * F.col("n"), F.xxhash64("leaf", "n", f"fixed{k}", f"mark{k}")).otherwise(F.col("form")) for k in range(len(shares))]
-    return by_line.select("form", F.explode(F.array_distinct(F.array(*each))).alias("template"))
+    return by_line.select("leaf", "form", F.explode(F.array_distinct(F.array(*each))).alias("template"))
 
 
-def recurring(docs: DataFrame, depth: int = DEPTH, min_texts: int = MIN_TEXTS, min_tokens: int = MIN_TOKENS, similar: float = SIMILAR, shares: tuple[float, ...] = (0.0,)) -> DataFrame:
-    """(doc_id, text_key, line_no) of the occurrences to drop."""
+def recurring(docs: DataFrame, depth: int = DEPTH, min_texts: int = MIN_TEXTS, min_tokens: int = MIN_TOKENS, similar: float = SIMILAR, shares: tuple[float, ...] = (0.0,), long_tokens: int | None = LONG_TOKENS) -> DataFrame:
+    """(doc_id, text_key, line_no) of the occurrences to drop; with ``long_tokens`` None long lines are like others."""
     found = occurrences(docs, depth, min_tokens)
-    slim = stored(found.select("doc_id", "text_key", "line_no", "form", "leaf"), "lines")
+    slim = stored(found.select("doc_id", "text_key", "line_no", "form", "leaf", "tokens"), "lines")
     shared = slim.groupBy("leaf", "text_key").agg(F.lit(1).alias("one")).groupBy("leaf").agg(F.count("*").alias("texts")).where(F.col("texts") >= min_texts).select(F.col("leaf").alias("shared_leaf"))
     shared = stored(shared, "leaves")
     # Texts by distinct line, of the leaves that enough texts share.
@@ -100,16 +102,25 @@ def recurring(docs: DataFrame, depth: int = DEPTH, min_texts: int = MIN_TEXTS, m
     words = found.select("form", "leaf", "masked").join(shared, F.col("leaf") == F.col("shared_leaf")).groupBy("leaf", "form").agg(F.first("masked").alias("masked"))
     words = words.select(F.col("leaf").alias("w_leaf"), F.col("form").alias("w_form"), "masked")
     lines = held.join(words, (F.col("leaf") == F.col("w_leaf")) & (F.col("form") == F.col("w_form"))).select("leaf", "form", "masked", "support")
-    of_form = stored(templates(lines, min_texts, similar, shares).select(F.col("form").alias("of_form"), "template"), "templates")
-    marked = slim.join(of_form, F.col("form") == F.col("of_form")).select("doc_id", "text_key", "line_no", "template")
+    # Lines and templates are told apart by two hashes, of leaf and form: 64 bits alone would join unlike lines of very large inputs.
+    of_form = stored(templates(lines, min_texts, similar, shares).select(F.col("leaf").alias("of_leaf"), F.col("form").alias("of_form"), "template"), "templates")
+    marked = slim.join(of_form, (F.col("leaf") == F.col("of_leaf")) & (F.col("form") == F.col("of_form"))).select("doc_id", "text_key", "line_no", "leaf", "template")
     marked = stored(marked, "marked")
-    enough = marked.select("template", "text_key").distinct().groupBy("template").agg(F.count("*").alias("texts")).where(F.col("texts") >= min_texts)
+    own = ["leaf", "template"]
+    enough = marked.select(*own, "text_key").distinct().groupBy(*own).agg(F.count("*").alias("texts")).where(F.col("texts") >= min_texts)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line_no")
-    first = marked.groupBy("template").agg(F.min(place).alias("first"))
+    first = marked.groupBy(*own).agg(F.min(place).alias("first"))
     # Written before the join, so that a template with very many lines is a skewed join of two plain inputs, which Spark splits.
-    drop = stored(enough.join(first, "template").select(F.col("template").alias("of"), "first"), "recurring")
-    rows = marked.join(drop, F.col("template") == F.col("of"))
-    return rows.where(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_key", "line_no")
+    drop = stored(enough.join(first, own).select(F.col("leaf").alias("of_leaf"), F.col("template").alias("of"), "first"), "recurring")
+    rows = marked.join(drop, (F.col("leaf") == F.col("of_leaf")) & (F.col("template") == F.col("of")))
+    rows = rows.where(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_key", "line_no")
+    if long_tokens is None:
+        return rows
+    long = slim.where(F.col("tokens") >= long_tokens)
+    twice = long.groupBy("leaf", "form").agg(F.min("text_key").alias("low"), F.max("text_key").alias("high"), F.min(place).alias("first")).where("low < high")
+    twice = stored(twice.select(F.col("leaf").alias("of_leaf"), F.col("form").alias("of"), "first"), "long")
+    long = long.join(twice, (F.col("leaf") == F.col("of_leaf")) & (F.col("form") == F.col("of")))
+    return rows.union(long.where(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_key", "line_no"))
 
 
 def repeats(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
@@ -130,15 +141,28 @@ def repeats(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
     return found.where(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_key", "line_no")
 
 
-def deduplicate(docs: DataFrame, text: str = "text", drops=recurring, **how) -> DataFrame:
-    """All columns of ``docs`` with the lines that ``drops`` finds (recurring ones) dropped from ``text``; added: n_lines, n_dropped."""
+def deduplicate(docs: DataFrame, text: str = "text", drops=recurring, counts: tuple[str, str] = ("n_lines", "n_dropped"), **how) -> DataFrame:
+    """All columns of ``docs`` with the lines that ``drops`` finds (recurring ones) dropped from ``text``; added: the columns ``counts``, before which old ones of these names give way."""
     rows = docs.withColumnRenamed(text, "text") if text != "text" else docs
     found = drops(rows.select("doc_id", "text"), **how).distinct().groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(F.collect_set("line_no").alias("__drops"))
-    rows = rows.drop("n_lines", "n_dropped").withColumn("__text", F.xxhash64("text"))
+    rows = rows.drop(*counts).withColumn("__text", F.xxhash64("text"))
     rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__key")), "left")
     parts = F.split("text", "\n")
     kept = F.array_join(F.filter(parts, lambda line, k: ~F.array_contains(F.col("__drops"), k)), "\n")
-    rows = rows.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(parts))).withColumn("n_dropped", F.coalesce(F.size("__drops"), F.lit(0)))
-    rows = rows.withColumn("n_dropped", F.when(F.col("__drops").isNull(), 0).otherwise(F.col("n_dropped")))
+    rows = rows.withColumn(counts[0], F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)))
+    rows = rows.withColumn(counts[1], F.when(F.col("__drops").isNull(), 0).otherwise(F.size("__drops")))
     rows = rows.withColumn("text", F.when(F.col("__drops").isNull(), F.col("text")).otherwise(kept)).drop("__id", "__key", "__drops", "__text")
     return rows.withColumnRenamed("text", text) if text != "text" else rows
+
+
+def cleaned(docs: DataFrame, drops=recurring, **how) -> DataFrame:
+    """The columns of ``docs`` alone, without the lines that ``drops`` finds and without the documents that lose all their text by it.
+
+    Where lines were dropped, ``n_chars`` (if there is such a number) is counted anew.
+    """
+    names = docs.columns
+    rows = deduplicate(docs, drops=drops, counts=("__lines", "__dropped"), **how).where("__dropped = 0 OR text != ''")
+    if "n_chars" in names and docs.schema["n_chars"].dataType.typeName() in ("long", "integer"):
+        kind = docs.schema["n_chars"].dataType
+        rows = rows.withColumn("n_chars", F.when(F.col("__dropped") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return rows.select(*names)

@@ -116,23 +116,29 @@ WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, '')
 s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 s1 AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid FROM s0),
 s2 AS (SELECT *, CASE sid % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w FROM s1),
-t AS (SELECT CAST(sum(source_size) AS BIGINT) AS total, CAST(sum(w) AS BIGINT) AS all_w, greatest(16, (CAST(sum(source_size) AS BIGINT) + 1048575) // 1048576) AS k FROM s2),
+t AS (SELECT CAST(sum(source_size) AS BIGINT) AS total, CAST(sum(w) AS BIGINT) AS all_w, greatest(1, (CAST(sum(source_size) AS BIGINT) + 1023) // 1024) AS slots FROM s2),
 s3 AS (SELECT s2.*, coalesce(sum(source_size) OVER r, 0) AS cap_before, coalesce(sum(w) OVER r, 0) AS w_before FROM s2
   WINDOW r AS (ORDER BY source_size / w, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 s4 AS (SELECT s3.*, w * (total - 3 * cap_before) > 3 * source_size * (all_w - w_before) AS full_ FROM s3, t),
 lv AS (SELECT CAST(CAST(total - 3 * coalesce((SELECT sum(source_size) FROM s4 WHERE full_), 0) AS BIGINT) AS DOUBLE) / CAST(all_w - coalesce((SELECT sum(w) FROM s4 WHERE full_), 0) AS DOUBLE) AS level FROM t),
 s5 AS (SELECT sid, source, source_size, CASE WHEN full_ THEN CAST(3 * source_size AS DOUBLE) ELSE w * level END AS target FROM s4, lv),
-s6 AS (SELECT *, sum(target) OVER (ORDER BY sid) / (SELECT CAST(total AS DOUBLE) FROM t) AS high FROM s5),
+s6 AS (SELECT *, CAST(round(target) AS BIGINT) AS due, sum(target) OVER (ORDER BY sid) / (SELECT CAST(total AS DOUBLE) FROM t) AS high FROM s5),
 s7 AS (SELECT *, coalesce(lag(high) OVER (ORDER BY sid), 0) AS low, sid = max(sid) OVER () AS last_ FROM s6),
-sl AS (SELECT i AS slot, i * 0.6180339887498949::DOUBLE - floor(i * 0.6180339887498949::DOUBLE) AS u FROM t, range(0, (total + k - 1) // k) r(i)),
-dealt AS (SELECT slot, sid, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS rank FROM sl JOIN s7 ON u >= low AND (u < high OR last_) AND low < high),
-times AS (SELECT dealt.sid, rank % ((source_size + k - 1) // k) AS block, count(*) AS times FROM dealt JOIN s5 USING (sid), t WHERE rank < 3 * ((source_size + k - 1) // k) GROUP BY ALL),
-p AS (SELECT doc_id, size, s5.sid, source_size, target,
-    coalesce(sum(size) OVER (PARTITION BY s5.sid ORDER BY md5('8|' || coalesce(CAST(doc_id AS VARCHAR), '')), size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
-  FROM d JOIN s5 ON d.source IS NOT DISTINCT FROM s5.source),
-x AS (SELECT p.sid, place, size, unnest(range(CAST(place // k AS BIGINT), CAST((place + size - 1) // k + 1 AS BIGINT))) AS block, k FROM p, t WHERE size > 0),
-taken AS (SELECT x.sid, x.place, sum((least(place + size, (block + 1) * k) - greatest(place, block * k)) * times) AS taken FROM x JOIN times USING (sid, block) GROUP BY ALL)
-SELECT doc_id, size, source_size, target, CAST(coalesce(CASE WHEN size > 0 THEN taken END, 0) AS BIGINT) AS taken FROM p LEFT JOIN taken ON p.sid = taken.sid AND p.place = taken.place
+sl AS (SELECT i AS slot, i * 0.6180339887498949::DOUBLE - floor(i * 0.6180339887498949::DOUBLE) AS u FROM t, range(0, slots) r(i)),
+d0 AS (SELECT slot, sid FROM sl JOIN s7 ON u >= low AND (u < high OR last_) AND (low < high OR last_)),
+dealt AS (SELECT sid, slot, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS block, count(*) OVER (PARTITION BY sid) AS blocks FROM (
+  SELECT slot, sid FROM d0 UNION ALL SELECT CAST(floor(low * slots) AS BIGINT), sid FROM s7, t WHERE due > 0 AND sid NOT IN (SELECT sid FROM d0))),
+s8 AS (SELECT s7.*, due // coalesce(blocks, 1) AS even, due % coalesce(blocks, 1) AS more FROM s7 LEFT JOIN (SELECT DISTINCT sid, blocks FROM dealt) USING (sid)),
+p AS (SELECT doc_id, size, s8.sid, source_size, target, due, even, more,
+    coalesce(sum(size) OVER (PARTITION BY s8.sid ORDER BY md5('8|' || coalesce(CAST(doc_id AS VARCHAR), '')), size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+  FROM d JOIN s8 ON d.source IS NOT DISTINCT FROM s8.source),
+x AS (SELECT p.*, CAST(place + turn * source_size AS BIGINT) AS a, CAST(least(place + turn * source_size + size, due) AS BIGINT) AS b FROM p, range(0, 3) r(turn) WHERE size > 0 AND place + turn * source_size < due),
+y AS (SELECT *, unnest(range(
+    CASE WHEN a < more * (even + 1) THEN a // (even + 1) ELSE more + (a - more * (even + 1)) // greatest(even, 1) END,
+    CASE WHEN b - 1 < more * (even + 1) THEN (b - 1) // (even + 1) ELSE more + (b - 1 - more * (even + 1)) // greatest(even, 1) END + 1)) AS block FROM x),
+taken AS (SELECT y.sid, place, sum(least(b, (block + 1) * even + least(block + 1, more)) - greatest(a, block * even + least(block, more))) AS taken, min(slot) AS first_slot FROM y JOIN dealt USING (sid, block) GROUP BY ALL)
+SELECT doc_id, size, source_size, target, CAST(coalesce(CASE WHEN size > 0 THEN taken END, 0) AS BIGINT) AS taken, CASE WHEN size > 0 THEN first_slot END AS first_slot
+FROM p LEFT JOIN taken ON p.sid = taken.sid AND p.place = taken.place
 """
 
 
@@ -155,7 +161,9 @@ fx AS (SELECT t.n, t.lead, t.masked, count(c.token) AS fixed, list(CASE WHEN c.t
 tm AS (SELECT n, lead, masked, CASE WHEN fixed >= 0.6 * n THEN pattern::VARCHAR || marks::VARCHAR ELSE masked END AS template FROM fx),
 mk AS (SELECT o.doc_id, o.text, o.line_no, tm.template, o.n, o.lead FROM o JOIN tm USING (n, lead, masked)),
 rec AS (SELECT n, lead, template, min({'d': doc_id, 'l': line_no}) AS first FROM mk GROUP BY n, lead, template HAVING count(DISTINCT text) >= 4),
-dr AS (SELECT DISTINCT mk.doc_id, mk.text, mk.line_no FROM mk JOIN rec USING (n, lead, template) WHERE NOT (mk.doc_id = rec.first.d AND mk.line_no = rec.first.l)),
+lo AS (SELECT n, lead, masked, min({'d': doc_id, 'l': line_no}) AS first FROM o WHERE n >= 50 GROUP BY n, lead, masked HAVING count(DISTINCT text) >= 2),
+dr AS (SELECT mk.doc_id, mk.text, mk.line_no FROM mk JOIN rec USING (n, lead, template) WHERE NOT (mk.doc_id = rec.first.d AND mk.line_no = rec.first.l)
+  UNION SELECT o.doc_id, o.text, o.line_no FROM o JOIN lo USING (n, lead, masked) WHERE NOT (o.doc_id = lo.first.d AND o.line_no = lo.first.l)),
 kept AS (SELECT li.doc_id, li.text, string_agg(li.line, chr(10) ORDER BY li.line_no) FILTER (dr.line_no IS NULL) AS new_text, count(*) AS n_lines, count(dr.line_no) AS n_dropped
   FROM li LEFT JOIN dr ON li.doc_id = dr.doc_id AND li.text = dr.text AND li.line_no = dr.line_no GROUP BY li.doc_id, li.text)
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.new_text, '') END AS text, CAST(coalesce(k.n_lines, 0) AS INTEGER) AS n_lines, CAST(coalesce(k.n_dropped, 0) AS INTEGER) AS n_dropped

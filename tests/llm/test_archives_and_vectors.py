@@ -36,6 +36,27 @@ def test_warc_round_trip(spark, chunk):
     assert warc.round_trip(frame.limit(0), 0, chunk).count() == 0
 
 
+def test_warc_default_chunks_and_records_of_their_own(spark):
+    rows = [(k, "u", f"{k} " * 200_000, "c") for k in range(3)] + [(9, "http://x/ WARC/1.1", None, "c"), (10, "v", "0 " * 200_000, "c")]
+    path = warc.new_path(spark, "test")
+    warc.write(spark.createDataFrame(rows, PAGES), path)
+    chunks = warc.read(spark, path)
+    assert chunks.agg({"chunk_no": "max"}).first()[0] == 1 and max(len(r["chunk"]) for r in chunks.collect()) == warc.CHUNK_BYTES
+    out = {r["page_id"]: r for r in warc.pages(chunks).collect()}
+    assert all(out[k]["payload_digest"] == digest(t) and out[k]["intact"] for k, _, t, _ in rows) and out[10]["refers_to"] == 0 and len(out) == 5
+    text = "".join(r["value"] for r in spark.read.option("wholetext", True).text(path).collect())
+    assert "WARC-Type: warcinfo" in text and "WARC-Refers-To-Target-URI: u" in text and "Content-Type: text/html" in text
+
+
+def test_warc_reads_foreign_archives(spark, tmp_path):
+    body = "see WARC/1.0 and WARC/1.1\r\nas text"
+    records = [f"WARC/1.0\r\nwarc-type: response\r\nWARC-Record-ID: <a{k}>\r\nWARC-Target-URI: u{k}\r\nContent-Length: {len(b)}\r\n\r\n{b}\r\n\r\n" for k, b in enumerate([body, "", "plain"])]
+    (tmp_path / "a.warc").write_text("WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 2\r\n\r\nxx\r\n\r\n" + "".join(records) + records[0][: -len(body)], newline="")
+    got = warc.pages(warc.read(spark, str(tmp_path / "a.warc"))).collect()
+    assert sorted((r["target_uri"], r["payload_digest"], r["intact"]) for r in got)[1:] == [("u0", digest(body), True), ("u1", digest(""), True), ("u2", digest("plain"), True)]
+    assert not min((r for r in got), key=lambda r: r["intact"])["intact"]
+
+
 def test_warc_chunks_carry_running_digests(spark):
     text = "0123456789" * 1000
     path = warc.new_path(spark, "test")
@@ -68,7 +89,6 @@ def vectors(spark):
 
 def test_embedding_dedup_against_brute_force(spark, vectors, monkeypatch):
     x, frame = vectors
-    monkeypatch.setattr(embedding_dedup, "CELL_ROWS", 100)
     monkeypatch.setattr(embedding_dedup, "TILE_ROWS", 150)
     out = embedding_dedup.near_duplicates(frame, block_dim=6).toPandas()
     n = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
