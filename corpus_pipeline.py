@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pointlane.llm import bpe, langid, lines, minhash, mixing
 from pointlane.llm._shared import stored
@@ -21,29 +20,24 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.accept(docs)
 
 
-def _counted(rows: DataFrame, names: list[str]) -> DataFrame:
-    """Columns ``names`` of rows that lines were dropped from."""
-    if "n_chars" in names:
-        rows = rows.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return rows.select(*names)
-
-
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops recurring line templates from the texts, and the documents that lose all their text by it."""
-    return _counted(lines.deduplicate(docs, shares=lines.SHARES).where("n_dropped = 0 OR text != ''"), docs.columns)
+    """Drops recurring line templates from the texts, and the documents that lose all their text by it.
+
+    Long lines wait for the next stage, which tells near copies from documents that share a passage.
+    """
+    return lines.cleaned(docs, shares=lines.SHARES, long_tokens=None)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates (five words, similarity 0.8), then drops literal lines that two of these hold.
 
-    Only here is a line in two texts no mark of near copies. A document may end up without text; the mixing stage leaves it out.
+    Only here is a line in two texts no mark of near copies. Documents that lose all their text by it go.
     """
-    one = stored(minhash.one_of_each(docs, width=5, percent=80), "one")
-    return _counted(lines.deduplicate(one, drops=lines.repeats), docs.columns)
+    return lines.cleaned(stored(minhash.one_of_each(docs, width=5, percent=80), "one"), drops=lines.repeats)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats or leaves out documents so that sources come near their target weights."""
+    """Repeats or leaves out documents so that sources come near their target weights, in the order of the schedule."""
     return mixing.mixed(docs)
 
 
