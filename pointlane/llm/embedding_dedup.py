@@ -47,8 +47,8 @@ from ._tiles import Forest, dealt, runs
 from ._vectors import matrix, packed, raw_matrix, sample
 
 SAMPLE, TILE_ROWS, CHUNK = 20_000, 1 << 16, 256
-#: Partners in a tile from which on a row is busy.
-BUSY = 8
+#: A row with more partners in a tile is busy.
+BUSY = 4
 
 
 @dataclass
@@ -169,18 +169,16 @@ def near_pairs(tile: pa.Table, blocks: Blocks, busy: int = BUSY) -> Iterator[tup
     for x, y in pairs():
         partners += np.bincount(x, minlength=len(part)) + np.bincount(y, minlength=len(part))
         held += len(x)
-        if held <= busy * len(part):
+        if held <= 4 * busy * len(part):
             found.append((x, y))
-    if held <= busy * len(part):
-        yield from (p for p in found if len(p[0]))
-        return
-    del found
     few = partners <= busy
-    for x, y in pairs():
+    # Too many pairs to hold are found a second time.
+    for x, y in found if held <= 4 * busy * len(part) else pairs():
         sel = few[x] | few[y]
         if sel.any():
             yield x[sel], y[sel]
-    yield np.flatnonzero(~few), None
+    if not few.all():
+        yield np.flatnonzero(~few), None
 
 
 def first_block(p: np.ndarray, q: np.ndarray, blocks: Blocks) -> np.ndarray:
