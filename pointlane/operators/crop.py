@@ -43,6 +43,6 @@ def backwards_frames(frames: DataFrame) -> DataFrame:
 
 
 def latest_labels(labels: DataFrame) -> DataFrame:
-    """Per object_id the newest label with points: by timestamp, then frame; of equals the earlier row (``row_id``)."""
-    order = Window.partitionBy("object_id").orderBy(F.desc("timestamp_ns"), F.desc("frame_index"), "row_id")
+    """Per sequence and object_id the newest label with points: by timestamp, then frame; of equals the earlier row (``row_id``)."""
+    order = Window.partitionBy("seq_id", "object_id").orderBy(F.desc("timestamp_ns"), F.desc("frame_index"), "row_id")
     return labels.where("point_count > 0").withColumn("rn", F.row_number().over(order)).where("rn = 1").drop("rn")

@@ -124,13 +124,16 @@ def tail_bridge(parts: DataFrame, gap: float, lateral: float, vertical: float, s
 
 
 def confidence_cap(cloud: DataFrame, most: int, bins: int, axis: str = "y") -> DataFrame:
-    """At most ``most`` points a track: an equal budget for each occupied bin along the axis by confidence, then the best of the rest."""
+    """At most ``most`` points a track: an equal whole budget (none, with more bins than points) for each occupied bin along the axis by confidence, then the best of the rest.
+
+    Ties go by voxel where the cloud has voxels, else by coordinates.
+    """
     track = Window.partitionBy(*TRACK)
     low, high = F.min(axis).over(track), F.max(axis).over(track)
     rows = cloud.withColumn("bin", F.least(F.floor((F.col(axis) - low) / F.greatest(high - low, F.lit(1e-9)) * bins), F.lit(bins - 1)))
-    order = [F.desc("confidence"), *AXES]
+    order = [F.desc("confidence"), *[c for c in ("vx", "vy", "vz") if c in cloud.columns], *AXES]
     rows = rows.withColumn("in_bin", F.row_number().over(Window.partitionBy(*TRACK, "bin").orderBy(*order))).withColumn("n", F.count("*").over(track)).withColumn("used", F.size(F.collect_set("bin").over(track)))
-    first = F.col("in_bin") <= F.greatest(F.lit(1), F.floor(F.lit(most) / F.col("used")))
+    first = F.col("in_bin") <= F.floor(F.lit(most) / F.col("used"))
     rows = rows.withColumn("place", F.row_number().over(Window.partitionBy(*TRACK).orderBy(F.when(first, 0).otherwise(1), *order)))
     return rows.where((F.col("n") <= most) | (F.col("place") <= most)).drop("bin", "in_bin", "n", "used", "place")
 

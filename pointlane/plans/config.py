@@ -12,6 +12,7 @@ from ..operators.tracking import TrackerConfig
 
 CLUSTERERS = ("dbscan", "euclidean_clustering", "ground_removed_dbscan", "hdbscan", "voxel_grid_connected_components", "range_image_connected_components", "range_image_depth_jump", "beam_neighbor_region_growing")
 ACCUMULATORS = ("voxel_fusion", "weighted_voxel_fusion", "registration_voxel_fusion", "occupancy_consensus_fusion")
+POST = ("tracklet_stitching", "co_moving_track_merge", "articulated_vehicle_merge", "trajectory_smoothing")
 
 
 class ConfigError(ValueError):
@@ -53,15 +54,56 @@ class Spec:
     min_quality: float = 0.0
     require_exit: bool = True
     exit_margin: float = 0.9
+    #: Units a metre, for the few lengths that are fixed in metres.
+    metre: float = 1.0
+    #: Post-processors, in order.
+    post: tuple[str, ...] = ()
     smoothing_window: int = 0
-    stitch_gap: int = 0
+    stitch_gap: int = 4
     stitch_distance: float = 2.5
+    merge_lateral: float = 0.8
+    merge_longitudinal: float = 4.0
+    merge_overlap: int = 5
+    merge_overlap_ratio: float = 0.6
+    gap_window: int = 5
+    link_overlap: int = 4
+    link_overlap_ratio: float = 0.5
+    link_lateral: float = 0.9
+    link_vertical: float = 0.6
+    link_gap: float = 2.5
+    link_gap_std: float = 0.6
+    link_speed: float = 0.5
+    link_length: float = 6.5
+    #: Steps of accumulation, off unless asked for.
+    long_vehicles: bool = False
+    long_length: float = 4.5
+    line_ratio: float = 0.1
+    touch_margin: float = 0.12
+    truncate_at_lane_end: bool = False
+    quality_window: bool = False
+    window_points: float = 0.4
+    window_extent: float = 0.35
+    window_least: int = 4
+    shape_ratio: float = 0.0
+    deskew: bool = False
+    underfill_fallback: bool = False
+    underfill_chunks: int = 4
+    tail_bridge: bool = False
+    bridge_gap: float = 1.5
+    bridge_lateral: float = 0.8
+    bridge_vertical: float = 0.5
+    cap_points: int = 0
+    cap_bins: int = 16
+    symmetry: bool = False
 
     def __post_init__(self) -> None:
         for name, value, known in (("clusterer", self.clusterer, CLUSTERERS), ("accumulator", self.accumulator, ACCUMULATORS), ("selection", self.selection, METHODS), ("registration backend", self.registration.backend, BACKENDS)):
             if value not in known:
                 raise ConfigError(f"unknown {name} {value!r}; known: {', '.join(known)}")
-        for name in ("eps", "voxel", "fusion_voxel"):
+        object.__setattr__(self, "post", tuple(self.post))
+        if unknown := set(self.post) - set(POST):
+            raise ConfigError(f"unknown post-processors {sorted(unknown)}; known: {', '.join(POST)}")
+        for name in ("eps", "voxel", "fusion_voxel", "chunk_voxel", "aggregate_voxel", "metre", "long_length"):
             if getattr(self, name) <= 0:
                 raise ConfigError(f"{name} must be positive")
         if self.vehicle_min_points > self.vehicle_max_points:

@@ -1,7 +1,8 @@
 """The dataflow: crop, cluster, track, post-process, select, fuse, decide.
 
-Each stage is a table. The point table is joined again by (frame, label) only
-where points are needed; trackers see detections alone.
+Each stage is a table, and those that several stages use are written once. The
+point table is joined again by (frame, label) only where points are needed;
+trackers see detections alone, post-processors a row for a track and frame.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import association, clustering, crop, fusion, postprocess, registration, selection, tracking
+from ..sources.scratch import Keep, scratch
 from .config import Spec
 
 FRAME, TRACK = ["seq_id", "frame_index"], ["seq_id", "track_id"]
@@ -34,54 +36,126 @@ def cluster(points: DataFrame, spec: Spec) -> DataFrame:
     return clustering.label_points(lane, clustering.cell_components(cells, links, spec.min_component))
 
 
-def observe(labelled: DataFrame, spec: Spec, frames: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(detections, states, observations): tracked frames with the center the tracker gives and the detection's bounds."""
-    found = clustering.detections(labelled, spec.vehicle_min_points, spec.vehicle_max_points)
-    states = tracking.track(found, spec.tracker, frames)
+def observed(found: DataFrame, states: DataFrame) -> DataFrame:
+    """Tracked frames with the center the tracker gives and the detection's bounds."""
     seen = states.where(F.col("status").isin("spawned", "matched")).select("seq_id", "track_id", "frame_id", "detection_id", "cx", "cy", "cz")
     box = found.select("seq_id", F.col("frame_index").alias("frame_id"), "detection_id", "label", F.col("point_count").alias("n_points"), F.col("frame_timestamp_ns").alias("ts_ns"), *[f"{n}_{a}" for n in ("min", "max") for a in "xyz"])
-    return found, states, seen.join(box, ["seq_id", "frame_id", "detection_id"])
+    return seen.join(box, ["seq_id", "frame_id", "detection_id"])
 
 
-def accumulate(labelled: DataFrame, observations: DataFrame, quality: DataFrame, spec: Spec) -> DataFrame:
-    """The fused cloud of each track."""
-    line = spec.box.bounds("y")[0] + 0.1 * (spec.box.bounds("y")[1] - spec.box.bounds("y")[0])
-    chosen = selection.select(observations, spec.selection, spec.use_all_frames, spec.top_k, spec.keep, spec.bins, line)
-    keys = chosen.select("seq_id", "track_id", "frame_id", "label", *[F.col(f"c{a}").alias(f"__c{a}") for a in "xyz"])
+def joined_tracks(tracks: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Tracks under their new ids."""
+    return tracks.join(mapping, TRACK).groupBy("seq_id", F.col("new_id").alias("track_id")).agg(
+        F.sum("hit_count").alias("hit_count"), F.greatest(F.max("age"), F.max("last_frame") - F.min("first_frame") + 1).alias("age"), F.min("missed").alias("missed"), F.bool_or("ended_by_missed").alias("ended_by_missed"),
+        F.min("first_frame").alias("first_frame"), F.max("last_frame").alias("last_frame"), F.sum("spawned_count").alias("spawned_count"), F.sum("matched_count").alias("matched_count"), F.sum("missed_count").alias("missed_count"),
+    )
+
+
+def renamed(rows: DataFrame, mapping: DataFrame) -> DataFrame:
+    return rows.join(mapping, TRACK).withColumn("track_id", F.col("new_id")).drop("new_id")
+
+
+def post_process(observations: DataFrame, tracks: DataFrame, spec: Spec, keep: Keep) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(observations, (seq_id, track_id, frame_id, label) of their points, tracks, link states), in the order of ``spec.post``."""
+    members = observations.select(*TRACK, "frame_id", "label")
+    observations = observations.drop("label", "detection_id")
+    nothing = "seq_id string, track_id int, group_id int, group_kind string, role string, partner_id int, component_track_ids array<int>"
+    linked = observations.sparkSession.createDataFrame([], nothing)
+    for k, name in enumerate(spec.post):
+        mapping = links = None
+        if name == "tracklet_stitching":
+            mapping = keep(f"mapping{k}", postprocess.stitch(observations, association.gap_pairs(observations, spec.stitch_gap, spec.stitch_distance)))
+            observations = renamed(observations, mapping)
+        elif name == "co_moving_track_merge":
+            limits = (spec.merge_lateral, spec.merge_longitudinal, spec.merge_overlap, spec.merge_overlap_ratio)
+            may = postprocess.co_moving_pairs(observations, *limits, scale=spec.metre).select("seq_id", "a", "b")
+            pairs = postprocess.fragment_links(observations, may.join(postprocess.long_candidates(observations, spec.long_length), ["seq_id", "a", "b"]))
+            lead = postprocess.lead_choice(observations, ahead_by=0.25 * spec.metre)
+            pairs = pairs.select("seq_id", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(lead, ["seq_id", "a", "b"])
+            links = postprocess.link_states(pairs.select("seq_id", "lead", F.when(F.col("lead") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("rear")), "fragment")
+            links = keep(f"links{k}", links)
+            # Parts of a long vehicle stay tracks of their own; the others merge.
+            free = observations.join(linked.unionByName(links).select(*TRACK), TRACK, "left_anti")
+            merges = keep(f"mapping{k}", postprocess.co_moving_merges(free, *limits, scale=spec.metre))
+            mapping = observations.select(*TRACK).distinct().join(merges, TRACK, "left").withColumn("new_id", F.coalesce("new_id", "track_id"))
+            observations = postprocess.merge_by_frame(observations, mapping).drop("source_track_ids")
+        elif name == "articulated_vehicle_merge":
+            n = observations.groupBy(*TRACK).agg(F.count("*").alias("n"))
+            decided = postprocess.articulated_decision(
+                postprocess.articulated_metrics(observations, spec.gap_window, scale=spec.metre), n, spec.link_overlap, spec.link_overlap_ratio, spec.link_lateral, spec.link_vertical, spec.link_gap, spec.link_gap_std, spec.link_length, spec.link_speed, scale=spec.metre
+            )
+            free = decided.join(linked.select("seq_id", F.col("track_id").alias("a")), ["seq_id", "a"], "left_anti").join(linked.select("seq_id", F.col("track_id").alias("b")), ["seq_id", "b"], "left_anti")
+            links = keep(f"links{k}", postprocess.link_states(postprocess.best_partners(free, observations), "articulated"))
+        elif name == "trajectory_smoothing":
+            observations = postprocess.smooth(observations, spec.smoothing_window)
+        if mapping is not None:
+            members, tracks = renamed(members, mapping), joined_tracks(tracks, mapping)
+            observations = keep(f"observations{k}", observations)
+        if links is not None:
+            linked = linked.unionByName(links)
+    return observations, members, tracks, linked
+
+
+def accumulate(labelled: DataFrame, observations: DataFrame, members: DataFrame, quality: DataFrame, spec: Spec) -> DataFrame:
+    """The fused cloud of each track: choose frames, bring their points together, fuse, clean, bridge, cap, complete."""
+    low, high = spec.box.bounds("y")
+    line = low + spec.line_ratio * (high - low)
+    chosen = selection.truncate_at_lane_end(observations, low, spec.touch_margin) if spec.truncate_at_lane_end else observations
+    if spec.quality_window:
+        chosen = selection.quality_window(chosen, spec.window_points, spec.window_extent, spec.window_least)
+    pick = lambda rows, method: selection.select(rows, method, spec.use_all_frames, spec.top_k, spec.keep, spec.bins, line, spec.touch_margin)
+    long = quality.where("is_long_vehicle").select(*TRACK)
+    instead = selection.long_vehicle_method(spec.selection, spec.use_all_frames)
+    if spec.long_vehicles and instead != spec.selection:
+        chosen = pick(chosen.join(long, TRACK, "left_anti"), spec.selection).unionByName(pick(chosen.join(long, TRACK, "left_semi"), instead))
+    else:
+        chosen = pick(chosen, spec.selection)
+    if spec.shape_ratio > 0:
+        chosen = selection.shape_consistent(chosen, spec.shape_ratio)
+    keys = chosen.select(*TRACK, "frame_id", *[F.col(f"c{a}").alias(f"__c{a}") for a in "xyz"]).join(members, [*TRACK, "frame_id"])
     chunk = labelled.withColumnRenamed("frame_index", "frame_id").join(keys, ["seq_id", "frame_id", "label"])
+    if spec.deskew and "point_timestamp_ns" in chunk.columns:
+        chunk = fusion.deskew(chunk.withColumnRenamed("point_timestamp_ns", "point_ns"), observations, least_speed=spec.metre)
     local = chunk.select("seq_id", "track_id", "frame_id", *[(F.col(a) - F.col(f"__c{a}")).alias(a) for a in "xyz"], F.col("intensity").cast("double").alias("intensity"))
     local = fusion.voxel_mean(local, [*TRACK, "frame_id"], spec.chunk_voxel).select(*TRACK, "frame_id", "x", "y", "z", "intensity")
     weights = None
     if spec.accumulator == "registration_voxel_fusion":
         moved = registration.register(local, spec.registration)
+        if spec.underfill_fallback:
+            moved = registration.fill_up(moved, local, spec.underfill_chunks)
         weights = moved.groupBy(*TRACK, "frame_id").agg(F.first("weight").alias("weight"))
         local = moved.drop("weight", "registration")
     elif spec.accumulator == "weighted_voxel_fusion":
         weights = fusion.chunk_weights(chosen, spec.weights, quality)
     consensus = spec.consensus_ratio if spec.accumulator == "occupancy_consensus_fusion" else None
     cloud = fusion.fuse(local, spec.fusion_voxel, weights, spec.min_observations, consensus, "weight" if weights is not None else "uniform")
-    cloud = fusion.remove_outliers(cloud.select(*TRACK, "x", "y", "z", "intensity", "confidence"), spec.outlier_neighbours, spec.outlier_ratio)
-    return fusion.revoxelise(cloud, spec.aggregate_voxel)
-
-
-def run(points: DataFrame, spec: Spec, frames: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All tables of a run: detections, states, observations, tracks, quality, clouds, results."""
-    labelled = cluster(points, spec)
-    found, states, observations = observe(labelled, spec, frames)
-    tracks = tracking.tracks(states)
-    if spec.stitch_gap > 0:
-        pairs = association.gap_pairs(observations, spec.stitch_gap, spec.stitch_distance)
-        mapping = postprocess.stitch(observations, pairs)
-        observations = observations.join(mapping, TRACK).withColumn("track_id", F.col("new_id")).drop("new_id")
-        tracks = tracks.join(mapping, TRACK).groupBy("seq_id", F.col("new_id").alias("track_id")).agg(
-            F.sum("hit_count").alias("hit_count"), F.greatest(F.max("age"), F.max("last_frame") - F.min("first_frame") + 1).alias("age"), F.min("missed").alias("missed"), F.bool_or("ended_by_missed").alias("ended_by_missed"),
-            F.min("first_frame").alias("first_frame"), F.max("last_frame").alias("last_frame"), F.sum("spawned_count").alias("spawned_count"), F.sum("matched_count").alias("matched_count"), F.sum("missed_count").alias("missed_count"),
-        )
-    if spec.smoothing_window > 1:
-        observations = postprocess.smooth(observations, spec.smoothing_window)
-    quality = postprocess.quality(observations, tracks)
-    clouds = accumulate(labelled, observations, quality, spec)
+    cloud = cloud.select(*TRACK, "x", "y", "z", "intensity", "confidence")
+    if spec.outlier_neighbours > 0:
+        cloud = fusion.remove_outliers(cloud, spec.outlier_neighbours, spec.outlier_ratio)
+    if spec.tail_bridge and spec.long_vehicles:
+        parts = fusion.cloud_components(cloud.join(long, TRACK, "left_semi"), 3 * spec.fusion_voxel)
+        cloud = cloud.unionByName(fusion.tail_bridge(parts, spec.bridge_gap, spec.bridge_lateral, spec.bridge_vertical, spec.fusion_voxel))
+    cloud = fusion.revoxelise(cloud, spec.aggregate_voxel)
+    if spec.cap_points > 0:
+        cloud = fusion.confidence_cap(cloud, spec.cap_points, spec.cap_bins)
+    return fusion.complete_symmetry(cloud, spec.aggregate_voxel) if spec.symmetry else cloud
+
+
+def run(points: DataFrame, spec: Spec, frames: DataFrame | None = None, keep: Keep | None = None) -> dict[str, DataFrame]:
+    """All tables of a run: detections, states, observations, tracks, links, quality, clouds, results.
+
+    ``keep`` stores a named table and gives it back; every stage is built from
+    the stored tables before it. Left out: the cluster's shared folder.
+    """
+    keep = keep or scratch(points.sparkSession)
+    labelled = keep("labelled", cluster(points, spec))
+    found = keep("detections", clustering.detections(labelled, spec.vehicle_min_points, spec.vehicle_max_points))
+    states = keep("states", tracking.track(found, spec.tracker, frames))
+    observations, members, tracks, links = post_process(observed(found, states), tracking.tracks(states), spec, keep)
+    observations, tracks, links = keep("observations", observations), keep("tracks", tracks), keep("links", links)
+    quality = keep("quality", postprocess.quality(observations, tracks, long_threshold=spec.long_length))
+    clouds = keep("clouds", accumulate(labelled, observations, members, quality, spec))
     sized = fusion.dimensions(clouds)
     gone = fusion.exited(observations, tracks, spec.box.bounds("y")[0], spec.exit_margin).join(quality.select(*TRACK, "quality_score"), TRACK, "left")
-    results = fusion.decide(gone, sized, spec.min_track_hits, spec.min_saved_points, spec.min_quality, spec.require_exit)
-    return {"detections": found, "states": states, "observations": observations, "tracks": tracks, "quality": quality, "clouds": clouds, "results": results}
+    results = keep("results", fusion.decide(gone, sized, spec.min_track_hits, spec.min_saved_points, spec.min_quality, spec.require_exit))
+    return {"detections": found, "states": states, "observations": observations, "tracks": tracks, "links": links, "quality": quality, "clouds": clouds, "results": results}

@@ -103,16 +103,17 @@ def backwards_frames(spark, sf_dir):
     return crop.backwards_frames(frames).drop("seq_id")
 
 
-LABELS = "labels0 AS (SELECT 's0' AS seq_id, object_id, frame_timestamp_ns AS timestamp_ns, frame_index, point_id AS row_id, point_id % 3 AS point_count FROM points WHERE (frame_index + object_id) % 3 <> 0), latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY object_id ORDER BY timestamp_ns DESC, frame_index DESC, row_id) AS rn FROM labels0 WHERE point_count > 0) WHERE rn = 1)"
+LABELS = "labels0 AS (SELECT CASE WHEN frame_index < 11 THEN 's0' ELSE 's1' END AS seq_id, object_id, frame_timestamp_ns AS timestamp_ns, frame_index, point_id AS row_id, point_id % 3 AS point_count FROM points WHERE (frame_index + object_id) % 3 <> 0), latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY seq_id, object_id ORDER BY timestamp_ns DESC, frame_index DESC, row_id) AS rn FROM labels0 WHERE point_count > 0) WHERE rn = 1)"
 
 
 def label_rows(spark, sf_dir):
     return points(spark, sf_dir).where((F.col("frame_index") + F.col("object_id")) % 3 != 0).select("seq_id", "object_id", F.col("frame_timestamp_ns").alias("timestamp_ns"), "frame_index", F.col("point_id").alias("row_id"), (F.col("point_id") % 3).alias("point_count"))
 
 
-@query("SELECT object_id, timestamp_ns, frame_index, row_id FROM latest", LABELS)
+@query("SELECT seq_id, object_id, timestamp_ns, frame_index, row_id FROM latest", LABELS)
 def latest_object_labels(spark, sf_dir):
-    return crop.latest_labels(label_rows(spark, sf_dir)).select("object_id", "timestamp_ns", "frame_index", "row_id")
+    rows = label_rows(spark, sf_dir).withColumn("seq_id", F.when(F.col("frame_index") < 11, "s0").otherwise("s1"))
+    return crop.latest_labels(rows).select("seq_id", "object_id", "timestamp_ns", "frame_index", "row_id")
 
 
 @query("SELECT frame_index, row_index, col_index, count(*) AS n FROM (SELECT frame_index, CAST(list_position(g, list_min(g)) - 1 AS INTEGER) AS row_index, CAST(floor((atan2(y, x) + 3.141592653589793) / (2 * 3.141592653589793) * 64) % 64 AS INTEGER) AS col_index FROM (SELECT *, [abs(asin(z / range) - b) for b in [0.0::DOUBLE, 0.02, 0.04, 0.08, 0.16]] AS g FROM lane)) GROUP BY 1, 2, 3")
@@ -302,51 +303,58 @@ def tracklet_stitching(spark, sf_dir):
 MM = {"max_dist": 3400.0, "sticky_extra_dist_per_missed": 550.0, "sticky_max_dist": 6200.0, "kf_init_var": 5e6, "kf_process_var": 8e4, "kf_meas_var": 6e5, "association_size_weight": 150.0}
 
 
+#: Objects with gaps of two frames, in five sequences of two objects each.
+SEEN = "seen AS (SELECT *, 's' || (track_id % 5) AS seq FROM obs WHERE NOT (track_id % 2 = 0 AND frame_id % 10 IN (6, 7)))"
+#: Runs of frames that a gate of 3.4 m without prediction doesn't break.
+ISLANDS = SEEN + ", isl0 AS (SELECT *, CASE WHEN frame_id - lag(frame_id) OVER (PARTITION BY track_id ORDER BY frame_id) >= 3 THEN 1 ELSE 0 END AS cut FROM seen), isl AS (SELECT *, sum(cut) OVER (PARTITION BY track_id ORDER BY frame_id) AS part FROM isl0)"
+
+
 def tracked(spark, sf_dir, algorithm):
-    found = clustering.detections(by_object(spark, sf_dir), 1, 100_000)
+    rows = by_object(spark, sf_dir).where(~((F.col("label") % 2 == 0) & (F.col("frame_index") % 10).isin(6, 7)))
+    found = clustering.detections(rows.withColumn("seq_id", F.concat(F.lit("s"), F.col("label") % 5)), 1, 100_000)
     return found, tracking.track(found, tracking.TrackerConfig(algorithm, **MM))
 
 
 def members(spark, sf_dir, algorithm):
     """Tracks and the one object each follows."""
     found, states = tracked(spark, sf_dir, algorithm)
-    seen = states.where("detection_id IS NOT NULL").join(found.select(F.col("frame_index").alias("frame_id"), "detection_id", "label"), ["frame_id", "detection_id"])
-    rows = seen.groupBy("track_id").agg(F.min("label").alias("object_id"), F.countDistinct("label").alias("objects"), F.count("*").alias("hits"), F.min("frame_id").alias("first_frame"), F.max("frame_id").alias("last_frame"))
+    seen = states.where("detection_id IS NOT NULL").join(found.select("seq_id", F.col("frame_index").alias("frame_id"), "detection_id", "label"), ["seq_id", "frame_id", "detection_id"])
+    rows = seen.groupBy("seq_id", "track_id").agg(F.min("label").alias("object_id"), F.countDistinct("label").alias("objects"), F.count("*").alias("hits"), F.min("frame_id").alias("first_frame"), F.max("frame_id").alias("last_frame"))
     return rows.drop("track_id")
 
 
-MEMBERS = "SELECT track_id AS object_id, 1::BIGINT AS objects, count(*) AS hits, min(frame_id) AS first_frame, max(frame_id) AS last_frame FROM obs GROUP BY 1"
+MEMBERS = "SELECT seq AS seq_id, track_id AS object_id, 1::BIGINT AS objects, count(*) AS hits, min(frame_id) AS first_frame, max(frame_id) AS last_frame"
 
 
-@query(MEMBERS)
+@query(MEMBERS + " FROM seen GROUP BY 1, 2", SEEN)
 def tracker_kalman_nn(spark, sf_dir):
     return members(spark, sf_dir, "kalman_nn")
 
 
-@query(MEMBERS)
+@query(MEMBERS + " FROM seen GROUP BY 1, 2", SEEN)
 def tracker_hungarian_kalman(spark, sf_dir):
     return members(spark, sf_dir, "hungarian_kalman")
 
 
-@query(MEMBERS)
+@query(MEMBERS + " FROM isl GROUP BY 1, 2, part", ISLANDS)
 def tracker_euclidean_nn(spark, sf_dir):
     return members(spark, sf_dir, "euclidean_nn")
 
 
-@query("SELECT frame_id, count(*) FILTER (frame_id > 0) AS matched, 0::BIGINT AS missed, count(*) FILTER (frame_id = 0) AS spawned, 0::BIGINT AS suppressed FROM obs GROUP BY 1")
+@query("SELECT f.seq AS seq_id, f.frame_id, count(*) FILTER (s.frame_id IS NOT NULL AND f.frame_id > first) AS matched, count(*) FILTER (s.frame_id IS NULL AND f.frame_id > first) AS missed, count(*) FILTER (f.frame_id = first) AS spawned, 0::BIGINT AS suppressed FROM fr f JOIN life l ON l.seq = f.seq LEFT JOIN seen s ON s.track_id = l.track_id AND s.frame_id = f.frame_id WHERE f.frame_id >= first GROUP BY 1, 2", SEEN + ", fr AS (SELECT DISTINCT seq, frame_id FROM seen), life AS (SELECT seq, track_id, min(frame_id) AS first FROM seen GROUP BY 1, 2)")
 def frame_tracker_metrics(spark, sf_dir):
-    return tracking.frame_metrics(tracked(spark, sf_dir, "euclidean_nn")[1]).drop("seq_id")
+    return tracking.frame_metrics(tracked(spark, sf_dir, "kalman_nn")[1])
 
 
-@query(f"SELECT frame_id, {m('cx')} AS cx, {m('cy')} AS cy, {m('cz')} AS cz FROM (SELECT *, max(frame_id) OVER (PARTITION BY track_id) AS last FROM obs) WHERE frame_id = last")
+@query(f"SELECT seq AS seq_id, frame_id, {m('cx')} AS cx, {m('cy')} AS cy, {m('cz')} AS cz FROM (SELECT *, max(frame_id) OVER (PARTITION BY track_id, part) AS last FROM isl) WHERE frame_id = last", ISLANDS)
 def last_active_state(spark, sf_dir):
-    return tracking.last_active(tracked(spark, sf_dir, "euclidean_nn")[1]).select("frame_id", *[milli(F.col(c)).alias(c) for c in ("cx", "cy", "cz")])
+    return tracking.last_active(tracked(spark, sf_dir, "euclidean_nn")[1]).select("seq_id", "frame_id", *[milli(F.col(c)).alias(c) for c in ("cx", "cy", "cz")])
 
 
-@query("SELECT count(*) AS hit_count, count(*) AS age, 0 AS missed, 1::BIGINT AS spawned_count, count(*) - 1 AS matched_count, 0::BIGINT AS missed_count FROM obs GROUP BY track_id")
+@query("SELECT seq AS seq_id, count(*) AS hit_count, max(frame_id) - min(frame_id) + 1 AS age, 0 AS missed, 1::BIGINT AS spawned_count, count(*) - 1 AS matched_count, max(frame_id) - min(frame_id) + 1 - count(*) AS missed_count, max(frame_id) AS last_frame FROM seen GROUP BY seq, track_id", SEEN)
 def track_summary(spark, sf_dir):
-    rows = tracking.tracks(tracked(spark, sf_dir, "euclidean_nn")[1])
-    return rows.select("hit_count", F.col("age").cast("long").alias("age"), "missed", "spawned_count", "matched_count", "missed_count")
+    rows = tracking.tracks(tracked(spark, sf_dir, "kalman_nn")[1])
+    return rows.select("seq_id", "hit_count", F.col("age").cast("long").alias("age"), "missed", "spawned_count", "matched_count", "missed_count", "last_frame")
 
 
 @query(
@@ -381,7 +389,7 @@ def trajectory_smoothing(spark, sf_dir):
     return postprocess.smooth(obs2(spark, sf_dir), 5).select("track_id", "frame_id", *[milli(F.col(c)).alias(c) for c in ("cx", "cy", "cz")])
 
 
-SHARED = "sh AS (SELECT a.track_id AS a, b.track_id AS b, a.frame_id, a.cx AS acx, a.cy AS acy, a.cz AS acz, b.cx AS bcx, b.cy AS bcy, b.cz AS bcz, a.min_y AS aminy, a.max_y AS amaxy, b.min_y AS bminy, b.max_y AS bmaxy FROM obs2 a JOIN obs2 b ON a.frame_id = b.frame_id AND a.track_id < b.track_id), cm AS (SELECT a, b, count(*) AS overlap, avg(abs(bcx - acx)) AS lat, max(abs(bcy - acy)) AS lmax, stddev_pop(bcy - acy) AS lstd, avg(abs(bcz - acz)) AS vert, quantile_cont(bcy - acy, 0.5) AS lmed FROM sh GROUP BY 1, 2)"
+SHARED = "sh AS (SELECT a.track_id AS a, b.track_id AS b, a.frame_id, a.cx AS acx, a.cy AS acy, a.cz AS acz, b.cx AS bcx, b.cy AS bcy, b.cz AS bcz, a.min_y AS aminy, a.max_y AS amaxy, b.min_y AS bminy, b.max_y AS bmaxy FROM obs2 a JOIN obs2 b ON a.frame_id = b.frame_id AND a.track_id < b.track_id), cm AS (SELECT a, b, count(*) AS overlap, avg(abs(bcx - acx)) AS lat, max(abs(bcy - acy)) AS lmax, stddev_pop(abs(bcy - acy)) AS lstd, avg(abs(bcz - acz)) AS vert, quantile_cont(bcy - acy, 0.5) AS lmed, arg_max(acx, frame_id) - arg_min(acx, frame_id) AS adx, arg_max(acy, frame_id) - arg_min(acy, frame_id) AS ady, arg_max(acz, frame_id) - arg_min(acz, frame_id) AS adz, arg_max(bcx, frame_id) - arg_min(bcx, frame_id) AS bdx, arg_max(bcy, frame_id) - arg_min(bcy, frame_id) AS bdy, arg_max(bcz, frame_id) - arg_min(bcz, frame_id) AS bdz FROM sh GROUP BY 1, 2)"
 
 
 @query(f"SELECT a, b, overlap, {m('lat')} AS lateral_mean, {m('lmax')} AS longitudinal_max, {m('lstd')} AS longitudinal_std, {m('vert')} AS vertical_mean, {m('lmed')} AS longitudinal_median FROM cm", SHARED)
@@ -393,9 +401,9 @@ def co_moving_metrics(spark, sf_dir):
 COUNTS = ", na AS (SELECT track_id, count(*) AS n FROM obs2 GROUP BY 1)"
 
 
-@query("SELECT a, b, overlap FROM cm JOIN na x ON x.track_id = a JOIN na y ON y.track_id = b WHERE overlap >= 5 AND overlap / least(x.n, y.n) >= 0.6 AND lat <= 6100 AND lmax <= 400 AND lstd <= 100 AND vert <= 6100", SHARED + COUNTS)
+@query("SELECT a, b, overlap FROM cm JOIN na x ON x.track_id = a JOIN na y ON y.track_id = b WHERE overlap >= 5 AND overlap / least(x.n, y.n) >= 0.6 AND lat <= 6100 AND lmax <= 400 AND lstd <= 500 AND vert <= 6100 AND (adx * bdx + ady * bdy + adz * bdz) / (sqrt(adx * adx + ady * ady + adz * adz) * sqrt(bdx * bdx + bdy * bdy + bdz * bdz)) >= 0.85 AND abs(ady - bdy) / (overlap - 1) <= 500", SHARED + COUNTS)
 def co_moving_pairs(spark, sf_dir):
-    return postprocess.co_moving_pairs(obs2(spark, sf_dir), 6100, 400, 5, 0.6).select("a", "b", "overlap")
+    return postprocess.co_moving_pairs(obs2(spark, sf_dir), 6100, 400, 5, 0.6, scale=1000).select("a", "b", "overlap")
 
 
 MOTION = "mo AS (SELECT track_id, CASE WHEN sum(step) < 0 THEN -1 ELSE 1 END AS direction, arg_max(cy, frame_id) - arg_min(cy, frame_id) AS displacement, regr_slope(min_y, frame_id) FILTER (back <= 8) AS s1, regr_slope(max_y, frame_id) FILTER (back <= 8) AS s2 FROM (SELECT *, cy - lag(cy) OVER (PARTITION BY track_id ORDER BY frame_id) AS step, row_number() OVER (PARTITION BY track_id ORDER BY frame_id DESC) AS back FROM obs2) GROUP BY 1)"
@@ -406,34 +414,36 @@ def motion_similarity(spark, sf_dir):
     return postprocess.motion(obs2(spark, sf_dir), last=8).select("track_id", "direction", milli(F.col("displacement")).alias("displacement"), milli(F.col("rear_slope")).alias("rear_slope"))
 
 
-ART = MOTION + ", " + SHARED + """, ah AS (SELECT sh.*, direction, (acy - bcy) * direction AS ahead, row_number() OVER (PARTITION BY a, b ORDER BY frame_id DESC) AS back FROM sh JOIN mo ON mo.track_id = a),
-gp AS (SELECT *, CASE WHEN ahead >= 0 THEN (CASE WHEN direction > 0 THEN aminy ELSE amaxy END) * direction - (CASE WHEN direction > 0 THEN bmaxy ELSE bminy END) * direction
-  ELSE (CASE WHEN direction > 0 THEN bminy ELSE bmaxy END) * direction - (CASE WHEN direction > 0 THEN amaxy ELSE aminy END) * direction END AS gap FROM ah),
-art AS (SELECT a, b, count(*) AS overlap, avg(abs(acx - bcx)) AS lateral_mean, avg(abs(acz - bcz)) AS vertical_mean, quantile_cont(ahead, 0.5) AS ahead_median, avg((ahead > 0)::INT) AS ahead_share, avg(gap) FILTER (back <= 5) AS gap_mean, stddev_pop(gap) FILTER (back <= 5) AS gap_std, min(gap) FILTER (back <= 5) AS gap_min,
-  quantile_cont((amaxy - aminy)::DOUBLE, 0.75) AS a_length, quantile_cont((bmaxy - bminy)::DOUBLE, 0.75) AS b_length FROM gp GROUP BY 1, 2)""" + COUNTS
+ART = SHARED + """, dr AS (SELECT a, b, CASE WHEN abs(ady + bdy) > 0.001 THEN sign(ady + bdy) WHEN abs(ady) > 0.001 THEN sign(ady) WHEN abs(bdy) > 0.001 THEN sign(bdy) ELSE 0 END AS direction FROM cm),
+gp AS (SELECT sh.*, direction, (acy - bcy) * direction AS ahead, row_number() OVER (PARTITION BY a, b ORDER BY frame_id DESC) AS back,
+  CASE WHEN direction < 0 THEN -amaxy ELSE aminy END AS arear, CASE WHEN direction < 0 THEN -aminy ELSE amaxy END AS afront, CASE WHEN direction < 0 THEN -bmaxy ELSE bminy END AS brear, CASE WHEN direction < 0 THEN -bminy ELSE bmaxy END AS bfront FROM sh JOIN dr USING (a, b)),
+md AS (SELECT a, b, quantile_cont(ahead, 0.5) AS ahead_median FROM gp GROUP BY 1, 2),
+gq AS (SELECT gp.*, ahead_median, CASE WHEN ahead_median > 0 THEN arear - bfront ELSE brear - afront END AS gap FROM gp JOIN md USING (a, b)),
+ar0 AS (SELECT a, b, any_value(direction) AS direction, count(*) AS overlap, count(*) FILTER (back <= 5) AS tail_count, avg(abs(acx - bcx)) AS lateral_mean, avg(abs(acz - bcz)) AS vertical_mean, any_value(ahead_median) AS ahead_median, avg((ahead > 0)::INT) AS ahead_share, avg((ahead < 0)::INT) AS behind_share,
+  avg(gap) AS full_mean, stddev_pop(gap) AS full_std, avg(gap) FILTER (back <= 5) AS tail_mean, stddev_pop(gap) FILTER (back <= 5) AS tail_std, min(gap) AS gap_min, quantile_cont((greatest(afront, bfront) - least(arear, brear))::DOUBLE, 0.75) AS combined_length,
+  regr_slope(arear, frame_id) FILTER (back <= 5) AS a_slope, regr_slope(brear, frame_id) FILTER (back <= 5) AS b_slope, quantile_cont((amaxy - aminy)::DOUBLE, 0.75) AS a_length, quantile_cont((bmaxy - bminy)::DOUBLE, 0.75) AS b_length FROM gq GROUP BY 1, 2),
+art AS (SELECT *, CASE WHEN tail_count < 3 THEN full_mean ELSE tail_mean END AS gap_mean, CASE WHEN tail_count < 3 THEN full_std ELSE tail_std END AS gap_std FROM ar0)""" + COUNTS
 
 
-@query(f"SELECT a, b, overlap, {m('ahead_median')} AS ahead_median, {m('ahead_share')} AS ahead_share, {m('gap_mean')} AS gap_mean, {m('gap_std')} AS gap_std, gap_min, {m('a_length')} AS a_length FROM art", ART)
+@query(f"SELECT a, b, overlap, CAST(direction AS INTEGER) AS direction, {m('ahead_median')} AS ahead_median, {m('ahead_share')} AS ahead_share, {m('gap_mean')} AS gap_mean, {m('gap_std')} AS gap_std, {m('full_mean')} AS full_gap_mean, gap_min, {m('combined_length')} AS combined_length, {m('a_slope')} AS a_slope FROM art", ART)
 def articulated_metrics(spark, sf_dir):
-    names = ("ahead_median", "ahead_share", "gap_mean", "gap_std")
-    return postprocess.articulated_metrics(obs2(spark, sf_dir)).select("a", "b", "overlap", *[milli(F.col(c)).alias(c) for c in names], "gap_min", milli(F.col("a_length")).alias("a_length"))
+    names = ("ahead_median", "ahead_share", "gap_mean", "gap_std", "full_gap_mean", "combined_length", "a_slope")
+    return postprocess.articulated_metrics(obs2(spark, sf_dir), scale=1000).select("a", "b", "overlap", "direction", *[milli(F.col(c)).alias(c) for c in names], F.col("gap_min").cast("long").alias("gap_min"))
 
 
 @query(
-    """SELECT a, b, CASE WHEN overlap < 4 THEN 'overlap_frames' WHEN overlap / least(x.n, y.n) < 0.7 THEN 'overlap_ratio' WHEN lateral_mean > 4000 THEN 'lateral' WHEN vertical_mean > 20 THEN 'vertical'
-WHEN abs(ahead_median) < 5 OR greatest(ahead_share, 1 - ahead_share) < 0.9 THEN 'ordering' WHEN gap_mean > 2500 THEN 'gap_mean' WHEN gap_std > 60 THEN 'gap_std' WHEN gap_min < -750 THEN 'gap_negative' WHEN a_length + b_length + greatest(gap_mean, 0.0) < 500 THEN 'combined_length' ELSE 'linked' END AS reason
-FROM art JOIN na x ON x.track_id = a JOIN na y ON y.track_id = b""",
-    ART,
+    """SELECT a, b, CASE WHEN overlap < 8 THEN 'overlap_frames' WHEN overlap / least(x.n, y.n) < 0.7 THEN 'overlap_ratio' WHEN lateral_mean > 13000 THEN 'lateral_offset' WHEN vertical_mean > 20 THEN 'vertical_offset' WHEN direction = 0 THEN 'direction'
+WHEN (adx * bdx + ady * bdy + adz * bdz) / (sqrt(adx * adx + ady * ady + adz * adz) * sqrt(bdx * bdx + bdy * bdy + bdz * bdz)) < 0.85 OR abs(a_slope - b_slope) > 25 THEN 'motion'
+WHEN abs(ahead_median) < 500 OR CASE WHEN ahead_median > 0 THEN ahead_share ELSE behind_share END < 0.9 THEN 'ordering' ELSE CASE WHEN gap_mean > 2500 THEN 'gap_tail' WHEN gap_std > 60 THEN 'gap_tail_std' WHEN gap_min < -750 THEN 'gap_negative' WHEN combined_length < 700 THEN 'combined_length' ELSE 'tail_gap' END END AS reason
+FROM art JOIN cm USING (a, b) JOIN na x ON x.track_id = a JOIN na y ON y.track_id = b""".replace("lateral_mean", "art.lateral_mean").replace("CASE WHEN overlap < 8", "CASE WHEN art.overlap < 8").replace("overlap / least", "art.overlap / least"),
+    ART.replace("obs2", "shifted").replace("sh AS", "shifted AS (SELECT seq_id, track_id, frame_id, cx, cz, n_points, min_x, max_x, min_z, max_z, cy + 1500 * (track_id % 3) AS cy, min_y + 1500 * (track_id % 3) AS min_y, max_y + 1500 * (track_id % 3) AS max_y FROM obs2), sh AS", 1),
 )
 def articulated_decision(spark, sf_dir):
-    rows = obs2(spark, sf_dir)
+    shift = 1500 * (F.col("track_id") % 3)
+    rows = obs2(spark, sf_dir).withColumns({c: F.col(c) + shift for c in ("cy", "min_y", "max_y")})
     n = rows.groupBy("seq_id", "track_id").agg(F.count("*").alias("n"))
-    out = postprocess.articulated_decision(postprocess.articulated_metrics(rows), n, 4, 0.7, 4000, 20, 2500, 60, 500)
-    # thresholds of ordering and negative gaps are in metres; here they are millimetres
-    ordering = (F.abs("ahead_median") < 5) | (F.greatest("ahead_share", 1 - F.col("ahead_share")) < 0.9)
-    early = F.col("reason").isin("overlap_frames", "overlap_ratio", "lateral", "vertical")
-    rest = F.when(ordering, "ordering").when(F.col("gap_mean") > 2500, "gap_mean").when(F.col("gap_std") > 60, "gap_std").when(F.col("gap_min") < -750, "gap_negative").when(F.col("a_length") + F.col("b_length") + F.greatest("gap_mean", F.lit(0.0)) < 500, "combined_length").otherwise("linked")
-    return out.select("a", "b", F.when(early, F.col("reason")).otherwise(rest).alias("reason"))
+    out = postprocess.articulated_decision(postprocess.articulated_metrics(rows, scale=1000), n, 8, 0.7, 13_000, 20, 2500, 60, 700, 25, scale=1000)
+    return out.select("a", "b", "reason")
 
 
 @query("SELECT a, b, CASE WHEN ahead_median > 0.25 THEN a WHEN ahead_median < -0.25 THEN b WHEN a_length > b_length THEN a WHEN a_length < b_length THEN b WHEN p.n > q.n THEN a WHEN p.n < q.n THEN b ELSE least(a, b) END AS lead FROM art JOIN (SELECT track_id, sum(n_points) AS n FROM obs2 GROUP BY 1) p ON p.track_id = a JOIN (SELECT track_id, sum(n_points) AS n FROM obs2 GROUP BY 1) q ON q.track_id = b", ART)
@@ -441,9 +451,9 @@ def lead_choice(spark, sf_dir):
     return postprocess.lead_choice(obs2(spark, sf_dir)).select("a", "b", "lead")
 
 
-@query("SELECT a, b FROM cm JOIN (SELECT track_id, quantile_cont((max_y - min_y)::DOUBLE, 0.75) AS l FROM obs2 GROUP BY 1) x ON x.track_id = a JOIN (SELECT track_id, quantile_cont((max_y - min_y)::DOUBLE, 0.75) AS l FROM obs2 GROUP BY 1) y ON y.track_id = b WHERE greatest(x.l, y.l) >= 0.85 * 700 OR x.l + y.l + lmax >= 700", SHARED)
+@query("SELECT a, b FROM cm JOIN lo x ON x.track_id = a JOIN lo y ON y.track_id = b WHERE greatest(x.l, y.l) >= 0.85 * 760 OR x.l + y.l + abs(x.now - y.now) >= 760", SHARED + ", lo AS (SELECT track_id, quantile_cont((max_y - min_y)::DOUBLE, 0.75) AS l, arg_max(cy, frame_id) AS now FROM obs2 GROUP BY 1)")
 def long_vehicle_candidates(spark, sf_dir):
-    return postprocess.long_candidates(obs2(spark, sf_dir), 700).select("a", "b")
+    return postprocess.long_candidates(obs2(spark, sf_dir), 760).select("a", "b")
 
 
 @query(f"SELECT track_id // 2 AS track_id, frame_id, CAST(sum(n_points) AS BIGINT) AS n_points, {m('sum(cy * n_points) / sum(n_points)')} AS cy, min(min_x) AS min_x, max(max_x) AS max_x, list_sort(list(track_id))::VARCHAR AS sources FROM obs2 GROUP BY 1, 2")
@@ -602,12 +612,15 @@ def statistical_outlier_removal(spark, sf_dir):
 
 
 @query(
-    f"SELECT track_id, {m('x')} AS x, {m('y')} AS y, {m('z')} AS z, {m('confidence')} AS confidence FROM c2 WHERE n <= 20 OR place <= 20",
-    REVOX + """, c1 AS (SELECT *, row_number() OVER (PARTITION BY track_id, bin ORDER BY confidence DESC, x, y, z) AS k, count(*) OVER (PARTITION BY track_id) AS n FROM (SELECT *, least(floor((y - lo) / greatest(hi - lo, 1e-9) * 8), 7) AS bin FROM (SELECT *, min(y) OVER (PARTITION BY track_id) AS lo, max(y) OVER (PARTITION BY track_id) AS hi FROM rv))),
-c2 AS (SELECT c1.*, row_number() OVER (PARTITION BY c1.track_id ORDER BY CASE WHEN k <= greatest(1, floor(20 / used)) THEN 0 ELSE 1 END, confidence DESC, x, y, z) AS place FROM c1 JOIN (SELECT track_id, count(DISTINCT bin) AS used FROM c1 GROUP BY 1) u ON u.track_id = c1.track_id)""",
+    f"SELECT track_id, {m('x')} AS x, {m('y')} AS y, {m('z')} AS z, {m('confidence')} AS confidence, most FROM c2 WHERE n <= most OR place <= most",
+    REVOX + """, c1 AS (SELECT *, row_number() OVER (PARTITION BY track_id, bin ORDER BY confidence DESC, wx, wy, wz) AS k, count(*) OVER (PARTITION BY track_id) AS n FROM (SELECT *, least(floor((y - lo) / greatest(hi - lo, 1e-9) * 8), 7) AS bin FROM (SELECT *, min(y) OVER (PARTITION BY track_id) AS lo, max(y) OVER (PARTITION BY track_id) AS hi FROM rv))),
+c2 AS (SELECT c1.*, row_number() OVER (PARTITION BY c1.track_id, most ORDER BY CASE WHEN k <= floor(most / used) THEN 0 ELSE 1 END, confidence DESC, wx, wy, wz) AS place FROM (SELECT * FROM c1, (SELECT unnest([20, 5]) AS most)) c1 JOIN (SELECT track_id, count(DISTINCT bin) AS used FROM c1 GROUP BY 1) u ON u.track_id = c1.track_id)""",
 )
 def confidence_point_cap(spark, sf_dir):
-    return fusion.confidence_cap(revox(spark, sf_dir), 20, 8).select("track_id", *[milli(F.col(c)).alias(c) for c in ("x", "y", "z", "confidence")])
+    # A budget of two points a bin, and one below a point a bin.
+    cloud = revox(spark, sf_dir)
+    both = [fusion.confidence_cap(cloud, most, 8).select("track_id", *[milli(F.col(c)).alias(c) for c in ("x", "y", "z", "confidence")], F.lit(most).alias("most")) for most in (20, 5)]
+    return both[0].union(both[1])
 
 
 PLANE = REVOX + """, pl0 AS (SELECT track_id, quantile_cont(x, 0.05) AS a, quantile_cont(x, 0.5) AS b, quantile_cont(x, 0.95) AS c FROM rv GROUP BY 1), pl1 AS (SELECT track_id, CASE WHEN abs((a + c) / 2 - b) >= 100 THEN (a + c) / 2 ELSE b END AS plane FROM pl0),
@@ -729,7 +742,7 @@ def rear_chunk_restore(spark, sf_dir):
 @query()
 def fragment_linking(spark, sf_dir):
     rows = obs2(spark, sf_dir)
-    together = postprocess.co_moving_pairs(rows, 6100, 400, 5, 0.5).select("seq_id", "a", "b")
+    together = postprocess.co_moving_pairs(rows, 6100, 400, 5, 0.5, scale=1000).select("seq_id", "a", "b")
     return postprocess.fragment_links(rows, together.join(postprocess.long_candidates(rows, 700), ["seq_id", "a", "b"]))
 
 

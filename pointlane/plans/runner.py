@@ -62,14 +62,15 @@ def read(spark: SparkSession, kind: str, paths: list[str]) -> DataFrame:
 
 
 def run(spark: SparkSession, spec: config.Spec, points: DataFrame, out: str, classifier: evaluate.Classifier = evaluate.by_size) -> dict:
-    """Write a run's tables and artifacts under ``out``; every table is written once and read back. Gives the summary row."""
+    """Write a run's tables and artifacts under ``out``; every table is written once, and each is built from those before it as they were written. Gives the summary row."""
     profile = Profile()
-    tables = pipeline.run(points, spec)
-    done: dict[str, DataFrame] = {}
-    for name in ("detections", "states", "observations", "tracks", "quality", "clouds", "results"):
+
+    def keep(name: str, rows: DataFrame) -> DataFrame:
         with profile.stage(name):
-            tables[name].write.parquet(f"{out}/{name}.parquet")
-        done[name] = spark.read.parquet(f"{out}/{name}.parquet")
+            rows.write.parquet(f"{out}/{name}.parquet")
+        return spark.read.schema(rows.schema).parquet(f"{out}/{name}.parquet")
+
+    done = pipeline.run(points, spec, keep=keep)
     saved = done["results"].where("status = 'saved'").select("seq_id", "track_id")
     clouds = done["clouds"].join(saved, ["seq_id", "track_id"], "left_semi")
     with profile.stage("classify"):

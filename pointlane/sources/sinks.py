@@ -20,14 +20,14 @@ def pcd(points: np.ndarray, reflectivity: np.ndarray | None = None) -> str:
 
 
 def write_clouds(cloud: DataFrame, path: str, kind: str = "track", intensity: bool = False) -> None:
-    """One PCD file per track, as text files partitioned by stem, written by the executors to any store."""
+    """One PCD file per sequence and track, as text files partitioned by sequence and stem, written by the executors to any store."""
 
     def run(key, track: pd.DataFrame) -> pd.DataFrame:
         lit = track["intensity"].to_numpy(float) if intensity and track["intensity"].notna().all() else None
-        return pd.DataFrame({"stem": [f"{kind}_{key[0]:04d}"], "value": [pcd(track[["x", "y", "z"]].to_numpy(float), lit)]})
+        return pd.DataFrame({"seq_id": [key[0]], "stem": [f"{kind}_{key[1]:04d}"], "value": [pcd(track[["x", "y", "z"]].to_numpy(float), lit)]})
 
-    rows = cloud.groupBy("track_id").applyInPandas(run, "stem string, value string")
-    rows.write.partitionBy("stem").option("lineSep", "\n").text(path)
+    rows = cloud.groupBy("seq_id", "track_id").applyInPandas(run, "seq_id string, stem string, value string")
+    rows.write.partitionBy("seq_id", "stem").option("lineSep", "\n").text(path)
 
 
 def write_json_lines(rows: DataFrame, path: str) -> None:

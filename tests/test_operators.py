@@ -165,6 +165,8 @@ def test_fusion_vectors(spark):
     line = spark.createDataFrame([("s", 1, 0.0, 0.01 * k, 0.0, 1.0, 1.0) for k in range(40)] + [("s", 1, 5.0, 5.0, 5.0, 1.0, 1.0)], frame.schema)
     assert fusion.remove_outliers(line, 6, 2.0).count() == 40
     assert fusion.confidence_cap(line, 10, 4).count() == 10
+    few = spark.createDataFrame([("s", 1, 0.0, float(k), 0.0, 1.0, c) for k, c in enumerate((9.0, 8.0, 1.0, 7.0))], frame.schema)
+    assert sorted(r["confidence"] for r in fusion.confidence_cap(few, 2, 4).collect()) == [8.0, 9.0]
 
 
 def test_exit_and_smoothing_and_merge(spark):
@@ -179,7 +181,46 @@ def test_exit_and_smoothing_and_merge(spark):
     truck = observations(spark, [(21, k, (0, 10 + k, 0), (1, 1.7, 1), 9) for k in range(4)] + [(22, k, (0, 6.2 + k, 0), (1, 1.7, 1), 9) for k in range(4)])
     n = truck.groupBy("seq_id", "track_id").agg(F.count("*").alias("n"))
     decided = postprocess.articulated_decision(postprocess.articulated_metrics(truck), n)
-    assert [tuple(r) for r in postprocess.best_partners(decided).collect()] == [("s", 21, 22)]
+    assert [tuple(r) for r in postprocess.best_partners(decided, truck).collect()] == [("s", 21, 22)]
+    states = {r["track_id"]: r for r in postprocess.link_states(postprocess.best_partners(decided, truck), "articulated").collect()}
+    assert states[22]["role"] == "rear" and states[22]["group_id"] == 21 and states[21]["component_track_ids"] == [21, 22]
+    # Faster at the rear edge: the motion test rejects before the gap's.
+    n_of = lambda rows: rows.groupBy("seq_id", "track_id").agg(F.count("*").alias("n"))
+    reason = lambda rows: [r["reason"] for r in postprocess.articulated_decision(postprocess.articulated_metrics(rows), n_of(rows)).collect()]
+    assert reason(truck) == ["tail_gap"]
+    fast = observations(spark, [(21, k, (0, 10 + k, 0), (1, 1.7, 1), 9) for k in range(4)] + [(22, k, (0, 3 + 1.9 * k, 0), (1, 1.7, 1), 9) for k in range(4)])
+    assert reason(fast) == ["motion"]
+    still = observations(spark, [(21, k, (0, 10, 0), (1, 1.7, 1), 9) for k in range(4)] + [(22, k, (0, 6.2, 0), (1, 1.7, 1), 9) for k in range(4)])
+    assert reason(still) == ["direction"]
+    # Merges go on with what a track has become: 3 is near 2, not near 1.
+    three = observations(spark, [(t, k, (0.5 * t, k, 0), (0.1, 0.1, 0.1), 5) for t in (1, 2, 3) for k in range(6)])
+    got = dict(tuple(r)[1:] for r in postprocess.co_moving_merges(three, 0.8, 4.0, 5, 0.6).collect())
+    assert got == {1: 1, 2: 1, 3: 1}
+    far = observations(spark, [(t, k, (0.5 * t, k, 0), (0.1, 0.1, 0.1), 5) for t in (1, 3) for k in range(6)])
+    assert dict(tuple(r)[1:] for r in postprocess.co_moving_merges(far, 0.8, 4.0, 5, 0.6).collect()) == {1: 1, 3: 3}
+
+
+def test_contested_stitches(spark):
+    """Each tracklet takes all that may go on from its end; against the definition in plain Python."""
+    ends = {1: (0, 1, 0.0), 2: (0, 1, 0.1), 3: (2, 3, 0.0), 4: (2, 5, 0.1), 5: (4, 6, 0.05), 6: (6, 8, 0.1), 7: (7, 9, 5.0), 8: (9, 9, 0.1)}
+    rows = observations(spark, [(t, f, (x, 0, 0), (1, 1, 1), 5) for t, (a, b, x) in ends.items() for f in (a, b)]).distinct()
+    for near in ({(1, 3), (2, 3), (2, 4)}, {(a, b) for a in ends for b in ends if 0 < ends[b][0] - ends[a][1] <= 2 and abs(ends[a][2] - ends[b][2]) <= 1}):
+        chains, changed = [[t] for t in sorted(ends, key=lambda t: (ends[t][0], t))], True
+        while changed:
+            changed, out, skip = False, [], set()
+            for k, chain in enumerate(chains):
+                if k in skip:
+                    continue
+                for later in range(k + 1, len(chains)):
+                    if later not in skip and (chain[-1], chains[later][0]) in near:
+                        chain = chain + chains[later]
+                        skip.add(later)
+                        changed = True
+                out.append(chain)
+            chains = out
+        pairs = spark.createDataFrame([("s", a, b) for a, b in near], "seq_id string, a int, b int")
+        got = {r["track_id"]: r["new_id"] for r in postprocess.stitch(rows, pairs).collect()}
+        assert got == {t: chain[0] for chain in chains for t in chain}
 
 
 def test_registration_recovers_a_known_motion():
@@ -253,7 +294,7 @@ def test_frame_files(spark, tmp_path):
 def test_sinks(spark, tmp_path):
     clouds = spark.createDataFrame([("s", 7, 1.0, 2.0, 3.0, 0.5), ("s", 7, 4.0, 5.0, 6.0, 0.25)], "seq_id string, track_id int, x double, y double, z double, intensity double")
     sinks.write_clouds(clouds, str(tmp_path / "pcd"), intensity=True)
-    text = "\n".join(r["value"] for r in spark.read.text(str(tmp_path / "pcd" / "stem=track_0007")).collect())
+    text = "\n".join(r["value"] for r in spark.read.text(str(tmp_path / "pcd" / "seq_id=s" / "stem=track_0007")).collect())
     assert "POINTS 2" in text and "1 2 3 0.5" in text
     sinks.write_json_lines(spark.createDataFrame([(1, None)], "b int, a string"), str(tmp_path / "j"))
     assert json.loads(spark.read.text(str(tmp_path / "j")).first()["value"]) == {"b": 1}
