@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import crc_fold, hash_fraction
+from ._shared import crc_fold, hash_fraction, stored
 from ._text import SLICE, slices, text_bytes
 
 UND = "und"
@@ -141,6 +141,8 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_do
     # A row for each language and for each language and distinct text, told apart by hash.
     key, fraction = F.xxhash64("text"), hash_fraction("text", seed=seed)
     sizes = rows.select("lang", key.alias("key")).distinct().groupBy("lang").agg(F.count("*").alias("docs")).select(F.col("lang").alias("of"), "docs")
+    # Written first, so that its size is known and the texts need no shuffle for it.
+    sizes = stored(sizes, "languages")
     drawn = rows.join(sizes, F.col("lang") == F.col("of")).where(fraction < F.lit(float(sample_docs)) / F.col("docs"))
     drawn = drawn.groupBy("lang", key.alias("key")).agg(F.first("text").alias("text")).select("text", "lang")
     counts = drawn.mapInArrow(_gram_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()

@@ -145,6 +145,8 @@ def deduplicate(docs: DataFrame, text: str = "text", drops=recurring, counts: tu
     """All columns of ``docs`` with the lines that ``drops`` finds (recurring ones) dropped from ``text``; added: the columns ``counts``, before which old ones of these names give way."""
     rows = docs.withColumnRenamed(text, "text") if text != "text" else docs
     found = drops(rows.select("doc_id", "text"), **how).distinct().groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(F.collect_set("line_no").alias("__drops"))
+    # Written first: where few texts lose lines, their plain table is known to be small and the texts need no shuffle.
+    found = stored(found, "drops")
     rows = rows.drop(*counts).withColumn("__text", F.xxhash64("text"))
     rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__key")), "left")
     parts = F.split("text", "\n")

@@ -228,8 +228,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
     keys = F.array(*[F.xxhash64(F.lit(k), F.substring("sig", 4 * rows * k + 1, 4 * rows)) for k in range(bands)])
     buckets = nodes.select("node", F.explode(keys).alias("bucket"))
     # Buckets of the same members, of which a cluster has one in almost every band, are searched once.
-    met = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(2), "node")).alias("x2")).where("n > 1")
-    chosen = stored(met.groupBy("n", "x1", "x2").agg(F.min("bucket").alias("of")).select("of"), "buckets")
+    met = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("all")).where("n > 1")
+    chosen = stored(met.groupBy("n", "all").agg(F.min("bucket").alias("of")).select("of"), "buckets")
     mates = buckets.join(chosen, F.col("bucket") == F.col("of")).select("bucket", F.col("node").alias("mate"))
     mates = mates.join(nodes.select("node", "n_shingles", "short"), F.col("mate") == F.col("node")).select("bucket", "node", "n_shingles", "short")
     pairs = dealt(mates, ["bucket"], "node").mapInArrow(lambda it: _pruned(it, percent, least), "a long, b long")
@@ -259,18 +259,13 @@ def survivors(docs: DataFrame, **how) -> DataFrame:
     return least.select("x.doc_id", "x.text_key").unionByName(lone)
 
 
-def one_row_each(rows: DataFrame) -> DataFrame:
-    """Of rows that repeat id and text the least by the other columns; rows without an id all stay."""
-    names = rows.columns
+def one_of_each(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` that are kept: one text of each group, and of rows that repeat id and text the least by the other columns; all without an id."""
+    names = docs.columns
     rest = [c for c in names if c not in ("doc_id", "text")]
-    keyed = rows.where(F.col("doc_id").isNotNull())
-    least = keyed.groupBy("doc_id", F.xxhash64("text").alias("__key")).agg(F.min(F.struct(*rest, "text")).alias("__row"))
+    kept = survivors(docs, **how).where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__kept"), F.col("text_key").alias("__kept_key"))
+    # Rows that repeat id and text are combined before the shuffle by these, which then serves the join too.
+    keyed = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id", F.xxhash64("text").alias("__key")).agg(F.min(F.struct(*rest, "text")).alias("__row"))
+    least = keyed.join(kept, (F.col("doc_id") == F.col("__kept")) & (F.col("__key") == F.col("__kept_key")), "left_semi")
     least = least.select("doc_id", *[F.col(f"__row.{c}").alias(c) for c in (*rest, "text")])
-    return least.select(*names).union(rows.where(F.col("doc_id").isNull()))
-
-
-def one_of_each(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` that are kept: one text of each group, and of rows that repeat id and text one."""
-    kept = survivors(docs, **how).select(F.col("doc_id").alias("__kept"), F.col("text_key").alias("__kept_key"))
-    same = F.col("doc_id").eqNullSafe(F.col("__kept")) & (F.xxhash64("text") == F.col("__kept_key"))
-    return one_row_each(docs.join(kept, same, "left_semi"))
+    return least.select(*names).union(docs.where(F.col("doc_id").isNull()))
