@@ -37,7 +37,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats or leaves out documents so that sources come near their target weights, in the order of the schedule."""
+    """Repeats or leaves out documents so that sources come near their target weights; each file follows the schedule."""
     return mixing.mixed(docs)
 
 
