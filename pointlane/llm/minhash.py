@@ -6,11 +6,11 @@ only shingle; without words the set is empty and links with nothing). Two
 documents link if 100 * |intersection| >= percent * |union|.
 
 1. One pass gives each document its set's size, a 128-bit fingerprint and a
-   signature of ``HASHES`` minima. Equal sets are one node from here on.
+   signature of ``HASHES`` minima, cut to 16 bits each, which can only add
+   agreement. Equal sets are one node from here on.
 2. Bands of the signature; of buckets with the same members one is kept.
 3. Pairs within a bucket run as bounded tiles (``_tiles``) over signatures
-   alone, cut to 16 bits a minimum, which can only add agreement: it is counted
-   in batches of ``BATCH`` minima. Under a uniform prior the similarity then has
+   alone: agreement is counted in batches of ``BATCH`` minima. Under a uniform prior the similarity then has
    a Beta posterior, and a pair is pruned once the chance of its reaching the
    threshold is below ``miss``. A tile gives back a spanning forest of its
    survivors; documents that survivors connect form a search group, so a chain
@@ -107,15 +107,13 @@ def least_matches(percent: int, miss: float) -> list[int]:
 
 def _sketch(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sizes, key1, key2, signatures, shorts = [], [], [], [], []
+        sizes, key1, key2, shorts = [], [], [], []
         for s in shingle_sets(batch.column(1), width):
             sizes.append(len(s))
             key1.append(int(mix64(s).sum(dtype=np.uint64).astype(np.int64)) if len(s) else 0)
             key2.append(int(mix64(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).astype(np.int64)) if len(s) else 0)
-            sig = signature(s) if len(s) else None
-            signatures.append(None if sig is None else sig.tobytes())
-            shorts.append(None if sig is None else sig.astype("<u2").tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(key1, pa.int64()), pa.array(key2, pa.int64()), pa.array(signatures, pa.binary()), pa.array(shorts, pa.binary())], ["doc_id", "n_shingles", "key1", "key2", "sig", "short"])
+            shorts.append(signature(s).astype("<u2").tobytes() if len(s) else None)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(key1, pa.int64()), pa.array(key2, pa.int64()), pa.array(shorts, pa.binary())], ["doc_id", "n_shingles", "key1", "key2", "short"])
 
 
 def alive(sig: np.ndarray, sizes: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int, least: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -220,12 +218,12 @@ def link_tile(tile: pa.Table, percent: int, bands: int, rows: int, least: list[i
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: float = 1e-5, band_miss: float = 1e-6) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = stored(texts.mapInArrow(lambda it: _sketch(it, width), "doc_id long, n_shingles long, key1 long, key2 long, sig binary, short binary"), "sketch")
+    sketch = stored(texts.mapInArrow(lambda it: _sketch(it, width), "doc_id long, n_shingles long, key1 long, key2 long, short binary"), "sketch")
     bands, rows = choose_bands(percent, band_miss)
     least = least_matches(percent, miss)
     own = ["n_shingles", "key1", "key2"]
-    nodes = stored(sketch.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*own).agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.first("short").alias("short")), "nodes")
-    keys = F.array(*[F.xxhash64(F.lit(k), F.substring("sig", 4 * rows * k + 1, 4 * rows)) for k in range(bands)])
+    nodes = stored(sketch.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*own).agg(F.min("doc_id").alias("node"), F.first("short").alias("short")), "nodes")
+    keys = F.array(*[F.xxhash64(F.lit(k), F.substring("short", 2 * rows * k + 1, 2 * rows)) for k in range(bands)])
     buckets = nodes.select("node", F.explode(keys).alias("bucket"))
     # Buckets of the same members, of which a cluster has one in almost every band, are searched once.
     met = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("all")).where("n > 1")

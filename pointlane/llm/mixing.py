@@ -151,7 +151,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, se
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: int = 8, words: int = WORDS) -> DataFrame:
-    """The mix in whole rows of ``docs``, in the order of the slots.
+    """The mix in whole rows of ``docs``; each partition (a share of the rows by hash) in the order of the slots.
 
     A row comes as often as its source's rounds take half of its words or
     more, so a source is off its target by half of one row at most. A row
@@ -168,4 +168,4 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3,
     copies = copies.join(dealt, (F.col("sid") == F.col("of_sid")) & (F.col("block") == F.col("of_block")), "left")
     copies = copies.select(F.col("row").alias("__of"), F.coalesce("slot", F.lit(0)).alias("__slot"))
     out = keyed.join(copies, F.col("__row") == F.col("__of"))
-    return out.repartitionByRange("__slot", "__row").sortWithinPartitions("__slot", "__row").select(*names)
+    return out.sortWithinPartitions("__slot", "__row").select(*names)
