@@ -920,4 +920,13 @@ def preset_hungarian_weighted(spark, sf_dir):
 
 @query()
 def preset_voxel_consensus(spark, sf_dir):
-    return results(spark, sf_dir, clusterer="voxel_grid_connected_components", accumulator="occupancy_consensus_fusion", selection="length_coverage", smoothing_window=3)
+    return results(spark, sf_dir, clusterer="voxel_grid_connected_components", accumulator="occupancy_consensus_fusion", selection="length_coverage", post=("trajectory_smoothing",), smoothing_window=3)
+
+
+@query()
+def preset_long_vehicles(spark, sf_dir):
+    """Every post-processor and every step of accumulation."""
+    post = {"post": ("tracklet_stitching", "co_moving_track_merge", "articulated_vehicle_merge", "trajectory_smoothing"), "stitch_distance": 2500.0, "smoothing_window": 3, "merge_lateral": 800.0, "merge_longitudinal": 4000.0}
+    link = {"link_lateral": 900.0, "link_vertical": 600.0, "link_gap": 2500.0, "link_gap_std": 600.0, "link_speed": 500.0, "link_length": 6500.0}
+    fuse = {"long_vehicles": True, "long_length": 350.0, "touch_margin": 120.0, "truncate_at_lane_end": True, "quality_window": True, "shape_ratio": 2.0, "tail_bridge": True, "bridge_gap": 1500.0, "bridge_lateral": 800.0, "bridge_vertical": 500.0, "cap_points": 50, "symmetry": True}
+    return results(spark, sf_dir, metre=1000.0, **post, **link, **fuse)
