@@ -9,10 +9,13 @@ documents link if 100 * |intersection| >= percent * |union|.
    signature of ``HASHES`` minima, cut to 16 bits each, which can only add
    agreement. Equal sets are one node from here on.
 2. Bands of the signature; of buckets with the same members one is kept.
-3. Pairs within a bucket run as bounded tiles (``_tiles``) over signatures
-   alone: agreement is counted in batches of ``BATCH`` minima. Under a uniform prior the similarity then has
+3. Pairs within a bucket are compared by signatures alone: agreement is counted
+   in batches of ``BATCH`` minima. Under a uniform prior the similarity then has
    a Beta posterior, and a pair is pruned once the chance of its reaching the
-   threshold is below ``miss``. A tile gives back a spanning forest of its
+   threshold is below ``miss``. First every row meets the hub (least node) of its
+   bucket, which connects near copies in steps that grow with rows. Pairs that this leaves
+   unconnected run as bounded tiles (``_tiles``), where the rows of a bucket's
+   largest part never meet each other. A tile gives back a spanning forest of its
    survivors; documents that survivors connect form a search group, so a chain
    of loose bucket mates forms none.
 4. Only members of search groups fetch their full sets. Pairs of a group that
@@ -128,6 +131,40 @@ def alive(sig: np.ndarray, sizes: np.ndarray, x: np.ndarray, y: np.ndarray, perc
     return at, same
 
 
+def _near_hub(batches: Iterator[pa.RecordBatch], percent: int, least: list[int]) -> Iterator[pa.RecordBatch]:
+    """The pairs (node, hub) that no batch of minima prunes."""
+    for batch in batches:
+        sig = np.concatenate([raw_matrix(batch.column(c), "<u2", HASHES) for c in ("short", "hub_short")])
+        sizes = np.concatenate([batch.column(c).to_numpy() for c in ("n_shingles", "hub_shingles")])
+        at = np.arange(batch.num_rows)
+        keep = pa.array(alive(sig, sizes, at, at + batch.num_rows, percent, least)[0])
+        yield pa.RecordBatch.from_arrays([batch.column("node").take(keep), batch.column("hub").take(keep)], ["a", "b"])
+
+
+def stars(mates: DataFrame, nodes: DataFrame, percent: int, least: list[int]) -> DataFrame:
+    """(a, b): the rows of ``mates`` (bucket, node) that survive beside the least node of their bucket, and that node."""
+    hubs = mates.groupBy(F.col("bucket").alias("of")).agg(F.min("node").alias("hub"))
+    pairs = mates.join(hubs, F.col("bucket") == F.col("of")).where("node > hub").select("node", "hub").distinct()
+    own = nodes.select(F.col("node").alias("own"), "n_shingles", "short")
+    theirs = nodes.select(F.col("node").alias("their"), F.col("n_shingles").alias("hub_shingles"), F.col("short").alias("hub_short"))
+    pairs = pairs.join(own, F.col("node") == F.col("own")).join(theirs, F.col("hub") == F.col("their"))
+    return pairs.select("node", "hub", "n_shingles", "short", "hub_shingles", "hub_short").mapInArrow(lambda it: _near_hub(it, percent, least), "a long, b long")
+
+
+def apart(mates: DataFrame, parts: DataFrame) -> DataFrame:
+    """(bucket, node, home) of the buckets whose members ``parts`` (node, component) doesn't connect; the largest part is not at home.
+
+    Members of one part need no comparison, nor does a bucket of two, whose only pair has met.
+    """
+    parts = parts.select(F.col("node").alias("in_part"), "component")
+    placed = mates.join(parts, F.col("node") == F.col("in_part"), "left").select("bucket", "node", F.coalesce("component", "node").alias("part"))
+    placed = stored(placed, "placed")
+    by_part = placed.groupBy(F.col("bucket").alias("of"), "part").agg(F.count("*").alias("n"))
+    still = by_part.groupBy("of").agg(F.sum("n").alias("n"), F.count("*").alias("parts"), F.max(F.struct("n", "part")).alias("most"))
+    still = still.where("parts > 1 AND n > 2").select("of", F.col("most.part").alias("most"))
+    return placed.join(still, F.col("bucket") == F.col("of")).select("bucket", "node", (F.col("part") != F.col("most")).alias("home"))
+
+
 def _pruned(batches: Iterator[pa.RecordBatch], percent: int, least: list[int]) -> Iterator[pa.RecordBatch]:
     """A spanning forest of the surviving pairs of each tile."""
     for table, starts in stretches(batches, ["bucket", "tile_i", "tile_j"]):
@@ -228,9 +265,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
     # Buckets of the same members, of which a cluster has one in almost every band, are searched once.
     met = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("all")).where("n > 1")
     chosen = stored(met.groupBy("n", "all").agg(F.min("bucket").alias("of")).select("of"), "buckets")
-    mates = buckets.join(chosen, F.col("bucket") == F.col("of")).select("bucket", F.col("node").alias("mate"))
-    mates = mates.join(nodes.select("node", "n_shingles", "short"), F.col("mate") == F.col("node")).select("bucket", "node", "n_shingles", "short")
-    pairs = dealt(mates, ["bucket"], "node").mapInArrow(lambda it: _pruned(it, percent, least), "a long, b long")
+    mates = stored(buckets.join(chosen, F.col("bucket") == F.col("of")).select("bucket", "node"), "mates")
+    met_hub = stored(stars(mates, nodes, percent, least), "stars")
+    rest = apart(mates, connected_components(met_hub)).withColumnRenamed("node", "mate")
+    rest = rest.join(nodes.select("node", "n_shingles", "short"), F.col("mate") == F.col("node")).select("bucket", "home", "node", "n_shingles", "short")
+    pairs = met_hub.union(dealt(rest, ["bucket"], "node", home="home").mapInArrow(lambda it: _pruned(it, percent, least), "a long, b long"))
     groups = stored(connected_components(pairs).select(F.col("node").alias("in_group"), F.col("component").alias("grp")), "groups")
     # The groups' ids, built into a hash table by partition; the texts are shuffled once and never sorted.
     found = texts.join(groups.hint("shuffle_hash"), F.col("doc_id") == F.col("in_group")).select(F.col("doc_id").alias("node"), "grp", "text").mapInArrow(lambda it: _members(it, width), "node long, grp long, shingles binary, sig binary")

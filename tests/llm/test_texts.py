@@ -16,6 +16,7 @@ import pyarrow as pa
 import pytest
 
 from pointlane.llm import bpe, langid, lines, minhash, mixing, sharding, toxicity
+from pointlane.llm._components import connected_components
 from pointlane.llm._text import text_bytes, word_hashes
 
 SF = "/root/testdata/sf0.001"
@@ -373,6 +374,26 @@ def test_survivors_connect_what_plain_pairs_connect():
     assert plain and len(found) < len(plain) and parts(found) == parts(plain)
 
 
+def test_near_copies_meet_their_hub_alone(spark):
+    """A bucket of near copies needs no tile; one whose hub is an outlier still finds the others, with its largest part never at home."""
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 1 << 16, (2, minhash.HASHES)).astype("<u2")
+    nodes, mates = [(0, 100, rng.integers(0, 1 << 16, minhash.HASHES).astype("<u2").tobytes())], [(2, 0)]
+    for k in range(1, 301):
+        nodes.append((k, 100, base[k % 3 == 0].tobytes()))
+        mates += [(1, k), (2, k)] if k % 3 else [(2, k)]
+    mates.append((3, 0))
+    mates.append((3, 1))
+    nodes = spark.createDataFrame(nodes, "node long, n_shingles long, short binary")
+    mates = spark.createDataFrame(mates, "bucket long, node long")
+    least = minhash.least_matches(85, 1e-5)
+    met = minhash.stars(mates, nodes, 85, least)
+    assert {tuple(r) for r in met.collect()} == {(k, 1) for k in range(2, 301) if k % 3}
+    rest = minhash.apart(mates, connected_components(met)).collect()
+    assert {r.bucket for r in rest} == {2} and len(rest) == 301
+    assert {r.node for r in rest if r.home} == {0, *range(3, 301, 3)}
+
+
 def test_minhash_cases(odd, none):
     out = minhash.near_duplicates(odd, 3, 85).toPandas()
     assert len(out) == 10 and out[out.doc_id == 1].component_id.tolist() == [1, 1]
