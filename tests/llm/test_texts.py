@@ -380,7 +380,7 @@ def test_near_copies_meet_their_hub_alone(spark):
     base = rng.integers(0, 1 << 16, (2, minhash.HASHES)).astype("<u2")
     nodes, mates = [(0, 100, rng.integers(0, 1 << 16, minhash.HASHES).astype("<u2").tobytes())], [(2, 0)]
     for k in range(1, 301):
-        nodes.append((k, 100, base[k % 3 == 0].tobytes()))
+        nodes.append((k, 100, base[int(k % 3 == 0)].tobytes()))
         mates += [(1, k), (2, k)] if k % 3 else [(2, k)]
     mates.append((3, 0))
     mates.append((3, 1))
