@@ -15,22 +15,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._shared import stored
+
 LEAST, MOST, CHUNKS = 128, 4096, 16
 
 
-def dealt(members: DataFrame, group: list[str], key: str, least: int = LEAST, most: int = MOST, home: str | None = None) -> DataFrame:
+def dealt(members: DataFrame, group: list[str], key: str, least: int = LEAST, most: int = MOST, home: str | None = None, counted: DataFrame | None = None) -> DataFrame:
     """Rows of ``members`` copied to the tiles they belong to and sorted by tile.
 
     Added columns: tile_i <= tile_j, and ``chunk``, the row's own chunk, which
     is one of the two. With ``home``, a boolean column, only pairs with a row
     at home are wanted: other rows (visitors) have chunks of their own, which
-    never meet each other.
+    never meet each other. With ``counted``, the same rows without their wide
+    columns, groups are counted there and the counts written before the join:
+    a hot group is then a skewed join of two plain inputs, which Spark splits.
     """
     own = F.col(home) if home else F.lit(True)
-    sizes = members.groupBy(*group).agg(F.count_if(own).alias("__homes"), F.count_if(~own).alias("__guests"))
+    sizes = (members if counted is None else counted).groupBy(*group).agg(F.count_if(own).alias("__homes"), F.count_if(~own).alias("__guests"))
     target = lambda n: F.least(F.greatest(F.ceil(F.col(n) / CHUNKS), F.lit(least)), F.lit(most))
     chunks = lambda n: F.ceil(F.col(n) / target(n)).cast("int").alias(f"{n}_chunks")
     sizes = sizes.where("__homes > 0").select(*[F.col(g).alias(f"__{g}") for g in group], chunks("__homes"), chunks("__guests"))
+    sizes = sizes if counted is None else stored(sizes, "sizes")
     rows = members.join(sizes, [F.col(g) == F.col(f"__{g}") for g in group]).drop(*[f"__{g}" for g in group])
     place = lambda n: F.pmod(F.xxhash64(F.lit(17), F.col(key)), F.greatest(F.col(n), F.lit(1))).cast("int")
     homes, guests = F.col("__homes_chunks"), F.col("__guests_chunks")

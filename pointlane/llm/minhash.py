@@ -143,7 +143,8 @@ def _near_hub(batches: Iterator[pa.RecordBatch], percent: int, least: list[int])
 
 def stars(mates: DataFrame, nodes: DataFrame, percent: int, least: list[int]) -> DataFrame:
     """(a, b): the rows of ``mates`` (bucket, node) that survive beside the least node of their bucket, and that node."""
-    hubs = mates.groupBy(F.col("bucket").alias("of")).agg(F.min("node").alias("hub"))
+    # Written, as are the counts of parts and tiles below: a join of two plain inputs is one that Spark splits at a hot bucket.
+    hubs = stored(mates.groupBy(F.col("bucket").alias("of")).agg(F.min("node").alias("hub")), "hubs")
     pairs = mates.join(hubs, F.col("bucket") == F.col("of")).where("node > hub").select("node", "hub").distinct()
     own = nodes.select(F.col("node").alias("own"), "n_shingles", "short")
     theirs = nodes.select(F.col("node").alias("their"), F.col("n_shingles").alias("hub_shingles"), F.col("short").alias("hub_short"))
@@ -161,7 +162,7 @@ def apart(mates: DataFrame, parts: DataFrame) -> DataFrame:
     placed = stored(placed, "placed")
     by_part = placed.groupBy(F.col("bucket").alias("of"), "part").agg(F.count("*").alias("n"))
     still = by_part.groupBy("of").agg(F.sum("n").alias("n"), F.count("*").alias("parts"), F.max(F.struct("n", "part")).alias("most"))
-    still = still.where("parts > 1 AND n > 2").select("of", F.col("most.part").alias("most"))
+    still = stored(still.where("parts > 1 AND n > 2").select("of", F.col("most.part").alias("most")), "still")
     return placed.join(still, F.col("bucket") == F.col("of")).select("bucket", "node", (F.col("part") != F.col("most")).alias("home"))
 
 
@@ -267,13 +268,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
     chosen = stored(met.groupBy("n", "all").agg(F.min("bucket").alias("of")).select("of"), "buckets")
     mates = stored(buckets.join(chosen, F.col("bucket") == F.col("of")).select("bucket", "node"), "mates")
     met_hub = stored(stars(mates, nodes, percent, least), "stars")
-    rest = apart(mates, connected_components(met_hub)).withColumnRenamed("node", "mate")
-    rest = rest.join(nodes.select("node", "n_shingles", "short"), F.col("mate") == F.col("node")).select("bucket", "home", "node", "n_shingles", "short")
-    pairs = met_hub.union(dealt(rest, ["bucket"], "node", home="home").mapInArrow(lambda it: _pruned(it, percent, least), "a long, b long"))
+    slim = stored(apart(mates, connected_components(met_hub)), "rest")
+    rest = slim.withColumnRenamed("node", "mate").join(nodes.select("node", "n_shingles", "short"), F.col("mate") == F.col("node")).select("bucket", "home", "node", "n_shingles", "short")
+    pairs = met_hub.union(dealt(rest, ["bucket"], "node", home="home", counted=slim).mapInArrow(lambda it: _pruned(it, percent, least), "a long, b long"))
     groups = stored(connected_components(pairs).select(F.col("node").alias("in_group"), F.col("component").alias("grp")), "groups")
     # The groups' ids, built into a hash table by partition; the texts are shuffled once and never sorted.
     found = texts.join(groups.hint("shuffle_hash"), F.col("doc_id") == F.col("in_group")).select(F.col("doc_id").alias("node"), "grp", "text").mapInArrow(lambda it: _members(it, width), "node long, grp long, shingles binary, sig binary")
-    links = dealt(stored(found, "members"), ["grp"], "node").mapInArrow(lambda it: _linked(it, percent, bands, rows, least), "a long, b long")
+    members = stored(found, "members")
+    links = dealt(members, ["grp"], "node", counted=members.select("grp")).mapInArrow(lambda it: _linked(it, percent, bands, rows, least), "a long, b long")
     parts = connected_components(links).select(F.col("node").alias("linked"), "component")
     classes = nodes.select(*[F.col(c).alias(f"of_{c}") for c in own], "node").join(parts, F.col("node") == F.col("linked"), "left")
     classes = classes.select(*[f"of_{c}" for c in own], F.coalesce("component", "node").alias("component"))
