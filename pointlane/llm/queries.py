@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, embedding_dedup, langid, lines, minhash, mixing, sharding, toxicity, warc
+from . import ann, bpe, embedding_dedup, filter_audit, langid, lines, minhash, mixing, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -169,3 +169,28 @@ kept AS (SELECT li.doc_id, li.text, string_agg(li.line, chr(10) ORDER BY li.line
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.new_text, '') END AS text, CAST(coalesce(k.n_lines, 0) AS INTEGER) AS n_lines, CAST(coalesce(k.n_dropped, 0) AS INTEGER) AS n_dropped
 FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id AND d.text = k.text
 """
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op12_filter_audit"] = """
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT d.doc_id, part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b, 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) AS c,
+    regexp_matches(t, '[#$%&*|]') AS d, coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false) AS e FROM d LEFT JOIN l ON d.doc_id = l.doc_id),
+g AS (SELECT part, good, toxic, CASE WHEN a THEN 'A' ELSE '' END || CASE WHEN b THEN 'B' ELSE '' END || CASE WHEN c THEN 'C' ELSE '' END
+    || CASE WHEN d THEN 'D' ELSE '' END || CASE WHEN e THEN 'E' ELSE '' END AS fails, count(*) AS n FROM f GROUP BY ALL),
+x(l) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+s AS (SELECT filter_order, CAST(i AS INTEGER) AS step, filter_order[i:i] AS own, filter_order[1:i-1] AS before FROM o, range(1, 6) r(i)),
+h AS (SELECT g.*, filter_order, step, own, contains(fails, own) AS fails_own, length(translate(fails, before, '')) < length(fails) AS gone FROM g, s),
+r AS (SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT gone AND NOT fails_own), 0) AS kept, coalesce(sum(n) FILTER (NOT gone AND fails_own), 0) AS removed,
+    coalesce(sum(n) FILTER (gone AND fails_own), 0) AS redundant, coalesce(sum(n) FILTER (fails = own), 0) AS unique_fails,
+    coalesce(sum(n) FILTER (NOT gone AND fails_own AND good), 0) AS good_lost, coalesce(sum(n) FILTER (NOT gone AND fails_own AND toxic), 0) AS toxic_lost FROM h GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r
+"""
