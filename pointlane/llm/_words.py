@@ -49,3 +49,22 @@ def word_ids(column: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     if isinstance(encoded, pa.ChunkedArray):
         encoded = encoded.chunk(0) if encoded.num_chunks else pa.array([], pa.large_binary()).dictionary_encode()
     return np.asarray(encoded.indices).astype(np.int64), encoded.dictionary, np.concatenate(firsts)
+
+
+def spelled(ids: np.ndarray, vocabulary: pa.Array, first: np.ndarray, keep: np.ndarray) -> pa.Array:
+    """The kept words of every text joined by one space."""
+    words = vocabulary.take(pa.array(ids[keep])).cast(pa.large_binary())
+    n = len(words)
+    at = np.frombuffer(words.buffers()[1], np.int64, n + 1 + words.offset)[words.offset :] if n else np.zeros(1, np.int64)
+    letters = np.frombuffer(words.buffers()[2], np.uint8)[at[0] : at[-1]] if n and at[-1] > at[0] else np.zeros(0, np.uint8)
+    at = at - at[0]
+    spaced = np.full(len(letters) + n, 32, np.uint8)
+    spaced[np.arange(len(letters)) + np.repeat(np.arange(n), np.diff(at))] = letters
+    kept = np.concatenate([[0], np.cumsum(keep)])[first]
+    # Every word is followed by a space here; the last one of a text is cut off.
+    begin, end = at[kept[:-1]] + kept[:-1], at[kept[1:]] + kept[1:]
+    end = np.maximum(begin, end - 1)
+    inside = np.ones(len(spaced) + 1, bool)
+    inside[end[kept[1:] > kept[:-1]]] = False
+    offsets = np.concatenate([[0], np.cumsum(end - begin)]).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_utf8(), len(first) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(spaced[inside[:-1]]))])

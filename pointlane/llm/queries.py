@@ -198,4 +198,4 @@ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS B
 
 @query
 def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return runs.detect(table(spark, sf_dir, "documents"), plant=True)
+    return runs.summary(runs.detect(table(spark, sf_dir, "documents"), plant=True))

@@ -29,7 +29,6 @@ empty table gives an empty result; columns other than those named are not read.
 
 from __future__ import annotations
 
-import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -40,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._text import slices
-from ._words import word_ids
+from ._words import spelled, word_ids
 
 #: Least words of a run, and least number of periods.
 LEAST, TIMES = 24, 3
@@ -289,15 +288,20 @@ def planted(n: int, h: int | None) -> tuple[int, int] | None:
     return a, 1 + (n - a) // (3 + g % 8)
 
 
-_RESULT = "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, runs_sha256 string, collapsed_sha256 string"
+_RESULT = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("runs", T.ArrayType(T.StructType([T.StructField(c, T.LongType()) for c in ("start", "length", "period")]))),
+        T.StructField("collapsed", T.StringType()),
+    ]
+)
 
 
 def _detected(batch: pa.RecordBatch, plant: bool) -> pa.RecordBatch:
     """Rows of _RESULT for a batch of (doc_id, text)."""
     ids, vocabulary, first = word_ids(batch.column(1))
     source = np.arange(len(ids))
-    keys = batch.column(0).to_pylist()
-    for i, key in enumerate(keys) if plant else ():
+    for i, key in enumerate(batch.column(0).to_pylist()) if plant else ():
         low, n = int(first[i]), int(first[i + 1] - first[i])
         if key is not None and (p := planted(n, zlib.crc32(str(key).encode()))):
             a = low + p[0]
@@ -307,31 +311,13 @@ def _detected(batch: pa.RecordBatch, plant: bool) -> pa.RecordBatch:
     keep = np.ones(len(ids), bool)
     for s, e, q in zip(start, end, period, strict=True):
         keep[s + q : e] = False
-    spelled = vocabulary.take(pa.array(ids[keep]))
-    letters = np.asarray(spelled.buffers()[2]).view(np.uint8) if spelled.buffers()[2] is not None else np.zeros(0, np.uint8)
-    at = np.frombuffer(spelled.buffers()[1], np.int64, len(spelled) + 1)
-    # A space after every word; a text's last one is left out of its digest.
-    spaced = np.full(len(letters[: at[-1]]) + len(spelled), 32, np.uint8)
-    spaced[np.arange(at[-1]) + np.repeat(np.arange(len(spelled)), np.diff(at))] = letters[: at[-1]]
-    kept = np.concatenate([[0], np.cumsum(keep)])[first]
-    bounds = at[kept] + kept
-    of = np.searchsorted(owner, np.arange(len(keys) + 1))
-    rows = []
-    for i, key in enumerate(keys):
-        own = [(int(s - first[i]), int(e - s), int(q)) for s, e, q in zip(start[of[i] : of[i + 1]], end[of[i] : of[i + 1]], period[of[i] : of[i + 1]], strict=True)]
-        best = None
-        for run in own:  # by start, then period: only a greater exponent takes over
-            if best is None or run[1] * best[2] > best[1] * run[2]:
-                best = run
-        digest = hashlib.sha256("".join(f"{s},{length},{q}\n" for s, length, q in own).encode()).hexdigest()
-        collapsed = hashlib.sha256(spaced[bounds[i] : max(bounds[i], bounds[i + 1] - 1)]).hexdigest()
-        rows.append((key, len(own), *(best or (None, None, None)), 1000 * best[1] // best[2] if best else None, digest, collapsed))
-    types = [pa.int64()] * 6 + [pa.string()] * 2
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], [f.split()[0] for f in _RESULT.split(", ")])
+    each = pa.StructArray.from_arrays([pa.array(start - first[owner]), pa.array(end - start), pa.array(period)], ["start", "length", "period"])
+    lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(batch.num_rows + 1)).astype(np.int32)), each)
+    return pa.RecordBatch.from_arrays([batch.column(0), lists, spelled(ids, vocabulary, first, keep).cast(pa.string())], _RESULT.names)
 
 
 def detect(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", plant: bool = False) -> DataFrame:
-    """The runs of every text, its best one, and digests of the list of runs and of the text without their later periods.
+    """doc_id, the runs of every text by start and period, and the text without their periods after the first, words joined by one space.
 
     ``plant`` makes texts periodic as ``planted`` says, before they are read.
     """
@@ -341,4 +327,21 @@ def detect(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", plant: b
             for low, high in slices(batch.column(1), BATCH):
                 yield _detected(batch.slice(low, high - low), plant)
 
-    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(work, T._parse_datatype_string(_RESULT))
+    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(work, _RESULT)
+
+
+def summary(found: DataFrame) -> DataFrame:
+    """Of what ``detect`` returns: the number of runs, the run of the greatest exponent, and digests."""
+    # By start, then period: only a greater exponent takes over.
+    best = F.reduce("runs", F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"), lambda a, x: F.when(a.isNull() | (x["length"] * a["period"] > a["length"] * x["period"]), x).otherwise(a))
+    lines = F.transform("runs", lambda x: F.concat(x["start"].cast("string"), F.lit(","), x["length"].cast("string"), F.lit(","), x["period"].cast("string"), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
