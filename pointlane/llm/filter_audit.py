@@ -31,6 +31,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -98,6 +99,18 @@ def csr(ids: np.ndarray, first: np.ndarray, n_words: int) -> tuple[np.ndarray, n
     return ends, join(columns), join(counts)
 
 
+def _packed(columns: np.ndarray, counts: np.ndarray) -> bytes:
+    """Entries of the matrix for disk and shuffle: steps between columns and counts, byte by byte, compressed."""
+    both = np.stack([np.diff(columns, prepend=np.int32(0)), counts]).astype("<i4")
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(both.reshape(-1).view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(4, -1)
+    both = np.ascontiguousarray(planes.T).view("<i4").reshape(2, -1)
+    return np.cumsum(both[0], dtype=np.int32), both[1]
+
+
 def _lists(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
@@ -111,8 +124,7 @@ def encode(docs: DataFrame, keep: list[str], text: str = "text", shard_bytes: in
             T.StructField("shard", T.LongType()),
             T.StructField("rows", T.ArrayType(rows_type)),
             T.StructField("row_ends", T.ArrayType(T.LongType())),
-            T.StructField("columns", T.ArrayType(T.IntegerType())),
-            T.StructField("counts", T.ArrayType(T.IntegerType())),
+            T.StructField("entries", T.BinaryType()),
             T.StructField("words", T.ArrayType(T.BinaryType())),
         ]
     )
@@ -128,7 +140,7 @@ def encode(docs: DataFrame, keep: list[str], text: str = "text", shard_bytes: in
                 rows = pa.StructArray.from_arrays(
                     [*part.columns[1:], pa.StructArray.from_arrays(list(facts.values()), list(facts))], [*keep, "facts"]
                 )
-                fields = [pa.array([shard], pa.int64()), _lists(rows), _lists(pa.array(ends)), _lists(pa.array(columns)), _lists(pa.array(counts)), _lists(words.cast(pa.binary()))]
+                fields = [pa.array([shard], pa.int64()), _lists(rows), _lists(pa.array(ends)), pa.array([_packed(columns, counts)], pa.binary()), _lists(words.cast(pa.binary()))]
                 yield pa.RecordBatch.from_arrays(fields, schema.names)
                 shard += 1
 
@@ -137,14 +149,17 @@ def encode(docs: DataFrame, keep: list[str], text: str = "text", shard_bytes: in
     words = stored(local.select(F.explode("words").alias("word")).distinct().select("word", F.monotonically_increasing_id().alias("word_id")), "words")
     own = local.select(F.col("shard").alias("of"), F.posexplode("words").alias("at", "word"))
     globally = own.join(words, "word").select("of", "at", "word_id")
-    out = T.StructType([schema["shard"], schema["rows"], schema["row_ends"], T.StructField("columns", T.ArrayType(T.LongType())), schema["counts"]])
+    out = T.StructType([schema["shard"], schema["rows"], schema["row_ends"], T.StructField("columns", T.ArrayType(T.LongType())), T.StructField("counts", T.ArrayType(T.IntegerType()))])
 
     def translate(shard: pa.Table, ids: pa.Table) -> pa.Table:
         to = np.zeros(ids.num_rows, np.int64)
         to[np.asarray(ids["at"])] = np.asarray(ids["word_id"])
-        columns = shard["columns"].combine_chunks()
-        ids_of = _lists(pa.array(to[np.asarray(columns.flatten())]))
-        return pa.Table.from_arrays([shard["shard"], shard["rows"], shard["row_ends"], ids_of, shard["counts"]], out.names)
+        packed = shard["entries"].to_pylist()
+        columns, counts = _unpacked(packed[0]) if packed else (np.zeros(0, np.int32),) * 2
+        fields = [shard["shard"], shard["rows"], shard["row_ends"]]
+        if not packed:
+            return pa.Table.from_arrays([*fields, pa.array([], pa.list_(pa.int64())), pa.array([], pa.list_(pa.int32()))], out.names)
+        return pa.Table.from_arrays([*fields, _lists(pa.array(to[columns])), _lists(pa.array(counts))], out.names)
 
     return Matrix(words, local.drop("words").groupBy("shard").cogroup(globally.groupBy("of")).applyInArrow(translate, out))
 
