@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, embedding_dedup, filter_audit, langid, lines, minhash, mixing, runs, sharding, toxicity, warc
+from . import ann, bpe, embedding_dedup, filter_audit, langid, lines, minhash, mixing, passages, runs, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -199,3 +199,22 @@ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS B
 @query
 def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.summary(runs.detect(table(spark, sf_dir, "documents"), plant=True))
+
+
+@query
+def op13_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.digests(passages.remove_repeats(table(spark, sf_dir, "documents")))
+
+
+ORACLES["op13_passages"] = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
+h AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS g FROM s),
+again AS (SELECT g FROM h GROUP BY g HAVING count(*) > 1),
+hit AS (SELECT r, i FROM h SEMI JOIN again USING (g)),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS i FROM hit),
+per AS (SELECT r, list(i) AS gone FROM gone GROUP BY r),
+kept AS (SELECT d.r, array_agg(x ORDER BY j) FILTER (g.i IS NULL) AS k FROM (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS j FROM d) d LEFT JOIN gone g ON d.r = g.r AND d.j = g.i GROUP BY d.r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(per.gone), 0) AS BIGINT) AS n_removed, sha256(coalesce(array_to_string(kept.k, ' '), '')) AS kept_sha256
+FROM d LEFT JOIN per USING (r) LEFT JOIN kept USING (r)
+"""
