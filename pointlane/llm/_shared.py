@@ -48,3 +48,19 @@ def crc_fold(doc_id: str = "doc_id"):
 def hash_fraction(*cols: str, seed: int):
     """A reproducible number in [0, 1) for a row."""
     return F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]), F.lit(1 << 30)) / F.lit(float(1 << 30))
+
+
+def named(name: str):
+    """The column of this name, whatever its letters."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def carried(docs: DataFrame, *own: str) -> DataFrame:
+    """The columns ``own`` and, in one struct ``carried``, all others: their names can't clash with what an operator adds."""
+    rest = [named(c) for c in docs.columns if c not in own]
+    return docs.select(*[named(c) for c in own], *([F.struct(*rest).alias("carried")] if rest else []))
+
+
+def unpacked(rows: DataFrame, names: list[str], own: tuple[str, ...]) -> DataFrame:
+    """The columns ``names`` of what ``carried`` packed, ``own`` ones as they now are."""
+    return rows.select(*[named(c) if c in own else F.col("carried").getField(c).alias(c) for c in names])

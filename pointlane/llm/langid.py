@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import crc_fold, hash_fraction, stored
+from ._shared import carried, crc_fold, hash_fraction, stored, unpacked
 from ._text import SLICE, slices, text_bytes
 
 UND = "und"
@@ -307,8 +307,6 @@ def accept(docs: DataFrame, max_bits: float = MAX_BITS, **bounds) -> DataFrame:
     model = train(docs.where(~held_out()), **bounds)
     if not model.langs:
         return docs
-    # Columns of the verdict's names are put out of its way.
-    away = {c: f"__own_{c}" for c in VERDICT if c in names}
-    judged = predict(docs.select(*[F.col(c).alias(away.get(c, c)) for c in names]), model)
+    judged = predict(carried(docs, "text"), model)
     judged = judged.where((F.col("lang_pred") != UND) & (F.col("bits_per_byte") <= max_bits))
-    return judged.select(*[F.col(away.get(c, c)).alias(c) for c in names])
+    return unpacked(judged, names, ("text",))

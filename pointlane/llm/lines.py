@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import stored
+from ._shared import carried, named, stored, unpacked
 
 DEPTH, MIN_TEXTS, MIN_TOKENS, SIMILAR, LONG_TOKENS = 3, 4, 3, 0.6, 50
 #: Levels of generalisation: at a share s a position keeps 1 / s tokens at most, however many texts a leaf has.
@@ -143,18 +143,19 @@ def repeats(docs: DataFrame, min_tokens: int = MIN_TOKENS) -> DataFrame:
 
 def deduplicate(docs: DataFrame, text: str = "text", drops=recurring, counts: tuple[str, str] = ("n_lines", "n_dropped"), **how) -> DataFrame:
     """All columns of ``docs`` with the lines that ``drops`` finds (recurring ones) dropped from ``text``; added: the columns ``counts``, before which old ones of these names give way."""
-    rows = docs.withColumnRenamed(text, "text") if text != "text" else docs
-    found = drops(rows.select("doc_id", "text"), **how).distinct().groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(F.collect_set("line_no").alias("__drops"))
+    found = drops(docs.select("doc_id", named(text).alias("text")), **how).distinct().groupBy(F.col("doc_id").alias("drop_id"), F.col("text_key").alias("drop_key")).agg(F.collect_set("line_no").alias("drops"))
     # Written first: where few texts lose lines, their plain table is known to be small and the texts need no shuffle.
     found = stored(found, "drops")
-    rows = rows.drop(*counts).withColumn("__text", F.xxhash64("text"))
-    rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__key")), "left")
+    names = [c for c in docs.columns if c not in counts]
+    rows = carried(docs.select(*[named(c) for c in names]), "doc_id", text).withColumnRenamed(text, "text").withColumn("key", F.xxhash64("text"))
+    rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col("drop_id")) & (F.col("key") == F.col("drop_key")), "left")
     parts = F.split("text", "\n")
-    kept = F.array_join(F.filter(parts, lambda line, k: ~F.array_contains(F.col("__drops"), k)), "\n")
-    rows = rows.withColumn(counts[0], F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)))
-    rows = rows.withColumn(counts[1], F.when(F.col("__drops").isNull(), 0).otherwise(F.size("__drops")))
-    rows = rows.withColumn("text", F.when(F.col("__drops").isNull(), F.col("text")).otherwise(kept)).drop("__id", "__key", "__drops", "__text")
-    return rows.withColumnRenamed("text", text) if text != "text" else rows
+    kept = F.array_join(F.filter(parts, lambda line, k: ~F.array_contains(F.col("drops"), k)), "\n")
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).alias(counts[0])
+    n_dropped = F.when(F.col("drops").isNull(), 0).otherwise(F.size("drops")).alias(counts[1])
+    after = F.when(F.col("drops").isNull(), F.col("text")).otherwise(kept).alias(text)
+    columns = {"doc_id": F.col("doc_id"), text: after}
+    return rows.select(*[columns[c] if c in columns else F.col("carried").getField(c).alias(c) for c in names], n_lines, n_dropped)
 
 
 def cleaned(docs: DataFrame, drops=recurring, **how) -> DataFrame:
@@ -163,8 +164,9 @@ def cleaned(docs: DataFrame, drops=recurring, **how) -> DataFrame:
     Where lines were dropped, ``n_chars`` (if there is such a number) is counted anew.
     """
     names = docs.columns
-    rows = deduplicate(docs, drops=drops, counts=("__lines", "__dropped"), **how).where("__dropped = 0 OR text != ''")
-    if "n_chars" in names and docs.schema["n_chars"].dataType.typeName() in ("long", "integer"):
-        kind = docs.schema["n_chars"].dataType
-        rows = rows.withColumn("n_chars", F.when(F.col("__dropped") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return rows.select(*names)
+    counted = "n_chars" in names and docs.schema["n_chars"].dataType.typeName() in ("long", "integer")
+    own = ("doc_id", "text", *(["n_chars"] if counted else []))
+    rows = deduplicate(carried(docs, *own), drops=drops, **how).where("n_dropped = 0 OR text != ''")
+    if counted:
+        rows = rows.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return unpacked(rows, names, own)

@@ -36,15 +36,15 @@ read.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._components import connected_components
-from ._shared import stored
+from ._shared import carried, stored, unpacked
 from ._text import mix64, slices, text_bytes, word_hashes
 from ._tiles import dealt, runs, stretches
 from ._vectors import raw_matrix
@@ -284,27 +284,38 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
     return has.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def survivors(docs: DataFrame, **how) -> DataFrame:
-    """(doc_id, text_key) of the texts that are kept: of each group the one of the least doc_id, then text_key; all without an id.
+def _name() -> Column:
+    return F.xxhash64("doc_id", "text_key", "text_key2")
+
+
+def survivors(docs: DataFrame, name: Callable[[], Column] = _name, **how) -> DataFrame:
+    """(doc_id, text_key, text_key2) of the texts that are kept: of each group the one of the least doc_id, then keys; all without an id.
 
     Each distinct (doc_id, text) is a document of its own here, so an id that repeats with other texts loses only those that are linked.
+    ``name`` makes one number of a document. Documents that share it (one pair in 2^64) can't be told apart by it: they stay out of the search and are kept.
     """
-    texts = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    own = F.xxhash64("doc_id", "text_key")
-    names = stored(texts.select("doc_id", "text_key").distinct(), "names")
-    found = near_duplicates(texts.select(own.alias("doc_id"), "text"), **how).select(F.col("doc_id").alias("of"), "component_id").distinct()
-    least = names.join(found, own == F.col("of")).groupBy("component_id").agg(F.min(F.struct("doc_id", "text_key")).alias("x"))
-    lone = docs.where(F.col("doc_id").isNull()).select("doc_id", F.xxhash64("text").alias("text_key")).distinct()
-    return least.select("x.doc_id", "x.text_key").unionByName(lone)
+    keys = ["doc_id", "text_key", "text_key2"]
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.xxhash64(F.lit(7), "text").alias("text_key2"), "text")
+    texts = keyed.where(F.col("doc_id").isNotNull()).withColumn("name", name())
+    names = stored(texts.select("name", *keys).distinct(), "names")
+    shared = stored(names.groupBy(F.col("name").alias("shared")).agg(F.count("*").alias("n")).where("n > 1").select("shared"), "shared")
+    alone = lambda rows: rows.join(shared, F.col("name") == F.col("shared"), "left_anti")
+    found = near_duplicates(alone(texts.select("name", "text")).select(F.col("name").alias("doc_id"), "text"), **how).select(F.col("doc_id").alias("of"), "component_id").distinct()
+    least = alone(names).join(found, F.col("name") == F.col("of")).groupBy("component_id").agg(F.min(F.struct(*keys)).alias("x"))
+    kept = names.join(shared, F.col("name") == F.col("shared"), "left_semi").select(*keys)
+    lone = keyed.where(F.col("doc_id").isNull()).select(*keys).distinct()
+    return least.select("x.*").unionByName(kept).unionByName(lone)
 
 
 def one_of_each(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` that are kept: one text of each group, and of rows that repeat id and text the least by the other columns; all without an id."""
+    """The rows of ``docs`` that are kept: one text of each group, and one of the rows that repeat id and text (by a hash of the other columns); all without an id."""
     names = docs.columns
-    rest = [c for c in names if c not in ("doc_id", "text")]
-    kept = survivors(docs, **how).where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__kept"), F.col("text_key").alias("__kept_key"))
-    # Rows that repeat id and text are combined before the shuffle by these, which then serves the join too.
-    keyed = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id", F.xxhash64("text").alias("__key")).agg(F.min(F.struct(*rest, "text")).alias("__row"))
-    least = keyed.join(kept, (F.col("doc_id") == F.col("__kept")) & (F.col("__key") == F.col("__kept_key")), "left_semi")
-    least = least.select("doc_id", *[F.col(f"__row.{c}").alias(c) for c in (*rest, "text")])
-    return least.select(*names).union(docs.where(F.col("doc_id").isNull()))
+    rows = carried(docs, "doc_id", "text").withColumns({"row_key": F.xxhash64("text"), "row_key2": F.xxhash64(F.lit(7), "text")})
+    kept = survivors(docs.select("doc_id", "text"), **how).where(F.col("doc_id").isNotNull()).withColumnRenamed("doc_id", "kept_id")
+    # Rows that repeat id and text are combined before the shuffle by these, which then serves the join too. Maps have no order, their JSON has.
+    order = F.xxhash64(F.to_json("carried")) if "carried" in rows.columns else F.lit(0)
+    row = F.struct("text", *(["carried"] if "carried" in rows.columns else []))
+    keyed = rows.where(F.col("doc_id").isNotNull()).groupBy("doc_id", "row_key", "row_key2").agg(F.min_by(row, order).alias("row"))
+    least = keyed.join(kept, (F.col("doc_id") == F.col("kept_id")) & (F.col("row_key") == F.col("text_key")) & (F.col("row_key2") == F.col("text_key2")), "left_semi")
+    least = unpacked(least.select("doc_id", "row.*"), names, ("doc_id", "text"))
+    return least.union(docs.where(F.col("doc_id").isNull()))

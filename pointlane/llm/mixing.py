@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import WORD, stored
+from ._shared import WORD, named, stored, unpacked
 
 GOLDEN = 0.6180339887498949
 #: Words of a slot; slots grow with the input.
@@ -159,13 +159,13 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3,
     """
     names = docs.columns
     # The number of a row is written beside it, so rows that are alike stay apart.
-    keyed = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed")
-    rows = keyed.select(F.col("__row").alias("row"), "doc_id", "source", word_count().alias("size"))
+    keyed = stored(docs.select(F.struct(*[named(c) for c in names]).alias("carried"), F.monotonically_increasing_id().alias("row")), "keyed")
+    rows = keyed.select("row", "carried.doc_id", "carried.source", word_count("carried.text").alias("size"))
     rows, dealt = schedule(stored(rows, "sizes"), weights, most, seed, words)
     whole = (F.col("size") > 0) & (2 * (F.col("due") - F.col("start")) >= F.col("size"))
     copies = _rounds(rows, most).where(whole | ((F.col("size") == 0) & (F.col("turn") == 0)))
     copies = copies.withColumn("block", _block(F.greatest(F.least(F.col("start"), F.col("due") - 1), F.lit(0))))
     copies = copies.join(dealt, (F.col("sid") == F.col("of_sid")) & (F.col("block") == F.col("of_block")), "left")
-    copies = copies.select(F.col("row").alias("__of"), F.coalesce("slot", F.lit(0)).alias("__slot"))
-    out = keyed.join(copies, F.col("__row") == F.col("__of"))
-    return out.sortWithinPartitions("__slot", "__row").select(*names)
+    copies = copies.select(F.col("row").alias("of_row"), F.coalesce("slot", F.lit(0)).alias("at_slot"))
+    out = keyed.join(copies, F.col("row") == F.col("of_row"))
+    return unpacked(out.sortWithinPartitions("at_slot", "row"), names, ())

@@ -26,6 +26,7 @@ LONG = "word " * 60_000
 CLASHES = (
     "size", "score", "ids", "node", "component", "n_lines", "n_dropped", "sid", "key", "key1", "times", "row_number", "lang_pred", "bits_per_byte", "label", "toxic", "bytes", "of", "held_out", "text_key",
     "line_no", "form", "leaf", "first", "place", "taken", "slot", "block", "rank", "target", "sig", "short", "grp", "bucket", "n_tokens", "decoded", "shard", "law", "h", "part", "row", "copies",
+    "__key", "__id", "__drops", "__text", "__of", "__slot", "__lines", "__dropped", "__row", "__kept", "__in", "__own_score", "carried", "drops", "drop_id", "kept_id", "row_key", "name", "shared", "of_row", "at_slot",
 )
 
 
@@ -46,7 +47,7 @@ def odd(spark):
 
     for name in CLASHES:
         frame = frame.withColumn(name, F.lit("clash"))
-    return frame
+    return frame.withColumns({"a map": F.create_map(F.lit("k"), F.col("n_chars")), "an.array": F.array(F.col("lang")), "st`ruct": F.struct("source", F.lit(1).alias("x"))})
 
 
 @pytest.fixture(scope="module")
@@ -542,3 +543,35 @@ def test_language_id_rejects_languages_it_has_not_learned(spark):
     rows = spark.createDataFrame([(-k, t, None, "x", 1) for k, t in enumerate(foreign.values(), 1)], DOCS)
     kept = langid.accept(docs.union(rows))
     assert kept.where("doc_id < 0").count() == 0 and kept.count() >= 0.9995 * docs.where("text rlike '[[:alpha:]]'").count()
+
+
+def stage_functions():
+    import corpus_pipeline
+
+    return corpus_pipeline.STAGES
+
+
+@pytest.mark.parametrize("name", ["language_id", "line_dedup", "minhash_near_dedup", "mixing", "bpe"])
+def test_pipeline_stages_keep_odd_columns_and_empty_tables(spark, odd, none, name):
+    stage = dict(stage_functions())[name]
+    got = stage(spark, odd, SF)
+    if name != "bpe":
+        assert got.columns == odd.columns and got.schema["a map"].dataType == odd.schema["a map"].dataType
+        rows = got.collect()
+        assert all(r[c] == "clash" for r in rows for c in CLASHES) and len(rows) >= 1
+        # Foreign columns stay with their rows.
+        assert all(r["an.array"] == [r.lang] and r["st`ruct"].source == r.source and r["a map"].keys() == {"k"} for r in rows)
+    else:
+        assert got.count() == odd.count()
+    assert stage(spark, none, SF).count() == 0
+
+
+def test_documents_of_one_name_are_kept(spark):
+    from pyspark.sql import functions as F
+
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([(1, text), (2, text), (3, text + " more"), (4, "quite another text of other words than those")], "doc_id long, text string")
+    few = lambda rows: sorted(r.doc_id for r in rows.collect())
+    assert few(minhash.survivors(docs)) == [1, 4]
+    assert few(minhash.survivors(docs, name=lambda: F.when(F.col("doc_id") < 3, 7).otherwise(F.col("doc_id")).cast("long"))) == [1, 2, 3, 4]
+    assert few(minhash.survivors(docs, name=lambda: F.lit(1).cast("long"))) == [1, 2, 3, 4]
