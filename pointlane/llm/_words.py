@@ -45,9 +45,11 @@ def word_ids(column: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
         parts.append(words)
         firsts.append(first[1:] + done)
         done += len(words)
+    if not done:
+        return np.zeros(0, np.int64), pa.array([], pa.large_binary()), np.concatenate(firsts)
     encoded = pa.chunked_array(parts, pa.large_binary()).dictionary_encode().combine_chunks()
     if isinstance(encoded, pa.ChunkedArray):
-        encoded = encoded.chunk(0) if encoded.num_chunks else pa.array([], pa.large_binary()).dictionary_encode()
+        encoded = encoded.chunk(0)
     return np.asarray(encoded.indices).astype(np.int64), encoded.dictionary, np.concatenate(firsts)
 
 
