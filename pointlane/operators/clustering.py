@@ -1,9 +1,8 @@
 """Clustering of a frame's points, and detections.
 
-The unit of work is a frame: distances are resolved inside one grouped map per
-(seq_id, frame_index), with numpy over a grid of cells, so frames run in
-parallel and no pair of points crosses a shuffle. What is a plain grouping
-(cells, detections, gates) stays in DataFrame operations.
+Distances are resolved on spatial tiles (``tiles``), voxels and planes by
+groupings, so a frame of any size is many tasks; only the density hierarchy
+(HDBSCAN) and the components of sensor cells see a whole frame in one task.
 """
 
 from __future__ import annotations
@@ -12,11 +11,16 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.geometry import voxels
+from ..sources.scratch import Keep, scratch
+from .tiles import density_components
+
 FRAME = ["seq_id", "frame_index"]
+VOXEL = ["vx", "vy", "vz"]
 
 
 def components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -41,74 +45,6 @@ def ranked(label: np.ndarray) -> np.ndarray:
     return np.unique(label, return_inverse=True)[1]
 
 
-def near_pairs(p: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs within ``eps``: points sorted by grid cell, each cell against half of its 27 neighbours."""
-    if len(p) == 0:
-        return np.zeros(0, int), np.zeros(0, int)
-    cell = np.floor(p / eps).astype(np.int64)
-    cell -= cell.min(0) - 1
-    wide = cell.max(0) + 2
-    key = (cell[:, 0] * wide[1] + cell[:, 1]) * wide[2] + cell[:, 2]
-    order = np.argsort(key, kind="stable")
-    keys = key[order]
-    a_all, b_all = [], []
-    for dx, dy, dz in [(0, 0, 0), *[(x, y, z) for x in (-1, 0, 1) for y in (-1, 0, 1) for z in (-1, 0, 1) if (x, y, z) > (0, 0, 0)]]:
-        shift = (dx * wide[1] + dy) * wide[2] + dz
-        low, high = np.searchsorted(keys, keys + shift), np.searchsorted(keys, keys + shift, side="right")
-        n = high - low
-        a = np.repeat(np.arange(len(keys)), n)
-        b = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
-        if shift == 0:
-            a, b = a[a < b], b[a < b]
-        a, b = order[a], order[b]
-        near = ((p[a] - p[b]) ** 2).sum(1) <= eps * eps
-        a_all.append(a[near])
-        b_all.append(b[near])
-    return np.concatenate(a_all), np.concatenate(b_all)
-
-
-def dbscan(p: np.ndarray, eps: float, min_points: int) -> np.ndarray:
-    """Labels from 0, noise -1. A border point goes to the cluster of its least-numbered core neighbour."""
-    a, b = near_pairs(p, eps)
-    degree = np.bincount(a, minlength=len(p)) + np.bincount(b, minlength=len(p)) + 1
-    core = degree >= min_points
-    inner = core[a] & core[b]
-    label = components(len(p), a[inner], b[inner])
-    owner = np.where(core, np.arange(len(p)), len(p))
-    for x, y in ((a, b), (b, a)):
-        border = ~core[x] & core[y]
-        np.minimum.at(owner, x[border], y[border])
-    out = np.full(len(p), -1)
-    held = owner < len(p)
-    out[held] = ranked(label[owner[held]])
-    return out
-
-
-def voxel_components(p: np.ndarray, size: float) -> np.ndarray:
-    """Components of occupied voxels that touch by a face, edge or corner."""
-    cells, back = np.unique(np.floor((p.astype(np.float32) / np.float32(size))).astype(np.int64), axis=0, return_inverse=True)
-    a, b = near_pairs(cells.astype(float) + 0.5, 1.8)  # the 26 neighbours are within sqrt(3)
-    return ranked(components(len(cells), a, b)[back.ravel()])
-
-
-def plane(p: np.ndarray, distance: float, samples: int, seed: int) -> tuple[np.ndarray, np.ndarray] | None:
-    """(normal and offset, inliers) of the plane through three points with the most points within ``distance``."""
-    if len(p) < 3:
-        return None
-    rng, best = np.random.default_rng(seed), None
-    for _ in range(samples):
-        q = p[rng.choice(len(p), 3, replace=False)]
-        normal = np.cross(q[1] - q[0], q[2] - q[0])
-        norm = np.linalg.norm(normal)
-        if norm < 1e-9:
-            continue
-        normal = normal / norm
-        inside = np.abs((p - q[0]) @ normal) <= distance
-        if best is None or inside.sum() > best[1].sum():
-            best = np.append(normal, -normal @ q[0]), inside
-    return best
-
-
 def hdbscan(p: np.ndarray, min_cluster_size: int, min_samples: int) -> np.ndarray:
     """Clusters of largest excess of mass in the density hierarchy (Campello et al. 2013); noise -1."""
     n = len(p)
@@ -202,33 +138,111 @@ def _by_frame(points: DataFrame, labels: Callable[[np.ndarray], np.ndarray]) ->
     return points.groupBy(*FRAME).applyInPandas(run, out)
 
 
-def cluster_dbscan(points: DataFrame, eps: float, min_points: int) -> DataFrame:
-    return _by_frame(points, lambda p: dbscan(p, eps, min_points))
+def _numbered(points: DataFrame, found: DataFrame, first: Column) -> DataFrame:
+    """``points`` with ``label``: the clusters of a frame counted from 0 by ``first``, -1 for noise.
+
+    ``found``: (seq_id, frame_index, node, cluster) and what ``first`` needs.
+    """
+    names = found.where("cluster IS NOT NULL").groupBy(*FRAME, "cluster").agg(first.alias("first"))
+    label = F.row_number().over(Window.partitionBy(*FRAME).orderBy("first")) - 1
+    names = names.select(*[F.col(c).alias(f"of_{c}") for c in (*FRAME, "cluster")], label.cast("int").alias("label"))
+    on = [F.col(c) == F.col(f"of_{c}") for c in (*FRAME, "cluster")]
+    own = found.select(*FRAME, "node", "cluster").join(names, on, "left").select(*[F.col(c).alias(f"at_{c}") for c in FRAME], F.col("node"), F.coalesce("label", F.lit(-1)).alias("label"))
+    return points.join(own, [F.col(c) == F.col(f"at_{c}") for c in FRAME] + [F.col("point_id") == F.col("node")]).select(*points.columns, "label")
+
+
+def cluster_dbscan(points: DataFrame, eps: float, min_points: int, keep: Keep | None = None) -> DataFrame:
+    """``points`` with a label: clusters by their least core point_id from 0, noise -1.
+
+    Tiles of the frame are the tasks (``tiles.density_components``). A border
+    point goes to the cluster of its least core neighbour.
+    """
+    keep = keep or scratch(points.sparkSession)
+    found = density_components(points.select(*FRAME, F.col("point_id").cast("bigint").alias("node"), "x", "y", "z"), FRAME, eps, min_points, keep)
+    return _numbered(points, keep("clusters", found), F.min("cluster"))
 
 
-def cluster_euclidean(points: DataFrame, eps: float) -> DataFrame:
-    return _by_frame(points, lambda p: dbscan(p, eps, 1))
+def cluster_euclidean(points: DataFrame, eps: float, keep: Keep | None = None) -> DataFrame:
+    return cluster_dbscan(points, eps, 1, keep)
 
 
-def cluster_voxels(points: DataFrame, size: float) -> DataFrame:
-    return _by_frame(points, lambda p: voxel_components(p, size))
+def cluster_voxels(points: DataFrame, size: float, keep: Keep | None = None) -> DataFrame:
+    """Components of occupied voxels that touch by a face, edge or corner, by their least voxel; only voxels are compared."""
+    keep = keep or scratch(points.sparkSession)
+    keyed = points.select("*", *voxels(size, single=True))
+    cells = keep("voxels", keyed.select(*FRAME, *VOXEL).distinct().withColumn("node", F.monotonically_increasing_id()))
+    # Centers of touching voxels are within sqrt(3), others at least 2 apart.
+    found = density_components(cells.select(*FRAME, "node", *[(F.col(v) + 0.5).alias(a) for v, a in zip(VOXEL, "xyz", strict=True)]), FRAME, 1.8, 1, keep)
+    found = cells.join(found, [*FRAME, "node"])
+    first = found.groupBy(*FRAME, "cluster").agg(F.min(F.struct(*VOXEL)).alias("first"))
+    label = (F.row_number().over(Window.partitionBy(*FRAME).orderBy("first")) - 1).cast("int").alias("label")
+    labels = found.join(first.select(*FRAME, "cluster", label), [*FRAME, "cluster"]).select(*FRAME, *VOXEL, "label")
+    return keyed.join(keep("clusters", labels), [*FRAME, *VOXEL]).select(*points.columns, "label")
 
 
 def cluster_hdbscan(points: DataFrame, min_cluster_size: int, min_samples: int) -> DataFrame:
     return _by_frame(points, lambda p: hdbscan(p, min_cluster_size, min_samples))
 
 
-def cluster_ground_removed(points: DataFrame, eps: float, min_points: int, distance: float = 0.12, samples: int = 120, normal_z_min: float = 0.75, seed: int = 0) -> DataFrame:
-    """DBSCAN after removal of a plane that is level enough; ground points have label -2."""
-
-    def run(p: np.ndarray) -> np.ndarray:
-        found = plane(p, distance, samples, seed)
-        ground = found[1] if found is not None and abs(found[0][2]) >= normal_z_min else np.zeros(len(p), bool)
-        out = np.full(len(p), -2)
-        out[~ground] = dbscan(p[~ground], eps, min_points)
-        return out
+def ground_planes(points: DataFrame, distance: float = 0.12, samples: int = 120, seed: int = 0, keep: Keep | None = None) -> DataFrame:
+    """(seq_id, frame_index, nx, ny, nz, qx, qy, qz, inliers): the plane through three of a frame's points that most points are within ``distance`` of.
 
-    return _by_frame(points, run)
+    ``samples`` planes a frame, through points drawn by a hash of their ids;
+    their inliers are counted in one aggregation. Of equal planes the earlier.
+    """
+    keep = keep or scratch(points.sparkSession)
+    draw = F.md5(F.concat_ws("|", F.lit(str(seed)), "seq_id", "frame_index", "point_id"))
+    most = 3 * samples
+    rows = points.select(*FRAME, "point_id", *[F.col(a).cast("double").alias(a) for a in "xyz"]).withColumn("draw", draw)
+    # The least draws by part of a frame, then of these: no task orders a whole frame.
+    part = F.pmod(F.xxhash64("point_id"), F.lit(64))
+    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy(*FRAME, part).orderBy("draw", "point_id"))).where(F.col("place") <= most)
+    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy(*FRAME).orderBy("draw", "point_id"))).where(F.col("place") <= most)
+    pool = rows.groupBy(*FRAME).agg(F.sort_array(F.collect_list(F.struct("place", "x", "y", "z"))).alias("pool"))
+    planes = pool.select(*FRAME, "pool", F.size("pool").alias("m"), F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("s")).where("m >= 3")
+    turn = F.expr("(3 * s) div m")
+    corner = {j: F.element_at("pool", ((3 * F.col("s") + j + j * turn) % F.col("m") + 1).cast("int")).alias(f"c{j}") for j in range(3)}
+    planes = planes.select(*FRAME, "s", *corner.values())
+    u, v = ({a: F.col(f"c{j}")[a] - F.col("c0")[a] for a in "xyz"} for j in (1, 2))
+    planes = planes.select(
+        *FRAME, "s", *[F.col("c0")[a].alias(f"q{a}") for a in "xyz"],
+        (u["y"] * v["z"] - u["z"] * v["y"]).alias("ux"), (u["z"] * v["x"] - u["x"] * v["z"]).alias("uy"), (u["x"] * v["y"] - u["y"] * v["x"]).alias("uz"),
+    ).withColumn("norm", F.sqrt(F.col("ux") * F.col("ux") + F.col("uy") * F.col("uy") + F.col("uz") * F.col("uz"))).where("norm >= 1e-9")
+    planes = keep("planes", planes.select(*FRAME, "s", "qx", "qy", "qz", *[(F.col(f"u{a}") / F.col("norm")).alias(f"n{a}") for a in "xyz"]))
+    near = points.select(*FRAME, *[F.col(a).cast("double").alias(a) for a in "xyz"]).join(planes, FRAME).where(F.abs(plane_distance()) <= distance)
+    counted = near.groupBy(*FRAME, "s").agg(F.count("*").alias("inliers"))
+    plane = F.struct("nx", "ny", "nz", "qx", "qy", "qz", "inliers")
+    return planes.join(counted, [*FRAME, "s"]).groupBy(*FRAME).agg(F.max_by(plane, F.struct("inliers", -F.col("s"))).alias("plane")).select(*FRAME, "plane.*")
+
+
+def plane_distance() -> Column:
+    """Signed distance of (x, y, z) from the plane through q with unit normal n."""
+    return (F.col("x") - F.col("qx")) * F.col("nx") + (F.col("y") - F.col("qy")) * F.col("ny") + (F.col("z") - F.col("qz")) * F.col("nz")
+
+
+def without_ground(points: DataFrame, planes: DataFrame, distance: float, normal_z_min: float = 0.75) -> DataFrame:
+    """``points`` with ``ground``: within ``distance`` of their frame's plane, if that is level enough."""
+    own = planes.select(*[F.col(c).alias(f"of_{c}") for c in FRAME], *[f"{k}{a}" for k in "nq" for a in "xyz"])
+    rows = points.join(own, [F.col(c) == F.col(f"of_{c}") for c in FRAME], "left")
+    ground = F.coalesce((F.abs("nz") >= normal_z_min) & (F.abs(plane_distance()) <= distance), F.lit(False))
+    return rows.select(*points.columns, ground.alias("ground"))
+
+
+def cluster_ground_removed(points: DataFrame, eps: float, min_points: int, distance: float = 0.12, samples: int = 120, normal_z_min: float = 0.75, seed: int = 0, keep: Keep | None = None) -> DataFrame:
+    """DBSCAN after removal of a plane that is level enough; ground points have label -2."""
+    keep = keep or scratch(points.sparkSession)
+    planes = keep("ground", ground_planes(points, distance, samples, seed, keep))
+    rows = keep("ground_points", without_ground(points, planes, distance, normal_z_min))
+    above = cluster_dbscan(rows.where("NOT ground").drop("ground"), eps, min_points, keep)
+    return above.unionByName(rows.where("ground").drop("ground").withColumn("label", F.lit(-2)))
+
+
+def ground_metrics(labelled: DataFrame, planes: DataFrame, normal_z_min: float = 0.75) -> DataFrame:
+    """(seq_id, frame_index, ground_removed_count, ground_model): points removed, and a, b, c, d of the plane that removed them (null: none did)."""
+    removed = labelled.groupBy(*FRAME).agg(F.count_if(F.col("label") == -2).alias("ground_removed_count"))
+    d = -(F.col("nx") * F.col("qx") + F.col("ny") * F.col("qy") + F.col("nz") * F.col("qz"))
+    model = F.when(F.abs("nz") >= normal_z_min, F.array("nx", "ny", "nz", d))
+    return removed.join(planes.select(*FRAME, model.alias("ground_model")), FRAME, "left")
 
 
 def sensor_cells(points: DataFrame) -> DataFrame:

@@ -1,20 +1,18 @@
 """Fusion of a track's selected chunks into one cloud.
 
 ``chunk_points``: seq_id, track_id, frame_id, x, y, z, intensity. Fusion is two
-chained groupings on (track, frame, voxel) and (track, voxel); only outlier
-removal and registration, which need neighbours, run per track.
+chained groupings on (track, frame, voxel) and (track, voxel); what needs
+neighbours (outlier removal, components) runs on spatial tiles.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.geometry import AXES, other_axes, voxels
-from .clustering import dbscan, near_pairs
+from ..sources.scratch import Keep, scratch
+from .tiles import density_components, mean_neighbour_distance
 
 TRACK = ["seq_id", "track_id"]
 VOXEL = ["vx", "vy", "vz"]
@@ -77,35 +75,34 @@ def revoxelise(cloud: DataFrame, size: float, single: bool = False) -> DataFrame
     return base.groupBy(*TRACK, *voxels(size, single)).agg(*mean, lit, F.sum("confidence").alias("confidence"))
 
 
-def _per_track(cloud: DataFrame, keep) -> DataFrame:
-    return cloud.groupBy(*TRACK).applyInPandas(keep, cloud.schema)
+def _numbered(cloud: DataFrame, keep: Keep) -> DataFrame:
+    """The cloud with a number a point, written so that the numbers stay."""
+    return keep("numbered", cloud.withColumn("node", F.monotonically_increasing_id()))
 
 
-def remove_outliers(cloud: DataFrame, neighbours: int, ratio: float) -> DataFrame:
+def remove_outliers(cloud: DataFrame, neighbours: int, ratio: float, keep: Keep | None = None) -> DataFrame:
     """Statistical outlier removal: points whose mean distance to their nearest neighbours is within mean + ratio * deviation.
 
     Tracks of fewer than max(8, neighbours) points stay as they are. The point
-    itself is not among its neighbours.
+    itself is not among its neighbours. Neighbours are found on tiles, so a
+    cloud of any size is many tasks.
     """
+    keep = keep or scratch(cloud.sparkSession)
+    points = _numbered(cloud, keep)
+    few = points.groupBy(*TRACK).agg(F.count("*").alias("n")).where(F.col("n") < max(8, neighbours)).select(*TRACK)
+    far = keep("distances", mean_neighbour_distance(points.join(few, TRACK, "left_anti"), TRACK, neighbours, keep))
+    # Equal distances have a mean that may be less than them by the last bit.
+    limit = far.groupBy(*TRACK).agg(((F.avg("distance") + ratio * F.stddev_pop("distance")) * (1 + 1e-12)).alias("limit"))
+    near = far.join(limit, TRACK).where("distance <= limit").select(*TRACK, "node")
+    return points.join(near, [*TRACK, "node"], "left_semi").unionByName(points.join(few, TRACK, "left_semi")).drop("node")
 
-    def run(track: pd.DataFrame) -> pd.DataFrame:
-        if len(track) < max(8, neighbours):
-            return track
-        p = track[list(AXES)].to_numpy(float)
-        k = min(neighbours, len(p) - 1)
-        mean = np.empty(len(p))
-        for at in range(0, len(p), 1024):
-            d = np.sqrt(np.maximum((p[at : at + 1024, None] - p[None]) ** 2, 0).sum(2))
-            mean[at : at + 1024] = np.sort(d, 1)[:, 1 : k + 1].mean(1)
-        return track[mean <= mean.mean() + ratio * mean.std()]
 
-    return _per_track(cloud, run)
-
-
-def cloud_components(cloud: DataFrame, eps: float) -> DataFrame:
+def cloud_components(cloud: DataFrame, eps: float, keep: Keep | None = None) -> DataFrame:
     """Adds ``component`` by eps-connection within each track."""
-    out = T.StructType([*cloud.schema.fields, T.StructField("component", T.IntegerType())])
-    return cloud.groupBy(*TRACK).applyInPandas(lambda t: t.assign(component=dbscan(t[list(AXES)].to_numpy(float), eps, 1).astype("int32")), out)
+    keep = keep or scratch(cloud.sparkSession)
+    points = _numbered(cloud, keep)
+    found = density_components(points, TRACK, eps, 1, keep).select(*TRACK, "node", F.col("cluster").alias("component"))
+    return points.join(found, [*TRACK, "node"]).drop("node")
 
 
 def tail_bridge(parts: DataFrame, gap: float, lateral: float, vertical: float, step: float, axis: str = "y") -> DataFrame:
@@ -242,8 +239,3 @@ def merge_long_vehicles(clouds: DataFrame, links: DataFrame, clearance: float, a
     moves = rows.select("seq_id", F.col("rear").alias("track_id"), "lead", ahead.alias("shift"))
     out = clouds.join(moves, TRACK, "left")
     return out.withColumn(axis, F.col(axis) + F.coalesce("shift", F.lit(0.0))).withColumn("track_id", F.coalesce("lead", "track_id")).drop("lead", "shift")
-
-
-def mean_spacing(p: np.ndarray, radius: float) -> float:
-    a, b = near_pairs(p, radius)
-    return float(np.linalg.norm(p[a] - p[b], axis=1).mean()) if len(a) else 0.0

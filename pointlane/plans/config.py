@@ -33,6 +33,9 @@ class Spec:
     jump_abs: float = 0.45
     jump_ratio: float = 0.08
     min_component: int = 8
+    ground_distance: float = 0.12
+    ground_samples: int = 120
+    ground_level: float = 0.75
     tracker: TrackerConfig = field(default_factory=TrackerConfig)
     min_track_hits: int = 4
     accumulator: str = "voxel_fusion"

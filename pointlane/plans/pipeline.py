@@ -17,20 +17,20 @@ from .config import Spec
 FRAME, TRACK = ["seq_id", "frame_index"], ["seq_id", "track_id"]
 
 
-def cluster(points: DataFrame, spec: Spec) -> DataFrame:
+def cluster(points: DataFrame, spec: Spec, keep: Keep | None = None) -> DataFrame:
     """Points of the lane with ``label``."""
     lane = crop.frames_with_enough(crop.lane_crop(points, spec.box), spec.vehicle_min_points).drop("frame_points")
     name = spec.clusterer
     if name == "dbscan":
-        return clustering.cluster_dbscan(lane, spec.eps, spec.min_points)
+        return clustering.cluster_dbscan(lane, spec.eps, spec.min_points, keep)
     if name == "euclidean_clustering":
-        return clustering.cluster_euclidean(lane, spec.eps)
+        return clustering.cluster_euclidean(lane, spec.eps, keep)
     if name == "ground_removed_dbscan":
-        return clustering.cluster_ground_removed(lane, spec.eps, spec.min_points)
+        return clustering.cluster_ground_removed(lane, spec.eps, spec.min_points, spec.ground_distance, spec.ground_samples, spec.ground_level, keep=keep)
     if name == "hdbscan":
         return clustering.cluster_hdbscan(lane, spec.min_points, max(1, spec.min_points // 2))
     if name == "voxel_grid_connected_components":
-        return clustering.cluster_voxels(lane, spec.voxel)
+        return clustering.cluster_voxels(lane, spec.voxel, keep)
     cells = clustering.sensor_cells(lane)
     links = clustering.cell_links(cells, name, spec.jump_abs, spec.jump_ratio, spec.eps)
     return clustering.label_points(lane, clustering.cell_components(cells, links, spec.min_component))

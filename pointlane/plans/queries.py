@@ -154,19 +154,59 @@ def voxel_components(spark, sf_dir):
     return rows.groupBy("frame_index", "label").agg(F.count("*").alias("n"), F.min("point_id").alias("least_id"), F.max("point_id").alias("most_id")).drop("label")
 
 
-@query()
+def density_sql(source: str, eps: int, least: int) -> str:
+    """Every point of ``source`` with the least core point of its cluster (null: noise), by the definition: pairs, degrees, reachability."""
+    return f"""near AS (SELECT p.frame_index AS f, p.point_id AS a, q.point_id AS b FROM {source} p JOIN {source} q ON p.frame_index = q.frame_index AND (p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y) + (p.z - q.z) * (p.z - q.z) <= {eps * eps}),
+core AS (SELECT f, a FROM near GROUP BY 1, 2 HAVING count(*) >= {least}),
+hop AS (SELECT near.f, near.a, near.b FROM near JOIN core x ON x.f = near.f AND x.a = near.a JOIN core y ON y.f = near.f AND y.a = near.b),
+dreach AS (SELECT f, a, a AS b FROM core UNION SELECT r.f, r.a, h.b FROM dreach r JOIN hop h ON h.f = r.f AND h.a = r.b),
+droot AS (SELECT f, a, min(b) AS root FROM dreach GROUP BY 1, 2),
+owner AS (SELECT near.f, near.a, coalesce(max(CASE WHEN near.a = near.b THEN r.root END), arg_min(r.root, near.b)) AS root FROM near JOIN droot r ON r.f = near.f AND r.a = near.b GROUP BY 1, 2),
+found AS (SELECT s.frame_index, s.point_id, o.root, CASE WHEN o.root IS NOT NULL THEN dense_rank() OVER (PARTITION BY s.frame_index ORDER BY o.root NULLS LAST) - 1 ELSE -1 END AS label FROM {source} s LEFT JOIN owner o ON o.f = s.frame_index AND o.a = s.point_id)"""
+
+
+CLUSTERS_OUT = "SELECT frame_index, CAST(label AS INTEGER) AS label, count(*) AS n, min(point_id) AS least_id, CAST(sum(point_id) AS BIGINT) AS ids FROM found GROUP BY 1, 2"
+
+
+def cluster_sums(labelled: DataFrame) -> DataFrame:
+    return labelled.groupBy("frame_index", "label").agg(F.count("*").alias("n"), F.min("point_id").alias("least_id"), F.sum("point_id").alias("ids"))
+
+
+@query(CLUSTERS_OUT, density_sql("lane", 700, 3))
 def dbscan_clusters(spark, sf_dir):
-    return clustering.cluster_dbscan(lane(spark, sf_dir), 700, 3).groupBy("frame_index", "label").agg(F.count("*").alias("n"))
+    return cluster_sums(clustering.cluster_dbscan(lane(spark, sf_dir), 700, 3))
 
 
-@query()
+@query(CLUSTERS_OUT, density_sql("lane", 700, 1))
 def euclidean_clusters(spark, sf_dir):
-    return clustering.cluster_euclidean(lane(spark, sf_dir), 700).groupBy("frame_index", "label").agg(F.count("*").alias("n"))
+    return cluster_sums(clustering.cluster_euclidean(lane(spark, sf_dir), 700))
 
 
-@query()
+#: Planes through points drawn by a hash, 40 a frame; the best one removes its points if it is level.
+GROUND = """pool AS (SELECT * FROM (SELECT frame_index, x::DOUBLE AS x, y::DOUBLE AS y, z::DOUBLE AS z, row_number() OVER (PARTITION BY frame_index ORDER BY md5('0|s0|' || frame_index || '|' || point_id), point_id) - 1 AS place FROM lane) WHERE place < 120),
+pm AS (SELECT frame_index, count(*) AS m FROM pool GROUP BY 1 HAVING count(*) >= 3),
+hyp AS (SELECT frame_index, m, s, (3 * s) // m AS turn FROM pm, range(0, 40) r(s)),
+tri AS (SELECT h.frame_index, h.s, a.x AS qx, a.y AS qy, a.z AS qz, b.x - a.x AS bx, b.y - a.y AS by_, b.z - a.z AS bz, c.x - a.x AS cx, c.y - a.y AS cy, c.z - a.z AS cz FROM hyp h
+  JOIN pool a ON a.frame_index = h.frame_index AND a.place = (3 * s) % m JOIN pool b ON b.frame_index = h.frame_index AND b.place = (3 * s + 1 + turn) % m JOIN pool c ON c.frame_index = h.frame_index AND c.place = (3 * s + 2 + 2 * turn) % m),
+nrm AS (SELECT *, by_ * cz - bz * cy AS ux, bz * cx - bx * cz AS uy, bx * cy - by_ * cx AS uz FROM tri),
+pln AS (SELECT frame_index, s, qx, qy, qz, ux / norm AS nx, uy / norm AS ny, uz / norm AS nz FROM (SELECT *, sqrt(ux * ux + uy * uy + uz * uz) AS norm FROM nrm) WHERE norm >= 1e-9),
+cnt AS (SELECT p.frame_index, p.s, count(*) AS inliers FROM pln p JOIN lane l ON l.frame_index = p.frame_index AND abs((l.x - qx) * nx + (l.y - qy) * ny + (l.z - qz) * nz) <= 60 GROUP BY 1, 2),
+best AS (SELECT frame_index, s FROM (SELECT *, row_number() OVER (PARTITION BY frame_index ORDER BY inliers DESC, s) AS rn FROM cnt) WHERE rn = 1),
+grd AS (SELECT p.* FROM pln p JOIN best USING (frame_index, s)),
+above AS (SELECT l.* FROM lane l LEFT JOIN grd g ON g.frame_index = l.frame_index WHERE NOT coalesce(abs(nz) >= 0.05 AND abs((l.x - qx) * nx + (l.y - qy) * ny + (l.z - qz) * nz) <= 60, false))"""
+
+
+@query(CLUSTERS_OUT + " UNION ALL SELECT frame_index, -2 AS label, count(*), min(point_id), CAST(sum(point_id) AS BIGINT) FROM lane WHERE (frame_index, point_id) NOT IN (SELECT (frame_index, point_id) FROM above) GROUP BY 1", GROUND + ", " + density_sql("above", 700, 3))
 def ground_removed_clusters(spark, sf_dir):
-    return clustering.cluster_ground_removed(lane(spark, sf_dir), 700, 3, distance=60, samples=40).groupBy("frame_index", "label").agg(F.count("*").alias("n"))
+    return cluster_sums(clustering.cluster_ground_removed(lane(spark, sf_dir), 700, 3, distance=60, samples=40, normal_z_min=0.05))
+
+
+@query(f"SELECT l.frame_index, count(*) FILTER (a.point_id IS NULL) AS ground_removed_count, {m('any_value(CASE WHEN abs(nz) >= 0.05 THEN nz END)')} AS model_nz FROM lane l LEFT JOIN above a ON a.frame_index = l.frame_index AND a.point_id = l.point_id LEFT JOIN grd g ON g.frame_index = l.frame_index GROUP BY 1", GROUND)
+def ground_plane_metrics(spark, sf_dir):
+    rows = lane(spark, sf_dir)
+    planes = clustering.ground_planes(rows, 60, 40)
+    labelled = clustering.without_ground(rows, planes, 60, 0.05).withColumn("label", F.when(F.col("ground"), -2).otherwise(0))
+    return clustering.ground_metrics(labelled, planes, 0.05).select("frame_index", "ground_removed_count", milli(F.col("ground_model")[2]).alias("model_nz"))
 
 
 @query()
@@ -753,12 +793,16 @@ def saved_tracks(spark, sf_dir):
     return evaluate.last_timestamp(obs2(spark, sf_dir))
 
 
-GT = LABELS + ", st AS (SELECT seq_id, track_id, max(frame_id) AS last_frame, arg_max(ts_ns, frame_id) AS last_ns FROM obs2 GROUP BY 1, 2)"
+#: Tracks and labels of two sequences.
+GT = """lab0 AS (SELECT 's' || (object_id % 2) AS seq_id, object_id, frame_timestamp_ns AS timestamp_ns, frame_index, point_id AS row_id, point_id % 3 AS point_count FROM points WHERE (frame_index + object_id) % 3 <> 0),
+lab AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY seq_id, object_id ORDER BY timestamp_ns DESC, frame_index DESC, row_id) AS rn FROM lab0 WHERE point_count > 0) WHERE rn = 1),
+st AS (SELECT 's' || (track_id % 2) AS seq_id, track_id, max(frame_id) AS last_frame, arg_max(ts_ns, frame_id) AS last_ns FROM obs2 GROUP BY 1, 2)"""
 
 
-@query("SELECT track_id, object_id, abs(last_ns - timestamp_ns) AS delta_ns, abs(last_frame - frame_index) AS delta_frame FROM st, latest", GT)
+@query("SELECT seq_id, track_id, object_id, abs(last_ns - timestamp_ns) AS delta_ns, abs(last_frame - frame_index) AS delta_frame FROM st JOIN lab USING (seq_id)", GT)
 def ground_truth_costs(spark, sf_dir):
-    return evaluate.candidate_costs(saved_tracks(spark, sf_dir), crop.latest_labels(label_rows(spark, sf_dir))).drop("seq_id")
+    two = lambda rows, of: rows.withColumn("seq_id", F.concat(F.lit("s"), F.col(of) % 2))
+    return evaluate.candidate_costs(two(saved_tracks(spark, sf_dir), "track_id"), crop.latest_labels(two(label_rows(spark, sf_dir), "object_id")))
 
 
 def gt_labels(spark, sf_dir):
