@@ -80,16 +80,16 @@ def _numbered(cloud: DataFrame, keep: Keep) -> DataFrame:
     return keep("numbered", cloud.withColumn("node", F.monotonically_increasing_id()))
 
 
-def remove_outliers(cloud: DataFrame, neighbours: int, ratio: float, keep: Keep | None = None) -> DataFrame:
+def remove_outliers(cloud: DataFrame, neighbours: int, ratio: float, keep: Keep | None = None, least: int | None = None) -> DataFrame:
     """Statistical outlier removal: points whose mean distance to their nearest neighbours is within mean + ratio * deviation.
 
-    Tracks of fewer than max(8, neighbours) points stay as they are. The point
+    Tracks of fewer than ``least`` (max(8, neighbours)) points stay as they are. The point
     itself is not among its neighbours. Neighbours are found on tiles, so a
     cloud of any size is many tasks.
     """
     keep = keep or scratch(cloud.sparkSession)
     points = _numbered(cloud, keep)
-    few = points.groupBy(*TRACK).agg(F.count("*").alias("n")).where(F.col("n") < max(8, neighbours)).select(*TRACK)
+    few = points.groupBy(*TRACK).agg(F.count("*").alias("n")).where(F.col("n") < (least or max(8, neighbours))).select(*TRACK)
     far = keep("distances", mean_neighbour_distance(points.join(few, TRACK, "left_anti"), TRACK, neighbours, keep))
     # Equal distances have a mean that may be less than them by the last bit.
     limit = far.groupBy(*TRACK).agg(((F.avg("distance") + ratio * F.stddev_pop("distance")) * (1 + 1e-12)).alias("limit"))
@@ -191,8 +191,8 @@ def deskew(chunk_points: DataFrame, observations: DataFrame, axis: str = "y", le
     return rows.withColumn("applied", use).withColumn(axis, F.when(use, moved).otherwise(F.col(axis).cast("double"))).drop("speed", "mid")
 
 
-def decide(tracks: DataFrame, clouds: DataFrame, least_hits: int, least_points: int, least_quality: float, require_exit: bool) -> DataFrame:
-    """``status`` of each track, gates in order: hits, exit, no cloud, points, quality; else saved; with its stage and a summary."""
+def decide(tracks: DataFrame, clouds: DataFrame, least_hits: int, least_points: int, least_quality: float | Column, require_exit: bool) -> DataFrame:
+    """``status`` of each track, gates in order: hits, exit, no cloud, points, quality (a threshold a track, if a column); else saved; with its stage and a summary."""
     rows = tracks.join(clouds.select(*TRACK, "n_points"), TRACK, "left")
     gates = [
         (F.col("hit_count") < least_hits, "skipped_min_hits", "gate"), (F.lit(require_exit) & ~F.col("exited"), "skipped_track_exit", "gate"), (F.col("n_points").isNull(), "empty_selection", "fusion"),
@@ -224,18 +224,3 @@ def candidate_world(cloud: DataFrame, observations: DataFrame) -> DataFrame:
     anchor = observations.groupBy(*TRACK).agg(*[F.percentile(f"c{a}", F.lit(0.5)).alias(f"anchor_{a}") for a in AXES])
     rows = cloud.join(anchor, TRACK)
     return rows.withColumns({a: F.col(a) + F.col(f"anchor_{a}") for a in AXES}).drop(*[f"anchor_{a}" for a in AXES])
-
-
-def merge_long_vehicles(clouds: DataFrame, links: DataFrame, clearance: float, axis: str = "y") -> DataFrame:
-    """Clouds of linked pairs under the lead's id; a rear that overlaps the lead is shifted behind it by ``clearance``.
-
-    ``links``: seq_id, lead, rear, direction of motion.
-    """
-    edge = lambda name: [F.min(F.col(axis)).alias(f"{name}_low"), F.max(F.col(axis)).alias(f"{name}_high")]
-    lead = clouds.groupBy(*TRACK).agg(*edge("lead")).withColumnRenamed("track_id", "lead")
-    rear = clouds.groupBy(*TRACK).agg(*edge("rear")).withColumnRenamed("track_id", "rear")
-    rows = links.join(lead, ["seq_id", "lead"]).join(rear, ["seq_id", "rear"])
-    ahead = F.when(F.col("direction") > 0, F.least(F.lit(0.0), F.col("lead_low") - clearance - F.col("rear_high"))).otherwise(F.greatest(F.lit(0.0), F.col("lead_high") + clearance - F.col("rear_low")))
-    moves = rows.select("seq_id", F.col("rear").alias("track_id"), "lead", ahead.alias("shift"))
-    out = clouds.join(moves, TRACK, "left")
-    return out.withColumn(axis, F.col(axis) + F.coalesce("shift", F.lit(0.0))).withColumn("track_id", F.coalesce("lead", "track_id")).drop("lead", "shift")

@@ -242,7 +242,7 @@ def articulated_decision(metrics: DataFrame, lengths: DataFrame, min_overlap: in
 
 
 def best_partners(decided: DataFrame, observations: DataFrame) -> DataFrame:
-    """(seq_id, lead, rear): in order of first frame and id, a free track takes its best free later partner, by overlap, ratio, steadiness and closeness of the gap."""
+    """(seq_id, lead, rear, gap_mean): in order of first frame and id, a free track takes its best free later partner, by overlap, ratio, steadiness and closeness of the gap."""
     first = observations.groupBy(*TRACK).agg(F.min("frame_id").alias("first"))
     side = lambda t: first.select("seq_id", F.col("track_id").alias(t), F.col("first").alias(f"{t}_first"))
     rows = decided.where("linked").select("seq_id", "a", "b", "overlap", "ratio", "gap_std", "gap_mean", "ahead_median").join(side("a"), ["seq_id", "a"]).join(side("b"), ["seq_id", "b"])
@@ -251,7 +251,7 @@ def best_partners(decided: DataFrame, observations: DataFrame) -> DataFrame:
         later: dict[tuple, list[tuple]] = {}
         for p in pairs.itertuples():
             one, two = sorted([(p.a_first, p.a), (p.b_first, p.b)])
-            link = (p.a, p.b) if p.ahead_median > 0 else (p.b, p.a)
+            link = (p.a, p.b, p.gap_mean) if p.ahead_median > 0 else (p.b, p.a, p.gap_mean)
             later.setdefault(one, []).append(((p.overlap, p.ratio, -p.gap_std, -abs(p.gap_mean)), two, link))
         used, out = set(), []
         for one in sorted(later):
@@ -261,20 +261,21 @@ def best_partners(decided: DataFrame, observations: DataFrame) -> DataFrame:
                 _, two, link = max(free, key=lambda x: x[0])
                 used |= {one, two}
                 out.append((key[0], *link))
-        return pd.DataFrame(out, columns=["seq_id", "lead", "rear"])
+        return pd.DataFrame(out, columns=["seq_id", "lead", "rear", "gap_mean"])
 
-    return rows.groupBy("seq_id").applyInPandas(run, "seq_id string, lead int, rear int")
+    return rows.groupBy("seq_id").applyInPandas(run, "seq_id string, lead int, rear int, gap_mean double")
 
 
 def link_states(links: DataFrame, kind: str) -> DataFrame:
-    """(seq_id, track_id, group_id, group_kind, role, partner_id, component_track_ids): the state that a link (lead, rear) gives both tracks.
+    """(seq_id, track_id, group_id, group_kind, role, partner_id, gap_mean, component_track_ids): the state that a link (lead, rear) gives both tracks.
 
     ``kind`` is ``articulated`` or ``fragment``; the group has the leader's id.
     """
     follower = "rear" if kind == "articulated" else "fragment"
     both = F.array(F.struct(F.col("lead").alias("track_id"), F.lit("lead").alias("role"), F.col("rear").alias("partner_id")), F.struct(F.col("rear").alias("track_id"), F.lit(follower).alias("role"), F.col("lead").alias("partner_id")))
-    rows = links.select("seq_id", F.col("lead").alias("group_id"), F.array("lead", "rear").alias("component_track_ids"), F.explode(both).alias("s"))
-    return rows.select("seq_id", "s.track_id", "group_id", F.lit(kind).alias("group_kind"), "s.role", "s.partner_id", "component_track_ids")
+    gap = F.col("gap_mean") if "gap_mean" in links.columns else F.lit(None).cast("double")
+    rows = links.select("seq_id", F.col("lead").alias("group_id"), gap.alias("gap_mean"), F.array("lead", "rear").alias("component_track_ids"), F.explode(both).alias("s"))
+    return rows.select("seq_id", "s.track_id", "group_id", F.lit(kind).alias("group_kind"), "s.role", "s.partner_id", "gap_mean", "component_track_ids")
 
 
 def long_candidates(observations: DataFrame, threshold: float, axis: str = "y") -> DataFrame:
@@ -318,31 +319,6 @@ def fragment_links(observations: DataFrame, pairs: DataFrame, axis: str = "y") -
     return rows.groupBy("seq_id").applyInPandas(run, "seq_id string, a int, b int")
 
 
-def resolve_merges(pairs: DataFrame, spans: DataFrame) -> DataFrame:
-    """(seq_id, track_id, new_id): tracks joined over any number of pairs take the id of the first by (first_frame, id).
-
-    ``spans``: (seq_id, track_id, first_frame), a row per track; one sequence is one group.
-    """
-
-    def run(key, pair: pd.DataFrame, span: pd.DataFrame) -> pd.DataFrame:
-        ids = span.sort_values(["first_frame", "track_id"]).track_id.tolist()
-        place = {t: k for k, t in enumerate(ids)}
-        up = list(range(len(ids)))
-
-        def find(k: int) -> int:
-            while up[k] != k:
-                k = up[k]
-            return k
-
-        for a, b in zip(pair.a, pair.b, strict=True):
-            a, b = find(place[a]), find(place[b])
-            up[max(a, b)] = min(a, b)
-        return pd.DataFrame({"seq_id": key[0], "track_id": ids, "new_id": [ids[find(k)] for k in range(len(ids))]})
-
-    spans = spans.select(F.col("seq_id").alias("span_seq"), "track_id", "first_frame")
-    return pairs.groupBy("seq_id").cogroup(spans.groupBy("span_seq")).applyInPandas(run, "seq_id string, track_id int, new_id int")
-
-
 def stitch(observations: DataFrame, pairs: DataFrame) -> DataFrame:
     """(seq_id, track_id, new_id) of tracklets stitched end to start.
 

@@ -48,7 +48,7 @@ def components(edges: DataFrame, group: list[str], keep: Keep | None = None, sma
 
     kinds = {f.name: f.dataType.simpleString() for f in now.schema}
 
-    def solved(key, own: pd.DataFrame) -> pd.DataFrame:
+    def solved(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
         names, place = np.unique(own[["a", "b"]].to_numpy(np.int64), return_inverse=True)
         place = place.reshape(-1, 2)
         frame = pd.DataFrame({"node": names, "component": names[_joined(len(names), place[:, 0], place[:, 1])]})
@@ -231,7 +231,7 @@ def density_components(points: DataFrame, group: list[str], eps: float, min_poin
     kinds = {f.name: f.dataType.simpleString() for f in points.schema}
     out = ", ".join(f"{c} {kinds[c]}" for c in group) + ", node bigint, own boolean, shared boolean, core boolean, root bigint"
 
-    def run(key, tile: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, tile: pd.DataFrame) -> pd.DataFrame:
         tile = tile.sort_values("node", kind="stable")
         p, node = tile[["x", "y", "z"]].to_numpy(float), tile["node"].to_numpy()
         low = np.array(key[-3:], float) * wide
@@ -308,7 +308,7 @@ def mean_neighbour_distance(points: DataFrame, group: list[str], k: int, keep: K
     kinds = {f.name: f.dataType.simpleString() for f in plain.schema}
     out = ", ".join(f"{c} {kinds[c]}" for c in group) + ", node bigint, distance double, done boolean"
 
-    def run(key, tile: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, tile: pd.DataFrame) -> pd.DataFrame:
         p, asks = tile[["x", "y", "z"]].to_numpy(float), np.flatnonzero(tile["asks"].to_numpy(bool))
         r, n = float(tile["r"].iloc[0]), int(tile["n"].iloc[0])
         need = min(k, n - 1)

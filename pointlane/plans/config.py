@@ -55,6 +55,9 @@ class Spec:
     outlier_ratio: float = 2.3
     min_saved_points: int = 180
     min_quality: float = 0.0
+    #: Of long vehicles and merged groups.
+    min_quality_long: float = 0.0
+    save_world: bool = False
     require_exit: bool = True
     exit_margin: float = 0.9
     #: Units a metre, for the few lengths that are fixed in metres.

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import association, clustering, crop, fusion, postprocess, registration, selection, tracking
+from ..operators import association, clustering, crop, fusion, groups, postprocess, registration, selection, tracking
 from ..sources.scratch import Keep, scratch
 from .config import Spec
 
@@ -59,7 +59,7 @@ def post_process(observations: DataFrame, tracks: DataFrame, spec: Spec, keep: K
     """(observations, (seq_id, track_id, frame_id, label) of their points, tracks, link states), in the order of ``spec.post``."""
     members = observations.select(*TRACK, "frame_id", "label")
     observations = observations.drop("label", "detection_id")
-    nothing = "seq_id string, track_id int, group_id int, group_kind string, role string, partner_id int, component_track_ids array<int>"
+    nothing = "seq_id string, track_id int, group_id int, group_kind string, role string, partner_id int, gap_mean double, component_track_ids array<int>"
     linked = observations.sparkSession.createDataFrame([], nothing)
     for k, name in enumerate(spec.post):
         mapping = links = None
@@ -96,7 +96,13 @@ def post_process(observations: DataFrame, tracks: DataFrame, spec: Spec, keep: K
     return observations, members, tracks, linked
 
 
-def accumulate(labelled: DataFrame, observations: DataFrame, members: DataFrame, quality: DataFrame, spec: Spec) -> DataFrame:
+def bridged(cloud: DataFrame, spec: Spec, keep: Keep | None = None) -> DataFrame:
+    """Clouds with the gaps between their parts filled along the axis."""
+    parts = fusion.cloud_components(cloud, 3 * spec.fusion_voxel, keep)
+    return cloud.unionByName(fusion.tail_bridge(parts, spec.bridge_gap, spec.bridge_lateral, spec.bridge_vertical, spec.fusion_voxel))
+
+
+def accumulate(labelled: DataFrame, observations: DataFrame, members: DataFrame, quality: DataFrame, spec: Spec, keep: Keep | None = None) -> DataFrame:
     """The fused cloud of each track: choose frames, bring their points together, fuse, clean, bridge, cap, complete."""
     low, high = spec.box.bounds("y")
     line = low + spec.line_ratio * (high - low)
@@ -131,10 +137,9 @@ def accumulate(labelled: DataFrame, observations: DataFrame, members: DataFrame,
     cloud = fusion.fuse(local, spec.fusion_voxel, weights, spec.min_observations, consensus, "weight" if weights is not None else "uniform")
     cloud = cloud.select(*TRACK, "x", "y", "z", "intensity", "confidence")
     if spec.outlier_neighbours > 0:
-        cloud = fusion.remove_outliers(cloud, spec.outlier_neighbours, spec.outlier_ratio)
+        cloud = fusion.remove_outliers(cloud, spec.outlier_neighbours, spec.outlier_ratio, keep)
     if spec.tail_bridge and spec.long_vehicles:
-        parts = fusion.cloud_components(cloud.join(long, TRACK, "left_semi"), 3 * spec.fusion_voxel)
-        cloud = cloud.unionByName(fusion.tail_bridge(parts, spec.bridge_gap, spec.bridge_lateral, spec.bridge_vertical, spec.fusion_voxel))
+        cloud = cloud.join(long, TRACK, "left_anti").unionByName(bridged(cloud.join(long, TRACK, "left_semi"), spec, keep))
     cloud = fusion.revoxelise(cloud, spec.aggregate_voxel)
     if spec.cap_points > 0:
         cloud = fusion.confidence_cap(cloud, spec.cap_points, spec.cap_bins)
@@ -148,14 +153,24 @@ def run(points: DataFrame, spec: Spec, frames: DataFrame | None = None, keep: Ke
     the stored tables before it. Left out: the cluster's shared folder.
     """
     keep = keep or scratch(points.sparkSession)
-    labelled = keep("labelled", cluster(points, spec))
+    labelled = keep("labelled", cluster(points, spec, keep))
     found = keep("detections", clustering.detections(labelled, spec.vehicle_min_points, spec.vehicle_max_points))
     states = keep("states", tracking.track(found, spec.tracker, frames))
     observations, members, tracks, links = post_process(observed(found, states), tracking.tracks(states), spec, keep)
     observations, tracks, links = keep("observations", observations), keep("tracks", tracks), keep("links", links)
     quality = keep("quality", postprocess.quality(observations, tracks, long_threshold=spec.long_length))
-    clouds = keep("clouds", accumulate(labelled, observations, members, quality, spec))
+    clouds = keep("clouds", accumulate(labelled, observations, members, quality, spec, keep))
     sized = fusion.dimensions(clouds)
-    gone = fusion.exited(observations, tracks, spec.box.bounds("y")[0], spec.exit_margin).join(quality.select(*TRACK, "quality_score"), TRACK, "left")
-    results = keep("results", fusion.decide(gone, sized, spec.min_track_hits, spec.min_saved_points, spec.min_quality, spec.require_exit))
+    low = spec.box.bounds("y")[0]
+    gone = fusion.exited(observations, tracks, low, spec.exit_margin).join(quality.select(*TRACK, "quality_score", "is_long_vehicle"), TRACK, "left")
+    threshold = F.when(F.col("is_long_vehicle") & F.lit(spec.long_vehicles), spec.min_quality_long).otherwise(spec.min_quality)
+    results = keep("results", fusion.decide(gone, sized, spec.min_track_hits, spec.min_saved_points, threshold, spec.require_exit))
+    if spec.long_vehicles and not links.isEmpty():
+        # Tracks too short for a cloud of their own have none to give.
+        candidates = clouds.join(results.where("status <> 'skipped_min_hits'").select(*TRACK), TRACK, "left_semi")
+        clouds, results = groups.merge_long_vehicles(
+            candidates, observations, tracks, quality, links, results, keep, clearance=max(0.05 * spec.metre, spec.aggregate_voxel, spec.fusion_voxel), neighbours=spec.outlier_neighbours, ratio=spec.outlier_ratio,
+            voxel=max(0.04 * spec.metre, 0.75 * spec.aggregate_voxel), bridge=(lambda cloud: bridged(cloud.drop("vx", "vy", "vz"), spec, keep)) if spec.tail_bridge else None, lane_end=low, margin=spec.exit_margin,
+            least_points=spec.min_saved_points, least_quality=spec.min_quality_long, require_exit=spec.require_exit, save_world=spec.save_world,
+        )
     return {"detections": found, "states": states, "observations": observations, "tracks": tracks, "links": links, "quality": quality, "clouds": clouds, "results": results}

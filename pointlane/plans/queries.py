@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import milli, range_corrected, row_index
-from ..operators import association, clustering, crop, evaluate, fusion, postprocess, reports, selection, tracking
+from ..operators import association, clustering, crop, evaluate, fusion, groups, postprocess, reports, selection, tracking
 from ..sources.events import LANE, POINTS_SQL, points
+from ..sources.scratch import scratch
 from . import pipeline
 from .config import Spec
 
@@ -739,16 +740,54 @@ def front_anchor(spark, sf_dir):
     return out.select("track_id", *[milli(F.col(f"anchor_{a}")).alias(f"anchor_{a}") for a in "xyz"])
 
 
-@query(
-    f"SELECT track_id // 2 * 2 AS track_id, count(*) AS n, {m('min(y + shift)')} AS low, {m('max(y + shift)')} AS high FROM (SELECT rv.track_id, y, CASE WHEN rv.track_id % 2 = 0 THEN 0 ELSE greatest(0.0, l.hi + 100 - own.lo) END AS shift FROM rv JOIN sp l ON l.track_id = rv.track_id // 2 * 2 JOIN sp own ON own.track_id = rv.track_id) GROUP BY 1",
-    REVOX + ", sp AS (SELECT track_id, min(y) AS lo, max(y) AS hi FROM rv GROUP BY 1)",
-)
+#: Groups of three tracks: 3k leads, the two others follow it one after the other.
+VEHICLES = REVOX + """, sp AS (SELECT track_id, track_id // 3 * 3 AS grp, min(y) AS lo, max(y) AS hi FROM rv WHERE track_id < 9 GROUP BY 1),
+fo AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY lo, track_id) AS k FROM sp WHERE track_id <> grp),
+s1 AS (SELECT f.*, l.hi AS edge, greatest(0.0, l.hi + 100 + 40 * (f.track_id % 3 - 1) - f.lo) AS shift FROM fo f JOIN sp l ON l.track_id = f.grp WHERE k = 1),
+s2 AS (SELECT f.*, greatest(0.0, greatest(s1.edge, s1.hi + s1.shift) + 100 + 40 * (f.track_id % 3 - 1) - f.lo) AS shift FROM fo f JOIN s1 USING (grp) WHERE f.k = 2),
+mv AS (SELECT track_id, grp, 0.0 AS shift FROM sp WHERE track_id = grp UNION ALL SELECT track_id, grp, shift FROM s1 UNION ALL SELECT track_id, grp, shift FROM s2)"""
+
+
+def vehicles(spark, sf_dir):
+    """Links of the groups, from the tracks that there are; the second follower's gap is 40."""
+    ids = obs(spark, sf_dir).select("seq_id", "track_id").distinct().where("track_id < 9 AND track_id % 3 > 0")
+    pairs = ids.select("seq_id", (F.col("track_id") - 1).alias("lead"), F.col("track_id").alias("rear"), (40.0 * (F.col("track_id") % 3 - 1)).alias("gap_mean"))
+    return postprocess.link_states(pairs, "articulated")
+
+
+@query(f"SELECT mv.track_id, grp AS group_id, {m('shift')} AS shift FROM mv", VEHICLES)
+def long_vehicle_shifts(spark, sf_dir):
+    moves = groups.shifts(revox(spark, sf_dir), groups.link_groups(vehicles(spark, sf_dir)), postprocess.motion(obs2(spark, sf_dir)), 100)
+    return moves.select("track_id", "group_id", milli(F.col("shift")).alias("shift"))
+
+
+@query(f"SELECT grp AS track_id, count(*) AS n, {m('min(y)')} AS low, {m('max(y)')} AS high FROM (SELECT grp, avg(y + shift) AS y FROM rv JOIN mv USING (track_id) GROUP BY grp, floor(x / 150), floor((y + shift) / 150), floor(z / 150)) GROUP BY 1", VEHICLES)
 def long_vehicle_merge(spark, sf_dir):
-    links = spark.createDataFrame([("s0", k, k + 1, -1) for k in range(0, 10, 2)], "seq_id string, lead int, rear int, direction int")
-    out = fusion.merge_long_vehicles(revox(spark, sf_dir), links, 100)
+    keep = scratch(spark)
+    cloud = revox(spark, sf_dir)
+    moves = groups.shifts(cloud, groups.link_groups(vehicles(spark, sf_dir), keep), postprocess.motion(obs2(spark, sf_dir)), 100)
+    out = groups.merged_clouds(cloud.drop("vx", "vy", "vz"), moves, 0, 0.0, 150, keep)
     return out.groupBy("track_id").agg(F.count("*").alias("n"), milli(F.min("y")).alias("low"), milli(F.max("y")).alias("high"))
 
 
+@query(
+    "SELECT e.track_id, CASE WHEN e.track_id % 3 > 0 AND e.track_id < 9 THEN 'merged_into_long_vehicle_group' WHEN e.track_id < 9 THEN CASE WHEN NOT (g.last <= 6500 AND (g.missed > 0 OR g.ended)) THEN 'skipped_track_exit' WHEN c.n < 60 THEN 'skipped_min_saved_points' WHEN g.score < 0.5 THEN 'skipped_quality_threshold' ELSE 'saved' END ELSE e.status END AS status, CASE WHEN e.track_id % 3 > 0 AND e.track_id < 9 THEN 0 WHEN e.track_id < 9 THEN c.n ELSE e.n_points END AS n_points FROM before e LEFT JOIN gt g ON g.grp = e.track_id LEFT JOIN (SELECT grp, count(*) AS n FROM (SELECT DISTINCT grp, floor(x / 150), floor((y + shift) / 150), floor(z / 150) FROM rv JOIN mv USING (track_id)) GROUP BY 1) c ON c.grp = e.track_id",
+    f"{VEHICLES}, {QUALITY}, {LIFE}, bp AS (SELECT track_id, count(*) AS n_points FROM rv GROUP BY 1), "
+    "before AS (SELECT track_id, n_points, CASE WHEN hit_count < 24 THEN 'skipped_min_hits' WHEN NOT exited THEN 'skipped_track_exit' WHEN n_points IS NULL THEN 'empty_selection' WHEN n_points < 60 THEN 'skipped_min_saved_points' WHEN score < 0.5 THEN 'skipped_quality_threshold' ELSE 'saved' END AS status FROM ex l LEFT JOIN bp USING (track_id) LEFT JOIN (SELECT track_id, score FROM qual) q USING (track_id)), "
+    "gf AS (SELECT track_id // 3 * 3 AS grp, frame_id, sum(cy * n_points) / sum(n_points) AS cy FROM obs2 WHERE track_id < 9 GROUP BY 1, 2), "
+    "gt AS (SELECT a.*, b.last FROM (SELECT l.track_id // 3 * 3 AS grp, min(missed) AS missed, bool_or(ended) AS ended, max(score) AS score FROM life l JOIN (SELECT track_id, score FROM qual) q USING (track_id) WHERE l.track_id < 9 GROUP BY 1) a JOIN (SELECT grp, arg_max(cy, frame_id) AS last FROM gf GROUP BY 1) b USING (grp))",
+)
+def long_vehicle_regate(spark, sf_dir):
+    """Groups decided again: their exit, points and best quality; members point to their lead."""
+    keep, rows = scratch(spark), obs2(spark, sf_dir)
+    cloud, life = revox(spark, sf_dir), ages(rows)
+    moves = keep("moves", groups.shifts(cloud, groups.link_groups(vehicles(spark, sf_dir), keep), postprocess.motion(rows), 100))
+    merged = groups.merged_clouds(cloud.drop("vx", "vy", "vz"), moves, 0, 0.0, 150, keep)
+    seen, joined = groups.group_tracks(rows, life, postprocess.quality(rows, life), moves)
+    out = groups.regate(decided(spark, sf_dir), fusion.exited(seen, joined, 4000, 2500), merged, moves, 60, 0.5, True)
+    return out.select("track_id", "status", "n_points")
+
+
 @query(f"SELECT track_id, {m('x + ax')} AS x, {m('y + ay')} AS y, {m('z + az')} AS z FROM rv JOIN (SELECT track_id, quantile_cont(cx, 0.5) AS ax, quantile_cont(cy, 0.5) AS ay, quantile_cont(cz, 0.5) AS az FROM obs2 GROUP BY 1) USING (track_id)", REVOX)
 def candidate_world_cloud(spark, sf_dir):
     return fusion.candidate_world(revox(spark, sf_dir), obs2(spark, sf_dir)).select("track_id", *[milli(F.col(a)).alias(a) for a in "xyz"])
