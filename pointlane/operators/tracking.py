@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .association import greedy, hungarian
@@ -126,9 +126,10 @@ def track(detections: DataFrame, config: TrackerConfig, frames: DataFrame | None
     """A row for each track and frame (status spawned, matched, missed or ended) and each suppressed detection.
 
     ``frames`` (seq_id, frame_index) adds frames without detections; every
-    sequence is one task, and detections arrive in order of frame.
+    sequence is one task, and detections arrive in order of frame. A detection
+    whose ``spawn_suppressed`` (if there is such a column) is true begins no track.
     """
-    rows = detections.select("seq_id", "frame_index", "detection_id", "cx", "cy", "cz", *[(F.col(f"max_{a}") - F.col(f"min_{a}")).cast("double").alias(f"e{a}") for a in "xyz"])
+    rows = detections.select("seq_id", "frame_index", "detection_id", "cx", "cy", "cz", *[(F.col(f"max_{a}") - F.col(f"min_{a}")).cast("double").alias(f"e{a}") for a in "xyz"], (F.coalesce("spawn_suppressed", F.lit(False)) if "spawn_suppressed" in detections.columns else F.lit(False)).alias("suppressed"))
     if frames is not None:
         rows = rows.unionByName(frames.select("seq_id", "frame_index").distinct(), allowMissingColumns=True)
 
@@ -136,7 +137,7 @@ def track(detections: DataFrame, config: TrackerConfig, frames: DataFrame | None
         tracker, out = Tracker(config), []
         for frame, part in seq.sort_values(["frame_index", "detection_id"]).groupby("frame_index", sort=True):
             part = part[part.detection_id.notna()]
-            states, _ = tracker.step(int(frame), part[["cx", "cy", "cz"]].to_numpy(float), part[["ex", "ey", "ez"]].to_numpy(float))
+            states, _ = tracker.step(int(frame), part[["cx", "cy", "cz"]].to_numpy(float), part[["ex", "ey", "ez"]].to_numpy(float), part["suppressed"].to_numpy(bool))
             ids = part.detection_id.to_numpy()
             out += [(key[0], int(frame), t, int(ids[d]) if d >= 0 else None, s, *map(float, x), age, missed) for t, d, s, x, age, missed in states]
         return pd.DataFrame(out, columns=[c.split(" ")[0] for c in STATES.split(", ")])
@@ -155,10 +156,33 @@ def tracks(states: DataFrame) -> DataFrame:
     )
 
 
-def frame_metrics(states: DataFrame) -> DataFrame:
-    """Per frame the numbers of matched, missed, spawned and suppressed."""
+def frame_metrics(states: DataFrame, detections: DataFrame | None = None, algorithm: str | None = None) -> DataFrame:
+    """Per frame the numbers of matched, missed, spawned and suppressed; with ``detections`` also of those with ``tracking_halo_only``, with ``algorithm`` its assignment method."""
     count = lambda *s: F.count_if(F.col("status").isin(*s))
-    return states.groupBy("seq_id", "frame_id").agg(count("matched").alias("matched"), count("missed", "ended").alias("missed"), count("spawned").alias("spawned"), count("suppressed").alias("suppressed"))
+    rows = states.groupBy("seq_id", "frame_id").agg(count("matched").alias("matched"), count("missed", "ended").alias("missed"), count("spawned").alias("spawned"), count("suppressed").alias("suppressed"))
+    if detections is not None:
+        halo = F.count_if("tracking_halo_only") if "tracking_halo_only" in detections.columns else F.lit(0).cast("long")
+        halos = detections.groupBy("seq_id", F.col("frame_index").alias("frame_id")).agg(halo.alias("halo"))
+        rows = rows.join(halos, ["seq_id", "frame_id"], "left").withColumn("halo", F.coalesce("halo", F.lit(0).cast("long")))
+    return rows if algorithm is None else rows.withColumn("assignment_method", F.lit("hungarian" if algorithm == "hungarian_kalman" else "greedy"))
+
+
+def predicted_tracks(states: DataFrame, found: DataFrame, labelled: DataFrame) -> DataFrame:
+    """(seq_id, frame_id, track_id, status, cx..cz, x, y, z, intensity): the points of a filtered track in each frame that missed it.
+
+    These are the points of the last frame that saw it, moved with the track
+    from its center there to the predicted one. ``found`` are detections with
+    their label, ``labelled`` the points. The last sight is an as-of lookup in
+    the track's own rows; points are joined by frame and label only for them.
+    """
+    before = Window.partitionBy("seq_id", "track_id").orderBy("frame_id").rowsBetween(Window.unboundedPreceding, -1)
+    sight = F.when(F.col("status").isin("spawned", "matched"), F.struct("frame_id", "detection_id", "cx", "cy", "cz"))
+    missed = states.where("track_id > 0").withColumn("sight", F.last(sight, ignorenulls=True).over(before)).where("status = 'missed' AND sight IS NOT NULL")
+    missed = missed.select("seq_id", "frame_id", "track_id", "cx", "cy", "cz", F.col("sight.frame_id").alias("frame_index"), F.col("sight.detection_id").alias("detection_id"), *[(F.col(f"c{a}") - F.col(f"sight.c{a}")).alias(f"d{a}") for a in "xyz"])
+    rows = missed.join(found.select("seq_id", "frame_index", "detection_id", "label"), ["seq_id", "frame_index", "detection_id"])
+    points = labelled.select("seq_id", "frame_index", "label", "x", "y", "z", "intensity")
+    rows = rows.join(points, ["seq_id", "frame_index", "label"])
+    return rows.select("seq_id", "frame_id", "track_id", F.lit("predicted").alias("status"), "cx", "cy", "cz", *[(F.col(a) + F.col(f"d{a}")).alias(a) for a in "xyz"], "intensity")
 
 
 def last_active(states: DataFrame) -> DataFrame:

@@ -151,8 +151,12 @@ def run(points: DataFrame, spec: Spec, frames: DataFrame | None = None, keep: Ke
 
     ``keep`` stores a named table and gives it back; every stage is built from
     the stored tables before it. Left out: the cluster's shared folder.
+    Trackers step on each of ``frames`` (seq_id, frame_index), those in which
+    nothing is detected too; left out: on each frame that has points.
     """
     keep = keep or scratch(points.sparkSession)
+    if frames is None:
+        frames = points.select("seq_id", "frame_index").distinct()
     labelled = keep("labelled", cluster(points, spec, keep))
     found = keep("detections", clustering.detections(labelled, spec.vehicle_min_points, spec.vehicle_max_points))
     states = keep("states", tracking.track(found, spec.tracker, frames))

@@ -387,6 +387,30 @@ def frame_tracker_metrics(spark, sf_dir):
     return tracking.frame_metrics(tracked(spark, sf_dir, "kalman_nn")[1])
 
 
+@query(
+    "SELECT g.seq AS seq_id, g.frame_id, s.n_points AS n, s.max_x - s.min_x AS ex, s.max_y - s.min_y AS ey, s.max_z - s.min_z AS ez FROM gap g JOIN seen s ON s.track_id = g.track_id AND s.frame_id = g.last",
+    SEEN + ", gap AS (SELECT f.seq, f.frame_id, l.track_id, (SELECT max(p.frame_id) FROM seen p WHERE p.track_id = l.track_id AND p.frame_id < f.frame_id) AS last FROM (SELECT DISTINCT seq, frame_id FROM seen) f JOIN (SELECT seq, track_id, min(frame_id) AS first FROM seen GROUP BY 1, 2) l ON l.seq = f.seq WHERE f.frame_id > l.first AND NOT EXISTS (SELECT 1 FROM seen s WHERE s.track_id = l.track_id AND s.frame_id = f.frame_id))",
+)
+def predicted_active_tracks(spark, sf_dir):
+    """Points of tracks in the frames that missed them: as many and as wide as when last seen."""
+    found, states = tracked(spark, sf_dir, "kalman_nn")
+    rows = by_object(spark, sf_dir).withColumn("seq_id", F.concat(F.lit("s"), F.col("label") % 5))
+    out = tracking.predicted_tracks(states, found, rows).groupBy("seq_id", "frame_id", "track_id")
+    return out.agg(F.count("*").alias("n"), *[F.round(F.max(a) - F.min(a)).cast("long").alias(f"e{a}") for a in "xyz"]).drop("track_id")
+
+
+@query(
+    "SELECT seq AS seq_id, frame_id, count(*) FILTER (track_id % 2 = 1 AND frame_id < 4) AS suppressed, count(*) FILTER (NOT (track_id % 2 = 1 AND frame_id < 4) AND frame_id = first) AS spawned, count(*) FILTER (track_id % 3 = 0) AS halo, 'greedy' AS assignment_method FROM (SELECT *, min(CASE WHEN NOT (track_id % 2 = 1 AND frame_id < 4) THEN frame_id END) OVER (PARTITION BY track_id) AS first FROM seen) GROUP BY 1, 2",
+    SEEN,
+)
+def spawn_suppression(spark, sf_dir):
+    """Objects of odd number begin no track in the first four frames; a third of all detections is marked as halo."""
+    found, _ = tracked(spark, sf_dir, "kalman_nn")
+    found = found.withColumns({"spawn_suppressed": (F.col("label") % 2 == 1) & (F.col("frame_index") < 4), "tracking_halo_only": F.col("label") % 3 == 0})
+    states = tracking.track(found, tracking.TrackerConfig("kalman_nn", **MM))
+    return tracking.frame_metrics(states, found, "kalman_nn").select("seq_id", "frame_id", "suppressed", "spawned", "halo", "assignment_method")
+
+
 @query(f"SELECT seq AS seq_id, frame_id, {m('cx')} AS cx, {m('cy')} AS cy, {m('cz')} AS cz FROM (SELECT *, max(frame_id) OVER (PARTITION BY track_id, part) AS last FROM isl) WHERE frame_id = last", ISLANDS)
 def last_active_state(spark, sf_dir):
     return tracking.last_active(tracked(spark, sf_dir, "euclidean_nn")[1]).select("seq_id", "frame_id", *[milli(F.col(c)).alias(c) for c in ("cx", "cy", "cz")])

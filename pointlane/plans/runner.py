@@ -61,7 +61,7 @@ def read(spark: SparkSession, kind: str, paths: list[str]) -> DataFrame:
     return READERS[kind](spark, paths)
 
 
-def run(spark: SparkSession, spec: config.Spec, points: DataFrame, out: str, classifier: evaluate.Classifier = evaluate.by_size) -> dict:
+def run(spark: SparkSession, spec: config.Spec, points: DataFrame, out: str, classifier: evaluate.Classifier = evaluate.by_size, frames: DataFrame | None = None) -> dict:
     """Write a run's tables and artifacts under ``out``; every table is written once, and each is built from those before it as they were written. Gives the summary row."""
     profile = Profile()
 
@@ -70,7 +70,7 @@ def run(spark: SparkSession, spec: config.Spec, points: DataFrame, out: str, cla
             rows.write.parquet(f"{out}/{name}.parquet")
         return spark.read.schema(rows.schema).parquet(f"{out}/{name}.parquet")
 
-    done = pipeline.run(points, spec, keep=keep)
+    done = pipeline.run(points, spec, frames, keep=keep)
     saved = done["results"].where("status = 'saved'").select("seq_id", "track_id")
     clouds = done["clouds"].join(saved, ["seq_id", "track_id"], "left_semi")
     with profile.stage("classify"):

@@ -1,36 +1,49 @@
 """Frame files: length-delimited protocol-buffer records, as a Spark data source.
 
-A file is [u32 little-endian length][Frame] repeated. ``frame_points`` is a
-Python data source whose partitions are files; the wire format (varints and
-length-delimited fields) is decoded vectorised. Every row is a point.
+A file is [u32 little-endian length][Frame] repeated. ``frame_index`` hops from
+length to length and gives a row a frame, empty ones too; ``read_points`` deals
+these rows out by bytes and decodes each frame where it lands, so one large
+file is many tasks, and a filter on frames or times reads no other frame.
+``frame_points`` reads whole files. The wire format (varints and
+length-delimited fields) is decoded vectorised. Files are opened through
+``pyarrow.fs``, by path or address.
 """
 
 from __future__ import annotations
 
-import os
 import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from .scratch import Keep, scratch
+
 SCHEMA = (
     "source_path string, source_index int, source_frame_index int, frame_timestamp_ns long, scan_index int, sensor_name string, x float, y float, z float, range float, "
     "row_index int, col_index int, intensity float, point_timestamp_ns long"
 )
 
 
+def store(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path or address, and the path in it."""
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
 def resolve(paths: list[str]) -> list[str]:
     """Files stay; a folder stands for its own .pb files by name; order and repeats stay; a folder without any is an error."""
     out = []
     for path in paths:
-        if os.path.isdir(path):
-            found = sorted(f for f in os.listdir(path) if f.endswith(".pb"))
-            if not found:
+        system, inner = store(path)
+        if system.get_file_info(inner).type == fs.FileType.Directory:
+            names = sorted(f.base_name for f in system.get_file_info(fs.FileSelector(inner)) if f.base_name.endswith(".pb"))
+            if not names:
                 raise ValueError(f"no .pb file in {path}")
-            out += [os.path.join(path, f) for f in found]
+            out += [f"{path.rstrip('/')}/{name}" for name in names]
         else:
             out.append(path)
     return out
@@ -67,13 +80,50 @@ def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
 
 
 def read_frames(path: str) -> Iterator[bytes]:
-    with open(path, "rb") as file:
-        while head := file.read(4):
-            (size,) = struct.unpack("<I", head)
-            body = file.read(size)
-            if len(body) < size:
+    system, inner = store(path)
+    with system.open_input_file(inner) as file:
+        size_of_file = file.size()
+        while file.tell() < size_of_file:
+            yield _body(file, path)
+
+
+def _size(file, path: str) -> int:
+    head = file.read(4)
+    if len(head) < 4:
+        raise ValueError(f"{path} ends within a frame")
+    return struct.unpack("<I", head)[0]
+
+
+def _body(file, path: str) -> bytes:
+    size = _size(file, path)
+    body = file.read(size)
+    if len(body) < size:
+        raise ValueError(f"{path} ends within a frame")
+    return body
+
+
+#: Bytes of a frame in which its timestamp, its first field, is looked for before the whole frame is read.
+HEAD = 64
+
+
+def index_frames(path: str) -> Iterator[tuple[int, int, int]]:
+    """(offset of the frame's bytes, their number, timestamp) of every frame, reading little more than the lengths."""
+    system, inner = store(path)
+    with system.open_input_file(inner) as file:
+        end, at = file.size(), 0
+        while at < end:
+            file.seek(at)
+            size = _size(file, path)
+            if at + 4 + size > end:
                 raise ValueError(f"{path} ends within a frame")
-            yield body
+            head = file.read(min(size, HEAD))
+            stamp = 0
+            if head[:1] == b"\x08":  # field 1, a number
+                stamp, _ = varint(head, 1)
+            elif size:
+                stamp = int(dict(fields(head + file.read(size - len(head)))).get(1, 0))
+            yield at + 4, size, stamp
+            at += 4 + size
 
 
 def signal(raw: bytes, n: int) -> np.ndarray | None:
@@ -134,6 +184,23 @@ def decode_scan(data: bytes, with_intensity: bool = True) -> dict | None:
     return {"sensor_name": sensor, "p": p, "range": range_, "row": row, "col": col, "intensity": lit, "time": time}
 
 
+INDEX = "source_path string, source_index int, source_frame_index int, offset long, size long, frame_timestamp_ns long"
+
+
+class FrameIndex(DataSource):
+    """A row a frame of the files: ``format("frame_index")``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "frame_index"
+
+    def schema(self) -> str:
+        return INDEX
+
+    def reader(self, schema) -> _IndexReader:
+        return _IndexReader(self.options)
+
+
 class FramePoints(DataSource):
     """``spark.read.format("frame_points").option("paths", "a.pb,folder").load()``"""
 
@@ -162,36 +229,89 @@ class _Reader(DataSourceReader):
         return [_File(k, p) for k, p in enumerate(self.paths)]
 
     def read(self, part: _File) -> Iterator[pa.RecordBatch]:
-        names = [c.strip().split(" ")[0] for c in SCHEMA.split(",")]
         for k, body in enumerate(read_frames(part.path)):
-            frame: dict[int, list] = {}
-            for number, value in fields(body):
-                frame.setdefault(number, []).append(value)
-            scans = [(n, s) for n, raw in enumerate(frame.get(2, [])) if (s := decode_scan(raw, self.with_intensity)) is not None]
-            # Optional columns hold for a frame only if all its scans have them.
-            lit, timed = all(s["intensity"] is not None for _, s in scans), all(s["time"] is not None for _, s in scans)
-            for n, s in scans:
-                size = len(s["p"])
-                const = lambda v, t: pa.array([v] * size, t)  # noqa: B023, E731
-                yield pa.RecordBatch.from_arrays([
-                    const(part.path, pa.string()), const(part.index, pa.int32()), const(k, pa.int32()), const(int(frame.get(1, [0])[0]), pa.int64()), const(n, pa.int32()), const(s["sensor_name"], pa.string()),
-                    *[pa.array(s["p"][:, a], pa.float32()) for a in range(3)], pa.array(s["range"].astype(np.float32)), pa.array(s["row"].astype(np.int32)), pa.array(s["col"].astype(np.int32)),
-                    pa.array(s["intensity"].astype(np.float32)) if lit else pa.nulls(size, pa.float32()), pa.array(s["time"]) if timed else pa.nulls(size, pa.int64()),
-                ], names)
-
-
-def read_points(spark: SparkSession, paths: list[str], intensity: bool = True) -> DataFrame:
-    """The points of all files, with seq_id, point_id and a frame_index that runs over the files."""
-    from pyspark.sql import Window
-    from pyspark.sql import functions as F
-
-    spark.dataSource.register(FramePoints)
-    rows = spark.read.format("frame_points").option("paths", ",".join(paths)).option("intensity", str(intensity)).load()
-    # Frames before each file: counts by file, few rows, summed up.
-    sizes = rows.groupBy("source_index").agg((F.max("source_frame_index") + 1).alias("n"))
-    before = sizes.select("source_index", F.coalesce(F.sum("n").over(Window.orderBy("source_index").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int").alias("before"))
-    rows = rows.join(F.broadcast(before), "source_index").withColumn("frame_index", F.col("source_frame_index") + F.col("before"))
-    return rows.withColumn("seq_id", F.lit("s0")).withColumn("point_id", F.monotonically_increasing_id()).drop("before")
+            yield from decode_frame(body, part.path, part.index, k, self.with_intensity)
+
+
+class _IndexReader(_Reader):
+    def read(self, part: _File) -> Iterator[tuple]:
+        for k, (offset, size, stamp) in enumerate(index_frames(part.path)):
+            yield part.path, part.index, k, offset, size, stamp
+
+
+def decode_frame(body: bytes, path: str, index: int, k: int, with_intensity: bool = True) -> Iterator[pa.RecordBatch]:
+    """The points of a frame as SCHEMA has them, a batch for each scan that has any."""
+    names = [c.strip().split(" ")[0] for c in SCHEMA.split(",")]
+    frame: dict[int, list] = {}
+    for number, value in fields(body):
+        frame.setdefault(number, []).append(value)
+    scans = [(n, s) for n, raw in enumerate(frame.get(2, [])) if (s := decode_scan(raw, with_intensity)) is not None]
+    # Optional columns hold for a frame only if all its scans have them.
+    lit, timed = all(s["intensity"] is not None for _, s in scans), all(s["time"] is not None for _, s in scans)
+    for n, s in scans:
+        size = len(s["p"])
+        const = lambda v, t: pa.array([v] * size, t)  # noqa: B023, E731
+        yield pa.RecordBatch.from_arrays([
+            const(path, pa.string()), const(index, pa.int32()), const(k, pa.int32()), const(int(frame.get(1, [0])[0]), pa.int64()), const(n, pa.int32()), const(s["sensor_name"], pa.string()),
+            *[pa.array(s["p"][:, a], pa.float32()) for a in range(3)], pa.array(s["range"].astype(np.float32)), pa.array(s["row"].astype(np.int32)), pa.array(s["col"].astype(np.int32)),
+            pa.array(s["intensity"].astype(np.float32)) if lit else pa.nulls(size, pa.float32()), pa.array(s["time"]) if timed else pa.nulls(size, pa.int64()),
+        ], names)
+
+
+#: How files make sequences: all one, each file one, or each folder one.
+SEQUENCES = ("all", "file", "folder")
+
+
+def read_index(spark: SparkSession, paths: list[str], sequence: str = "all", keep: Keep | None = None) -> DataFrame:
+    """(seq_id, frame_index, frame_timestamp_ns, source_path, source_index, source_frame_index, offset, size): a row a frame, without points too.
+
+    frame_index runs over the files of a sequence in their order.
+    """
+    if sequence not in SEQUENCES:
+        raise ValueError(f"unknown sequence {sequence!r}; known: {', '.join(SEQUENCES)}")
+    spark.dataSource.register(FrameIndex)
+    rows = spark.read.format("frame_index").option("paths", ",".join(paths)).load()
+    name = {"all": F.lit("s0"), "file": F.element_at(F.split("source_path", "/"), -1), "folder": F.regexp_extract("source_path", "([^/]*)/[^/]*$", 1)}[sequence]
+    rows = (keep or scratch(spark))("frame_index", rows.withColumn("seq_id", name))
+    # Frames before each file: a count a file, summed up.
+    counts = rows.groupBy("seq_id", "source_index").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("seq_id").orderBy("source_index").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(F.col("source_index").alias("of"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    rows = rows.join(before, F.col("source_index") == F.col("of"))
+    return rows.select("seq_id", (F.col("source_frame_index") + F.col("before")).cast("int").alias("frame_index"), "frame_timestamp_ns", "source_path", "source_index", "source_frame_index", "offset", "size")
+
+
+def decode(index: DataFrame, intensity: bool = True, part_bytes: int = 32 << 20) -> DataFrame:
+    """The points of the frames of ``index`` (or what a filter leaves of it), with point_id: frame_index and number in the frame.
+
+    Frames are dealt out by hash over as many tasks as their bytes make parts; a task reads the bytes of its frames alone.
+    """
+    total = index.agg(F.sum("size")).first()[0] or 0
+    dealt = index.repartition(max(1, -(-total // part_bytes)), "source_index", "source_frame_index").sortWithinPartitions("source_index", "source_frame_index")
+    schema = f"seq_id string, frame_index int, point_id long, {SCHEMA}"
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, file = None, None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["source_path"] != path:
+                    path = row["source_path"]
+                    system, inner = store(path)
+                    file = system.open_input_file(inner)
+                file.seek(row["offset"])
+                done = 0
+                for part in decode_frame(file.read(row["size"]), path, row["source_index"], row["source_frame_index"], intensity):
+                    n = part.num_rows
+                    number = (row["frame_index"] << 32) + done + np.arange(n)
+                    yield pa.RecordBatch.from_arrays([pa.array([row["seq_id"]] * n), pa.array([row["frame_index"]] * n, pa.int32()), pa.array(number), *part.columns], ["seq_id", "frame_index", "point_id", *part.schema.names])
+                    done += n
+
+    return dealt.select("seq_id", "frame_index", "source_path", "source_index", "source_frame_index", "offset", "size").mapInArrow(work, schema)
+
+
+def read_points(spark: SparkSession, paths: list[str], intensity: bool = True, sequence: str = "all") -> DataFrame:
+    """The points of all files, with seq_id, point_id and a frame_index that runs over the files of a sequence."""
+    return decode(read_index(spark, paths, sequence), intensity)
 
 
 LABELS = "source_path string, source_index int, source_frame_index int, object_id int, timestamp_ns long, obj_class string, obj_class_score float, sensor_name string, point_count int, points array<struct<x:float,y:float,z:float>>"
