@@ -13,6 +13,7 @@ import logging
 import os
 import resource
 import time
+from collections import Counter
 from contextlib import contextmanager
 from typing import Protocol
 
@@ -63,12 +64,15 @@ def read(spark: SparkSession, kind: str, paths: list[str]) -> DataFrame:
 
 def run(spark: SparkSession, spec: config.Spec, points: DataFrame, out: str, classifier: evaluate.Classifier = evaluate.by_size, frames: DataFrame | None = None) -> dict:
     """Write a run's tables and artifacts under ``out``; every table is written once, and each is built from those before it as they were written. Gives the summary row."""
-    profile = Profile()
+    profile, used = Profile(), Counter()
 
     def keep(name: str, rows: DataFrame) -> DataFrame:
+        # Steps inside an operator come as often as their rounds do.
+        used[name] += 1
+        path = f"{out}/{name}.parquet" if used[name] == 1 else f"{out}/rounds/{name}-{used[name]}.parquet"
         with profile.stage(name):
-            rows.write.parquet(f"{out}/{name}.parquet")
-        return spark.read.schema(rows.schema).parquet(f"{out}/{name}.parquet")
+            rows.write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
 
     done = pipeline.run(points, spec, frames, keep=keep)
     saved = done["results"].where("status = 'saved'").select("seq_id", "track_id")

@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pointlane.functions.geometry import Box, axis_name, other_axes
-from pointlane.operators import association, clustering, crop, evaluate, fusion, postprocess, registration, selection, tracking
+from pointlane.operators import association, clustering, crop, evaluate, fusion, postprocess, registration, selection, tiles, tracking
 from pointlane.plans import config
 from pointlane.plans.pipeline import run
 from pointlane.sources import frames, sinks
@@ -43,17 +43,34 @@ def test_box_and_axes(spark):
     assert axis_name("Q") == "y" and axis_name(7) == "z" and other_axes("y") == ("x", "z")
 
 
-def test_clusterers_find_two_objects_and_the_ground():
+def frame_of(spark, p):
+    return spark.createDataFrame([("s", 0, i, *map(float, x)) for i, x in enumerate(p)], "seq_id string, frame_index int, point_id long, x double, y double, z double")
+
+
+def labels_of(rows):
+    return np.array([r.label for r in rows.orderBy("point_id").collect()])
+
+
+def local_labels(p, eps, least):
+    """Clusters by their least core point, noise -1."""
+    owner = tiles.density_clusters(p, eps, least)[1]
+    return np.where(owner < 0, -1, np.searchsorted(np.unique(owner[owner >= 0]), owner))
+
+
+def test_clusterers_find_two_objects_and_the_ground(spark):
     rng = np.random.default_rng(4)
     two = np.vstack([cloud(rng, (0, 0, 1), 30, 0.03), cloud(rng, (1.5, 1.5, 1.1), 30, 0.03)])
-    for labels in (clustering.dbscan(two, 0.5, 5), clustering.dbscan(two, 0.5, 1), clustering.voxel_components(two, 0.25), clustering.hdbscan(two, 10, 5)):
+    frame = frame_of(spark, two)
+    for labels in (local_labels(two, 0.5, 5), local_labels(two, 0.5, 1), labels_of(clustering.cluster_dbscan(frame, 0.5, 5)), labels_of(clustering.cluster_euclidean(frame, 0.5)), labels_of(clustering.cluster_voxels(frame, 0.25)), clustering.hdbscan(two, 10, 5)):
         assert set(labels[:30]) == {0} and set(labels[30:]) == {1}
-    noise = clustering.dbscan(np.vstack([two, [[9, 9, 9]]]), 0.5, 5)
+    noise = local_labels(np.vstack([two, [[9, 9, 9]]]), 0.5, 5)
     assert noise[-1] == -1
     x, y = np.meshgrid(np.linspace(-1, 1, 12), np.linspace(0, 3, 12))
     flat = np.vstack([np.column_stack([x.ravel(), y.ravel(), np.zeros(144)]), cloud(rng, (0.2, 1.5, 1), 40, 0.03)])
-    normal, inside = clustering.plane(flat, 0.1, 60, 0)
-    assert abs(normal[2]) > 0.9 and inside[:144].all() and not inside[144:].any()
+    planes = clustering.ground_planes(frame_of(spark, flat), 0.1, 60)
+    plane = planes.first()
+    inside = np.array([r.ground for r in clustering.without_ground(frame_of(spark, flat), planes, 0.1).orderBy("point_id").collect()])
+    assert abs(plane.nz) > 0.9 and inside[:144].all() and not inside[144:].any()
 
 
 @settings(max_examples=25, deadline=None)
@@ -64,7 +81,7 @@ def test_euclidean_clusters_are_the_components(seed, n):
     label = np.arange(n)
     for _ in range(n):
         label = np.where(near, label[None], n).min(1)
-    assert (clustering.dbscan(p, 0.6, 1) == np.unique(label, return_inverse=True)[1]).all()
+    assert (local_labels(p, 0.6, 1) == np.unique(label, return_inverse=True)[1]).all()
 
 
 @settings(max_examples=40, deadline=None)
