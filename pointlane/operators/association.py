@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import Keep, scratch
+from .tiles import components
+
 
 def cost_pairs(left: DataFrame, right: DataFrame, on: list[str], size_weight: float) -> DataFrame:
     """Every pair of rows that agree on ``on`` (a frame), with ``cost``.
@@ -90,6 +94,38 @@ def hungarian(cost: np.ndarray, feasible: np.ndarray) -> list[tuple[int, int]]:
     return sorted((int(rows[r]), int(cols[c])) for r, c in pairs if feasible[rows[r], cols[c]])
 
 
+def assign(pairs: DataFrame, on: list[str], method: str = "hungarian", keep: Keep | None = None) -> DataFrame:
+    """(*on, left_id, right_id, cost): one-to-one matches among gated ``pairs`` (*on, left_id, right_id, cost) of each group.
+
+    Pairs fall into connected components that share no row; each is solved
+    alone (``greedy`` by rising cost, or ``hungarian``: least total cost), so a
+    group may hold any number of rows as long as its gate keeps components
+    small. Ids are whole and not negative.
+    """
+    solve = {"greedy": greedy, "hungarian": hungarian}[method]
+    keep = keep or scratch(pairs.sparkSession)
+    rows = keep("pairs", pairs.select(*on, F.col("left_id").cast("bigint").alias("left_id"), F.col("right_id").cast("bigint").alias("right_id"), F.col("cost").cast("double").alias("cost")))
+    # Rows of the two sides are nodes of one graph.
+    edges = rows.select(*on, (2 * F.col("left_id")).alias("a"), (2 * F.col("right_id") + 1).alias("b"))
+    part = components(edges, on, keep).select(*[F.col(c).alias(f"of_{c}") for c in on], "node", "component")
+    joined = rows.join(part, [F.col(c) == F.col(f"of_{c}") for c in on] + [2 * F.col("left_id") == F.col("node")])
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+
+    def run(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
+        left, r = np.unique(own.left_id, return_inverse=True)
+        right, c = np.unique(own.right_id, return_inverse=True)
+        cost, feasible = np.zeros((len(left), len(right))), np.zeros((len(left), len(right)), bool)
+        cost[r, c], feasible[r, c] = own.cost, True
+        found = solve(cost, feasible)
+        out = pd.DataFrame({"left_id": [left[i] for i, _ in found], "right_id": [right[j] for _, j in found], "cost": [cost[p] for p in found]})
+        for name, value in zip(on, key, strict=False):
+            out[name] = value
+        return out[[*on, "left_id", "right_id", "cost"]]
+
+    schema = ", ".join(f"{c} {kinds[c]}" for c in [*on, "left_id", "right_id", "cost"])
+    return joined.select(*on, "component", "left_id", "right_id", "cost").groupBy(*on, "component").applyInPandas(run, schema)
+
+
 def frame_overlap(observations: DataFrame) -> DataFrame:
     """(seq_id, a, b, overlap, ratio): pairs of tracks that share frames; ratio to the shorter track."""
     o = observations.select("seq_id", "track_id", "frame_id")

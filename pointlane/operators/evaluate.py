@@ -139,10 +139,69 @@ def classify(cloud: DataFrame, classifier: Classifier = by_size, points: int = 1
     return cloud.groupBy(*TRACK).applyInPandas(run, "seq_id string, track_id int, class string, score double")
 
 
-def spread_predictions(predictions: DataFrame, merged: DataFrame) -> DataFrame:
-    """Members of merged vehicles (seq_id, track_id, target) get their target's prediction."""
-    target = predictions.withColumnsRenamed({"track_id": "target"})
-    return predictions.join(merged, TRACK, "left_anti").unionByName(merged.join(target, ["seq_id", "target"]).drop("target"))
+#: Keys of annotated metrics: fixed values, as readers of the results look for them.
+GT_KEYS = ("gt_match_mode", "gt_match_assignment", "gt_matched", "gt_object_id", "gt_timestamp_ns", "gt_timestamp_delta_ns", "gt_frame_index", "gt_obj_class", "gt_obj_class_score", "gt_unmatched_reason")
+PREDICTION_KEYS = ("predicted_class_id", "predicted_class_name", "predicted_class_score", "classification_backend", "classification_point_source", "classification_input_point_count")
+MERGED = "merged_into_long_vehicle_group"
+
+
+def merged_metrics(values: dict[str, Column], stale: tuple[str, ...] = ()) -> Column:
+    """The map ``metrics`` with ``values`` written over it; keys of null values that are in ``stale`` go, others stay as they were."""
+    entries = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in values.items()])
+    new = F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
+    old = F.coalesce("metrics", F.create_map().cast("map<string,string>"))
+    away = F.array(*[F.lit(k) for k in stale]) if stale else F.array().cast("array<string>")
+    kept = F.map_filter(old, lambda k, _: ~F.array_contains(away, k) & ~F.map_contains_key(new, k))
+    return F.map_concat(kept, new)
+
+
+def annotate_ground_truth(results: DataFrame, matches: DataFrame, labels: DataFrame) -> DataFrame:
+    """``results`` with ground truth in the map ``metrics`` of saved tracks.
+
+    ``matches``: as ``match_ground_truth`` gives them; ``labels``: seq_id,
+    object_id, timestamp_ns, frame_index, and obj_class, obj_class_score, which
+    may be null. A matched track loses the reason it had for being unmatched,
+    an unmatched one the class it had; a track without a row in ``matches``
+    stays as it is.
+    """
+    own = matches.where("track_id IS NOT NULL").select("seq_id", "track_id", F.col("object_id").alias("gt_id"), "delta_ns", (F.col("status") == "matched").alias("hit"))
+    truth = labels.select("seq_id", F.col("object_id").alias("gt_id"), F.col("timestamp_ns").alias("gt_ns"), F.col("frame_index").alias("gt_frame"), F.nullif("obj_class", F.lit("")).alias("gt_class"), F.col("obj_class_score").alias("gt_score"))
+    rows = results.join(own.join(truth, ["seq_id", "gt_id"], "left"), TRACK, "left")
+    hit = F.coalesce("hit", F.lit(False))
+    only = lambda c: F.when(hit, F.col(c))
+    values = {
+        "gt_match_mode": F.lit("timestamp_only"), "gt_match_assignment": F.lit("one_to_one"), "gt_matched": hit, "gt_object_id": only("gt_id"), "gt_timestamp_ns": only("gt_ns"), "gt_timestamp_delta_ns": only("delta_ns"),
+        "gt_frame_index": only("gt_frame"), "gt_obj_class": only("gt_class"), "gt_obj_class_score": only("gt_score"), "gt_unmatched_reason": F.when(~hit, "unmatched_no_gt_available"),
+    }
+    annotated = merged_metrics(values, ("gt_obj_class", "gt_obj_class_score", "gt_unmatched_reason"))
+    use = (F.col("status") == "saved") & F.col("hit").isNotNull()
+    return rows.select(*[F.when(use, annotated).otherwise(F.col("metrics")).alias(c) if c == "metrics" else results[c] for c in results.columns])
+
+
+def classification_points(clouds: DataFrame, candidates: DataFrame, results: DataFrame) -> DataFrame:
+    """(seq_id, track_id, x, y, z, point_source) of tracks that aren't merged into another: the saved cloud's points, else the candidate's."""
+    open_ = results.where(F.col("status") != MERGED).select(*TRACK, (F.col("status") == "saved").alias("saved"))
+    own = clouds.join(open_.where("saved").select(*TRACK), TRACK, "left_semi").select(*TRACK, "x", "y", "z", F.lit("result_points").alias("point_source"))
+    has = own.select(*TRACK).distinct()
+    rest = candidates.join(open_.select(*TRACK), TRACK, "left_semi").join(has, TRACK, "left_anti")
+    return own.unionByName(rest.select(*TRACK, "x", "y", "z", F.lit("candidate_points_world").alias("point_source")))
+
+
+def write_predictions(results: DataFrame, predictions: DataFrame, backend: str, aliases: dict[str, str] | None = None) -> DataFrame:
+    """``results`` with predictions in the map ``metrics``; members of merged vehicles get their target's.
+
+    ``predictions``: seq_id, track_id, class, and class_id, score (may be null),
+    point_source and n_points. A null class id or score takes the old one away.
+    """
+    said = predictions.select("seq_id", F.col("track_id").alias("of"), F.col("class_id").cast("long").alias("p_id"), normalise_class(F.col("class"), aliases or {}).alias("p_class"), F.col("score").alias("p_score"), F.col("point_source").alias("p_source"), F.col("n_points").alias("p_points"))
+    merged = (F.col("status") == MERGED) & F.col("merged_target_track_id").isNotNull()
+    rows = results.withColumn("of", F.when(merged, F.col("merged_target_track_id")).otherwise(F.col("track_id"))).join(said, ["seq_id", "of"], "left")
+    values = {
+        "predicted_class_id": F.col("p_id"), "predicted_class_name": F.col("p_class"), "predicted_class_score": F.col("p_score"), "classification_backend": F.lit(backend),
+        "classification_point_source": F.when(merged, "merged_target_track").otherwise(F.col("p_source")), "classification_input_point_count": F.col("p_points"),
+    }
+    written = merged_metrics(values, ("predicted_class_id", "predicted_class_score"))
+    return rows.select(*[F.when(F.col("p_class").isNotNull(), written).otherwise(F.col("metrics")).alias(c) if c == "metrics" else results[c] for c in results.columns])
 
 
 def track_outcomes(tracks: DataFrame, results: DataFrame, last: DataFrame) -> DataFrame:

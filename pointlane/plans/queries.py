@@ -312,6 +312,13 @@ def gated_pairs(spark, sf_dir):
     return rows.groupBy("frame").agg(F.count("*").alias("pairs"), F.count_if(F.col("left_id") == F.col("right_id")).alias("own"))
 
 
+@query("SELECT frame, left_id, right_id, CAST(floor(cost + 0.5) AS BIGINT) AS cost FROM cost WHERE left_id = right_id AND cost <= 3400", COST)
+def gated_assignment(spark, sf_dir):
+    """Neighbouring lanes contend within the gate; the least total keeps each object with itself."""
+    pairs = association.gated(association.cost_pairs(*steps(spark, sf_dir), ["frame"], 150.0), 3400.0)
+    return association.assign(pairs, ["frame"]).select("frame", "left_id", "right_id", F.floor(F.col("cost") + 0.5).alias("cost"))
+
+
 @query("SELECT track_id, frame_id FROM obs o WHERE NOT EXISTS (SELECT 1 FROM obs2 p WHERE p.track_id = o.track_id AND p.frame_id = o.frame_id)")
 def unmatched_observations(spark, sf_dir):
     return association.unmatched(obs(spark, sf_dir), obs2(spark, sf_dir), ["track_id", "frame_id"]).select("track_id", "frame_id")
@@ -883,6 +890,47 @@ def ground_truth_matching(spark, sf_dir):
     return evaluate.match_ground_truth(saved_tracks(spark, sf_dir), gt_labels(spark, sf_dir))
 
 
+def noted(spark, sf_dir):
+    """Results with metrics from before: tracks below nine are saved, the fifth is merged into the first."""
+    rows = obs2(spark, sf_dir).groupBy("seq_id", "track_id").agg(F.count("*").alias("n_points"))
+    status = F.when(F.col("track_id") == 5, evaluate.MERGED).when(F.col("track_id") < 9, "saved").otherwise("skipped_min_hits")
+    old = F.map_from_arrays(F.array(F.lit("mode"), F.lit("gt_unmatched_reason"), F.lit("gt_obj_class"), F.lit("predicted_class_score")), F.array(F.lit("local"), F.lit("old"), F.lit("bus"), F.lit("0.5")))
+    return rows.withColumns({"status": status, "merged_target_track_id": F.when(F.col("track_id") == 5, 1), "metrics": F.when(F.col("track_id") % 2 == 0, old)})
+
+
+NOTED = "nt AS (SELECT track_id, count(*) AS n, CASE WHEN track_id = 5 THEN 'merged_into_long_vehicle_group' WHEN track_id < 9 THEN 'saved' ELSE 'skipped_min_hits' END AS status, arg_max(ts_ns, frame_id) AS last_ns, max(frame_id) AS last_frame FROM obs2 GROUP BY 1)"
+
+
+def as_text(rows: DataFrame) -> DataFrame:
+    """The map as text, keys in order."""
+    entry = F.transform(F.array_sort(F.map_keys("metrics")), lambda k: F.concat(k, F.lit("="), F.element_at("metrics", k)))
+    return rows.select("track_id", "status", F.coalesce(F.array_join(entry, ";"), F.lit("")).alias("metrics"))
+
+
+@query(
+    "SELECT track_id, status, CASE WHEN status <> 'saved' THEN CASE WHEN track_id % 2 = 0 THEN 'gt_obj_class=bus;gt_unmatched_reason=old;mode=local;predicted_class_score=0.5' ELSE '' END ELSE 'gt_frame_index=' || last_frame || ';gt_match_assignment=one_to_one;gt_match_mode=timestamp_only;gt_matched=true;' || CASE WHEN track_id % 3 > 0 THEN 'gt_obj_class=class' || track_id || ';' ELSE '' END || CASE WHEN track_id % 4 > 0 THEN 'gt_obj_class_score=' || CAST(track_id / 4 AS VARCHAR) || ';' ELSE '' END || 'gt_object_id=' || track_id || ';gt_timestamp_delta_ns=0;gt_timestamp_ns=' || last_ns || CASE WHEN track_id % 2 = 0 THEN ';mode=local;predicted_class_score=0.5' ELSE '' END END AS metrics FROM nt WHERE track_id <> 8"
+    " UNION ALL SELECT track_id, status, 'gt_match_assignment=one_to_one;gt_match_mode=timestamp_only;gt_matched=false;gt_unmatched_reason=unmatched_no_gt_available;mode=local;predicted_class_score=0.5' FROM nt WHERE track_id = 8",
+    NOTED,
+)
+def ground_truth_annotation(spark, sf_dir):
+    id_ = F.col("object_id")
+    labels = gt_labels(spark, sf_dir).withColumns({"obj_class": F.when(id_ % 3 > 0, F.concat(F.lit("class"), id_)).otherwise(F.lit("")), "obj_class_score": F.when(id_ % 4 > 0, id_ / 4)})
+    saved = saved_tracks(spark, sf_dir).where("track_id < 9 AND track_id <> 5")
+    matches = evaluate.match_ground_truth(saved, labels.where("object_id <> 5"))
+    return as_text(evaluate.annotate_ground_truth(noted(spark, sf_dir), matches, labels))
+
+
+@query(
+    "SELECT track_id, status, CASE WHEN k = 3 THEN CASE WHEN track_id % 2 = 0 THEN 'gt_obj_class=bus;gt_unmatched_reason=old;mode=local;predicted_class_score=0.5' ELSE '' END ELSE 'classification_backend=geometric;classification_input_point_count=' || c.n || ';classification_point_source=' || CASE WHEN nt.track_id = 5 THEN 'merged_target_track' ELSE 'result_points' END || CASE WHEN nt.track_id % 2 = 0 THEN ';gt_obj_class=bus;gt_unmatched_reason=old;mode=local' ELSE '' END || CASE WHEN k % 2 > 0 THEN ';predicted_class_id=' || k ELSE '' END || ';predicted_class_name=' || CASE WHEN k = 1 THEN 'car' ELSE 'c' || k END || CASE WHEN k % 4 > 0 THEN ';predicted_class_score=' || CAST(k / 4 AS VARCHAR) ELSE '' END END AS metrics FROM (SELECT *, CASE WHEN track_id = 5 THEN 1 ELSE track_id END AS k FROM nt) nt JOIN (SELECT track_id AS k, count(*) AS n FROM obs2 GROUP BY 1) c USING (k)",
+    NOTED,
+)
+def prediction_write_back(spark, sf_dir):
+    """All tracks but the third have a prediction, by the number of their observations; ids and scores are null for some."""
+    id_ = F.col("track_id")
+    said = noted(spark, sf_dir).where("track_id NOT IN (3, 5)").select("seq_id", "track_id", "n_points", F.lit("result_points").alias("point_source"), F.when(id_ % 2 > 0, id_).alias("class_id"), F.when(id_ % 4 > 0, id_ / 4).alias("score"), F.when(id_ == 1, " AUTO ").otherwise(F.concat(F.lit("c"), id_)).alias("class"))
+    return as_text(evaluate.write_predictions(noted(spark, sf_dir), said, "geometric", {"auto": "car"}))
+
+
 @query("SELECT CASE lower(trim(t)) WHEN 'click' THEN 'car' WHEN 'view' THEN 'truck' ELSE trim(t) END AS class, count(*) AS n FROM (SELECT CASE WHEN event_id % 2 = 0 THEN ' ' || upper(event_type) || ' ' ELSE event_type END AS t FROM events) GROUP BY 1")
 def class_normalisation(spark, sf_dir):
     raw = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit(" "), F.upper("event_type"), F.lit(" "))).otherwise(F.col("event_type"))

@@ -10,7 +10,7 @@ from pointlane.plans.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 #: Queries whose constants need the point density of larger tables for the objects to hold together.
-DENSE = {"tracker_kalman_nn", "tracker_hungarian_kalman", "tracker_euclidean_nn", "frame_tracker_metrics", "last_active_state", "track_summary", "kalman_fold", "tracklet_stitching", "gap_pairs"}
+DENSE = {"tracker_kalman_nn", "tracker_hungarian_kalman", "tracker_euclidean_nn", "frame_tracker_metrics", "last_active_state", "track_summary", "kalman_fold", "tracklet_stitching", "gap_pairs", "gated_assignment"}
 
 
 def plain(v):
