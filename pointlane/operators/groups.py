@@ -110,7 +110,8 @@ def merge_long_vehicles(clouds: DataFrame, observations: DataFrame, tracks: Data
     unless ``save_world``; its members' own clouds go. Groups of whose lead, or
     of all but one, there is no cloud stay as they are.
     """
-    world = keep("world", fusion.candidate_world(clouds.drop("vx", "vy", "vz"), observations))
+    clouds = clouds.drop("vx", "vy", "vz")
+    world = clouds if save_world else keep("world", fusion.candidate_world(clouds, observations))
     direction = postprocess.motion(observations, axis).select(*TRACK, "direction")
     moves = keep("moves", shifts(world, link_groups(links, keep), direction, clearance, axis))
     merged = merged_clouds(world, moves, neighbours, ratio, voxel, keep, axis)
@@ -124,5 +125,5 @@ def merge_long_vehicles(clouds: DataFrame, observations: DataFrame, tracks: Data
         lead = moves.where("track_id = group_id").select(*TRACK)
         anchor = fusion.front_anchor(world.join(lead, TRACK, "left_semi"), direction, axis)
         merged = merged.join(anchor, TRACK).withColumns({a: F.col(a) - F.col(f"anchor_{a}") for a in "xyz"}).drop(*[f"anchor_{a}" for a in "xyz"])
-    apart = clouds.drop("vx", "vy", "vz").join(moves.select(*TRACK), TRACK, "left_anti")
+    apart = clouds.join(moves.select(*TRACK), TRACK, "left_anti")
     return apart.unionByName(merged.select(*apart.columns)), decided

@@ -79,8 +79,68 @@ def hud(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("line", F.format_string("frame %d: matched %d, missed %d, spawned %d", "frame_id", "matched", "missed", "spawned"))
 
 
+#: The gate of each status, as readers of the results look for it.
+REASONS = {"saved": "saved", "skipped_min_hits": "min_hits", "skipped_track_exit": "track_exit", "empty_selection": "empty_selection", "skipped_min_saved_points": "min_saved_points", "skipped_quality_threshold": "quality_threshold"}
+
+
+def reason(status: Column) -> Column:
+    """The code of a decision; a status without one is its own."""
+    table = F.create_map(*[F.lit(x) for pair in REASONS.items() for x in pair])
+    return F.coalesce(F.element_at(table, status), status)
+
+
+def track_rows(tracks: DataFrame, observations: DataFrame, quality: DataFrame, results: DataFrame, chosen: DataFrame, links: DataFrame) -> DataFrame:
+    """A wide row for each track: its frames and last center, quality and its parts, what was decided and why, the frames fused, and its role in a long vehicle.
+
+    Columns of steps that a track never reached are null; ``results``' map of metrics, if it has one, is ``aggregation_metrics``.
+    """
+    key = ["seq_id", "track_id"]
+    seen = observations.groupBy(*key).agg(F.sort_array(F.collect_set("frame_id")).alias("frame_ids"), F.max_by(F.array("cx", "cy", "cz"), "frame_id").alias("last_center"))
+    parts = [c for c in quality.columns if c not in (*key, "quality_score")]
+    scored = quality.select(*key, "quality_score", F.struct(*parts).alias("quality_metrics"))
+    said = results.select(*key, F.col("status").alias("aggregate_status"), F.col("stage").alias("decision_stage"), reason(F.col("status")).alias("decision_reason_code"), F.col("summary").alias("decision_summary"), F.col("n_points").alias("aggregate_points"), *[F.col("metrics").alias("aggregation_metrics")] * ("metrics" in results.columns))
+    used = chosen.groupBy(*key).agg(F.sort_array(F.collect_set("frame_id")).alias("selected_frame_ids"))
+    linked = links.groupBy(*key).agg(F.first("group_kind").alias("object_kind"), F.max("component_track_ids").alias("articulated_component_track_ids"), F.array_sort(F.collect_set("role")).alias("long_vehicle_component_roles"))
+    own = tracks.select(*key, "hit_count", "age", "missed", "ended_by_missed", F.col("last_frame").alias("last_frame_id"), F.struct("spawned_count", "matched_count", "missed_count").alias("tracker_debug_summary"))
+    rows = own
+    for more in (seen, scored, said, used, linked):
+        rows = rows.join(more, key, "left")
+    return rows.withColumn("status", F.coalesce("aggregate_status", F.lit("missing_result")))
+
+
+def merge_events(links: DataFrame, observations: DataFrame) -> DataFrame:
+    """One row a linked pair (seq_id, lead, rear, group_kind, gap_mean, start, end): the frames both were seen in, null where none."""
+    pairs = links.where("role = 'lead'").select("seq_id", F.col("track_id").alias("lead"), F.col("partner_id").alias("rear"), "group_kind", "gap_mean")
+    frames = lambda name: observations.select("seq_id", F.col("track_id").alias(name), "frame_id")
+    both = pairs.join(frames("lead"), ["seq_id", "lead"]).join(frames("rear"), ["seq_id", "rear", "frame_id"])
+    met = both.groupBy("seq_id", "lead", "rear").agg(F.min("frame_id").alias("start"), F.max("frame_id").alias("end"))
+    return pairs.join(met, ["seq_id", "lead", "rear"], "left")
+
+
 # Benchmarks: a row per run with context columns and measures.
 
+#: Orders of leaderboards, each a list of measures with a minus where most comes first.
+ORDERS = {
+    "overall": ("-saved", "-quality_mean", "-registration_accept_rate", "total_wall_seconds"),
+    "long_vehicles": ("-mean_length_saved", "mean_component_count_saved", "-saved", "total_wall_seconds"),
+    "fastest": ("total_wall_seconds",),
+    "most_compute": ("-compute_wall_seconds", "-total_cpu_seconds"),
+    "most_memory": ("-peak_rss_mb",),
+}
+
+
+def order(name: str, context: list[str]) -> list[Column]:
+    """Sort keys of a leaderboard; a missing measure counts as 0, ties go by context."""
+    keys = [(m.lstrip("-"), m.startswith("-")) for m in ORDERS[name]]
+    value = lambda m: F.coalesce(F.col(m).cast("double"), F.lit(0.0))
+    return [*[-value(m) if down else value(m) for m, down in keys], *[F.col(c) for c in context]]
+
+
+def median_rows(runs: DataFrame, context: list[str]) -> DataFrame:
+    """Per context the median of every measure and the largest memory."""
+    measures = [c for c, t in runs.dtypes if c not in (*context, "run_index", "peak_rss_mb") and t in ("int", "bigint", "double", "float")]
+    return runs.groupBy(*context).agg(*[F.percentile(c, F.lit(0.5)).alias(c) for c in measures], F.max("peak_rss_mb").alias("peak_rss_mb"), F.count("*").alias("runs"))
+
 
 def run_aggregates(runs: DataFrame, context: list[str], measure: str) -> DataFrame:
     """Median, least and most of a measure per context, and the representative run: nearest to the median, then the first."""

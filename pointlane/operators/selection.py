@@ -118,6 +118,30 @@ def quality_window(observations: DataFrame, points_ratio: float = 0.4, extent_ra
     return rows.where(take).drop("norm", "n", "p", "e", "good", "score", "run", "run_top", "run_n", "run_points", "run_start", "best", "peak")
 
 
+#: Shares of a track's peaks in points and extent that let a tail candidate stay beside the window.
+TAIL_POINTS, TAIL_EXTENT = 0.25, 0.2
+
+
+def with_tails(window: DataFrame, observations: DataFrame, tails: DataFrame, points_ratio: float = 0.4, extent_ratio: float = 0.35) -> DataFrame:
+    """``window`` and, of ``observations``, the tail candidates that reach lesser shares of their track's peaks; ``tails``: (seq_id, track_id, frame_id)."""
+    norm = F.sqrt(sum(((F.col(f"max_{a}") - F.col(f"min_{a}")).cast("double") * (F.col(f"max_{a}") - F.col(f"min_{a}")) for a in AXES), F.lit(0.0)))
+    rows = observations.withColumn("norm", norm)
+    enough = (F.col("n_points") >= min(points_ratio, TAIL_POINTS) * F.greatest(F.max("n_points").over(_all()), F.lit(1))) & (F.col("norm") >= min(extent_ratio, TAIL_EXTENT) * F.greatest(F.max("norm").over(_all()), F.lit(1e-6)))
+    kept = rows.withColumn("enough", enough).where("enough").join(tails, [*TRACK, "frame_id"], "left_semi")
+    keys = window.select(*TRACK, "frame_id").union(kept.select(*TRACK, "frame_id")).distinct()
+    return observations.join(keys, [*TRACK, "frame_id"], "left_semi")
+
+
+def with_coverage(chosen: DataFrame, observations: DataFrame, long: DataFrame, tails: DataFrame, bins: int = 3, axis: str = "y") -> DataFrame:
+    """``chosen`` and, for the tracks of ``long`` (seq_id, track_id), the densest chunk of each of ``bins`` stretches of their way and their tail candidates among ``observations``."""
+    own = observations.join(long, TRACK, "left_semi")
+    moves = own.groupBy(*TRACK).agg((F.max(f"c{axis}") - F.min(f"c{axis}")).alias("way")).where("way > 1e-6")
+    dense = coverage_bins(own.join(moves, TRACK, "left_semi"), bins, axis)
+    frame = [*TRACK, "frame_id"]
+    keys = chosen.select(*frame).union(dense.select(*frame)).union(tails.join(long, TRACK, "left_semi").select(*frame)).distinct()
+    return observations.join(keys, frame, "left_semi")
+
+
 # Greedy covers: arrays of one track in, chosen positions out.
 
 

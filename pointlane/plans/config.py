@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import os
 from dataclasses import dataclass, field, fields
 
-from ..functions.geometry import Box
+import yaml
+
+from ..functions.geometry import Box, axis_name
 from ..operators.registration import BACKENDS, RegistrationConfig
 from ..operators.selection import METHODS
 from ..operators.tracking import TrackerConfig
@@ -24,6 +27,8 @@ class Spec:
     """One dataflow. Lengths are in the unit of the points."""
 
     box: Box
+    #: Along which objects move.
+    axis: str = "y"
     clusterer: str = "dbscan"
     eps: float = 1.15
     voxel: float = 0.25
@@ -33,6 +38,14 @@ class Spec:
     jump_abs: float = 0.45
     jump_ratio: float = 0.08
     min_component: int = 8
+    neighbour_rows: int = 1
+    neighbour_cols: int = 1
+    #: Of sensor-space clusterers: points beyond these ranges, and rows below this one, take no part.
+    range_min: float = 0.0
+    range_max: float = math.inf
+    ground_rows: int = 0
+    hdbscan_cluster: int = 20
+    hdbscan_samples: int = 10
     ground_distance: float = 0.12
     ground_samples: int = 120
     ground_level: float = 0.75
@@ -107,6 +120,7 @@ class Spec:
             if value not in known:
                 raise ConfigError(f"unknown {name} {value!r}; known: {', '.join(known)}")
         object.__setattr__(self, "post", tuple(self.post))
+        object.__setattr__(self, "axis", axis_name(self.axis))
         if unknown := set(self.post) - set(POST):
             raise ConfigError(f"unknown post-processors {sorted(unknown)}; known: {', '.join(POST)}")
         for name in ("eps", "voxel", "fusion_voxel", "chunk_voxel", "aggregate_voxel", "metre", "long_length"):
@@ -114,6 +128,8 @@ class Spec:
                 raise ConfigError(f"{name} must be positive")
         if self.vehicle_min_points > self.vehicle_max_points:
             raise ConfigError("vehicle_min_points is above vehicle_max_points")
+        if self.range_max <= self.range_min:
+            raise ConfigError("range_max is not above range_min")
         if not 0 < self.consensus_ratio <= 1:
             raise ConfigError("consensus_ratio must be in (0, 1]")
 
@@ -126,11 +142,13 @@ def merged(base: dict, over: dict) -> dict:
     return out
 
 
+def read(path: str) -> dict:
+    with open(path, encoding="utf-8") as file:
+        return yaml.safe_load(file) or {}
+
+
 def load(path: str) -> dict:
     """A YAML file on top of the base.yaml beside it."""
-    import yaml
-
-    read = lambda p: yaml.safe_load(open(p, encoding="utf-8")) or {}  # noqa: E731, SIM115
     base = os.path.join(os.path.dirname(path), "base.yaml")
     return merged(read(base), read(path)) if os.path.exists(base) and os.path.basename(path) != "base.yaml" else read(path)
 

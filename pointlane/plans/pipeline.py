@@ -7,6 +7,8 @@ trackers see detections alone, post-processors a row for a track and frame.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,11 +30,15 @@ def cluster(points: DataFrame, spec: Spec, keep: Keep | None = None) -> DataFram
     if name == "ground_removed_dbscan":
         return clustering.cluster_ground_removed(lane, spec.eps, spec.min_points, spec.ground_distance, spec.ground_samples, spec.ground_level, keep=keep)
     if name == "hdbscan":
-        return clustering.cluster_hdbscan(lane, spec.min_points, max(1, spec.min_points // 2))
+        return clustering.cluster_hdbscan(lane, spec.hdbscan_cluster, spec.hdbscan_samples)
     if name == "voxel_grid_connected_components":
         return clustering.cluster_voxels(lane, spec.voxel, keep)
+    if spec.range_min > 0 or math.isfinite(spec.range_max):
+        lane = lane.where(F.col("range").between(spec.range_min, spec.range_max))
+    if spec.ground_rows > 0:
+        lane = lane.where(F.col("row_index") >= spec.ground_rows)
     cells = clustering.sensor_cells(lane)
-    links = clustering.cell_links(cells, name, spec.jump_abs, spec.jump_ratio, spec.eps)
+    links = clustering.cell_links(cells, name, spec.jump_abs, spec.jump_ratio, spec.eps, spec.neighbour_rows, spec.neighbour_cols)
     return clustering.label_points(lane, clustering.cell_components(cells, links, spec.min_component))
 
 
@@ -99,36 +105,60 @@ def post_process(observations: DataFrame, tracks: DataFrame, spec: Spec, keep: K
 def bridged(cloud: DataFrame, spec: Spec, keep: Keep | None = None) -> DataFrame:
     """Clouds with the gaps between their parts filled along the axis."""
     parts = fusion.cloud_components(cloud, 3 * spec.fusion_voxel, keep)
-    return cloud.unionByName(fusion.tail_bridge(parts, spec.bridge_gap, spec.bridge_lateral, spec.bridge_vertical, spec.fusion_voxel))
+    return cloud.unionByName(fusion.tail_bridge(parts, spec.bridge_gap, spec.bridge_lateral, spec.bridge_vertical, spec.fusion_voxel, spec.axis))
 
 
-def accumulate(labelled: DataFrame, observations: DataFrame, members: DataFrame, quality: DataFrame, spec: Spec, keep: Keep | None = None) -> DataFrame:
-    """The fused cloud of each track: choose frames, bring their points together, fuse, clean, bridge, cap, complete."""
-    low, high = spec.box.bounds("y")
+def chosen_frames(observations: DataFrame, long: DataFrame, spec: Spec) -> tuple[DataFrame, DataFrame | None]:
+    """(the frames of each track to fuse, tail candidates of long vehicles): cut at the lane's end, window of good chunks, selection, coverage of long vehicles, shape."""
+    low, high = spec.box.bounds(spec.axis)
     line = low + spec.line_ratio * (high - low)
-    chosen = selection.truncate_at_lane_end(observations, low, spec.touch_margin) if spec.truncate_at_lane_end else observations
+    rows = selection.truncate_at_lane_end(observations, low, spec.touch_margin, spec.axis) if spec.truncate_at_lane_end else observations
+    tails = None
     if spec.quality_window:
-        chosen = selection.quality_window(chosen, spec.window_points, spec.window_extent, spec.window_least)
-    pick = lambda rows, method: selection.select(rows, method, spec.use_all_frames, spec.top_k, spec.keep, spec.bins, line, spec.touch_margin)
-    long = quality.where("is_long_vehicle").select(*TRACK)
+        window = selection.quality_window(rows, spec.window_points, spec.window_extent, spec.window_least)
+        if spec.long_vehicles:
+            tails = selection.tail_candidates(rows.join(long, TRACK, "left_semi"), spec.axis).select(*TRACK, "frame_id")
+            window = selection.with_tails(window, rows, tails, spec.window_points, spec.window_extent)
+        rows = window
+    pick = lambda of, method: selection.select(of, method, spec.use_all_frames, spec.top_k, spec.keep, spec.bins, line, spec.touch_margin, spec.axis)
     instead = selection.long_vehicle_method(spec.selection, spec.use_all_frames)
     if spec.long_vehicles and instead != spec.selection:
-        chosen = pick(chosen.join(long, TRACK, "left_anti"), spec.selection).unionByName(pick(chosen.join(long, TRACK, "left_semi"), instead))
+        chosen = pick(rows.join(long, TRACK, "left_anti"), spec.selection).unionByName(pick(rows.join(long, TRACK, "left_semi"), instead))
     else:
-        chosen = pick(chosen, spec.selection)
+        chosen = pick(rows, spec.selection)
+    if spec.long_vehicles:
+        chosen = selection.with_coverage(chosen, rows, long, rows.select(*TRACK, "frame_id").where("false") if tails is None else tails, axis=spec.axis)
     if spec.shape_ratio > 0:
         chosen = selection.shape_consistent(chosen, spec.shape_ratio)
+    return chosen, tails
+
+
+def accumulate(labelled: DataFrame, observations: DataFrame, members: DataFrame, quality: DataFrame, spec: Spec, keep: Keep | None = None, links: DataFrame | None = None) -> DataFrame:
+    """The fused cloud of each track: choose frames, bring their points together, fuse, clean, bridge, cap, complete.
+
+    ``links``: their rears and fragments, where long, take chunks back that registration rejected.
+    """
+    keep = keep or scratch(labelled.sparkSession)
+    long = quality.where("is_long_vehicle").select(*TRACK)
+    chosen, tails = chosen_frames(observations, long, spec)
+    chosen = keep("chosen", chosen)
     keys = chosen.select(*TRACK, "frame_id", *[F.col(f"c{a}").alias(f"__c{a}") for a in "xyz"]).join(members, [*TRACK, "frame_id"])
     chunk = labelled.withColumnRenamed("frame_index", "frame_id").join(keys, ["seq_id", "frame_id", "label"])
     if spec.deskew and "point_timestamp_ns" in chunk.columns:
         chunk = fusion.deskew(chunk.withColumnRenamed("point_timestamp_ns", "point_ns"), observations, least_speed=spec.metre)
-    local = chunk.select("seq_id", "track_id", "frame_id", *[(F.col(a) - F.col(f"__c{a}")).alias(a) for a in "xyz"], F.col("intensity").cast("double").alias("intensity"))
+    at = (lambda a: F.col(a).cast("double")) if spec.save_world else (lambda a: F.col(a) - F.col(f"__c{a}"))
+    local = chunk.select("seq_id", "track_id", "frame_id", *[at(a).alias(a) for a in "xyz"], F.col("intensity").cast("double").alias("intensity"))
     local = fusion.voxel_mean(local, [*TRACK, "frame_id"], spec.chunk_voxel).select(*TRACK, "frame_id", "x", "y", "z", "intensity")
     weights = None
     if spec.accumulator == "registration_voxel_fusion":
-        moved = registration.register(local, spec.registration)
+        moved = keep("registered", registration.register(local, spec.registration))
         if spec.underfill_fallback:
             moved = registration.fill_up(moved, local, spec.underfill_chunks)
+        if spec.long_vehicles:
+            nothing = chosen.select(*TRACK, "frame_id").where("false")
+            rears = nothing.select(*TRACK) if links is None else links.where("role IN ('rear', 'fragment')").select(*TRACK).distinct()
+            tails = nothing if tails is None else tails
+            moved = registration.restore_rejected(moved, local.join(long, TRACK, "left_semi"), rears, tails)
         weights = moved.groupBy(*TRACK, "frame_id").agg(F.first("weight").alias("weight"))
         local = moved.drop("weight", "registration")
     elif spec.accumulator == "weighted_voxel_fusion":
@@ -142,8 +172,8 @@ def accumulate(labelled: DataFrame, observations: DataFrame, members: DataFrame,
         cloud = cloud.join(long, TRACK, "left_anti").unionByName(bridged(cloud.join(long, TRACK, "left_semi"), spec, keep))
     cloud = fusion.revoxelise(cloud, spec.aggregate_voxel)
     if spec.cap_points > 0:
-        cloud = fusion.confidence_cap(cloud, spec.cap_points, spec.cap_bins)
-    return fusion.complete_symmetry(cloud, spec.aggregate_voxel) if spec.symmetry else cloud
+        cloud = fusion.confidence_cap(cloud, spec.cap_points, spec.cap_bins, spec.axis)
+    return fusion.complete_symmetry(cloud, spec.aggregate_voxel, spec.axis) if spec.symmetry else cloud
 
 
 def run(points: DataFrame, spec: Spec, frames: DataFrame | None = None, keep: Keep | None = None) -> dict[str, DataFrame]:
@@ -162,11 +192,11 @@ def run(points: DataFrame, spec: Spec, frames: DataFrame | None = None, keep: Ke
     states = keep("states", tracking.track(found, spec.tracker, frames))
     observations, members, tracks, links = post_process(observed(found, states), tracking.tracks(states), spec, keep)
     observations, tracks, links = keep("observations", observations), keep("tracks", tracks), keep("links", links)
-    quality = keep("quality", postprocess.quality(observations, tracks, long_threshold=spec.long_length))
-    clouds = keep("clouds", accumulate(labelled, observations, members, quality, spec, keep))
-    sized = fusion.dimensions(clouds)
-    low = spec.box.bounds("y")[0]
-    gone = fusion.exited(observations, tracks, low, spec.exit_margin).join(quality.select(*TRACK, "quality_score", "is_long_vehicle"), TRACK, "left")
+    quality = keep("quality", postprocess.quality(observations, tracks, spec.axis, spec.long_length))
+    clouds = keep("clouds", accumulate(labelled, observations, members, quality, spec, keep, links))
+    sized = fusion.dimensions(clouds, spec.axis)
+    low = spec.box.bounds(spec.axis)[0]
+    gone = fusion.exited(observations, tracks, low, spec.exit_margin, spec.axis).join(quality.select(*TRACK, "quality_score", "is_long_vehicle"), TRACK, "left")
     threshold = F.when(F.col("is_long_vehicle") & F.lit(spec.long_vehicles), spec.min_quality_long).otherwise(spec.min_quality)
     results = keep("results", fusion.decide(gone, sized, spec.min_track_hits, spec.min_saved_points, threshold, spec.require_exit))
     if spec.long_vehicles and not links.isEmpty():
@@ -175,6 +205,6 @@ def run(points: DataFrame, spec: Spec, frames: DataFrame | None = None, keep: Ke
         clouds, results = groups.merge_long_vehicles(
             candidates, observations, tracks, quality, links, results, keep, clearance=max(0.05 * spec.metre, spec.aggregate_voxel, spec.fusion_voxel), neighbours=spec.outlier_neighbours, ratio=spec.outlier_ratio,
             voxel=max(0.04 * spec.metre, 0.75 * spec.aggregate_voxel), bridge=(lambda cloud: bridged(cloud.drop("vx", "vy", "vz"), spec, keep)) if spec.tail_bridge else None, lane_end=low, margin=spec.exit_margin,
-            least_points=spec.min_saved_points, least_quality=spec.min_quality_long, require_exit=spec.require_exit, save_world=spec.save_world,
+            least_points=spec.min_saved_points, least_quality=spec.min_quality_long, require_exit=spec.require_exit, save_world=spec.save_world, axis=spec.axis,
         )
     return {"detections": found, "states": states, "observations": observations, "tracks": tracks, "links": links, "quality": quality, "clouds": clouds, "results": results}

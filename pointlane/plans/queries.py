@@ -574,6 +574,23 @@ def coverage_bins(spark, sf_dir):
     return selection.coverage_bins(obs2(spark, sf_dir)).select("track_id", "bin", "frame_id")
 
 
+@query(
+    """SELECT track_id, frame_id FROM tl WHERE frame_id % 4 = 1 OR (rank <= 2 AND n_points >= 0.25 * top_p AND norm >= 0.2 * top_e)
+UNION SELECT track_id, frame_id FROM (SELECT *, row_number() OVER (PARTITION BY track_id, bin ORDER BY n_points DESC, frame_id) AS best FROM (SELECT *, CAST(least(floor((cy - lo) / greatest(hi - lo, 1e-6) * 3), 2) AS INTEGER) AS bin FROM tl WHERE track_id % 2 = 0 AND hi - lo > 1e-6)) WHERE best = 1
+UNION SELECT track_id, frame_id FROM tl WHERE track_id % 2 = 0 AND rank <= 2""",
+    """dr AS (SELECT track_id, CASE WHEN arg_max(cy, frame_id) - arg_min(cy, frame_id) < -1e-6 THEN -1 ELSE 1 END AS d FROM obs2 GROUP BY 1),
+tr AS (SELECT o.*, CASE WHEN d > 0 THEN cy - min_y ELSE max_y - cy END / greatest(max_y - min_y, 1e-6) AS rr, sqrt((max_x - min_x)::DOUBLE * (max_x - min_x) + (max_y - min_y)::DOUBLE * (max_y - min_y) + (max_z - min_z)::DOUBLE * (max_z - min_z)) AS norm FROM obs2 o JOIN dr USING (track_id)),
+tl AS (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY rr DESC, frame_id) AS rank, greatest(max(n_points) OVER (PARTITION BY track_id), 1) AS top_p, greatest(max(norm) OVER (PARTITION BY track_id), 1e-6) AS top_e, min(cy) OVER (PARTITION BY track_id) AS lo, max(cy) OVER (PARTITION BY track_id) AS hi FROM tr)""",
+)
+def long_vehicle_coverage(spark, sf_dir):
+    """A window of every fourth frame with tails beside it, then coverage of the tracks with even ids."""
+    rows = obs2(spark, sf_dir)
+    tails = selection.tail_candidates(rows).select("seq_id", "track_id", "frame_id")
+    window = selection.with_tails(rows.where("frame_id % 4 = 1"), rows, tails)
+    long = rows.where("track_id % 2 = 0").select("seq_id", "track_id").distinct()
+    return selection.with_coverage(window, rows, long, tails).select("track_id", "frame_id")
+
+
 NORM = "nm AS (SELECT *, sqrt((max_x - min_x)::DOUBLE * (max_x - min_x) + (max_y - min_y)::DOUBLE * (max_y - min_y) + (max_z - min_z)::DOUBLE * (max_z - min_z)) AS norm FROM ix)"
 
 
@@ -1018,10 +1035,10 @@ def hud_lines(spark, sf_dir):
 RUNS = "runs AS (SELECT o_orderpriority AS tracker, o_orderstatus AS clusterer, o_custkey % 3 AS preset, o_orderkey AS run_index, CAST(o_totalprice * 100 + 0.5 AS BIGINT) AS wall FROM orders)"
 
 
-def bench_runs(spark, sf_dir):
+def bench_runs(spark, sf_dir, *more):
     """Orders as runs of a benchmark: priority and status stand for components, price for seconds."""
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderpriority").alias("tracker"), F.col("o_orderstatus").alias("clusterer"), (F.col("o_custkey") % 3).alias("preset"), F.col("o_orderkey").alias("run_index"), cents.alias("wall"))
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderpriority").alias("tracker"), F.col("o_orderstatus").alias("clusterer"), (F.col("o_custkey") % 3).alias("preset"), F.col("o_orderkey").alias("run_index"), cents.alias("wall"), *more)
 
 
 RUNS = RUNS.replace("CAST(o_totalprice * 100 + 0.5 AS BIGINT)", "CAST(round(o_totalprice * 100) AS BIGINT)")
@@ -1040,6 +1057,24 @@ def benchmark_leaderboard(spark, sf_dir):
     return reports.leaderboard(rows, [F.col("median"), F.col("tracker"), F.col("clusterer")]).select("tracker", "clusterer", "place")
 
 
+MEDIANS = RUNS.replace("AS wall FROM", "AS wall, o_custkey % 11 AS saved, o_custkey % 7 AS quality FROM") + ", md AS (SELECT tracker, clusterer, quantile_cont(wall::DOUBLE, 0.5) AS wall, quantile_cont(saved::DOUBLE, 0.5) AS saved, quantile_cont(quality::DOUBLE, 0.5) AS quality, max(wall) AS memory, count(*) AS runs FROM runs GROUP BY 1, 2)"
+
+
+def ranked_medians(spark, sf_dir):
+    """Medians of the runs; shares of the customer key stand for clouds saved and quality."""
+    runs = bench_runs(spark, sf_dir, "o_custkey").withColumns({"saved": F.col("o_custkey") % 11, "quality_mean": F.col("o_custkey") % 7, "peak_rss_mb": F.col("wall").cast("double")}).withColumnRenamed("wall", "total_wall_seconds").drop("o_custkey", "preset")
+    measures = {c: F.lit(0.0) for c in ("registration_accept_rate", "mean_length_saved", "mean_component_count_saved", "compute_wall_seconds", "total_cpu_seconds")}
+    return reports.median_rows(runs.withColumns(measures), ["tracker", "clusterer"])
+
+
+@query("SELECT tracker, clusterer, runs, CAST(row_number() OVER (ORDER BY -saved, -quality, wall, tracker, clusterer) AS INTEGER) AS overall, CAST(row_number() OVER (ORDER BY -memory, tracker, clusterer) AS INTEGER) AS most_memory, CAST(row_number() OVER (ORDER BY wall, tracker, clusterer) AS INTEGER) AS fastest FROM md", MEDIANS)
+def benchmark_orders(spark, sf_dir):
+    rows = ranked_medians(spark, sf_dir)
+    for name in ("overall", "most_memory", "fastest"):
+        rows = reports.leaderboard(rows, reports.order(name, ["tracker", "clusterer"])).withColumnRenamed("place", name)
+    return rows.select("tracker", "clusterer", "runs", "overall", "most_memory", "fastest")
+
+
 @query(f"SELECT 'tracker' AS component, tracker AS value, {m('quantile_cont(wall::DOUBLE, 0.5)')} AS median, count(*) AS n FROM runs GROUP BY 2", RUNS)
 def benchmark_components(spark, sf_dir):
     return reports.component_medians(bench_runs(spark, sf_dir), "tracker", "wall").withColumn("median", milli(F.col("median")))

@@ -351,3 +351,9 @@ class _LabelReader(_Reader):
 def read_labels(spark: SparkSession, paths: list[str]) -> DataFrame:
     spark.dataSource.register(FrameLabels)
     return spark.read.format("frame_labels").option("paths", ",".join(paths)).load()
+
+
+def read_sequence_labels(spark: SparkSession, paths: list[str], sequence: str = "all") -> DataFrame:
+    """The labelled objects with seq_id and the frame_index that ``read_points`` gives the same frames; ``row_id`` rises in a file's order."""
+    index = read_index(spark, paths, sequence).select("seq_id", "frame_index", "source_index", "source_frame_index")
+    return read_labels(spark, paths).withColumn("row_id", F.monotonically_increasing_id()).join(index, ["source_index", "source_frame_index"])
