@@ -220,7 +220,9 @@ def step_frames(config: TrackerConfig, tracker: Tracker | None, frames: Iterator
     tracker, out = tracker or Tracker(config), []
     for part in frames:
         frame = int(part.frame_index.iloc[0])
-        part = part.sort_values("detection_id")
-        states, _ = tracker.step(frame, part[["cx", "cy", "cz"]].to_numpy(float), part[["ex", "ey", "ez"]].to_numpy(float))
+        # A frame without detections is one row without an id.
+        part = part[part.detection_id.notna()].sort_values("detection_id")
+        suppressed = part["suppressed"].fillna(False).to_numpy(bool) if "suppressed" in part else None
+        states, _ = tracker.step(frame, part[["cx", "cy", "cz"]].to_numpy(float), part[["ex", "ey", "ez"]].to_numpy(float), suppressed)
         out += [(frame, t, s, *map(float, x), age, missed) for t, _, s, x, age, missed in states]
     return tracker, out
