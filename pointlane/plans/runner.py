@@ -10,9 +10,13 @@ from __future__ import annotations
 import argparse
 import dataclasses
 import datetime
+import json
 import logging
 import os
 import resource
+import subprocess
+import sys
+import tempfile
 import time
 from collections import Counter
 from contextlib import contextmanager
@@ -174,7 +178,35 @@ def benchmark(spark: SparkSession, sequences: dict[str, DataFrame], presets: dic
             for k in range(warmup + measure):
                 row = run(spark, spec, points, f"{out}/{sequence}/{preset}/{k}")
                 if k >= warmup:
-                    rows.append({"sequence": sequence, "preset": preset, "clusterer": spec.clusterer, "tracker": spec.tracker.algorithm, "accumulator": spec.accumulator, "run_index": k - warmup} | row)
+                    rows.append(described(sequence, preset, spec, k - warmup) | row)
+    return report(spark, rows, out)
+
+
+def described(sequence: str, preset: str, spec: config.Spec, index: int) -> dict:
+    return {"sequence": sequence, "preset": preset, "clusterer": spec.clusterer, "tracker": spec.tracker.algorithm, "accumulator": spec.accumulator, "run_index": index}
+
+
+def benchmark_apart(plan: published.Manifest, form: str, out: str) -> list[dict]:
+    """Rows of measured runs, each in a process and session of its own, so that none finds another's caches or compiled plans."""
+    rows = []
+    for sequence, source in plan.sequences.items():
+        for preset, path in plan.presets.items():
+            for k in range(plan.warmup + plan.measure):
+                into = f"{out}/{sequence}/{preset}/{f'warmup_{k + 1:02d}' if k < plan.warmup else f'measure_{k - plan.warmup + 1:02d}'}"
+                summary = os.path.join(tempfile.mkdtemp(prefix="pointlane-run-"), "summary.json")
+                command = [sys.executable, "-m", "pointlane.plans.runner", "run", "-c", path, "-i", source, "-f", form, "--into", into, "--summary", summary]
+                done = subprocess.run(command, cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), capture_output=True, text=True, check=False)
+                if done.returncode:
+                    raise RuntimeError(f"{preset} on {sequence}, run {k}: {done.stderr[-2000:]}")
+                with open(summary, encoding="utf-8") as file:
+                    row = json.load(file)
+                if k >= plan.warmup:
+                    rows.append(described(sequence, preset, load_preset(path).spec, k - plan.warmup) | row | {"run_dir": into})
+    return rows
+
+
+def report(spark: SparkSession, rows: list[dict], out: str) -> DataFrame:
+    """The measured runs as a table, with leaderboards and medians by component beside it; gives the aggregates of total time."""
     runs = spark.createDataFrame(rows)
     sinks.write_csv(runs, f"{out}/runs")
     summary = reports.run_aggregates(runs, ["sequence", "preset"], "total_wall_seconds")
@@ -209,29 +241,39 @@ def main(args: list[str] | None = None) -> None:
     parser.add_argument("-c", "--config", required=True)
     parser.add_argument("-i", "--input", nargs="*", default=[])
     parser.add_argument("-f", "--format", default="frames")
+    parser.add_argument("--into", help="the very folder of one run")
+    parser.add_argument("--summary", help="a local file for the summary of one run")
     parser.add_argument("-o", "--output", help="left out: the folder that the configuration names")
     given = parser.parse_args(args)
     logging.basicConfig(level=logging.INFO)
-    spark = SparkSession.builder.appName("pointlane").getOrCreate()
+    session = SparkSession.builder.appName("pointlane").getOrCreate
     folder, stamp = os.path.dirname(os.path.abspath(given.config)), f"{datetime.datetime.now():%Y%m%d_%H%M%S}"
     if given.command == "benchmark":
         raw = config.read(given.config)
         if isinstance(raw.get("sequences"), dict):
-            plan = published.Manifest(raw["sequences"], {p: support_path(p, given.config) for p in raw["presets"]}, warmup=raw.get("warmup_runs", 1), measure=raw.get("measure_runs", 1))
-            inputs = {k: read(spark, given.format, [support_path(p, given.config) for p in v]) for k, v in plan.sequences.items()}
+            spark, out = session(), f"{given.output}/{stamp}"
+            inputs = {k: read(spark, given.format, [support_path(p, given.config) for p in v]) for k, v in raw["sequences"].items()}
+            presets = {p: load_preset(support_path(p, given.config)).spec for p in raw["presets"]}
+            benchmark(spark, inputs, presets, out, raw.get("warmup_runs", 1), raw.get("measure_runs", 1))
         else:
             plan = published.manifest(raw, folder)
-            inputs = {k: read(spark, given.format, list(published.present((v,)))) for k, v in plan.sequences.items()}
-        out = f"{given.output or published.beside(plan.root, folder)}/{stamp}_{plan.name}"
-        benchmark(spark, inputs, {name: load_preset(path).spec for name, path in plan.presets.items()}, out, plan.warmup, plan.measure)
+            published.present(tuple(plan.sequences.values()))
+            out = f"{given.output or published.beside(plan.root, folder)}/{stamp}_{plan.name}"
+            # No session here while runs have theirs.
+            rows = benchmark_apart(plan, given.format, out)
+            report(session(), rows, out)
     else:
-        preset = load_preset(given.config)
+        spark, preset = session(), load_preset(given.config)
         spec, paths = preset.spec, list(published.present(tuple(given.input) or preset.paths))
-        out = f"{given.output or published.beside(preset.root, folder)}/{stamp}_{spec.tracker.algorithm}_{spec.accumulator}"
+        out = given.into or f"{given.output or published.beside(preset.root, folder)}/{stamp}_{spec.tracker.algorithm}_{spec.accumulator}"
         points = read(spark, given.format, paths)
         if given.command == "run":
             labels = frames.read_sequence_labels(spark, paths) if given.format == "frames" else None
-            log.info("%s", run(spark, spec, points, out, labels=labels, aliases=preset.aliases, intensity=preset.intensity))
+            row = run(spark, spec, points, out, labels=labels, aliases=preset.aliases, intensity=preset.intensity)
+            log.info("%s", row)
+            if given.summary:
+                with open(given.summary, "w", encoding="utf-8") as file:
+                    json.dump(row, file)
         else:
             replay(points, spec, out)
     log.info("written to %s", out)

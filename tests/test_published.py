@@ -168,3 +168,15 @@ def test_run_with_labels_writes_every_artifact(spark, tmp_path):
     assert track["aggregation_metrics"]["gt_obj_class"] == "CAR" and track["aggregation_metrics"]["gt_object_id"] == "7" and "predicted_class_name" in track["aggregation_metrics"]
     stats = {json.loads(r["value"])["class"]: json.loads(r["value"]) for r in spark.read.text(f"{out}/class_stats").collect()}
     assert stats["TOTAL"]["predicted_count"] == 1 and stats["CAR"]["gt_count"] == 1
+
+
+def test_manifest_runs_each_preset_in_a_process_of_its_own(spark, folder):
+    rng = np.random.default_rng(6)
+    rows = [("s", f, f * 10**8, "a", f * 100 + k, *map(float, (rng.uniform(0, 1.8), 25 - f + rng.uniform(0, 4), rng.uniform(0.2, 1.5))), 1.0, 0, 0, 20.0) for f in range(6) for k in range(60)]
+    spark.createDataFrame(rows, "seq_id string, frame_index int, frame_timestamp_ns long, sensor_name string, point_id long, x double, y double, z double, intensity double, row_index int, col_index int, range double").write.parquet(str(folder / "data" / "a.pb"))
+    plan = published.Manifest({"a": str(folder / "data" / "a.pb")}, {"base": str(folder / "configs" / "base.yaml")}, warmup=0, measure=1)
+    rows = runner.benchmark_apart(plan, "parquet", str(folder / "out"))
+    assert len(rows) == 1 and rows[0]["frames"] == 6 and rows[0]["clusterer"] == "dbscan" and rows[0]["run_dir"].endswith("a/base/measure_01")
+    assert spark.read.json(f"{rows[0]['run_dir']}/summary").first()["frames"] == 6
+    runner.report(spark, rows, str(folder / "report"))
+    assert spark.read.option("header", "true").csv(str(folder / "report" / "leaderboard_overall")).first()["place"] == "1"
