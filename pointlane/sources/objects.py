@@ -7,7 +7,8 @@ Rows: stem, points (array of struct x, y, z), and any columns for the manifest;
 ``seq_id``, if among them, is a folder. Executors write the files. A task
 collects its manifest rows in a pending part; commit moves the parts of the
 attempts that count to ``manifest/``, so a killed or repeated attempt leaves no
-row (and its files are those of the attempt that replaces it).
+row. A task that outlives a failed job may leave files and a pending part;
+nothing reads either.
 """
 
 from __future__ import annotations
@@ -53,6 +54,8 @@ class ObjectList(DataSource):
 class _Writer(DataSourceWriter):
     def __init__(self, path: str):
         self.path = path.rstrip("/")
+        #: Of this job alone: another one's end takes nothing from it.
+        self.pending = f"_pending/{uuid.uuid4().hex}"
 
     def _put(self, name: str, text: str) -> None:
         system, inner = store(f"{self.path}/{name}")
@@ -71,7 +74,7 @@ class _Writer(DataSourceWriter):
             rows.append(given | {"pcd_path": name, "point_count": len(points or [])})
         part = Part(f"{uuid.uuid4().hex}.jsonl", len(rows))
         if rows:
-            self._put(f"_pending/{part.name}", "".join(json.dumps(r, sort_keys=True, default=str) + "\n" for r in rows))
+            self._put(f"{self.pending}/{part.name}", "".join(json.dumps(r, sort_keys=True, default=str) + "\n" for r in rows))
         return part
 
     def commit(self, messages: list[Part | None]) -> None:
@@ -79,7 +82,7 @@ class _Writer(DataSourceWriter):
         system.create_dir(f"{inner}/manifest", recursive=True)
         for part in messages:
             if part is not None and part.rows:
-                system.move(f"{inner}/_pending/{part.name}", f"{inner}/manifest/{part.name}")
+                system.move(f"{inner}/{self.pending}/{part.name}", f"{inner}/manifest/{part.name}")
         self._sweep()
 
     def abort(self, messages: list[Part | None]) -> None:
@@ -87,8 +90,8 @@ class _Writer(DataSourceWriter):
 
     def _sweep(self) -> None:
         system, inner = store(self.path)
-        if system.get_file_info(f"{inner}/_pending").type == fs.FileType.Directory:
-            system.delete_dir(f"{inner}/_pending")
+        if system.get_file_info(f"{inner}/{self.pending}").type == fs.FileType.Directory:
+            system.delete_dir(f"{inner}/{self.pending}")
 
 
 def write_objects(rows: DataFrame, path: str) -> None:
