@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, PandasCogroupedOps
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,10 +54,11 @@ _POINT[0x80:0xC0] = 0
 
 
 class Matrix(NamedTuple):
-    """words: word (binary), word_id. shards: shard, rows (array of structs), row_ends, columns (word ids), counts."""
+    """words: word (binary), word_id. shards: shard, rows (array of structs), row_ends, columns (word ids), counts. parts: each shard packed, beside its words' ids."""
 
     words: DataFrame
     shards: DataFrame
+    parts: PandasCogroupedOps
 
 
 def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -115,6 +116,14 @@ def _lists(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
+def _global(shard: pa.Table, ids: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(columns as global word ids, counts) of the one shard of a group."""
+    to = np.zeros(ids.num_rows, np.int64)
+    to[np.asarray(ids["at"])] = np.asarray(ids["word_id"])
+    columns, counts = _unpacked(shard["entries"][0].as_py())
+    return to[columns], counts
+
+
 def encode(docs: DataFrame, keep: list[str], text: str = "text", shard_bytes: int = SHARD_BYTES) -> Matrix:
     """The document-term matrix of ``docs``; each row carries the columns ``keep`` and facts of its text."""
     spark = docs.sparkSession
@@ -129,19 +138,20 @@ def encode(docs: DataFrame, keep: list[str], text: str = "text", shard_bytes: in
         ]
     )
 
+    def encoded(shard: int, part: pa.RecordBatch) -> pa.RecordBatch:
+        ids, words, first = word_ids(part.column(0))
+        ends, columns, counts = csr(ids, first, len(words))
+        del ids
+        facts = text_facts(part.column(0))
+        rows = pa.StructArray.from_arrays([*part.columns[1:], pa.StructArray.from_arrays(list(facts.values()), list(facts))], [*keep, "facts"])
+        fields = [pa.array([shard], pa.int64()), _lists(rows), _lists(pa.array(ends)), pa.array([_packed(columns, counts)], pa.binary()), _lists(words.cast(pa.binary()))]
+        return pa.RecordBatch.from_arrays(fields, schema.names)
+
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() << 32
         for batch in batches:
             for low, high in slices(batch.column(0), shard_bytes):
-                part = batch.slice(low, high - low)
-                ids, words, first = word_ids(part.column(0))
-                ends, columns, counts = csr(ids, first, len(words))
-                facts = text_facts(part.column(0))
-                rows = pa.StructArray.from_arrays(
-                    [*part.columns[1:], pa.StructArray.from_arrays(list(facts.values()), list(facts))], [*keep, "facts"]
-                )
-                fields = [pa.array([shard], pa.int64()), _lists(rows), _lists(pa.array(ends)), pa.array([_packed(columns, counts)], pa.binary()), _lists(words.cast(pa.binary()))]
-                yield pa.RecordBatch.from_arrays(fields, schema.names)
+                yield encoded(shard, batch.slice(low, high - low))
                 shard += 1
 
     local = stored(docs.select(text, *keep).mapInArrow(shards, schema), "shards")
@@ -152,34 +162,33 @@ def encode(docs: DataFrame, keep: list[str], text: str = "text", shard_bytes: in
     out = T.StructType([schema["shard"], schema["rows"], schema["row_ends"], T.StructField("columns", T.ArrayType(T.LongType())), T.StructField("counts", T.ArrayType(T.IntegerType()))])
 
     def translate(shard: pa.Table, ids: pa.Table) -> pa.Table:
-        to = np.zeros(ids.num_rows, np.int64)
-        to[np.asarray(ids["at"])] = np.asarray(ids["word_id"])
-        packed = shard["entries"].to_pylist()
-        columns, counts = _unpacked(packed[0]) if packed else (np.zeros(0, np.int32),) * 2
         fields = [shard["shard"], shard["rows"], shard["row_ends"]]
-        if not packed:
+        if not shard.num_rows:
             return pa.Table.from_arrays([*fields, pa.array([], pa.list_(pa.int64())), pa.array([], pa.list_(pa.int32()))], out.names)
-        return pa.Table.from_arrays([*fields, _lists(pa.array(to[columns])), _lists(pa.array(counts))], out.names)
+        columns, counts = _global(shard, ids)
+        return pa.Table.from_arrays([*fields, _lists(pa.array(columns)), _lists(pa.array(counts))], out.names)
 
-    return Matrix(words, local.drop("words").groupBy("shard").cogroup(globally.groupBy("of")).applyInArrow(translate, out))
+    parts = local.drop("words").groupBy("shard").cogroup(globally.groupBy("of"))
+    return Matrix(words, parts.applyInArrow(translate, out), parts)
 
 
 def row_counts(matrix: Matrix) -> DataFrame:
-    """One row a document: what it carries, n_words (sum of its row), n_distinct (entries of its row)."""
+    """One row a document: what it carries, n_words (sum of its row), n_distinct (entries of its row).
+
+    A shard's rows are summed in the task that translates it, so its entries don't leave the task.
+    """
     fields = matrix.shards.schema["rows"].dataType.elementType
     schema = T.StructType([*fields.fields, T.StructField("n_words", T.LongType()), T.StructField("n_distinct", T.LongType())])
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                own = batch.slice(i, 1)
-                rows = own.column(0).flatten()
-                ends = np.concatenate([[0], np.asarray(own.column(1).flatten())]).astype(np.int64)
-                counts = np.asarray(own.column(2).flatten()).astype(np.int64)
-                found = [pa.array(_sums(counts, ends)), pa.array(np.diff(ends))]
-                yield pa.RecordBatch.from_arrays([*rows.flatten(), *found], schema.names)
-
-    return matrix.shards.select("rows", "row_ends", "counts").mapInArrow(counted, schema)
+    def counted(shard: pa.Table, ids: pa.Table) -> pa.Table:
+        rows = shard["rows"].combine_chunks().flatten()
+        ends = np.concatenate([[0], *(np.asarray(x.values) for x in shard["row_ends"])]).astype(np.int64)
+        columns, counts = _global(shard, ids) if shard.num_rows else (np.zeros(0, np.int64),) * 2
+        # An entry of every distinct word of a row: as many as its columns.
+        found = [pa.array(_sums(counts.astype(np.int64), ends)), pa.array(_sums(np.ones(len(columns), np.int64), ends))]
+        return pa.Table.from_arrays([*rows.flatten(), *found], schema.names)
+
+    return matrix.parts.applyInArrow(counted, schema)
 
 
 def failures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:

@@ -181,6 +181,15 @@ def test_document_term_matrix(spark, odd, none):
     assert filter_audit.row_counts(filter_audit.encode(none, ["doc_id"])).count() == 0
 
 
+def test_rows_of_the_matrix_are_summed_where_they_are_translated(odd):
+    rows = filter_audit.row_counts(filter_audit.encode(odd.select("doc_id", "text"), ["doc_id"], shard_bytes=100))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    # One Python worker a task; a shard's entries don't come back to the JVM for a second one.
+    assert plan.count("FlatMapCoGroupsInArrow") == 1 and "MapInArrow" not in plan
+    got = sorted((str(r.doc_id), r.n_words, r.n_distinct) for r in rows.collect())
+    assert got == sorted((str(r.doc_id), len(w), len(set(w))) for r in odd.collect() for w in [WORD.findall(r.text or "")])
+
+
 def wanted_passages(texts, window=35):
     words = [WORD.findall(t or "") for t in texts]
     seen = Counter(tuple(w[i : i + window]) for w in words for i in range(len(w) - window + 1))
