@@ -2,22 +2,21 @@
 
 Distances are resolved on spatial tiles (``tiles``), voxels and planes by
 groupings, so a frame of any size is many tasks; only the density hierarchy
-(HDBSCAN) and the components of sensor cells see a whole frame in one task.
+(HDBSCAN) and the components of sensor cells see a frame's places or cells in
+one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.geometry import voxels
+from ..functions.geometry import finite, voxels
 from ..sources.scratch import Keep, scratch
-from .tiles import density_components
+from .tiles import PAIRS, density_components
 
 FRAME = ["seq_id", "frame_index"]
 VOXEL = ["vx", "vy", "vz"]
@@ -45,27 +44,107 @@ def ranked(label: np.ndarray) -> np.ndarray:
     return np.unique(label, return_inverse=True)[1]
 
 
-def hdbscan(p: np.ndarray, min_cluster_size: int, min_samples: int) -> np.ndarray:
-    """Clusters of largest excess of mass in the density hierarchy (Campello et al. 2013); noise -1."""
+def _cores(p: np.ndarray, weight: np.ndarray, k: int) -> np.ndarray:
+    """Squared distance from each place to the point of rank ``k`` from it (itself is 0), of ``weight`` points a place.
+
+    Places are compared with a window of the longest axis, which grows until nothing outside can be nearer.
+    """
+    axis = int(np.argmax(p.max(0) - p.min(0)))
+    order = np.argsort(p[:, axis], kind="stable")
+    q, w, n = p[order], weight[order], len(p)
+    along, out = q[:, axis], np.empty(n)
+    low = 0
+    while low < n:
+        high, pad = min(n, low + 256), 256
+        while True:
+            a, b = max(0, low - pad), min(n, high + pad)
+            for i in range(low, high, step := max(1, PAIRS // (b - a))):
+                j = min(high, i + step)
+                square = sum((q[i:j, c, None] - q[None, a:b, c]) ** 2 for c in range(3))
+                near = np.argpartition(square, k, 1)[:, : k + 1] if b - a > k + 1 else np.broadcast_to(np.arange(b - a), square.shape)
+                square = np.take_along_axis(square, near, 1)
+                by = np.argsort(square, 1)
+                enough = np.cumsum(w[a:b][np.take_along_axis(near, by, 1)], 1) > k
+                rank = np.where(enough.any(1), enough.argmax(1), -1)
+                found = np.take_along_axis(np.take_along_axis(square, by, 1), rank[:, None], 1)[:, 0]
+                out[i:j] = np.where(rank < 0, np.inf, found)
+            unseen = np.minimum(along[low:high] - along[a - 1] if a else np.inf, along[b] - along[low:high] if b < n else np.inf)
+            if (out[low:high] <= unseen**2).all():
+                break
+            pad *= 4
+        low = high
+    back = np.empty(n)
+    back[order] = out
+    return back
+
+
+def _spanning(p: np.ndarray, core: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, squared reach, place it was reached from) in the order of Prim's algorithm from place 0; of equals the first place."""
+    n = len(p)
+    x, y, z = (np.ascontiguousarray(p[:, c]) for c in range(3))
+    name, limit, best, source = np.arange(n), core.copy(), np.full(n, np.inf), np.zeros(n, int)
+    order, length, origin = np.zeros(n, int), np.full(n, np.inf), np.zeros(n, int)
+    at, left = 0, n
+    for step in range(n):
+        here = name[at]
+        order[step], length[step], origin[step] = here, best[at], source[at]
+        reach = (x - x[at]) ** 2
+        reach += (y - y[at]) ** 2
+        reach += (z - z[at]) ** 2
+        np.maximum(reach, limit, out=reach)
+        np.maximum(reach, core[here], out=reach)
+        # A place that is done has no finite limit, so nothing is closer to it.
+        best[at] = limit[at] = reach[at] = np.inf
+        closer = reach < best
+        best[closer], source[closer] = reach[closer], here
+        left -= 1
+        if left < 0.75 * len(name):
+            open_ = np.flatnonzero(np.isfinite(limit))
+            x, y, z, name, limit, best, source = (v[open_] for v in (x, y, z, name, limit, best, source))
+        if left:
+            at = int(best.argmin())
+    return order, length, origin
+
+
+def hdbscan(p: np.ndarray, min_cluster_size: int, min_samples: int, weight: np.ndarray | None = None) -> np.ndarray:
+    """Clusters of largest excess of mass in the density hierarchy (Campello et al. 2013); noise -1.
+
+    A row stands for ``weight`` points of its place (1, if left out). Points of
+    a place that holds more than ``min_samples`` of them join without a
+    distance, so one row stands for all of these. Memory grows with rows, time
+    with the square of distinct places.
+    """
+    weight = np.ones(len(p), np.int64) if weight is None else np.asarray(weight, np.int64)
+    total, label = int(weight.sum()), np.full(len(p), -1)
+    if total < max(2, min_cluster_size):
+        return label
+    _, first, of = np.unique(p, axis=0, return_index=True, return_inverse=True)
+    by = np.argsort(first)
+    rank = np.empty(len(by), int)
+    rank[by] = np.arange(len(by))
+    first, of = first[by], rank[of.reshape(-1)]
+    size = np.bincount(of, weight).astype(np.int64)
+    core = _cores(p[first], size, min(min_samples, total - 1))
+    order, length, origin = _spanning(p[first], core)
+    # Rows that are nodes of the hierarchy: one of a place whose points join at once, else all.
+    whole = (core == 0) & (min_cluster_size > 1)
+    more = np.flatnonzero(first[of] != np.arange(len(p)))
+    more = more[~whole[of[more]]]
+    when = np.empty(len(order), int)
+    when[order] = np.arange(len(order))
+    # Further rows of a place are reached from its first one, or from where that was, if this is as near.
+    own = core[of[more]] < length[when[of[more]]]
+    far = np.sqrt(np.concatenate([length[1:], core[of[more]]]))
+    left = np.concatenate([first[origin[1:]], np.where(own, first[of[more]], first[origin[when[of[more]]]])])
+    right = np.concatenate([first[order[1:]], more])
+    sort = np.lexsort((right, left, far))
+    far, left, right = far[sort].tolist(), left[sort].tolist(), right[sort].tolist()
     n = len(p)
-    if n < max(2, min_cluster_size):
-        return np.full(n, -1)
-    square = (p**2).sum(1)
-    distance = np.sqrt(np.maximum(square[:, None] + square[None] - 2 * p @ p.T, 0))
-    core = np.sort(distance, 1)[:, min(min_samples, n - 1)]
-    reach = np.maximum(np.maximum(core[:, None], core[None]), distance)
-    inside, best, source = np.zeros(n, bool), np.full(n, np.inf), np.zeros(n, int)
-    edges, at = [], 0
-    for _ in range(n - 1):  # Prim's minimum spanning tree
-        inside[at] = True
-        closer = ~inside & (reach[at] < best)
-        best[closer], source[closer] = reach[at][closer], at
-        at = int(np.where(inside, np.inf, best).argmin())
-        edges.append((best[at], source[at], at))
-    edges.sort()
-    up, size, node = list(range(n)), [1] * n, list(range(n))
-    children: dict[int, tuple[int, int, float]] = {}
-    count = dict.fromkeys(range(n), 1)
+    up, node = list(range(n)), list(range(n))
+    count = weight.copy()
+    count[first[whole]] = size[whole]
+    count = count.tolist()
+    children: list[tuple[int, int]] = []
 
     def find(k: int) -> int:
         while up[k] != k:
@@ -73,13 +152,11 @@ def hdbscan(p: np.ndarray, min_cluster_size: int, min_samples: int) -> np.ndarra
             k = up[k]
         return k
 
-    for k, (d, a, b) in enumerate(edges):
+    for k, (a, b) in enumerate(zip(left, right, strict=True)):
         a, b = find(a), find(b)
-        children[n + k] = (node[a], node[b], d)
-        count[n + k] = count[node[a]] + count[node[b]]
-        up[b] = a
-        size[a] += size[b]
-        node[a] = n + k
+        children.append((node[a], node[b]))
+        count.append(count[node[a]] + count[node[b]])
+        up[b], node[a] = a, n + k
 
     def under(top: int) -> list[int]:
         out, todo = [], [top]
@@ -88,18 +165,19 @@ def hdbscan(p: np.ndarray, min_cluster_size: int, min_samples: int) -> np.ndarra
             if k < n:
                 out.append(k)
             else:
-                todo += children[k][:2]
+                todo += children[k - n]
         return out
 
     # Condense: a split counts only if both sides are large enough.
     clusters: list[dict] = [{"birth": 0.0, "mass": 0.0, "kids": []}]
-    todo = [(n + len(edges) - 1, 0)]
+    todo = [(n + len(children) - 1, 0)] if children else []
     while todo:
         top, c = todo.pop()
-        if top < n:
+        if top < n:  # one place, whose points part at no distance
+            clusters[c]["mass"] += count[top] * (1e12 - clusters[c]["birth"]) if count[top] > 1 else 0.0
             continue
-        a, b, d = children[top]
-        level = 1 / max(d, 1e-12)
+        a, b = children[top - n]
+        level = 1 / max(far[top - n], 1e-12)
         big = [k for k in (a, b) if count[k] >= min_cluster_size]
         if len(big) == 2:
             clusters[c]["mass"] += count[top] * (level - clusters[c]["birth"])
@@ -111,31 +189,22 @@ def hdbscan(p: np.ndarray, min_cluster_size: int, min_samples: int) -> np.ndarra
             lost = sum(count[k] for k in (a, b) if k not in big)
             clusters[c]["mass"] += lost * (level - clusters[c]["birth"])
             todo += [(k, c) for k in big]
-    chosen: list[int] = []
     value = [0.0] * len(clusters)
-    picked: list[list[int]] = [[] for _ in clusters]
-    for c in range(len(clusters) - 1, -1, -1):
+    heavier = [False] * len(clusters)
+    for c in range(len(clusters) - 1, 0, -1):
         below = sum(value[k] for k in clusters[c]["kids"])
-        if c and clusters[c]["mass"] >= below:
-            value[c], picked[c] = clusters[c]["mass"], [c]
+        heavier[c] = clusters[c]["mass"] >= below
+        value[c] = max(clusters[c]["mass"], below)
+    chosen, todo = [], list(clusters[0]["kids"])
+    while todo:
+        c = todo.pop()
+        if heavier[c]:
+            chosen.append(under(clusters[c]["top"]))
         else:
-            value[c], picked[c] = below, sum((picked[k] for k in clusters[c]["kids"]), [])
-    chosen = sorted(picked[0], key=lambda c: min(under(clusters[c]["top"])))
-    out = np.full(n, -1)
-    for label, c in enumerate(chosen):
-        out[under(clusters[c]["top"])] = label
-    return out
-
-
-def _by_frame(points: DataFrame, labels: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """``points`` with a label per row; rows of a frame in order of point_id."""
-    out = T.StructType([*points.schema.fields, T.StructField("label", T.IntegerType())])
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("point_id", kind="stable")
-        return frame.assign(label=labels(frame[["x", "y", "z"]].to_numpy(float)).astype("int32"))
-
-    return points.groupBy(*FRAME).applyInPandas(run, out)
+            todo += clusters[c]["kids"]
+    for k, own in enumerate(sorted(chosen, key=min)):
+        label[own] = k
+    return np.where(whole[of], label[first[of]], label)
 
 
 def _numbered(points: DataFrame, found: DataFrame, first: Column) -> DataFrame:
@@ -181,7 +250,27 @@ def cluster_voxels(points: DataFrame, size: float, keep: Keep | None = None) ->
 
 
 def cluster_hdbscan(points: DataFrame, min_cluster_size: int, min_samples: int) -> DataFrame:
-    return _by_frame(points, lambda p: hdbscan(p, min_cluster_size, min_samples))
+    """``points`` with a label from the density hierarchy of their frame, noise -1; points without a finite place are noise.
+
+    A task has the distinct places of a frame, with up to ``min_samples`` rows
+    each: of more points at one place, one stands for all, by their number.
+    """
+    place = Window.partitionBy(*FRAME, *"xyz")
+    located = points.withColumn("at_node", F.row_number().over(place.orderBy("point_id"))).withColumn("at_size", F.count("*").over(place))
+    many = (F.col("at_size") > min_samples) & F.lit(min_cluster_size > 1)
+    nodes = located.where((~many | (F.col("at_node") == 1)) & finite(*"xyz")).select(*FRAME, "point_id", *"xyz", "at_node", F.when(many, F.col("at_size")).otherwise(1).alias("weight"))
+    kinds = {f.name: f.dataType for f in nodes.schema}
+    out = T.StructType([T.StructField(f"of_{c}", kinds[c]) for c in (*FRAME, *"xyz", "at_node")] + [T.StructField("label", T.IntegerType())])
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["point_id", *"xyz", "at_node"], kind="stable")
+        labels = hdbscan(frame[[*"xyz"]].to_numpy(float), min_cluster_size, min_samples, frame["weight"].to_numpy())
+        return frame[[*FRAME, *"xyz", "at_node"]].add_prefix("of_").assign(label=labels.astype("int32"))
+
+    found = nodes.groupBy(*FRAME).applyInPandas(run, out)
+    own = located.withColumn("at_node", F.when(many, 1).otherwise(F.col("at_node")))
+    on = [F.col(c) == F.col(f"of_{c}") for c in (*FRAME, *"xyz", "at_node")]
+    return own.join(found, on, "left").select(*points.columns, F.coalesce("label", F.lit(-1)).alias("label"))
 
 
 def ground_planes(points: DataFrame, distance: float = 0.12, samples: int = 120, seed: int = 0, keep: Keep | None = None) -> DataFrame:

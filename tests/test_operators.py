@@ -3,6 +3,7 @@
 import itertools
 import json
 import struct
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -73,6 +74,24 @@ def test_clusterers_find_two_objects_and_the_ground(spark):
     assert abs(plane.nz) > 0.9 and inside[:144].all() and not inside[144:].any()
 
 
+def test_hierarchy_in_memory_of_the_places(spark):
+    rng = np.random.default_rng(5)
+    p = np.vstack([cloud(rng, (4 * k, 0, 0), 1000, 0.3) for k in range(5)])
+    tracemalloc.start()
+    labels = clustering.hdbscan(p, 300, 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6  # a matrix of their distances has 200 MB
+    assert set(labels) - {-1} == set(range(5))
+    assert all(set(labels[1000 * k : 1000 * (k + 1)]) <= {-1, k} for k in range(5))
+    # Points of one place: a row stands for as many as there are; the few of a place stay rows.
+    p = rng.integers(0, 6, (60, 3)).astype(float)
+    p = np.vstack([p, np.repeat(p[:12], 9, 0), p[12:20]])[rng.permutation(176)]
+    assert (labels_of(clustering.cluster_hdbscan(frame_of(spark, p), 8, 4)) == clustering.hdbscan(p, 8, 4)).all()
+    found = clustering.cluster_hdbscan(frame_of(spark, np.vstack([p, [[float("nan"), 0, 0]]])), 8, 4)
+    assert labels_of(found)[-1] == -1 and found.count() == 177
+
+
 @settings(max_examples=25, deadline=None)
 @given(st.integers(0, 10_000), st.integers(1, 60))
 def test_euclidean_clusters_are_the_components(seed, n):
