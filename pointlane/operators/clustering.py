@@ -210,25 +210,27 @@ def hdbscan(p: np.ndarray, min_cluster_size: int, min_samples: int, weight: np.n
 def _numbered(points: DataFrame, found: DataFrame, first: Column) -> DataFrame:
     """``points`` with ``label``: the clusters of a frame counted from 0 by ``first``, -1 for noise.
 
-    ``found``: (seq_id, frame_index, node, cluster) and what ``first`` needs.
+    ``found``: (seq_id, frame_index, x, y, z, cluster) of each place, and what ``first`` needs.
     """
     names = found.where("cluster IS NOT NULL").groupBy(*FRAME, "cluster").agg(first.alias("first"))
     label = F.row_number().over(Window.partitionBy(*FRAME).orderBy("first")) - 1
     names = names.select(*[F.col(c).alias(f"of_{c}") for c in (*FRAME, "cluster")], label.cast("int").alias("label"))
     on = [F.col(c) == F.col(f"of_{c}") for c in (*FRAME, "cluster")]
-    own = found.select(*FRAME, "node", "cluster").join(names, on, "left").select(*[F.col(c).alias(f"at_{c}") for c in FRAME], F.col("node"), F.coalesce("label", F.lit(-1)).alias("label"))
-    return points.join(own, [F.col(c) == F.col(f"at_{c}") for c in FRAME] + [F.col("point_id") == F.col("node")]).select(*points.columns, "label")
+    own = found.select(*FRAME, *"xyz", "cluster").join(names, on, "left").select(*[F.col(c).alias(f"at_{c}") for c in (*FRAME, *"xyz")], F.coalesce("label", F.lit(-1)).alias("label"))
+    return points.join(own, [F.col(c) == F.col(f"at_{c}") for c in (*FRAME, *"xyz")]).select(*points.columns, "label")
 
 
 def cluster_dbscan(points: DataFrame, eps: float, min_points: int, keep: Keep | None = None) -> DataFrame:
     """``points`` with a label: clusters by their least core point_id from 0, noise -1.
 
-    Tiles of the frame are the tasks (``tiles.density_components``). A border
-    point goes to the cluster of its least core neighbour.
+    Tiles of the frame are the tasks (``tiles.density_components``); they hold a
+    row for each distinct place, under its least point_id, with the number of
+    its points. A border point goes to the cluster of its least core neighbour.
     """
     keep = keep or scratch(points.sparkSession)
-    found = density_components(points.select(*FRAME, F.col("point_id").cast("bigint").alias("node"), "x", "y", "z"), FRAME, eps, min_points, keep)
-    return _numbered(points, keep("clusters", found), F.min("cluster"))
+    places = keep("places", points.groupBy(*FRAME, *"xyz").agg(F.min("point_id").cast("bigint").alias("node"), F.count("*").alias("weight")))
+    found = density_components(places, FRAME, eps, min_points, keep)
+    return _numbered(points, keep("clusters", places.drop("weight").join(found, [*FRAME, "node"])), F.min("cluster"))
 
 
 def cluster_euclidean(points: DataFrame, eps: float, keep: Keep | None = None) -> DataFrame:

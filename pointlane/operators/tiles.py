@@ -125,9 +125,11 @@ def _joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def density_clusters(p: np.ndarray, eps: float, min_points: int) -> tuple[np.ndarray, np.ndarray]:
+def density_clusters(p: np.ndarray, eps: float, min_points: int, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(core, owner) of each point: whether it has ``min_points`` within ``eps``; the least core point of its cluster, -1 for noise.
 
+    A point counts as ``weight`` points of its place (1, if left out).
+
     A border point follows its least core neighbour. Points of a full cell are
     core without a distance, points of a cell are joined without one, and two
     cells are compared point by point only if nothing simpler decides: work
@@ -137,17 +139,20 @@ def density_clusters(p: np.ndarray, eps: float, min_points: int) -> tuple[np.nda
     if not n:
         return np.zeros(0, bool), np.zeros(0, np.int64)
     c = Cells(p, eps)
-    dense = c.count >= min_points
+    heavy = np.ones(n, np.int64) if weight is None else weight[c.order].astype(np.int64)
+    held = np.add.reduceat(heavy, c.start)
+    dense = held >= min_points
     core = dense[c.of]  # by sorted point
     open_ = np.flatnonzero(~core)
-    near = c.count[c.of[open_]].copy()
+    near = held[c.of[open_]].copy()
     for d, shift in c.shifts:
         if d == (0, 0, 0) or not len(open_):
             continue
         to = c.neighbour(shift)[c.of[open_]]
         rows = np.flatnonzero((to >= 0) & (near < min_points))
         for k, j in c.pairs(open_[rows], to[rows]):
-            near += np.bincount(rows[k[c.close(open_[rows[k]], j)]], minlength=len(near))
+            met = c.close(open_[rows[k]], j)
+            near += np.bincount(rows[k[met]], heavy[j[met]], minlength=len(near)).astype(np.int64)
     core[open_[near >= min_points]] = True
     # Clusters of cells that hold core points.
     has = np.bincount(c.of, core, len(c.keys)) > 0
@@ -213,8 +218,9 @@ def _range(c: str, halo: float, side: float):
 
 
 def spread(points: DataFrame, group: list[str], halo: float, side: float) -> DataFrame:
-    """(*group, node, x, y, z, tx, ty, tz): every point in each tile that it lies in or within ``halo`` of."""
-    rows = points.select(*group, "node", *[F.col(a).cast("double").alias(a) for a in "xyz"])
+    """(*group, node, x, y, z, tx, ty, tz): every point, with its weight if it has one, in each tile that it lies in or within ``halo`` of."""
+    weight = ["weight"] if "weight" in points.columns else []
+    rows = points.select(*group, "node", *[F.col(a).cast("double").alias(a) for a in "xyz"], *weight)
     for a in "xyz":
         rows = rows.select("*", _range(a, halo, side).alias(f"t{a}"))
     return rows
@@ -224,7 +230,8 @@ def density_components(points: DataFrame, group: list[str], eps: float, min_poin
     """(*group, node, core, cluster) of points (*group, node, x, y, z): the least core node of the cluster, null for noise.
 
     A tile sees what lies within 2 eps, so it knows which points within eps of
-    it are core. Local clusters that share a core point are one.
+    it are core. Local clusters that share a core point are one. With a column
+    ``weight``, a row stands for so many points of its place.
     """
     keep = keep or scratch(points.sparkSession)
     wide = side * eps
@@ -238,7 +245,7 @@ def density_components(points: DataFrame, group: list[str], eps: float, min_poin
         own = (np.floor(p / wide) == np.array(key[-3:], float)).all(1)
         inner = ((p >= low - eps) & (p <= low + wide + eps)).all(1)
         # Only points whose surroundings are seen whole may join clusters here.
-        core, owner = _within(p, inner, eps, min_points)
+        core, owner = _within(p, inner, eps, min_points, tile["weight"].to_numpy() if "weight" in tile else None)
         edge = ((p - low < eps) | (low + wide - p <= eps)).any(1)
         shared = core & (~own | edge)
         stay = own | shared
@@ -256,12 +263,12 @@ def density_components(points: DataFrame, group: list[str], eps: float, min_poin
     return rows.select(*group, "node", "core", F.coalesce("component", "root").alias("cluster"))
 
 
-def _within(p: np.ndarray, inner: np.ndarray, eps: float, min_points: int) -> tuple[np.ndarray, np.ndarray]:
+def _within(p: np.ndarray, inner: np.ndarray, eps: float, min_points: int, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """As ``density_clusters``, with points outside ``inner`` counted as neighbours but never core."""
     if inner.all():
-        return density_clusters(p, eps, min_points)
+        return density_clusters(p, eps, min_points, weight)
     # Which are core is seen with all points; clusters are made of inner ones.
-    core, _ = density_clusters(p, eps, min_points)
+    core, _ = density_clusters(p, eps, min_points, weight)
     core &= inner
     at = np.flatnonzero(core)
     _, among = density_clusters(p[at], eps, 1)

@@ -67,6 +67,27 @@ def test_tiled_clusters_equal_brute_force(spark, least):
             assert own.cluster.fillna(-1).astype(int).tolist() == owner.tolist()
 
 
+def test_points_of_one_place_are_one_row_of_a_tile(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    for case in range(60):
+        p = np.round(rng.normal(0, rng.choice([0.3, 1.0, 3.0]), (int(rng.integers(1, 60)), 3)), 1)
+        places, first, of, n = np.unique(np.repeat(p, rng.integers(1, 5, len(p)), 0), axis=0, return_index=True, return_inverse=True, return_counts=True)
+        least = int(rng.choice([1, 2, 3, 5, 8]))
+        core, owner = tiles.density_clusters(places, 0.5, least, n)
+        want_core, want = brute_clusters(places[of.reshape(-1)], 0.5, least)
+        assert (core[of.reshape(-1)] == want_core).all()
+        assert ((owner < 0)[of.reshape(-1)] == (want < 0)).all()
+    rows = [("s", 0, i, float(i % 40) * 0.3, 0.0, float(i % 3 == 0)) for i in range(4_000)] + [("s", 0, 4_000 + i, 90.0, 0.0, 0.0) for i in range(3)]
+    points = spark.createDataFrame(rows, "seq_id string, frame_index int, point_id long, x double, y double, z double")
+    tiled = []
+    inner = clustering.density_components
+    monkeypatch.setattr(clustering, "density_components", lambda rows, *how: tiled.append(rows.count()) or inner(rows, *how))
+    got = clustering.cluster_dbscan(points, 0.5, 4).orderBy("point_id").collect()
+    assert tiled == [81]  # of 4,003 points
+    # Two rows of places a unit apart, each in steps of 0.3; three points are too few.
+    assert [r.label for r in got] == [int(r[5] == 0) for r in rows[:4_000]] + [-1] * 3
+
+
 def test_components(spark):
     rng = np.random.default_rng(5)
     edges = [(g, int(a), int(b)) for g in "ab" for a, b in rng.integers(0, 300, (250, 2))] + [("a", i, i + 1) for i in range(1000, 1040)] + [("b", 7, 7)]
